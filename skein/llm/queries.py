@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, mixing, pii, quality_rules, sharding, token_count
+from . import byte_bpe, common, language, mixing, neighbours, pii, quality_model, quality_rules, sharding, token_count
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleaved_shards(common.table(spark, sf_dir, "documents"), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -28,13 +32,27 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return quality_model.scored(docs, quality_model.learned(docs, common.table(spark, sf_dir, "labels")))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return language.labelled(docs, language.learned(docs))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.reported(common.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_interleaved_shards, op4_block_mixing, op5_quality_rules, op7_byte_bpe, op10_pii)}
+_ALL = (
+    op1_token_counts, op2_cross_polytope, op3_interleaved_shards, op4_block_mixing, op5_quality_rules, op6_quality_model, op7_byte_bpe, op9_language,
+    op10_pii,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
