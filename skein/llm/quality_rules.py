@@ -1,7 +1,7 @@
 """Quality rules on whole texts, in DataFrame functions alone.
 
-Base rules look at one document. The method's verdict compares it with the corpus: hashed n-grams of word endings (one
-and two words) are counted once over the trusted target and once over the raw corpus; a document's score is the mean over
+Base rules look at one document. The method's verdict compares it with the corpus: hashed n-grams (pairs of the
+endings of neighbouring words) are counted once over the trusted target and once over the raw corpus; a document's score is the mean over
 its n-grams of log p(n-gram | target) - log p(n-gram | raw), and every document is kept or not by one fixed threshold.
 
 Cases: null and empty texts have no words and fail the base rules; without trusted rows the method objects to nothing;
@@ -17,24 +17,21 @@ from pyspark.sql import functions as F
 from . import common as C
 
 #: Buckets of n-grams; rows of labels that make up the trusted target, at most; mean log ratio from which a text is kept.
-BUCKETS, TRUSTED_ROWS, KEEP_FROM = 1 << 16, 20_000, -0.25
+BUCKETS, TRUSTED_ROWS, KEEP_FROM = 1 << 16, 20_000, -0.3
 SYMBOLS = r"[#*$%&|<>]"
 #: Words of a window whose repetition counts, and letters of a word that stand for it in an n-gram.
-WINDOW, ENDING = 5, 3
+WINDOW, ENDING = 5, 2
 
 
 def words_of(text) -> F.Column:
     """Array of the words of a text that is not null."""
-    bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, C.SPACE))
+    return F.regexp_extract_all(text, F.lit(C.WORD), F.lit(0))
 
 
 def grams(words: str) -> F.Column:
-    """Buckets of the endings of single words and of pairs of neighbours, as one array."""
-    ends = F.transform(words, lambda w: F.substring(w, -ENDING, ENDING))
-    one = F.transform(F.col("ends"), lambda e: F.pmod(F.xxhash64(e), F.lit(BUCKETS)).cast("int"))
-    two = F.zip_with("ends", F.slice("ends", 2, F.greatest(F.size("ends") - 1, F.lit(0))), lambda a, b: F.when(b.isNotNull(), F.pmod(F.xxhash64(a, b), F.lit(BUCKETS)).cast("int")))
-    return ends, F.array_compact(F.concat(one, two))
+    """A bucket for each word: that of its ending and the next word's (nothing after the last)."""
+    ending = lambda w: F.substring(w, -ENDING, ENDING)
+    return F.transform(words, lambda w, i: F.pmod(F.hash(ending(w), ending(F.get(words, i + 1))), F.lit(BUCKETS)))
 
 
 def with_words(docs: DataFrame) -> DataFrame:
@@ -43,8 +40,7 @@ def with_words(docs: DataFrame) -> DataFrame:
 
 
 def with_grams(rows: DataFrame) -> DataFrame:
-    ends, both = grams("w")
-    return rows.withColumn("ends", ends).withColumn("grams", both).drop("ends")
+    return rows.withColumn("grams", grams("w"))
 
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
@@ -57,7 +53,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row, one array: the log ratio of each bucket, add-one smoothed, over all of docs; null without a trusted row."""
     some = with_grams(with_words(docs.select("doc_id", "text")))
     some = some.select(F.col("row.doc_id").cast("long").alias("doc_id"), "grams").join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
-    each = some.select(F.col("trusted_id").isNotNull().cast("long").alias("good"), F.explode("grams").alias("bucket"))
+    each = some.select(F.col("trusted_id").isNotNull().cast("long").alias("good"), F.explode_outer("grams").alias("bucket"))
+    # explode_outer: for explode() the optimizer infers a filter on the array's size and evaluates it anew, word by word
     counts = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good"))
     # a row for each bucket, then one row: BUCKETS is all that ever meets in a task
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
@@ -69,7 +66,6 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, trusted: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
     """row (the input's columns), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr, kept."""
     rows = with_words(docs).withColumn("n", F.size("w"))
-    rows = rows.withColumn("ratios", log_ratios(docs, trusted).scalar())
     lines = F.filter(F.split("t", "\n"), lambda line: F.btrim(line, F.lit(" \t\x0b\f\r")) != "")
     rows = rows.withColumn("lines", lines)
     window = F.transform(F.sequence(F.lit(0), F.col("n") - WINDOW), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(WINDOW)]))
@@ -82,7 +78,8 @@ def judged(docs: DataFrame, trusted: DataFrame, keep_from: float = KEEP_FROM) ->
     rows = rows.withColumn("twice", F.when(F.col("again"), F.array_sort(F.transform(twice, lambda x: x["i"]))))
     covered = F.aggregate(F.transform("twice", lambda i, k: F.least(F.lit(WINDOW), F.coalesce(F.get("twice", k + 1) - i, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
     total = F.aggregate("grams", F.lit(0.0), lambda a, b: a + F.get("ratios", b))
-    rows = rows.select(
+    # a scalar subquery right below its only use: it goes into the expression, and its array is never copied into rows
+    rows = rows.withColumn("ratios", log_ratios(docs, trusted).scalar()).select(
         "row",
         F.col("n").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),

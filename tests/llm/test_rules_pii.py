@@ -43,10 +43,10 @@ def test_ratio_is_that_of_plain_counts(spark):
 
     texts = ["the cat sat on the mat and the dog ran " * 2, "BUY!! NOW!! BUY!! NOW!! BUY!! CHEAP!! BUY!! NOW!! PILLS!! ALL!!", "the dog sat on the cat and the mat ran off", "a b", ""]
     rows = quality_rules.judged(frame(spark, texts), quality_rules.trusted_ids(spark.createDataFrame([(0, 1), (2, 1)], "doc_id long, quality int"))).collect()
-    ends = [[w[-3:] for w in words(t)] for t in texts]
-    keys = [[(e,) for e in es] + list(zip(es, es[1:])) for es in ends]
-    flat = sorted({k for ks in keys for k in ks})
-    of = lambda t: spark.createDataFrame([tuple(t)], ",".join(f"c{i} string" for i in range(len(t)))).select(F.pmod(F.xxhash64("*"), F.lit(quality_rules.BUCKETS))).first()[0]
+    ends = [[w[-2:] for w in words(t)] for t in texts]
+    keys = [list(zip(es, [*es[1:], None])) for es in ends]
+    flat = {k for ks in keys for k in ks}
+    of = lambda t: spark.createDataFrame([tuple(t)], ",".join(f"c{i} string" for i in range(len(t)))).select(F.pmod(F.hash("*"), F.lit(quality_rules.BUCKETS))).first()[0]
     bucket = {k: of(k) for k in flat}
     raw, good = Counter(bucket[k] for ks in keys for k in ks), Counter(bucket[k] for i in (0, 2) for k in keys[i])
     b = quality_rules.BUCKETS
