@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, language, mixing, neighbours, pii, quality_model, quality_rules, sharding, token_count
+from . import byte_bpe, common, jaccard, language, mixing, neighbours, pii, quality_model, quality_rules, sharding, token_count
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(common.table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return language.labelled(docs, language.learned(docs))
@@ -51,8 +55,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (
-    op1_token_counts, op2_cross_polytope, op3_interleaved_shards, op4_block_mixing, op5_quality_rules, op6_quality_model, op7_byte_bpe, op9_language,
-    op10_pii,
+    op1_token_counts, op2_cross_polytope, op3_interleaved_shards, op4_block_mixing, op5_quality_rules, op6_quality_model, op7_byte_bpe, op8_jaccard_join,
+    op9_language, op10_pii,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
