@@ -142,7 +142,8 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of every row of docs(doc_id, text, source)."""
     mix = Mix(docs, **how)
     times = mix.slots().groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = mix.pieces().join(times, ["sid", "block"], "left").groupBy("sid", "start", "doc_id", "size", "source", "source_size", "target")
+    # the plan of the slots looks small, the slots are not: they are never broadcast
+    taken = mix.pieces().join(times.hint("merge"), ["sid", "block"], "left").groupBy("sid", "start", "doc_id", "size", "source", "source_size", "target")
     taken = taken.agg(F.sum(F.col("words") * F.coalesce(F.col("times"), F.lit(0))).alias("taken"))
     columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
     return taken.select(*columns).unionByName(mix.empty.withColumn("taken", F.lit(0).cast("long")).select(*columns))
@@ -155,7 +156,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     one, is the new text's. Rows whose doc_id occurs more than once must be equal in size or they take what the other does.
     """
     mix = Mix(docs, **how)
-    got = mix.pieces().join(mix.slots().select("sid", "block", "pass"), ["sid", "block"])
+    got = mix.pieces().join(mix.slots().select("sid", "block", "pass").hint("merge"), ["sid", "block"])
     got = got.groupBy("sid", "start", "doc_id", "size", "pass").agg(F.array_sort(F.collect_list(F.struct("from", "words"))).alias("spans"), F.sum("words").alias("some"))
     # rows that share doc_id and size are told apart by their order in the source
     from pyspark.sql import Window
@@ -170,6 +171,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     words = F.regexp_extract_all("row.text", F.lit(f"{C.WORD}(?:{C.SPACE})?"), F.lit(0))
     out = out.withColumn("w", F.when(F.col("spans").isNotNull(), words))
     part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice("w", (s["from"] + 1).cast("int"), s["words"].cast("int")))), "")
-    out = out.withColumn("new", F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(part))
+    # `w` is named twice: named once, the optimizer would move its expression into the lambda, to run for each span
+    out = out.withColumn("new", F.when(F.col("spans").isNull() | F.col("w").isNull(), F.col("row.text")).otherwise(part))
     given = {"text": F.col("new"), "n_chars": F.length("new").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": F.col("new")}
     return out.select(*[given.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
