@@ -90,3 +90,11 @@ def judged(docs: DataFrame, trusted: DataFrame, keep_from: float = KEEP_FROM) ->
     )
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= keep_from))
+
+
+def kept_rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """docs without those that the rules or the verdict reject."""
+    # a filter would be moved below the projections and evaluate all they share once for each use; it isn't moved below
+    # a projection with a column that is not deterministic, as long as it uses that column
+    rows = judged(docs, trusted).withColumn("at", F.monotonically_increasing_id())
+    return rows.where(F.col("kept") & (F.col("at") >= 0)).select("row.*")
