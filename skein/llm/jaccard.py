@@ -1,8 +1,9 @@
 """Similarity join of whole texts: sets of 3-word shingles whose Jaccard similarity reaches a threshold.
 
-Equal sets are one class from the start. Classes meet in index lists of their rarest shingles (a prefix of each set in
-one common order, frequent shingles of a sample last). A list counts only where an entry stands early enough in its set:
-of two sets that link, the smaller shares one of its first positions, so lists without such a position are skipped.
+Equal sets are one class from the start. A set's hashes, in order, are cut by position (equal ranges of hashes) into a few
+more blocks than the differences of two linked sets can touch, so linked sets have equal blocks at equal positions. Index
+lists are kept by whole block, position and size class: everything in unequal blocks is skipped, and lists meet sets that
+are alike, not sets that share a common shingle.
 
 Lists join classes to candidate groups. In a group one set is the pivot, and each other set is held as its difference
 from it: what it lacks, D, and what it adds, A. The overlap of any two follows from the pivot's answers,
@@ -16,8 +17,8 @@ Shingles and sets are told apart by 64-bit hashes: among k sets the chance that
 is about k * k / 2**65.
 
 Cases: a text of one or two words has one shingle, its whole sequence; a text without words has none and links with
-nothing; null ids take part with their text and get the group's smallest id (null if there is none); repeated rows are one
-class; an empty table gives an empty table; other columns take no part.
+nothing; a row without an id is of the class of equal texts and gets that group's smallest id, and links with no other if
+no equal text has an id; repeated rows are one class; an empty table gives an empty table; other columns take no part.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,6 @@ from .components import components
 
 #: Similarity in hundredths.
 SIMILAR = 90
-#: Rows of the sample by which frequent shingles are put last, and those put last, at most: an order, not a filter.
-SAMPLE_ROWS, FREQUENT = 10_000, 50_000
 #: Members of a block, and hashes they may hold together.
 MEMBERS, HASHES = 512, 1 << 20
 #: Candidates up to which their ids (16 bytes each) are broadcast instead of shuffling texts.
@@ -106,69 +106,69 @@ def in_slices(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, list
             part, size, at = [], 0, i + 1
 
 
-def least_overlap(n: int, similar: int) -> int:
-    """Shingles that a set of n shares with any set it links with, at least."""
-    return -(-similar * n // 100)
+def size_class(n: int, similar: int) -> tuple[int, int, int]:
+    """Number of the class of a set of n, its upper bound and the next one's: linked sets are in one class or in two
+    adjacent ones."""
+    number, upper = 0, smallest(similar)
+    while upper < n:
+        number, upper = number + 1, max(upper + 1, 100 * upper // similar)
+    return number, upper, max(upper + 1, 100 * upper // similar)
 
 
-def prefixes(n: int, similar: int) -> tuple[int, int]:
-    """Lengths of a set's prefix for probing, and of the part that the smaller of two linked sets must meet in."""
-    both = -(-2 * similar * n // (100 + similar))
-    return n - least_overlap(n, similar) + 1, n - both + 1
+def smallest(similar: int) -> int:
+    """Shingles that a set needs to link with a different one, at least."""
+    return -(-similar // (100 - similar))
 
 
-def frequent_shingles(docs: DataFrame, rows: int = SAMPLE_ROWS, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of the shingles that a bounded sample of documents has most often."""
-    ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "chosen")
+#: Equal blocks that linked sets have beyond one, so that a set may leave out so many blocks that are empty.
+SPARE = 1
 
-    def hashes(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in of:
-            for _, texts in in_slices(batch.column("text")):
-                found = np.concatenate(shingle_sets(texts))
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["h"])
 
-    found = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen")).select("text").mapInArrow(hashes, "h long")
-    top = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 4").orderBy(F.desc("n"), "h").limit(most).toArrow()
-    h, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    order = np.argsort(h)
-    return h[order], n[order]
+def blocks(s: np.ndarray, similar: int) -> np.ndarray:
+    """Keys of the blocks of a sorted set, once for its size class and once for the next."""
+    if len(s) < smallest(similar):
+        return np.empty(0, np.int64)
+    number, *uppers = size_class(len(s), similar)
+    out = []
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[_M(0)], np.cumsum(mixed(s ^ _M(0x9FB21C651E98DF25)), dtype=np.uint64)])
+        for c, upper in enumerate(uppers):
+            touched = 2 * upper * (100 - similar) // (100 + similar)
+            k = touched + 1 + SPARE
+            end = np.searchsorted((s >> _M(32)) * _M(k) >> _M(32), np.arange(k, dtype=np.uint64), side="right")
+            size = np.diff(end, prepend=0)
+            keys = mixed(np.diff(sums[end], prepend=_M(0)) + _M(number + c << 40) + np.arange(k, dtype=np.uint64))
+            out.append(keys[size > 0] if (size == 0).sum() <= SPARE else keys)
+    return np.concatenate(out).view(np.int64)
 
 
 def tagged(docs: DataFrame, similar: int) -> DataFrame:
-    """doc_id, n, cls (hash of the set), prefix (its rarest shingles, rarest first), early (how many of them are early)."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
+    """doc_id, n, cls (hash of the set), keys (of its blocks)."""
 
     def sets(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, times = frequent.value
         for batch in of:
             for at, texts in in_slices(batch.column("text")):
-                n, cls, prefix, early = [], [], [], []
-                for s in shingle_sets(texts):
-                    n.append(len(s))
-                    with np.errstate(over="ignore"):
-                        cls.append(int(mixed(np.array([s.sum() + _M(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else None)
-                    long, short = prefixes(len(s), similar)
-                    if len(often):
-                        i = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                        weight = np.where(often[i] == s, times[i], 0)
-                        if weight.any():
-                            s = s[np.argsort(weight, kind="stable")]
-                    prefix.append(s[:long].view(np.int64) if len(s) else np.empty(0, np.int64))
-                    early.append(short)
-                ids = batch.column("doc_id").slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(early, pa.int32())], ["doc_id", "n", "cls", "prefix", "early"])
-
-    return docs.mapInArrow(sets, "doc_id long, n long, cls long, prefix array<long>, early int")
+                found = shingle_sets(texts)
+                cols = [batch.column("doc_id").slice(at, len(texts)), pa.array([len(s) for s in found], pa.int64()), pa.array([identity(s) for s in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([blocks(s, similar) for s in found], pa.list_(pa.int64()))], ["doc_id", "n", "cls", "keys"])
+
+    return docs.mapInArrow(sets, "doc_id long, n long, cls long, keys array<long>")
+
+
+def identity(s: np.ndarray) -> int | None:
+    """A hash of a set; None for the empty one."""
+    with np.errstate(over="ignore"):
+        return int(mixed(np.array([s.sum() + _M(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else None
 
 
 def candidate_edges(classes: DataFrame) -> DataFrame:
-    """Edges a, b between classes that share a list, from each to the list's smallest early entry."""
-    entries = classes.select("cls", "early", F.posexplode("prefix").alias("at", "shingle")).select("shingle", "cls", F.when(F.col("at") < F.col("early"), F.col("cls")).alias("hub"))
-    lists = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.min("hub").alias("hub"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-    lists = C.written(lists.where("size >= 2 and hub is not null"))
+    """Edges a, b from each class of a list to the list's smallest; classes(cls, keys)."""
+    entries = classes.select("cls", F.explode("keys").alias("key"))
+    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("low"), F.max("cls").alias("high"))
+    lists = C.written(lists.where("size >= 2"))
     two = lists.where("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    more = entries.select("shingle", "cls").join(lists.where("size > 2").select("shingle", F.col("hub").alias("of")), "shingle")
-    return two.unionByName(more.select(F.col("cls").alias("a"), F.col("of").alias("b"))).where("a <> b").distinct()
+    more = entries.join(lists.where("size > 2").select("key", "low"), "key")
+    return two.unionByName(more.select(F.col("cls").alias("a"), F.col("low").alias("b"))).where("a <> b").distinct()
 
 
 def differences(sets: DataFrame) -> DataFrame:
@@ -260,11 +260,9 @@ def joined(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs(doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = C.written(tagged(docs, similar))
-    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("any_id"))
+    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     classes = C.written(classes)
-    # a set links with another only if the two share as many shingles as the larger needs: none under 100 / (100 - similar)
-    able = rows.where(f"n * (100 - {similar}) >= {similar} and doc_id is not null")
-    one = able.join(classes, "cls").where("doc_id = least").select("cls", "prefix", "early").dropDuplicates(["cls"])
+    one = rows.where("size(keys) > 0 and doc_id is not null").join(classes, "cls").where("doc_id = least").select("cls", "keys").dropDuplicates(["cls"])
     groups = components(candidate_edges(one))
     groups = C.written(groups.join(classes, groups.node == classes.cls).select(F.col("node").alias("cls"), F.col("root").alias("grp"), "least"))
 
@@ -276,13 +274,10 @@ def joined(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
             for at, texts in in_slices(batch.column("text")):
                 part = batch.slice(at, len(texts))
                 sets = shingle_sets(texts)
-                with np.errstate(over="ignore"):
-                    own = pa.array([int(mixed(np.array([s.sum() + _M(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else 0 for s in sets], pa.int64())
+                own = pa.array([identity(s) or 0 for s in sets], pa.int64())
                 cols = [part.column("grp"), part.column("cls"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 whole = pa.RecordBatch.from_arrays(cols, ["grp", "cls", "n", "hashes"])
-                yield whole.filter(pa.compute.equal(own, part.column("cls")))  # an id may stand before several texts
-
-    import pyarrow.compute  # noqa: F401
+                yield whole.filter(pc.equal(own, part.column("cls")))  # an id may stand before several texts
 
     texts = docs.join(groups, docs.doc_id == groups.least).select("grp", "cls", "text")
     sets = C.written(texts.mapInArrow(hashes, "grp long, cls long, n long, hashes binary"))

@@ -69,6 +69,18 @@ def test_sets_are_those_of_the_definition():
     assert len({h for g in got for h in g.tolist()}) == len(flat)
 
 
+def test_linked_sets_share_a_block():
+    rnd = random.Random(5)
+    for _ in range(400):
+        n = rnd.randint(9, 400)
+        x = np.unique(np.array([rnd.getrandbits(64) for _ in range(n)], np.uint64))
+        cut = rnd.randint(0, n // 8)
+        y = np.unique(np.concatenate([np.array(rnd.sample(x.tolist(), n - cut), np.uint64), np.array([rnd.getrandbits(64) for _ in range(rnd.randint(0, n // 10))], np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 90 * (len(x) + len(y) - both):
+            assert set(jaccard.blocks(x, 90)) & set(jaccard.blocks(y, 90))
+
+
 def test_overlaps():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(30)]
