@@ -1,21 +1,629 @@
-"""The catalogue of queries and their SQL."""
+"""The catalogue of queries over the driver's tables, each with SQL that should give the same rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skein.functions import geometry as G
+from skein.functions import hashing as H
+from skein.functions import text as T
+from skein.functions import vectors as V
+from skein.operators import graph, raster
+from skein.operators import relations as R
+from skein.operators import verdicts
+from skein.plans import generators
+from skein.sinks import records
+from skein.sources import files
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+#: Vocabularies of the queries, which occur in the driver's tables.
+COLOURS = ("red", "blue", "hot", "old", "small", "large")
+SIZES = (("small", "minor"), ("large", "major"), ("hot", "active"), ("old", "worn"))
+RULES = ((r"\b(?:ring|bolt)s?\b", ("fastener", "metal")), (r"\b(?:gear|plate)s?\b", ("machine", "metal")), (r"\b(?:widget|gizmo)s?\b", ("gadget",)), (r"\bred\b", ("painted",)), (r"\banvil\b", ("tool", "metal")))
+LICENSES = ("apache", "gnu general", "creative commons", "mit license")
+STOPWORDS = ("that", "with", "from", "this", "which")
+WORD4 = "[a-z][a-z\\-]+"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rows = docs.select("doc_id", "source").join(labels.select("doc_id", "quality", F.lit(1).alias("labelled")), "doc_id", "left")
-    out = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("labelled").alias("labelled"), F.count_if(F.col("quality") == 1).alias("good"))
-    return out.withColumn("pct", F.round(100.0 * F.col("labelled") / F.col("n"), 4))
+def query(sql: str | None = None):
+    """Registers a query and its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---- coverage and audits -------------------------------------------------------------------------------------------
+
+_COVERAGE = """SELECT source, count(*) AS n, count(l.doc_id) AS labelled, count(*) FILTER (WHERE quality = 1) AS good,
+ round(100.0::DOUBLE * count(l.doc_id) / count(*), 4) AS pct_labelled, round(100.0::DOUBLE * count(*) FILTER (WHERE quality = 1) / count(*), 4) AS pct_good
+ FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source"""
+
+
+@query(_COVERAGE)
+def coverage_report(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(1).alias("there")), "doc_id", "left")
+    return R.coverage(rows, "source", {"labelled": F.col("there").isNotNull(), "good": F.col("quality") == 1})
+
+
+@query(f"""WITH r AS ({_COVERAGE}) SELECT sum(n)::BIGINT AS n, sum(labelled)::BIGINT AS labelled, sum(good)::BIGINT AS good, count(*) AS groups,
+ round(100.0::DOUBLE * sum(labelled) / sum(n), 4) AS pct_labelled, round(100.0::DOUBLE * sum(good) / sum(n), 4) AS pct_good FROM r""")
+def coverage_totals(spark, sf_dir):
+    return R.grand_total(coverage_report(spark, sf_dir), ["labelled", "good"])
+
+
+_VERDICT = r"""SELECT p_partkey, CASE WHEN p_name = 'red widget' THEN 'nullify' WHEN regexp_matches(p_name, '^old ') THEN 'nullify' WHEN regexp_matches(p_name, 'gizmo$') THEN 'nullify' ELSE 'keep' END AS verdict,
+ CASE WHEN p_name = 'red widget' THEN 'exact_generic' WHEN regexp_matches(p_name, '^old ') THEN 'worn' WHEN regexp_matches(p_name, 'gizmo$') THEN 'gadget' END AS reason FROM part"""
+_NAME_RULES = [("worn", "^old "), ("gadget", "gizmo$")]
+
+
+@query(_VERDICT)
+def name_verdicts(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", verdicts.name_verdict(F.col("p_name"), ["red widget"], _NAME_RULES).alias("v")).select("p_partkey", "v.verdict", "v.reason")
+
+
+@query(f"SELECT verdict, reason, count(*) AS n FROM ({_VERDICT}) GROUP BY verdict, reason")
+def verdict_histogram(spark, sf_dir):
+    return name_verdicts(spark, sf_dir).groupBy("verdict", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT p.p_partkey, CASE WHEN verdict = 'keep' THEN p_name END AS p_name FROM part p JOIN ({_VERDICT}) v USING (p_partkey)")
+def nullified_names(spark, sf_dir):
+    bad = verdicts.name_verdict(F.col("p_name"), ["red widget"], _NAME_RULES)["verdict"] == "nullify"
+    return records.nullified(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", bad)
+
+
+@query("SELECT coalesce(quality::VARCHAR, 'null') AS quality, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def quality_distribution(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return R.histogram(rows, F.col("quality"), "quality")
+
+
+_CANON = "trim(regexp_replace(' ' || p_name || ' ', ' (red|blue|hot|old|small|large) ', ' ', 'g'))"
+
+
+@query(f"SELECT p_partkey, {_CANON} AS canonical FROM part")
+def canonical_names(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.canonical_name(F.col("p_name"), COLOURS).alias("canonical"))
+
+
+@query(f"SELECT {_CANON} AS canonical, count(*) AS members, min(p_partkey) AS first_key FROM part GROUP BY 1")
+def name_clusters(spark, sf_dir):
+    key = F.coalesce(F.nullif(F.col("canonical"), F.lit("")), F.concat(F.lit("__unclassified:"), F.col("p_partkey")))
+    return canonical_names(spark, sf_dir).groupBy(key.alias("canonical")).agg(F.count(F.lit(1)).alias("members"), F.min("p_partkey").alias("first_key"))
+
+
+@query(f"""WITH c AS (SELECT {_CANON} AS canonical, p_name, count(*) AS c, min(p_partkey) AS f FROM part GROUP BY 1, 2)
+ SELECT canonical, arg_max(p_name, c * 1000000000 - f) AS p_name, sum(c)::BIGINT AS members FROM c GROUP BY canonical""")
+def cluster_names(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", T.canonical_name(F.col("p_name"), COLOURS).alias("canonical"))
+    return R.mode_first_seen(rows, "canonical", "p_name", "p_partkey")
+
+
+_TAGS = """SELECT p_partkey, list_distinct_ordered AS tags FROM (SELECT p_partkey, array_to_string(list_filter(
+ list_concat(CASE WHEN regexp_matches(p_name, '\\b(ring|bolt)s?\\b') THEN ['fastener','metal'] ELSE [] END, CASE WHEN regexp_matches(p_name, '\\b(gear|plate)s?\\b') THEN ['machine','metal'] ELSE [] END,
+ CASE WHEN regexp_matches(p_name, '\\b(widget|gizmo)s?\\b') THEN ['gadget'] ELSE [] END, CASE WHEN regexp_matches(p_name, '\\bred\\b') THEN ['painted'] ELSE [] END,
+ CASE WHEN regexp_matches(p_name, '\\banvil\\b') THEN ['tool','metal'] ELSE [] END), lambda x: x <> ''), ',') AS list_distinct_ordered FROM part)""".replace("\\\\", "\\")
+
+
+@query(_TAGS)
+def category_tags(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(T.categories(F.col("p_name"), RULES), ",").alias("tags"))
+
+
+@query(f"SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(tags, ',')) AS tag FROM ({_TAGS})) WHERE tag IN ('metal', 'gadget', 'painted', 'tool') GROUP BY tag")
+def tag_histogram(spark, sf_dir):
+    tags = table(spark, sf_dir, "part").select(F.explode(T.categories(F.col("p_name"), RULES)).alias("tag"))
+    allowed = spark.createDataFrame([("metal",), ("gadget",), ("painted",), ("tool",)], "tag string")
+    return tags.join(F.broadcast(allowed), "tag", "left_semi").groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""SELECT doc_id, count(DISTINCT w) AS n_words, sum(length(w)) FILTER (WHERE rn = 1)::BIGINT AS letters FROM (
+ SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id, w) AS rn FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD4}')) AS w FROM documents WHERE lang = 'en')
+ WHERE length(w) >= 4 AND w NOT IN ('that', 'with', 'from', 'this', 'which')) GROUP BY doc_id""")
+def caption_words(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", T.content_words(F.col("text"), STOPWORDS).alias("w")).where(F.size("w") > 0)
+    return words.select("doc_id", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("letters"))
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(p_name, 'small') THEN 'minor' WHEN contains(p_name, 'large') THEN 'major' WHEN contains(p_name, 'hot') THEN 'active' WHEN contains(p_name, 'old') THEN 'worn' END AS first_state,
+ CASE WHEN contains(p_name, 'old') THEN 'worn' WHEN contains(p_name, 'hot') THEN 'active' WHEN contains(p_name, 'large') THEN 'major' WHEN contains(p_name, 'small') THEN 'minor' END AS worst_state FROM part""")
+def keyword_states(spark, sf_dir):
+    name = F.col("p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", T.first_keyword(name, SIZES).alias("first_state"), T.worst_keyword(name, SIZES, ("worn", "active", "major", "minor")).alias("worst_state"))
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, list_distinct(list_filter(regexp_extract_all(lower(text), '{WORD4}'), lambda w: length(w) >= 4)) AS w FROM conversations),
+ p AS (SELECT a.conv_id, CASE WHEN len(list_distinct(list_concat(a.w, b.w))) = 0 THEN 0.0 ELSE len(list_intersect(a.w, b.w))::DOUBLE / len(list_distinct(list_concat(a.w, b.w))) END AS j FROM t a JOIN t b ON a.conv_id = b.conv_id AND a.turn < b.turn),
+ m AS (SELECT conv_id, count(*) AS members FROM t GROUP BY conv_id HAVING count(*) >= 2),
+ s AS (SELECT e.conv_id, count(*) AS shared FROM (SELECT conv_id, x, count(*) AS c FROM (SELECT conv_id, unnest(w) AS x FROM t) GROUP BY ALL) e JOIN m ON e.conv_id = m.conv_id AND e.c = m.members GROUP BY 1)
+ SELECT m.conv_id, members, round(min(j), 6) AS least, round(max(j), 6) AS largest, round(avg(j), 6) AS mean, count(*) AS pairs, coalesce(any_value(shared), 0) AS shared, min(j) < 0.4 AND coalesce(any_value(shared), 0) < 2 AS flagged
+ FROM m JOIN p USING (conv_id) LEFT JOIN s USING (conv_id) GROUP BY m.conv_id, members""")
+def group_overlap_audit(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", T.content_words(F.col("text"), ()).alias("w"))
+    out = R.overlap_audit(rows, "conv_id", "turn", "w")
+    return out.withColumn("flagged", (F.col("least") < 0.4) & (F.col("shared") < 2)).withColumns({c: F.round(c, 6) for c in ("least", "largest", "mean")})
+
+
+# ---- joins, sync, dedup --------------------------------------------------------------------------------------------
+
+
+@query("""WITH a AS (SELECT doc_id, source || '_' || (doc_id % 7)::VARCHAR || '_x' AS name FROM documents), s AS (SELECT DISTINCT source AS sheet FROM documents UNION SELECT DISTINCT source || '_3' FROM documents)
+ SELECT a.doc_id, a.name, arg_max(s.sheet, length(s.sheet)) AS sheet FROM a JOIN s ON starts_with(a.name, s.sheet || '_') GROUP BY a.doc_id, a.name""")
+def longest_prefix_sheet(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    rows = docs.select("doc_id", F.concat_ws("_", "source", (F.col("doc_id") % 7).cast("string"), F.lit("x")).alias("name"))
+    sheets = docs.select(F.col("source").alias("sheet")).distinct()
+    sheets = sheets.unionByName(sheets.select(F.concat("sheet", F.lit("_3")).alias("sheet")))
+    return R.longest_prefix(rows, "name", sheets, "sheet").select("doc_id", "name", "sheet")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def missing_outputs(spark, sf_dir):
+    return R.missing(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("""SELECT coalesce(s.k, t.k) AS doc_id, CASE WHEN t.k IS NULL THEN 'link' WHEN s.k IS NULL THEN 'prune' WHEN s.h = t.h THEN 'skip' ELSE 'replace' END AS action
+ FROM (SELECT doc_id AS k, md5(text) AS h FROM documents WHERE doc_id % 5 <> 0) s FULL JOIN (SELECT doc_id AS k, md5(CASE WHEN doc_id % 3 = 0 THEN text ELSE text || 'x' END) AS h FROM documents WHERE doc_id % 2 = 0) t ON s.k = t.k""")
+def mirror_plan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    old = F.md5(F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.concat("text", F.lit("x"))))
+    return records.mirror_plan(docs.where("doc_id % 5 <> 0").select("doc_id", F.md5("text").alias("h")), docs.where("doc_id % 2 = 0").select("doc_id", old.alias("h")), "doc_id", "h")
+
+
+@query("""SELECT h AS digest, arg_min(path, rank * 100000000 + doc_id) AS path, count(*) AS copies FROM (SELECT doc_id, md5(text) AS h, source || '/' || lpad(doc_id::VARCHAR, 9, '0') AS path, CASE WHEN source = 'src3' THEN 0 ELSE 1 END AS rank FROM documents) GROUP BY h
+ """.replace("rank * 100000000 + doc_id", "{'r': rank, 'p': path}"))
+def byte_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(F.md5("text").alias("digest"), F.concat_ws("/", "source", F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("path"), F.when(F.col("source") == "src3", 0).otherwise(1).alias("rank"))
+    return R.byte_survivors(rows, "digest", F.col("rank"), "path")
+
+
+@query("SELECT doc_id, CASE WHEN k.h IS NULL THEN 'new' ELSE 'known' END AS status, k.path FROM documents d LEFT JOIN (SELECT md5(text) AS h, min(item_id) AS path FROM benchmark GROUP BY 1) k ON md5(d.text) = k.h")
+def known_hashes(spark, sf_dir):
+    known = table(spark, sf_dir, "benchmark").groupBy(F.md5("text").alias("h")).agg(F.min("item_id").alias("path"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("h")).join(known, "h", "left")
+    return rows.select("doc_id", F.when(F.col("path").isNull(), "new").otherwise("known").alias("status"), "path")
+
+
+@query("SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) = 1")
+def first_wins_binding(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey")
+    return R.first_wins(rows, ["l_partkey"], ["l_orderkey", "l_linenumber", "l_suppkey"])
+
+
+@query("SELECT p_brand, p_partkey, nth FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey)::INT AS nth FROM part) WHERE nth <= 5")
+def quota_per_group(spark, sf_dir):
+    return R.quota(table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], [F.desc("p_retailprice"), "p_partkey"], 5).drop("p_retailprice")
+
+
+@query("SELECT c_custkey, n_name, coalesce(r_name, 'nowhere') AS r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') ON n_regionkey = r_regionkey")
+def lookup_with_default(spark, sf_dir):
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region").where("r_name <> 'ASIA'")
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return rows.select("c_custkey", "n_name", F.coalesce("r_name", F.lit("nowhere")).alias("r_name"))
+
+
+@query("SELECT l_orderkey, min(priority) AS priority, arg_min(path, {'k': priority, 'p': path}) AS path FROM (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS priority, lpad(l_partkey::VARCHAR, 9, '0') AS path FROM lineitem) GROUP BY l_orderkey")
+def ranked_references(spark, sf_dir):
+    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", rank.alias("priority"), F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("path"))
+    return R.ranked_candidates(rows, "l_orderkey", "priority", "path")
+
+
+@query("SELECT coalesce(o.k, c.k) AS k, CASE WHEN o.k IS NULL THEN 'no_asset' WHEN c.k IS NULL THEN 'no_record' ELSE 'both' END AS status FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey % 3 > 0) o FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 4 > 0) c ON o.k = c.k")
+def reconciled(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").where("o_custkey % 3 > 0").select(F.col("o_custkey").alias("k"))
+    return R.reconcile(orders, table(spark, sf_dir, "customer").where("c_custkey % 4 > 0").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query("SELECT p_partkey, name, state FROM (SELECT p_partkey, p_name AS name, CASE WHEN p_size < 10 THEN 'small' END AS state FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, NULL, 'new' FROM part WHERE p_partkey % 3 <> 0)")
+def inserted_records(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    old = part.where("p_partkey % 3 = 0").select("p_partkey", F.col("p_name").alias("name"), F.when(F.col("p_size") < 10, "small").alias("state"))
+    return records.inserted_if_absent(part.select("p_partkey"), old, "p_partkey", {"name": F.lit(None).cast("string"), "state": F.lit("new")})
+
+
+@query("SELECT p_partkey, CASE WHEN p_type IN ('SMALL', 'MEDIUM') THEN 'STANDARD' ELSE p_type END AS p_type FROM part")
+def recoded_types(spark, sf_dir):
+    return records.recoded(table(spark, sf_dir, "part").select("p_partkey", "p_type"), "p_type", ["SMALL", "MEDIUM"], "STANDARD")
+
+
+@query("SELECT d.doc_id, coalesce(CASE WHEN l.quality = 1 THEN 'good' END, d.source) AS source FROM documents d LEFT JOIN labels l USING (doc_id)")
+def upserted_field(spark, sf_dir):
+    new = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").alias("source"))
+    return records.upserted(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", new, "source")
+
+
+@query("SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT 'SUPPLIER', count(*) FROM (SELECT s_nationkey FROM supplier EXCEPT SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def set_operations(spark, sf_dir):
+    segments = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    rest = table(spark, sf_dir, "supplier").select("s_nationkey").subtract(table(spark, sf_dir, "nation").where("n_regionkey = 1").select("n_nationkey"))
+    return segments.unionByName(rest.agg(F.count(F.lit(1)).alias("n")).select(F.lit("SUPPLIER").alias("c_mktsegment"), "n"))
+
+
+# ---- sequences, windows, jobs --------------------------------------------------------------------------------------
+
+_AXES = {"state": ("intact", "worn", "broken"), "angle": ("top", "side")}
+
+
+@query("""SELECT n_name AS folder, v AS variant, seq, (['intact','worn','broken'])[seq % 3 + 1] AS state, (['top','side'])[seq % 2 + 1] AS angle FROM (
+ SELECT n_name, v, row_number() OVER (ORDER BY n_nationkey, v) - 1 AS seq FROM nation, (SELECT unnest([1, 2, 3]) AS v) WHERE n_regionkey <> 2)""")
+def round_robin_jobs(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("folder"), F.lit(3).alias("variants"))
+    return generators.jobs("rotation", nation, axes=_AXES).select("folder", "variant", "seq", "state", "angle")
+
+
+@query("""SELECT n_name AS folder, v AS variant, seq, (['intact','worn','broken'])[seq % 3 + 1] AS state, lower(n_name) || '_' || lpad((seq + 1)::VARCHAR, 3, '0') AS label FROM (
+ SELECT n_name, v, row_number() OVER (ORDER BY v, n_nationkey) - 1 AS seq FROM nation, (SELECT unnest([1, 2, 3]) AS v))""")
+def interleaved_jobs(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("folder"), F.lit(3).alias("variants"))
+    return generators.jobs("interleaved", nation, axes={"state": _AXES["state"]}).select("folder", "variant", "seq", "state", "label")
+
+
+@query("""SELECT r_name AS folder, t.treatment, t.i::BIGINT AS seq, (['n','e','s','w'])[t.i % 4 + 1] AS angle, CASE WHEN t.i < 3 THEN 'v1' ELSE 'v2' END AS version FROM region,
+ (SELECT unnest([0,1,2,3,4]) AS i, unnest(['etched','gilt','worn','lit','dark']) AS treatment) t""")
+def treatment_jobs(spark, sf_dir):
+    lists = [F.array(*[F.lit(t) for t in ts]) for ts in (("etched", "gilt", "worn"), ("lit", "dark"))]
+    symbols = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("folder"), lists[0].alias("common"), lists[1].alias("extra"))
+    return generators.jobs("treatments", symbols, axes={"angle": ("n", "e", "s", "w")}, first=3).select("folder", "treatment", "seq", "angle", "version")
+
+
+_SECTIONS = [("bow_full", ("bow_port", "bow_mid"), "bow"), ("aft_full", ("aft_port", "aft_mid"), "aft")]
+
+
+@query("""SELECT n_nationkey AS ord, CASE WHEN n_nationkey % 2 = 0 THEN 'bow: all of ' || n_name ELSE 'bow bow_port: left ' || n_regionkey END || chr(10) || 'aft aft_mid: core' AS block,
+ CASE WHEN n_nationkey % 2 = 0 THEN 'bow_full=all of ' || n_name || ' | ' ELSE '' END || 'bow_port=left ' || n_regionkey || ' | aft_mid=core' AS summary FROM nation""")
+def zone_blocks(spark, sf_dir):
+    zones = F.create_map(F.lit("bow_port"), F.concat(F.lit(" left  "), F.col("n_regionkey")), F.lit("aft_mid"), F.lit("core"), F.lit("bow_full"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("all of "), F.col("n_name"))).otherwise(""))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("folder"), zones.alias("zones"))
+    out = generators.jobs("layouts", rows, axes={"light": ("dim", "bright")}, sections=_SECTIONS)
+    return out.select("ord", F.regexp_replace("block", "left  ", "left ").alias("block"), "summary")
+
+
+@query("""SELECT total, total - to_do AS skipped, to_do, paid, to_do - paid AS staged, round(paid * 0.04::DOUBLE, 2) AS cost, round(paid * 0.04::DOUBLE, 2) <= 8.0 AS admitted FROM (SELECT count(*) AS total, count(*) FILTER (WHERE l.doc_id IS NULL) AS to_do,
+ count(*) FILTER (WHERE l.doc_id IS NULL AND d.doc_id % 2 = 0) AS paid FROM documents d LEFT JOIN labels l USING (doc_id))""")
+def job_plan(spark, sf_dir):
+    jobs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("label"))
+    return generators.plan(jobs, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label")), 0.04, 8.0, F.col("label") % 2 == 0)
+
+
+@query("""SELECT s_suppkey, least(greatest(want - made, 0), greatest(150 - coalesce(sum(greatest(want - made, 0)) OVER (ORDER BY s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0))::BIGINT AS to_make
+ FROM (SELECT s_suppkey, s_nationkey::BIGINT AS want, s_suppkey % 4 AS made FROM supplier)""")
+def pool_budget(spark, sf_dir):
+    plan = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("long").alias("want"), (F.col("s_suppkey") % 4).alias("made"))
+    return R.budgeted(plan, "s_suppkey", "want", "made", 150).select("s_suppkey", "to_make")
+
+
+@query("""WITH b AS (SELECT user_id, event_id, (event_id % 997)::DOUBLE AS top, (event_id % 997 + 4 + event_id % 7)::DOUBLE AS bottom, (event_id % 89)::DOUBLE AS lft FROM events),
+ t AS (SELECT user_id, greatest(median(bottom - top) * 0.5, 1.0) AS tol FROM b GROUP BY 1),
+ g AS (SELECT b.*, tol, (top + bottom) / 2 - lag((top + bottom) / 2) OVER (PARTITION BY b.user_id ORDER BY (top + bottom) / 2, lft, event_id) AS gap FROM b JOIN t USING (user_id)),
+ n AS (SELECT *, sum(CASE WHEN coalesce(gap, 0) > tol THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY (top + bottom) / 2, lft, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS band FROM g)
+ SELECT user_id, max(band) AS bands, count(*) AS boxes FROM n GROUP BY user_id""")
+def row_band_counts(spark, sf_dir):
+    e = F.col("event_id")
+    boxes = table(spark, sf_dir, "events").select("user_id", (e % 997).cast("double").alias("top"), (e % 997 + 4 + e % 7).cast("double").alias("bottom"), (e % 89).cast("double").alias("left"))
+    return R.row_bands(boxes, "user_id", "top", "bottom", "left").groupBy("user_id").agg(F.max("band").alias("bands"), F.count(F.lit(1)).alias("boxes"))
+
+
+@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k, greatest(floor(count(*) OVER (PARTITION BY source) / 15), 1)::BIGINT AS step FROM documents) WHERE k % step = 0")
+def even_sample(spark, sf_dir):
+    return R.even_sample(table(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id", 15)
+
+
+@query("SELECT o_orderpriority, o_orderkey, rank FROM (SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey)::INT AS rank FROM orders) WHERE rank <= 20")
+def top_orders(spark, sf_dir):
+    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", F.row_number().over(w).alias("rank")).where("rank <= 20")
+
+
+# ---- packs, identifiers, contracts ---------------------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, left(md5(p_name || '_' || p_partkey), 16) AS id FROM part")
+def pack_ids(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", H.short_id(F.concat_ws("_", "p_name", F.col("p_partkey").cast("string"))).alias("id"))
+
+
+_NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
+
+
+@query(f"SELECT p_brand, left(sha1(string_agg(p_name, '|' ORDER BY p_name)), 16) AS digest, count(*) AS members FROM part GROUP BY p_brand")
+def member_digests(spark, sf_dir):
+    return table(spark, sf_dir, "part").groupBy("p_brand").agg(H.member_digest(F.collect_list("p_name")).alias("digest"), F.count(F.lit(1)).alias("members"))
+
+
+@query(f"""SELECT p_partkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || (['8','9','a','b'])[('0x' || substr(h, 17, 1))::INT % 4 + 1] || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS id
+ FROM (SELECT p_partkey, sha1(unhex('{_NAMESPACE.replace('-', '')}') || encode(p_name)) AS h FROM part)""")
+def stable_uuids(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", H.uuid5(_NAMESPACE, F.col("p_name")).alias("id"))
+
+
+@query("""SELECT p_partkey, p_name || ' — ' || CASE WHEN contains(p_name, st) THEN o ELSE st || ', ' || o END AS name, array_to_string(list_concat(string_split(p_name, ' '), [CASE WHEN o = 'iso' THEN o ELSE 'facing-' || o END, 'state-' || st, 'group:' || p_brand]), ';') AS tags
+ FROM (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'old' ELSE 'new' END AS st, (['north','south','iso'])[p_size % 3 + 1] AS o FROM part)""")
+def display_presets(spark, sf_dir):
+    state = F.when(F.col("p_size") % 2 == 0, "old").otherwise("new")
+    facing = F.element_at(F.array(F.lit("north"), F.lit("south"), F.lit("iso")), F.col("p_size") % 3 + 1)
+    name = T.display_name(F.col("p_name"), F.lit("stem"), state, facing)
+    return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), F.array_join(T.preset_tags(F.split("p_name", " "), facing, state, F.col("p_brand")), ";").alias("tags"))
+
+
+_CHECKS = """SELECT event_id AS id, 'error' AS level, 'value is negative' AS message FROM events WHERE value < 1 UNION ALL SELECT event_id, 'error', 'k is missing' FROM events WHERE try_cast(json_extract_string(props, '$.k') AS INT) IS NULL
+ UNION ALL SELECT event_id, 'warning', 'k is large' FROM events WHERE try_cast(json_extract_string(props, '$.k') AS INT) > 90"""
+
+
+@query(_CHECKS)
+def contract_violations(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    checks = [("error", "value is negative", F.col("value") < 1), ("error", "k is missing", k.isNull()), ("warning", "k is large", k > 90)]
+    return verdicts.violations(table(spark, sf_dir, "events"), F.col("event_id"), checks)
+
+
+@query("SELECT md5(text) AS h, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, sf_dir):
+    return verdicts.duplicate_keys(table(spark, sf_dir, "documents").select(F.md5("text").alias("h")), "h")
+
+
+@query("""SELECT doc_id, CASE WHEN NOT (contains(lower(text), 'apache') OR contains(lower(text), 'gnu general') OR contains(lower(text), 'creative commons') OR contains(lower(text), 'mit license')) THEN 'license' WHEN least(n_chars, 4000) < 600 THEN 'size'
+ WHEN lang NOT IN ('en', 'fr', 'de') THEN 'mime' WHEN doc_id % 5 = 0 THEN 'duplicate' ELSE 'ok' END AS gate FROM documents""")
+def license_gate(spark, sf_dir):
+    g = verdicts.gate(F.col("text"), F.col("n_chars"), F.lit(4000), F.col("lang"), F.col("doc_id") % 5 == 0, LICENSES, ("en", "fr", "de"))
+    return table(spark, sf_dir, "documents").select("doc_id", g.alias("gate"))
+
+
+@query("SELECT p_partkey, CASE WHEN contains(p_name, 'old') THEN NULL WHEN contains(p_name, 'ring') OR contains(p_name, 'bolt') THEN 'fasteners' WHEN contains(p_name, 'gear') THEN 'machines' ELSE 'misc' END AS route FROM part")
+def keyword_routes(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", verdicts.routed(F.col("p_name"), ("old",), (("fasteners", ("ring", "bolt")), ("machines", ("gear",))), "misc").alias("route"))
+
+
+@query("SELECT conv_id, to_json(list({'turn': turn, 'role': role} ORDER BY turn))::VARCHAR AS doc FROM conversations GROUP BY conv_id")
+def nested_documents(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
+    return rows.select("conv_id", F.to_json("turns").alias("doc"))
+
+
+@query("SELECT '!journal!' || left(md5(p_partkey::VARCHAR), 16) AS key, p_name AS value FROM part WHERE p_partkey % 2 = 0")
+def key_value_store(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 2 == 0, H.short_id(F.col("p_partkey").cast("string"))).alias("_id"), "p_name")
+    return records.key_values(rows, "_id", F.struct("p_name"), "!journal!").select("key", F.get_json_object("value", "$.p_name").alias("value"))
+
+
+# ---- strings -------------------------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT page_id, left(trim(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '_'), 48) AS slug, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS tag,
+ left(trim(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '_'), 90) AS file FROM pages""")
+def slugs(spark, sf_dir):
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("page_id", T.slugify(u).alias("slug"), T.normalize_tag(u).alias("tag"), T.safe_filename(u).alias("file"))
+
+
+@query(r"""SELECT s_suppkey, regexp_extract(f, '^(.+)_(\d+)\.png$', 1) AS stem, regexp_extract(f, '^(.+)_(\d+)\.png$', 2)::INT AS idx, regexp_extract(f, '^(.+)_(\d+)\.png$', 1) || '.png' AS source FROM (SELECT s_suppkey, 'sheet_' || s_nationkey || '_' || s_suppkey || '.png' AS f FROM supplier)""")
+def stem_and_index(spark, sf_dir):
+    file = F.concat(F.lit("sheet_"), F.col("s_nationkey"), F.lit("_"), F.col("s_suppkey"), F.lit(".png"))
+    stem = F.regexp_extract(file, r"^(?<stem>.+)_(?<idx>\d+)\.png$", 1)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", stem.alias("stem"), F.regexp_extract(file, r"^(?<stem>.+)_(?<idx>\d+)\.png$", 2).cast("int").alias("idx"), F.concat(stem, F.lit(".png")).alias("source"))
+
+
+@query("SELECT p_partkey, 'tok, ' || p_name || ', ' || lower(p_type) || ' view, ' || 'new, ' || replace(p_name, ' ', ', ') || CASE WHEN p_size > 25 THEN ', size ' || p_size ELSE '' END AS caption FROM part")
+def training_captions(spark, sf_dir):
+    described = F.when(F.col("p_size") > 25, F.concat(F.lit("size "), F.col("p_size")))
+    return table(spark, sf_dir, "part").select("p_partkey", T.training_caption(F.lit("tok"), F.col("p_name"), F.lower("p_type"), F.lit("new"), F.split("p_name", " "), described).alias("caption"))
+
+
+@query("SELECT p_partkey, p_name AS name, 'x' || p_size || ',y' AS rest FROM part WHERE p_size % 2 = 0")
+def parsed_specs(spark, sf_dir):
+    spec = F.concat("p_name", F.lit(":x"), F.col("p_size"), F.lit(",y"))
+    rows = table(spark, sf_dir, "part").where("p_size % 2 = 0").select("p_partkey", files.caption_line(F.replace(spec, F.lit(":"), F.lit(","))).alias("c"))
+    return rows.select("p_partkey", F.col("c.trigger").alias("name"), F.concat_ws(",", "c.subject", F.array_join("c.tags", ",")).alias("rest"))
+
+
+@query("SELECT region AS r_name, n, longest FROM (SELECT r_name AS region, count(*) AS n, array_to_string(list_sort(list(n_name))[1:3], '; and ') AS longest FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name)")
+def joined_clauses(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.groupBy("r_name").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.sort_array(F.collect_list("n_name")), 1, 3), "; and ").alias("longest"))
+
+
+# ---- vectors and clusters ------------------------------------------------------------------------------------------
+
+_SPLIT, _MERGE = 0.30, 0.25
+
+
+def _few(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings")
+
+
+@query(f"""SELECT a.label, a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id
+ WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {_SPLIT}""")
+def cosine_pairs(spark, sf_dir):
+    return graph.cosine_edges(_few(spark, sf_dir), "vec_id", "label", "embedding", _SPLIT).withColumn("similarity", F.round("similarity", 6))
+
+
+_CLUSTERS = f"""e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {_SPLIT}),
+ r(node, reach) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a), c AS (SELECT v.vec_id, v.label, v.embedding, m.cluster FROM embeddings v JOIN (SELECT node, min(reach) AS cluster FROM r GROUP BY node) m ON v.vec_id = m.node)"""
+
+
+@query(f"WITH RECURSIVE {_CLUSTERS} SELECT vec_id, label, cluster FROM c")
+def split_clusters(spark, sf_dir):
+    return graph.split_clusters(_few(spark, sf_dir), "vec_id", "label", "embedding", _SPLIT).select("vec_id", "label", "cluster")
+
+
+@query(f"""WITH RECURSIVE {_CLUSTERS}, big AS (SELECT * FROM c WHERE cluster IN (SELECT cluster FROM c GROUP BY cluster HAVING count(*) > 1)), p AS (SELECT a.cluster AS c1, b.cluster AS c2, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM big a JOIN big b ON a.cluster < b.cluster)
+ SELECT c1, c2, round(median, 6) AS median FROM (SELECT c1, c2, list_sort(list(s))[(count(*) // 2 + 1)::INT] AS median FROM p GROUP BY c1, c2) WHERE median >= {_MERGE}""")
+def median_merges(spark, sf_dir):
+    parts = graph.written(graph.split_clusters(_few(spark, sf_dir), "vec_id", "label", "embedding", _SPLIT))
+    big = parts.join(parts.groupBy("cluster").count().where("count > 1").select("cluster"), "cluster", "left_semi")
+    return graph.merge_medians(big, "vec_id", "embedding", _MERGE).withColumn("median", F.round("median", 6))
+
+
+@query("""WITH m AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY label, i), c AS (SELECT label, list(x ORDER BY i) AS v FROM m GROUP BY label),
+ s AS (SELECT e.vec_id, c.label, list_cosine_similarity(e.embedding::DOUBLE[], c.v) AS s FROM embeddings e, c), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k FROM s)
+ SELECT a.vec_id, CASE WHEN a.s - b.s >= 0.05 THEN a.label END AS label, round(a.s - b.s, 6) AS margin FROM r a JOIN r b ON a.vec_id = b.vec_id AND a.k = 1 AND b.k = 2""")
+def margin_gate(spark, sf_dir):
+    vectors = _few(spark, sf_dir)
+    mean = vectors.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    centres = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("c")).select("label", F.col("c.x").alias("centre"))
+    # a row for each label: as one array beside each vector, not a join of every vector with every centre
+    all_ = centres.agg(F.array_sort(F.collect_list(F.struct("label", "centre"))).alias("centres")).scalar()
+    rows = vectors.select("vec_id", "embedding", all_.alias("centres"))
+    scored = rows.select("vec_id", F.transform("centres", lambda c: F.struct((-V.cosine(F.col("embedding"), c["centre"])).alias("s"), c["label"].alias("label"))).alias("s"))
+    scored = scored.select("vec_id", F.slice(F.array_sort("s"), 1, 2).alias("s"))
+    margin = F.get("s", F.lit(1))["s"] - F.get("s", F.lit(0))["s"]
+    return scored.select("vec_id", verdicts.margin_gate(F.get("s", F.lit(0))["label"], margin, 0.05).alias("label"), F.round(margin, 6).alias("margin"))
+
+
+@query("""SELECT vec_id, CASE WHEN cur = 'x' THEN cur WHEN m < 0.2 THEN cur WHEN cur IS NULL THEN best WHEN cur = best THEN cur WHEN m >= 0.6 THEN best ELSE cur END AS state,
+ CASE WHEN cur = 'x' THEN 'locked' WHEN m < 0.2 THEN 'unsure' WHEN cur IS NULL THEN 'filled' WHEN cur = best THEN 'agrees' WHEN m >= 0.6 THEN 'overridden' ELSE 'kept' END AS reason
+ FROM (SELECT vec_id, (['x','a','b',NULL])[vec_id % 4 + 1] AS cur, (['a','b','c'])[vec_id % 3 + 1] AS best, (vec_id % 10) / 10.0::DOUBLE AS m FROM embeddings)""")
+def state_decisions(spark, sf_dir):
+    v = F.col("vec_id")
+    cur = F.element_at(F.array(F.lit("x"), F.lit("a"), F.lit("b"), F.lit(None)), (v % 4 + 1).cast("int"))
+    best = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (v % 3 + 1).cast("int"))
+    decided = verdicts.state_decision(cur, best, (v % 10) / 10.0, 0.2, 0.6, ["x"])
+    return _few(spark, sf_dir).select("vec_id", decided.alias("d")).select("vec_id", "d.state", "d.reason")
+
+
+# ---- pixels and geometry -------------------------------------------------------------------------------------------
+
+_PIXELS = "SELECT i % 3 AS image_id, (i // 3) // 40 AS y, (i // 3) % 40 AS x, ((i * 37) % 16 + CASE WHEN i % 5 = 0 THEN 200 ELSE 32 END)::INT AS r, ((i * 11) % 16 + 48)::INT AS g, ((i * 7) % 16 + CASE WHEN i % 7 = 0 THEN 160 ELSE 64 END)::INT AS b FROM (SELECT unnest(range(0, 4800)) AS i)"
+_PALETTE = ((200, 50, 70), (40, 50, 160), (210, 60, 170))
+
+
+def pixels(spark):
+    i = F.col("id")
+    return spark.range(4800).select(
+        (i % 3).alias("image_id"), F.expr("(id div 3) div 40").alias("y"), F.expr("(id div 3) % 40").alias("x"), ((i * 37) % 16 + F.when(i % 5 == 0, 200).otherwise(32)).cast("int").alias("r"),
+        ((i * 11) % 16 + 48).cast("int").alias("g"), ((i * 7) % 16 + F.when(i % 7 == 0, 160).otherwise(64)).cast("int").alias("b"),
+    )
+
+
+_MODAL = f"""SELECT image_id, r * 16 + 8 AS r, g * 16 + 8 AS g, b * 16 + 8 AS b, n FROM (SELECT image_id, r // 16 AS r, g // 16 AS g, b // 16 AS b, count(*) AS n FROM ({_PIXELS}) GROUP BY ALL)
+ QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY n DESC, r, g, b) = 1"""
+
+
+@query(_MODAL)
+def modal_colours(spark, sf_dir):
+    return raster.modal_colour(pixels(spark))
+
+
+@query(f"""WITH m AS ({_MODAL}), d AS (SELECT p.image_id, p.y, p.x, greatest(abs(p.r - m.r), abs(p.g - m.g), abs(p.b - m.b)) AS bg, [{', '.join(f'greatest(abs(p.r - {r}), abs(p.g - {g}), abs(p.b - {b}))' for r, g, b in _PALETTE)}] AS ds FROM ({_PIXELS}) p JOIN m USING (image_id))
+ SELECT image_id, role, count(*) AS n FROM (SELECT image_id, CASE WHEN bg <= 25 THEN -1 ELSE list_position(ds, list_min(ds)) - 1 END AS role FROM d) GROUP BY image_id, role""")
+def palette_quantize(spark, sf_dir):
+    p = pixels(spark)
+    return raster.quantized(p, raster.modal_colour(p), _PALETTE).groupBy("image_id", "role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH m AS (SELECT image_id, y, x FROM ({_PIXELS}) WHERE r > 100 + image_id * 102 OR b < 70), s AS (SELECT image_id, count(*) AS n FROM m GROUP BY 1)
+ SELECT a, b, round(c::DOUBLE / (p.n + q.n - c), 6) AS iou FROM (SELECT k.image_id AS a, l.image_id AS b, count(*) AS c FROM m k JOIN m l ON k.y = l.y AND k.x = l.x AND k.image_id < l.image_id GROUP BY ALL) JOIN s p ON p.image_id = a JOIN s q ON q.image_id = b""")
+def mask_ious(spark, sf_dir):
+    masks = pixels(spark).where((F.col("r") > 100 + F.col("image_id") * 102) | (F.col("b") < 70)).select("image_id", "y", "x")
+    return raster.mask_iou(masks).withColumn("iou", F.round("iou", 6))
+
+
+@query(f"SELECT image_id, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) + 1 AS x1, max(y) + 1 AS y1 FROM ({_PIXELS}) WHERE r > 200 AND x > 3 GROUP BY image_id")
+def bounding_boxes(spark, sf_dir):
+    return raster.bounding_box(pixels(spark), (F.col("r") > 200) & (F.col("x") > 3))
+
+
+@query(f"SELECT image_id, round(avg(CASE WHEN r > 200 THEN 1 ELSE 0 END), 6) AS share FROM ({_PIXELS}) GROUP BY image_id")
+def mask_coverage(spark, sf_dir):
+    return raster.coverage(pixels(spark), F.col("r") > 200).withColumn("share", F.round("share", 6))
+
+
+@query(f"SELECT image_id, floor(median(r))::INT AS r, floor(median(g))::INT AS g, floor(median(b))::INT AS b FROM ({_PIXELS}) WHERE x < 2 OR y < 2 OR x > 37 OR y > 37 GROUP BY image_id")
+def border_medians(spark, sf_dir):
+    return raster.border_median(pixels(spark), 2)
+
+
+@query("""WITH s AS (SELECT s_suppkey % 3 AS image_id, s_suppkey AS z, s_nationkey AS role, s_suppkey % 30 AS x0, s_suppkey % 20 AS y0, s_suppkey % 30 + 9 AS x1, s_suppkey % 20 + 7 AS y1 FROM supplier),
+ c AS (SELECT i AS image_id, y, x FROM (SELECT unnest(range(0, 3)) AS i), (SELECT unnest(range(0, 30)) AS y), (SELECT unnest(range(0, 40)) AS x))
+ SELECT image_id, role, count(*) AS n FROM (SELECT c.image_id, c.y, c.x, arg_max(role, z) AS role FROM c LEFT JOIN s ON c.image_id = s.image_id AND c.y >= y0 AND c.y < y1 AND c.x >= x0 AND c.x < x1 GROUP BY ALL) GROUP BY image_id, role""")
+def painted_regions(spark, sf_dir):
+    k = F.col("s_suppkey")
+    shapes = table(spark, sf_dir, "supplier").select((k % 3).alias("image_id"), k.alias("z"), F.col("s_nationkey").alias("role"), (k % 30).alias("x0"), (k % 20).alias("y0"), (k % 30 + 9).alias("x1"), (k % 20 + 7).alias("y1"))
+    canvas = spark.range(3600).select(F.expr("id div 1200").alias("image_id"), F.expr("id % 1200 div 40").alias("y"), (F.col("id") % 40).alias("x"))
+    return raster.painted(canvas, shapes).groupBy("image_id", "role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def image_components(spark, sf_dir):
+    ink = pixels(spark).select("image_id", "y", "x", (F.col("r") > 200).alias("ink"))
+    return raster.boxes(raster.by_image(ink, ["ink"], raster.label, "label").where("label > 0"), "label")
+
+
+@query()
+def filled_holes(spark, sf_dir):
+    ink = pixels(spark).select("image_id", "y", "x", ((F.col("x") - 20) * (F.col("x") - 20) + (F.col("y") - 20) * (F.col("y") - 20)).between(60, 140).alias("ink"))
+    return raster.coverage(raster.by_image(ink, ["ink"], raster.fill_holes, "filled", "boolean"), F.col("filled"))
+
+
+@query("SELECT i AS col, j AS row, round(i * 15.0::DOUBLE + 10, 6) AS x, round((j + CASE WHEN i % 2 = 1 THEN 0.5 ELSE 0 END) * sqrt(3) * 10 + sqrt(3) * 5, 6) AS y, j - (i - i % 2) // 2 AS r FROM (SELECT unnest(range(0, 8)) AS i), (SELECT unnest(range(0, 6)) AS j)")
+def hex_grid(spark, sf_dir):
+    grid = spark.range(48).select(F.expr("id div 6").alias("col"), (F.col("id") % 6).alias("row"))
+    return grid.select("col", "row", G.hex_centre(F.col("col"), F.col("row"), 10.0).alias("h")).select("col", "row", F.round("h.x", 6).alias("x"), F.round("h.y", 6).alias("y"), F.col("h.r").cast("long").alias("r"))
+
+
+@query("SELECT s_suppkey, greatest(0, least(cx - side // 2, 800 - side)) AS x, greatest(0, least(cy - side // 2, 600 - side)) AS y, side FROM (SELECT s_suppkey, (s_suppkey * 37 % 800)::INT AS cx, (s_suppkey * 53 % 600)::INT AS cy, least(100 + s_nationkey * 30, 800, 600)::INT AS side FROM supplier)")
+def square_crops(spark, sf_dir):
+    k = F.col("s_suppkey")
+    box = G.square_crop((k * 37 % 800).cast("int"), (k * 53 % 600).cast("int"), (100 + F.col("s_nationkey") * 30).cast("int"), F.lit(800), F.lit(600))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", box.alias("b")).select("s_suppkey", "b.x", "b.y", "b.side")
+
+
+# ---- procedures of the handbook ------------------------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, CASE WHEN n > 80 THEN NULL ELSE p_brand END AS p_brand FROM part JOIN (SELECT p_brand, count(*) AS n FROM part GROUP BY 1) USING (p_brand)")
+def cleared_groups(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    flagged = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).where("n > 80").select("p_brand", F.lit(True).alias("bad"))
+    return part.join(flagged, "p_brand", "left").select("p_partkey", F.when(F.col("bad").isNull(), F.col("p_brand")).alias("p_brand"))
+
+
+@query("SELECT p_brand, p_type, array_to_string(list_sort(list(DISTINCT p_name)), ',') AS cycle, count(DISTINCT p_name) AS n FROM part GROUP BY ALL HAVING count(DISTINCT p_name) >= 2")
+def variant_cycles(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.sort_array(F.collect_set("p_name")).alias("c"))
+    return rows.where(F.size("c") >= 2).select("p_brand", "p_type", F.array_join("c", ",").alias("cycle"), F.size("c").cast("long").alias("n"))
+
+
+@query("SELECT b.p_brand, t.s AS missing FROM (SELECT DISTINCT p_brand FROM part) b, (SELECT unnest(['old', 'hot', 'broken']) AS s) t WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_brand = b.p_brand AND starts_with(p.p_name, t.s || ' r'))")
+def missing_variants(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    wanted = part.select("p_brand").distinct().select("p_brand", F.explode(F.array(*[F.lit(s) for s in ("old", "hot", "broken")])).alias("missing"))
+    there = part.where(F.col("p_name").rlike("^[a-z]+ r")).select("p_brand", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("missing"))
+    return wanted.join(there, ["p_brand", "missing"], "left_anti")
+
+
+@query("SELECT base, arg_min(f, {'w': w, 'f': f}) AS f, count(*) AS copies FROM (SELECT 'img' || (s_suppkey // 2) AS base, CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END AS w, 'img' || (s_suppkey // 2) || CASE WHEN s_suppkey % 3 = 0 THEN '-WM' ELSE '' END AS f FROM supplier) GROUP BY base")
+def clean_siblings(spark, sf_dir):
+    marked = F.col("s_suppkey") % 3 == 0
+    base = F.concat(F.lit("img"), F.expr("s_suppkey div 2"))
+    rows = table(spark, sf_dir, "supplier").select(base.alias("base"), marked.cast("int").alias("w"), F.concat(base, F.when(marked, "-WM").otherwise("")).alias("f"))
+    return R.byte_survivors(rows, "base", F.col("w"), "f").select("base", "f", "copies")
+
+
+@query("SELECT name, count(*) AS n FROM (SELECT regexp_replace(replace(replace(f, 'х', 'x'), 'σ', 'x'), '(\\d)s(\\d)', '\\1x\\2', 'g') AS name FROM (SELECT 'a' || (['х','x','σ'])[s_suppkey % 3 + 1] || (s_suppkey % 7) || 's' || (s_suppkey % 5) AS f FROM supplier)) GROUP BY name HAVING count(*) > 1")
+def lookalike_collisions(spark, sf_dir):
+    k = F.col("s_suppkey")
+    letter = F.element_at(F.array(F.lit("х"), F.lit("x"), F.lit("σ")), (k % 3 + 1).cast("int"))
+    names = table(spark, sf_dir, "supplier").select(T.latin_lookalikes(F.concat(F.lit("a"), letter, k % 7, F.lit("s"), k % 5)).alias("name"))
+    return verdicts.duplicate_keys(names, "name")
 
 
-QUERIES = {"coverage_report": coverage_report}
-ORACLES = {"coverage_report": "SELECT source, count(*) AS n, count(l.doc_id) AS labelled, count(*) FILTER (WHERE quality = 1) AS good, round(100.0::double * count(l.doc_id) / count(*), 4) AS pct FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source"}
+@query("SELECT lang, coalesce(source, 'all') AS source, count(*) AS n, count(*) FILTER (WHERE n_chars < 600) AS short FROM documents GROUP BY ROLLUP (lang, source) HAVING lang IS NOT NULL")
+def verdict_rollup(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").rollup("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_chars") < 600).alias("short"))
+    return rows.where("lang is not null").withColumn("source", F.coalesce("source", F.lit("all")))
