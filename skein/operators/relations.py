@@ -51,7 +51,7 @@ def byte_survivors(rows: DataFrame, digest: str, rank: Column, path: str) -> Dat
 def mode_first_seen(rows: DataFrame, by: str, value: str, order: str) -> DataFrame:
     """The commonest value of each group; of equally common ones the one seen first."""
     each = rows.groupBy(by, value).agg(F.count(F.lit(1)).alias("c"), F.min(order).alias("first"))
-    return each.groupBy(by).agg(F.max_by(value, F.struct("c", -F.col("first"))).alias(value), F.sum("c").alias("members"))
+    return each.groupBy(by).agg(F.min_by(value, F.struct((-F.col("c")).alias("k"), "first")).alias(value), F.sum("c").alias("members"))
 
 
 def histogram(rows: DataFrame, value: Column, name: str) -> DataFrame:

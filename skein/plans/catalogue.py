@@ -14,7 +14,7 @@ from skein.functions import vectors as V
 from skein.operators import graph, raster
 from skein.operators import relations as R
 from skein.operators import verdicts
-from skein.plans import generators
+from skein.plans import generators, library
 from skein.sinks import records
 from skein.sources import files
 
@@ -627,3 +627,117 @@ def lookalike_collisions(spark, sf_dir):
 def verdict_rollup(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").rollup("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_chars") < 600).alias("short"))
     return rows.where("lang is not null").withColumn("source", F.coalesce("source", F.lit("all")))
+
+
+# ---- the library's chain and the rest of the inventory -------------------------------------------------------------
+
+
+@query("SELECT role, CASE WHEN role IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000) THEN 'textured' ELSE 'bare' END AS status FROM (SELECT n_nationkey AS role FROM nation)")
+def textured_roles(spark, sf_dir):
+    roles, have = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("role")), table(spark, sf_dir, "supplier").where("s_acctbal > 9000").select(F.col("s_nationkey").alias("role"))
+    there = roles.join(have, "role", "left_semi").withColumn("status", F.lit("textured"))
+    return there.unionByName(roles.join(have, "role", "left_anti").withColumn("status", F.lit("bare")))
+
+
+@query("""SELECT page_id, CASE WHEN regexp_matches(url, 'page=') THEN 'paged' WHEN regexp_matches(url, '/en/') THEN 'english' WHEN regexp_matches(url, '/fr/') THEN 'french' ELSE 'other' END AS trigger FROM pages""")
+def fallback_matches(spark, sf_dir):
+    file = F.element_at(F.split("url", "/"), -1)
+    found = F.coalesce(T.first_match(file, [("page=", "paged")]), T.first_match(F.col("url"), [("/en/", "english"), ("/fr/", "french")]), F.lit("other"))
+    return table(spark, sf_dir, "pages").select("page_id", found.alias("trigger"))
+
+
+@query("SELECT n_regionkey AS deck_set, count(DISTINCT n_nationkey % 2) = 1 AS aligned, count(*) AS decks FROM nation GROUP BY 1")
+def registration_check(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("deck_set"), (F.col("n_nationkey") % 2).alias("size"))
+    return rows.groupBy("deck_set").agg((F.count_distinct("size") == 1).alias("aligned"), F.count(F.lit(1)).alias("decks"))
+
+
+@query("SELECT r_regionkey, array_to_string(list_concat(['NATION_0', 'NATION_' || r_regionkey], list_filter([n_first, 'NATION_0'], lambda x: x NOT IN ('NATION_0', 'NATION_' || r_regionkey))), ',') AS variants FROM region JOIN (SELECT n_regionkey, min(n_name) AS n_first FROM nation GROUP BY 1) ON r_regionkey = n_regionkey")
+def appended_variants(spark, sf_dir):
+    first = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min("n_name").alias("n_first"))
+    rows = table(spark, sf_dir, "region").join(first, F.col("r_regionkey") == F.col("n_regionkey"))
+    v = lambda c: F.struct(c.alias("img"))
+    old, new = F.array(v(F.lit("NATION_0")), v(F.concat(F.lit("NATION_"), F.col("r_regionkey")))), F.array(v(F.col("n_first")), v(F.lit("NATION_0")))
+    return rows.select("r_regionkey", R.appended_variants(old, new, "img").alias("v")).select("r_regionkey", F.array_join("v.img", ",").alias("variants"))
+
+
+@query("SELECT label, round(sqrt(sum(x * x)), 6) AS length, count(*) AS dims FROM (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY label, i) GROUP BY label")
+def label_centroids(spark, sf_dir):
+    unit = _few(spark, sf_dir).select("label", F.posexplode("embedding").alias("i", "x"))
+    mean = unit.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    vectors = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
+    return vectors.select("label", F.round(V.norm(F.col("v.x")), 6).alias("length"), F.size("v").cast("long").alias("dims"))
+
+
+@query(f"SELECT DISTINCT image_id, r FROM ({_PIXELS}) WHERE r NOT IN (32, 33, 34, 35, 36, 37, 38, 39, 40, 200, 201, 202)")
+def palette_violations(spark, sf_dir):
+    allowed = spark.createDataFrame([(v,) for v in (*range(32, 41), 200, 201, 202)], "r int")
+    return pixels(spark).select("image_id", "r").distinct().join(F.broadcast(allowed), "r", "left_anti").select("image_id", "r")
+
+
+@query("""SELECT p_partkey, 'part of ' || p_brand || ': ' || p_name || CASE WHEN p_size > 40 THEN ', with ' || 'ring; and ' || p_type ELSE '' END AS prompt FROM part""")
+def prompts(spark, sf_dir):
+    parts = F.when(F.col("p_size") > 40, F.array(F.lit("ring"), F.col("p_type"))).otherwise(F.array().cast("array<string>"))
+    made = T.template("part of {brand}: {name}{clause}", brand=F.col("p_brand"), name=F.col("p_name"), clause=T.clause(parts))
+    return table(spark, sf_dir, "part").select("p_partkey", made.alias("prompt"))
+
+
+@query("SELECT n_nationkey, round(1.0::DOUBLE + 2 * pi() * k / n, 6) AS angle FROM (SELECT n_nationkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS k, count(*) OVER (PARTITION BY n_regionkey) AS n FROM nation)")
+def angular_sectors(spark, sf_dir):
+    w = Window.partitionBy("n_regionkey")
+    k, n = F.row_number().over(w.orderBy("n_nationkey")) - 1, F.count(F.lit(1)).over(w)
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.round(G.sector_angle(k, n, F.lit(1.0), F.lit(0.0)), 6).alias("angle"))
+
+
+@query("SELECT s_suppkey, i, round(s_nationkey + (100.0::DOUBLE - s_nationkey) * (i + 0.5) / n, 6) AS at FROM (SELECT s_suppkey, s_nationkey, (s_suppkey % 4)::INT AS n, unnest(range(0, s_suppkey % 4))::INT AS i FROM supplier)")
+def spaced_lights(spark, sf_dir):
+    at = G.spaced((F.col("s_suppkey") % 4).cast("int"), F.col("s_nationkey").cast("double"), F.lit(100.0))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.posexplode(at).alias("i", "at")).withColumn("at", F.round("at", 6))
+
+
+def _library(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    stem = F.concat(F.lit("sheet_"), F.col("p_size"), F.lit("_"), F.col("p_partkey"))
+    rows = part.select(stem.alias("stem"), F.col("p_name").alias("name"), F.split("p_name", " ").alias("tags"), F.when(F.col("p_size") % 3 == 0, "north").alias("orientation"), F.when(F.col("p_size") % 2 == 0, "worn").alias("state"), F.when(F.col("p_partkey") % 5 == 0, F.col("p_brand")).alias("group_id"), "p_size", "p_partkey")
+    return rows
+
+
+_PARTS = "SELECT 'sheet_' || p_size || '_' || p_partkey AS stem, p_name AS name, CASE WHEN p_size % 3 = 0 THEN 'north' END AS orientation, CASE WHEN p_size % 2 = 0 THEN 'worn' END AS state, CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS group_id, p_size, p_partkey FROM part"
+
+
+@query(f"""SELECT left(md5(stem), 16) AS id, name || CASE WHEN state IS NULL AND orientation IS NULL THEN '' ELSE ' — ' || concat_ws(', ', state, orientation) END AS name, concat_ws(';', replace(name, ' ', ';'), 'facing-' || orientation, 'state-' || state, 'group:' || group_id) AS tags,
+ 'tiles/' || stem || '.png' AS src, p_size AS width FROM ({_PARTS}) WHERE p_partkey % 4 <> 0""")
+def preset_pack(spark, sf_dir):
+    rows = _library(spark, sf_dir)
+    packed = library.presets(rows.select("stem", F.col("p_size").alias("width"), F.lit(None).cast("int").alias("height")), rows.where("p_partkey % 4 <> 0").drop("p_size", "p_partkey"), 100, "tiles")
+    first = F.get("data", F.lit(0))
+    return packed.select("id", "name", F.array_join("tags", ";").alias("tags"), first["texture"]["src"].alias("src"), first["width"].alias("width"))
+
+
+@query(f"SELECT 'sheet_' || p_size AS sheet, count(*) AS n, count(*) FILTER (WHERE p_partkey % 4 <> 0) AS record, count(*) FILTER (WHERE p_partkey % 4 <> 0 AND orientation IS NOT NULL) AS oriented, count(*) FILTER (WHERE p_partkey % 4 <> 0 AND group_id IS NOT NULL) AS grouped FROM ({_PARTS}) GROUP BY 1")
+def library_status(spark, sf_dir):
+    rows = _library(spark, sf_dir)
+    sheets = rows.select(F.concat(F.lit("sheet_"), "p_size").alias("sheet")).distinct()
+    return library.status(rows, rows.where("p_partkey % 4 <> 0"), sheets).select("sheet", "n", "record", "oriented", "grouped")
+
+
+@query(f"SELECT id, level, message FROM (SELECT left(md5(stem), 16) AS id, 'warning' AS level, 'no extent' AS message FROM ({_PARTS}) WHERE p_size < 5) UNION ALL SELECT left(md5(stem), 16), 'error', 'name is missing' FROM ({_PARTS}) WHERE p_size % 10 = 0")
+def pack_violations(spark, sf_dir):
+    rows = _library(spark, sf_dir)
+    packed = library.presets(rows.select("stem", F.when(F.col("p_size") < 5, 0).otherwise(9).alias("width"), F.lit(9).alias("height")), rows, 100, "tiles")
+    renamed = packed.join(rows.select(F.concat(F.lit("tiles/"), "stem", F.lit(".png")).alias("img"), "p_size"), "img").withColumn("name", F.when(F.col("p_size") % 10 > 0, F.col("name")))
+    return library.pack_violations(renamed)
+
+
+@query(f"SELECT {_CANON} AS canonical, count(*) AS members FROM part GROUP BY 1")
+def group_assignment(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    ids = library.assigned_groups(rows, "p_partkey", "p_name", None, COLOURS, _NAMESPACE, _SPLIT, _MERGE)
+    named = rows.select("p_partkey", T.canonical_name(F.col("p_name"), COLOURS).alias("canonical")).join(ids, "p_partkey")
+    return named.groupBy("group_id").agg(F.min("canonical").alias("canonical"), F.count(F.lit(1)).alias("members")).drop("group_id")
+
+
+@query("SELECT doc_id, source FROM documents WHERE starts_with(source, 'src1') AND contains(source, '7') AND doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY source, doc_id")
+def selected_rows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return library.selected(docs, "source", "src1", "7", "quality").select("doc_id", "source")

@@ -23,7 +23,10 @@ def with_path(df: DataFrame) -> DataFrame:
 
 
 def folder(spark: SparkSession, path: str, glob: str = "*", deep: bool = False, exclude: Sequence[str] = ()) -> DataFrame:
-    """path, length, modificationTime, content, file, stem of each file; content is read only if it is used."""
+    """path, length, modificationTime, content, file, stem of each file; content is read only if it is used.
+
+    Spark itself passes over files and folders whose names begin with an underscore or a dot.
+    """
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(deep).lower()).load(path)
     for part in exclude:
         df = df.where(~F.col("path").contains(part))
