@@ -94,8 +94,8 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def in_slices(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
-    """The texts of a column as bytes, some megabytes at a time, with the row each slice begins at."""
+def in_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a column as bytes, about a megabyte at a time, with the row each slice begins at."""
     part, size, at = [], 0, 0
     for i, t in enumerate(column):
         b = t.as_buffer()
@@ -162,10 +162,10 @@ def identity(s: np.ndarray) -> int | None:
 
 
 def candidate_edges(classes: DataFrame) -> DataFrame:
-    """Edges a, b from each class of a list to the list's smallest; classes(cls, keys)."""
+    """Edges a, b from each class of a list to the list's smallest; classes(cls, keys), a class perhaps more than once."""
     entries = classes.select("cls", F.explode("keys").alias("key"))
     lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-    lists = C.written(lists.where("size >= 2"))
+    lists = C.written(lists.where("low < high"))
     two = lists.where("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
     more = entries.join(lists.where("size > 2").select("key", "low"), "key")
     return two.unionByName(more.select(F.col("cls").alias("a"), F.col("low").alias("b"))).where("a <> b").distinct()
@@ -262,7 +262,7 @@ def joined(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     rows = C.written(tagged(docs, similar))
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     classes = C.written(classes)
-    one = rows.where("size(keys) > 0 and doc_id is not null").join(classes, "cls").where("doc_id = least").select("cls", "keys").dropDuplicates(["cls"])
+    one = rows.where("size(keys) > 0 and doc_id is not null").join(classes, "cls").where("doc_id = least").select("cls", "keys")
     groups = components(candidate_edges(one))
     groups = C.written(groups.join(classes, groups.node == classes.cls).select(F.col("node").alias("cls"), F.col("root").alias("grp"), "least"))
 
