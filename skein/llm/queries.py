@@ -59,4 +59,25 @@ _ALL = (
     op9_language, op10_pii,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # the checksum's table from its rule: eight halvings of each byte with the reversed polynomial 0xEDB88320
+    "op3_interleaved_shards": """
+WITH k AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8), lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, i)) AS t),
+ b AS (SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ c AS (SELECT doc_id, source, size, xor(list_reduce(list_transform(range(0, size - 1), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT), lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1]), 4294967295), 4294967295) AS crc FROM b, k),
+ u AS (SELECT *, ('0x' || left(md5('7:' || doc_id || ':' || crc), 12))::BIGINT::DOUBLE / 281474976710656 AS u, dense_rank() OVER (ORDER BY source NULLS LAST) AS sid FROM c),
+ f AS (SELECT *, (row_number() OVER (PARTITION BY sid ORDER BY u, doc_id, size, crc) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY sid) AS f FROM u),
+ p AS (SELECT *, row_number() OVER (ORDER BY f, sid, doc_id, size, crc) - 1 AS place, count(*) OVER () AS n FROM f)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (place * 8 // n)::INTEGER AS shard, (place - (n * (place * 8 // n) + 7) // 8)::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM p
+""",
+    "op8_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+ l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+ r(node, reach) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(reach) AS least FROM r GROUP BY node) c ON c.node = d.doc_id
+""",
+}
