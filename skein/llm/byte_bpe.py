@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Cached pre-tokens in a worker and the longest that is cached: some 150 MB at most.
-CACHED, CACHED_CHARS = 500_000, 48
+#: Cached pre-tokens in a worker and the longest that is cached: some 100 MB.
+CACHED, CACHED_CHARS = 400_000, 48
 #: A block ends with the text that brings it to so many characters.
 BLOCK_CHARS = 1 << 20
+#: New pre-tokens whose merges are replayed together: as many as stay in a processor's cache.
+TOGETHER = 1600
 
 
 class ReplayCodec:
@@ -39,71 +41,82 @@ class ReplayCodec:
         blank = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
         own = pattern.replace(r"[^\s", f"[^{blank}").replace(r"\s", f"[{blank}]").replace(r"\S", f"[^{blank}]")
         self.split = regex.compile(own).findall
-        self.pair_rank: dict[tuple[int, int], int] = {}
+        # by the left token: the rank of what it and each right token make together; some 20 MB
+        self.rights: list[dict[int, int] | None] = [None] * len(self.bytes_of)
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
+                if left is not None and right is not None:
+                    self.rights[left] = self.rights[left] or {}
+                    self.rights[left][right] = rank
+        none: dict[int, int] = {}
+        self.rights = [none if d is None else d for d in self.rights]
+        self.of_bytes = np.array([[self.rights[a].get(b, -1) for b in self.of_byte] for a in self.of_byte], np.int64).ravel()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def rank(self, a: int, b: int) -> int:
-        """Rank of the token that a and b make together, or -1."""
-        key = (a, b)
-        r = self.pair_rank.get(key)
-        if r is None:
-            if len(self.pair_rank) > 1_000_000:
-                self.pair_rank.clear()
-            r = self.pair_rank[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return r
-
-    def replay(self, words: list[bytes]) -> list[list[int]]:
+    def replay(self, words: list[bytes]) -> list[bytes]:
         """Identifiers of each word, every merge applied to all words at once, in order of rank."""
-        symbol: list[int] = []
-        of_byte, rank = self.of_byte, self.rank
-        starts = []
-        for w in words:
-            starts.append(len(symbol))
-            symbol.extend([of_byte[b] for b in w])
-            symbol.append(-1)  # no pair crosses a word's end
-        after = list(range(1, len(symbol) + 1))
-        before = list(range(-1, len(symbol) - 1))
-        where: dict[int, list[int]] = {}  # the inverted index, by the rank of what the pair makes
-        for i in range(len(symbol) - 1):
-            a, b = symbol[i], symbol[i + 1]
-            if a >= 0 and b >= 0 and (r := rank(a, b)) >= 0:
-                where.setdefault(r, []).append(i)
+        if not words:
+            return []
+        rights = self.rights
+        flat = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
+        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
+        ids = np.array(self.of_byte, np.int64)[flat]
+        ids[starts[1:] - 1] = -1  # no pair crosses a word's end
+        symbol = ids.tolist()
+        after, before = list(range(1, len(symbol) + 1)), list(range(-1, len(symbol) - 1))
+        # what the pair at each position makes, and the inverted index: positions by that rank
+        made = np.append(self.of_bytes[flat[:-1].astype(np.int64) << 8 | flat[1:]], -1)
+        made[(ids < 0) | np.append(ids[1:] < 0, True)] = -1
+        at = np.flatnonzero(made >= 0)
+        at = at[np.argsort(made[at], kind="stable")]
+        first = np.flatnonzero(np.diff(made[at], prepend=-1))
+        where = {int(made[at[i]]): part.tolist() for i, part in zip(first, np.split(at, first[1:]))} if len(at) else {}
+        makes = made.tolist()
         order = list(where)
         heapq.heapify(order)
+        pop, push, listed = heapq.heappop, heapq.heappush, where.get
         while order:
-            r = heapq.heappop(order)
-            for i in sorted(where.pop(r)):
-                a = symbol[i]
-                if a < 0:
-                    continue
+            r = pop(order)
+            here = where.pop(r)
+            if len(here) > 1:
+                here.sort()
+            of_r = rights[r].get
+            for i in here:
+                if makes[i] != r:
+                    continue  # one of the two went into another merge
                 j = after[i]
-                b = symbol[j]
-                if b < 0 or rank(a, b) != r:
-                    continue  # a neighbour went into another merge
-                symbol[i], symbol[j] = r, -2
+                symbol[i] = r
+                symbol[j] = makes[j] = -2
                 j = after[i] = after[j]
                 before[j] = i
-                if (c := symbol[j]) >= 0 and (new := rank(r, c)) >= 0:
-                    if new in where:
-                        where[new].append(i)
-                    else:
+                b = symbol[j]
+                new = of_r(b, -1) if b >= 0 else -1
+                makes[i] = new
+                if new >= 0:
+                    found = listed(new)
+                    if found is None:
                         where[new] = [i]
-                        heapq.heappush(order, new)
-                h = before[i]
-                if h >= 0 and (c := symbol[h]) >= 0 and (new := rank(c, r)) >= 0:
-                    if new in where:
-                        where[new].append(h)
+                        push(order, new)
                     else:
-                        where[new] = [h]
-                        heapq.heappush(order, new)
-        out = []
-        for start in starts:
-            ids, i = [], start
-            while symbol[i] >= 0:
-                ids.append(symbol[i])
-                i = after[i]
-            out.append(ids)
-        return out
+                        found.append(i)
+                h = before[i]
+                if h >= 0 and (a := symbol[h]) >= 0:
+                    new = rights[a].get(r, -1)
+                    makes[h] = new
+                    if new >= 0:
+                        found = listed(new)
+                        if found is None:
+                            where[new] = [h]
+                            push(order, new)
+                        else:
+                            found.append(h)
+        left = np.array(symbol, np.int64)
+        kept = left >= 0
+        count = np.concatenate([[0], np.cumsum(kept)])[starts] * 4
+        whole = left[kept].astype("<u4").tobytes()
+        return [whole[i:j] for i, j in zip(count[:-1].tolist(), count[1:].tolist())]
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Identifiers of each text as little-endian unsigned 32-bit integers, block by block."""
@@ -118,13 +131,17 @@ class ReplayCodec:
         yield from self.encode_block(block)
 
     def encode_block(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED:
-            self.known.clear()
         split = [self.split(text) for text in texts]
-        new = list(set().union(*split) - self.known.keys())
-        known = self.known
-        for w, ids in zip(new, self.replay([w.encode() for w in new])):
-            known[w] = np.array(ids, "<u4").tobytes()
+        if len(self.known) > CACHED // 2:  # what the last blocks used is kept, the rest is learnt again if it comes back
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*split) - known.keys()
+        for w in new & older.keys():
+            known[w] = older[w]
+        new = sorted(new - older.keys())
+        for i in range(0, len(new), TOGETHER):
+            some = new[i : i + TOGETHER]
+            known.update(zip(some, self.replay([w.encode() for w in some])))
         out = [b"".join([known[w] for w in words]) for words in split]
         for w in new:
             if len(w) > CACHED_CHARS:
