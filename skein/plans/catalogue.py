@@ -615,11 +615,11 @@ def clean_siblings(spark, sf_dir):
     return R.byte_survivors(rows, "base", F.col("w"), "f").select("base", "f", "copies")
 
 
-@query("SELECT name, count(*) AS n FROM (SELECT regexp_replace(replace(replace(f, 'х', 'x'), 'σ', 'x'), '(\\d)s(\\d)', '\\1x\\2', 'g') AS name FROM (SELECT 'a' || (['х','x','σ'])[s_suppkey % 3 + 1] || (s_suppkey % 7) || 's' || (s_suppkey % 5) AS f FROM supplier)) GROUP BY name HAVING count(*) > 1")
+@query("SELECT name, count(*) AS n FROM (SELECT regexp_replace(replace(replace(f, 'х', 'x'), 'σ', 'x'), '(\\d)s(\\d)', '\\1x\\2', 'g') AS name FROM (SELECT 'a' || (['х','x','σ'])[c_custkey % 3 + 1] || (c_custkey % 7) || 's' || (c_custkey % 5) AS f FROM customer)) GROUP BY name HAVING count(*) > 1")
 def lookalike_collisions(spark, sf_dir):
-    k = F.col("s_suppkey")
+    k = F.col("c_custkey")
     letter = F.element_at(F.array(F.lit("х"), F.lit("x"), F.lit("σ")), (k % 3 + 1).cast("int"))
-    names = table(spark, sf_dir, "supplier").select(T.latin_lookalikes(F.concat(F.lit("a"), letter, k % 7, F.lit("s"), k % 5)).alias("name"))
+    names = table(spark, sf_dir, "customer").select(T.latin_lookalikes(F.concat(F.lit("a"), letter, k % 7, F.lit("s"), k % 5)).alias("name"))
     return verdicts.duplicate_keys(names, "name")
 
 
