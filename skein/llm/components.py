@@ -11,7 +11,8 @@ from . import common as C
 def star(edges: DataFrame, large: bool) -> DataFrame:
     """Links each node's larger (or smaller) neighbours, and itself, to the smallest among them."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    # a table of its own, so that the join has plain exchanges on both sides and a node of many edges can be split
+    least = C.written(both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("m")))
     joined = both.join(least, "a")
     if large:
         new = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

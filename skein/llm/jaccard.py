@@ -285,7 +285,9 @@ def joined(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     found = components(edges)
     least = found.join(classes, found.node == classes.cls).groupBy("root").agg(F.min("least").alias("component_id"))
     found = found.join(least, "root").select(F.col("node").alias("cls"), "component_id")
+    # a table of its own: the join below can then split a class of many rows
     of_class = classes.join(found, "cls", "left").select("cls", F.coalesce("component_id", "least").alias("component_id"))
+    of_class = C.written(of_class)
     out = rows.select("doc_id", "n", "cls").join(of_class, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("cls").isNull(), F.col("doc_id"))).alias("component_id"))
 
