@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 #: Buckets of n-grams; rows of labels that make up the trusted target, at most; mean log ratio from which a text is kept.
-BUCKETS, TRUSTED_ROWS, KEEP_FROM = 1 << 16, 20_000, -0.3
+BUCKETS, TRUSTED_ROWS, KEEP_FROM = 1 << 16, 20_000, -0.5
 SYMBOLS = r"[#*$%&|<>]"
 #: Words of a window whose repetition counts, and letters of a word that stand for it in an n-gram.
 WINDOW, ENDING = 5, 2
@@ -50,7 +50,11 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row, one array: the log ratio of each bucket, add-one smoothed, over all of docs; null without a trusted row."""
+    """One row, one array: the log ratio of each bucket over all of docs, add-one smoothed; null without a trusted row.
+
+    An n-gram that is scored was counted once for the text that has it; that one is left out of the raw count, so what no
+    other text has speaks for neither side.
+    """
     some = with_grams(with_words(docs.select("doc_id", "text")))
     some = some.select(F.col("row.doc_id").cast("long").alias("doc_id"), "grams").join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
     each = some.select(F.col("trusted_id").isNotNull().cast("long").alias("good"), F.explode_outer("grams").alias("bucket"))
@@ -59,7 +63,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     # a row for each bucket, then one row: BUCKETS is all that ever meets in a task
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
     one = every.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "good"))).alias("c"), F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
-    ratio = F.transform("c", lambda x: F.log((x["good"] + 1.0) / (F.col("all_good") + float(BUCKETS))) - F.log((x["raw"] + 1.0) / (F.col("all_raw") + float(BUCKETS))))
+    ratio = F.transform("c", lambda x: F.log((x["good"] + 1.0) / (F.col("all_good") + float(BUCKETS))) - F.log(F.greatest(x["raw"], F.lit(1)) / (F.col("all_raw") + float(BUCKETS))))
     return one.select(F.when(F.col("all_good") > 0, ratio).alias("ratios"))
 
 

@@ -50,7 +50,7 @@ def test_ratio_is_that_of_plain_counts(spark):
     bucket = {k: of(k) for k in flat}
     raw, good = Counter(bucket[k] for ks in keys for k in ks), Counter(bucket[k] for i in (0, 2) for k in keys[i])
     b = quality_rules.BUCKETS
-    ratio = lambda k: math.log((good[k] + 1) / (good.total() + b)) - math.log((raw[k] + 1) / (raw.total() + b))
+    ratio = lambda k: math.log((good[k] + 1) / (good.total() + b)) - math.log(max(raw[k], 1) / (raw.total() + b))
     for r in rows:
         ks = keys[r["row"].doc_id]
         assert abs(r.llr - (sum(ratio(bucket[k]) for k in ks) / len(ks) if ks else 0)) < 1e-9
