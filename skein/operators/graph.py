@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.vectors import cosine, upper_median
+from skein.functions.vectors import dot, norm, upper_median
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -47,9 +47,19 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFr
 
 def cosine_edges(vectors: DataFrame, key: str, group: str, vector: str, least: float) -> DataFrame:
     """Pairs of a group's rows whose cosine reaches `least`. For name groups, whose size is small."""
-    a = vectors.select(F.col(group), F.col(key).alias("a"), F.col(vector).alias("va"))
-    b = vectors.select(F.col(group), F.col(key).alias("b"), F.col(vector).alias("vb"))
-    return a.join(b, group).where("a < b").select(group, "a", "b", cosine(F.col("va"), F.col("vb")).alias("similarity")).where(F.col("similarity") >= least)
+    a, b = sided(vectors, key, vector, "a", group), sided(vectors, key, vector, "b", group)
+    return a.join(b, group).where("a < b").select(group, "a", "b", similarity().alias("similarity")).where(F.col("similarity") >= least)
+
+
+def sided(rows: DataFrame, key: str, vector: str, side: str, *others: str) -> DataFrame:
+    """One side of a pair join; lengths are taken once for each row, not for each pair."""
+    return rows.select(*others, F.col(key).alias(side), F.col(vector).alias(f"v{side}"), norm(F.col(vector)).alias(f"n{side}"))
+
+
+def similarity():
+    """Cosine of the two sides, 0 where a length is 0."""
+    lengths = F.col("na") * F.col("nb")
+    return F.when(lengths == 0, 0.0).otherwise(dot(F.col("va"), F.col("vb")) / lengths)
 
 
 def split_clusters(vectors: DataFrame, key: str, group: str, vector: str, least: float) -> DataFrame:
@@ -64,9 +74,8 @@ def merge_medians(clusters: DataFrame, key: str, vector: str, least: float) -> D
 
     All members meet all members of every other cluster: for cluster tables of catalogue size (thousands of rows).
     """
-    a = clusters.select(F.col("cluster").alias("c1"), F.col(vector).alias("va"))
-    b = clusters.select(F.col("cluster").alias("c2"), F.col(vector).alias("vb"))
-    pairs = a.join(b, F.col("c1") < F.col("c2")).select("c1", "c2", cosine(F.col("va"), F.col("vb")).alias("s"))
+    a, b = sided(clusters, "cluster", vector, "a"), sided(clusters, "cluster", vector, "b")
+    pairs = a.join(b, F.col("a") < F.col("b")).select(F.col("a").alias("c1"), F.col("b").alias("c2"), similarity().alias("s"))
     return pairs.groupBy("c1", "c2").agg(upper_median(F.collect_list("s")).alias("median")).where(F.col("median") >= least)
 
 
