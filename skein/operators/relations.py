@@ -149,3 +149,13 @@ def cost_plan(jobs: DataFrame, done: DataFrame, key: str, price: float, is_paid:
 def appended_variants(old: Column, new: Column, key: str) -> Column:
     """old and those of new whose key old lacks."""
     return F.concat(old, F.filter(new, lambda v: ~F.exists(old, lambda o: o[key] == v[key])))
+
+
+def replaced(rows: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """rows with those of new in place of rows of the same key, and those of other keys added."""
+    return rows.join(new.select(key), key, "left_anti").unionByName(new)
+
+
+def most_wanted(rows: DataFrame, by: str, tie: str, most: int) -> DataFrame:
+    """The rows of the largest values; of equal ones the first by tie."""
+    return rows.orderBy(F.desc(by), tie).limit(most)

@@ -133,3 +133,17 @@ def floor_plan(plans: DataFrame, roles: dict[str, int]) -> DataFrame:
         part = part.select("image_id", (F.lit(kind).cast("long") * 1_000_000_000 + F.col("at") * 2 + part_of).alias("z"), F.lit(roles[role]).alias("role"), box(F.col("e"), grow).alias("b"))
         out = part if out is None else out.unionByName(part)
     return out.select("image_id", "z", "role", "b.*")
+
+
+def collapsed(packed: DataFrame, by: Column) -> DataFrame:
+    """One preset for all that share a value of `by`: that of the smallest id, with every one's data, in order of id."""
+    rows = packed.withColumn("by", by)
+    all_ = rows.groupBy("by").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("id", "data"))), lambda x: x["data"])).alias("every"), F.min("id").alias("id"))
+    return rows.join(all_, ["by", "id"]).withColumn("data", F.col("every")).drop("by", "every")
+
+
+def variant_cycle(rows: DataFrame) -> DataFrame:
+    """group_id, orientation and the images of each, one for each state, where there are two or more."""
+    one = rows.where(F.col("group_id").isNotNull()).groupBy("group_id", "orientation", "state").agg(F.min("img").alias("img"))
+    out = one.groupBy("group_id", "orientation").agg(F.array_sort(F.collect_list(F.struct("state", "img"))).alias("cycle"))
+    return out.where(F.size("cycle") >= 2)

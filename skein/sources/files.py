@@ -185,3 +185,8 @@ def pooled_vectors(raw: DataFrame) -> DataFrame:
 def resolved_manifest(requested: Column, by_name: Column, override: Column, default: str) -> Column:
     """Explicit path, else the artifact folder's, else the table's, else the default."""
     return F.coalesce(requested, override, by_name, F.lit(default))
+
+
+def rules_table(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """ord, pattern, value: an inline table of ordered rules, small enough for any join."""
+    return spark.createDataFrame([(i, p, v) for i, (p, v) in enumerate(rules)], "ord int, pattern string, value string")
