@@ -258,6 +258,11 @@ def verified_edges(parts: DataFrame, similar: int) -> DataFrame:
 
 def joined(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs(doc_id, text)."""
+    with C.small_batches(docs.sparkSession):  # all that runs in Python is written inside
+        return grouped(docs, similar)
+
+
+def grouped(docs: DataFrame, similar: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = C.written(tagged(docs, similar))
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
