@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skein.llm import byte_bpe, common, jaccard, mixing, pii, quality_rules
 
+#: Near duplicates: similarity in hundredths and words of a shingle.
+NEAR, NEAR_WORDS = 80, 5
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the log-likelihood ratio keep."""
@@ -21,7 +24,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR, NEAR_WORDS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

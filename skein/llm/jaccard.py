@@ -1,4 +1,4 @@
-"""Similarity join of whole texts: sets of 3-word shingles whose Jaccard similarity reaches a threshold.
+"""Similarity join of whole texts: sets of shingles (WIDTH words, or as many as asked for) whose Jaccard similarity reaches a threshold.
 
 Equal sets are one class from the start. A set's hashes, in order, are cut by position (equal ranges of hashes) into a few
 more blocks than the differences of two linked sets can touch, so linked sets have equal blocks at equal positions. Index
@@ -16,7 +16,7 @@ blocks of bounded size, each giving the links' components only; no pairs are emi
 Shingles and sets are told apart by 64-bit hashes: among k sets the chance that two different ones are taken for equal
 is about k * k / 2**65.
 
-Cases: a text of one or two words has one shingle, its whole sequence; a text without words has none and links with
+Cases: a text of fewer words than a shingle has one, its whole sequence; a text without words has none and links with
 nothing; a row without an id is of the class of equal texts and gets that group's smallest id, and links with no other if
 no equal text has an id; repeated rows are one class; an empty table gives an empty table; other columns take no part.
 """
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from . import common as C
 from .components import components
 
-#: Similarity in hundredths.
-SIMILAR = 90
+#: Similarity in hundredths; words of a shingle.
+SIMILAR, WIDTH = 90, 3
 #: Members of a block, and hashes they may hold together.
 MEMBERS, HASHES = 512, 1 << 20
 #: Candidates up to which their ids (16 bytes each) are broadcast instead of shuffling texts.
@@ -70,7 +70,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _M(31))
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+def sequences(word: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of `width` words from the words' hashes."""
+    n = max(len(word) - width + 1, 0)
+    with np.errstate(over="ignore"):
+        total = np.zeros(n, np.uint64)
+        for k in range(width):
+            total = total * _M(0x9E3779B97F4A7C15) + word[k : k + n]
+        return mixed(total + _M(width))
+
+
+def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's shingles."""
     b = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
     blank = _BLANK[b]
@@ -79,18 +89,17 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         sums = np.concatenate([[_M(0)], np.cumsum(_OF_BYTE[b] * powers(_BASE, len(b))[: len(b)], dtype=np.uint64)])
         word = mixed((sums[end] - sums[start]) * powers(_INVERSE, len(b))[start])
-        three = mixed(word[:-2] * _M(0x9E3779B97F4A7C15) + (word[1:-1] << _M(23) | word[1:-1] >> _M(41)) * _M(0xC2B2AE3D27D4EB4F) + word[2:]) if len(word) > 2 else np.empty(0, np.uint64)
-        few = lambda w: mixed(np.array([w.sum() * _M(31) + (w * _M(0x165667B19E3779F9))[-1] + _M(len(w))], np.uint64))
+        runs = sequences(word, width)
         size = np.array([len(t) + 1 for t in texts])
         first = np.searchsorted(start, np.concatenate([[0], size.cumsum()]))
         out = []
         for i in range(len(texts)):
             f, n = first[i], first[i + 1] - first[i]
-            if n >= 3:
-                s = np.sort(three[f : f + n - 2])
+            if n >= width:
+                s = np.sort(runs[f : f + n - width + 1])
                 out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
             else:
-                out.append(few(word[f : f + n]) if n else np.empty(0, np.uint64))
+                out.append(sequences(word[f : f + n], n) if n else np.empty(0, np.uint64))
     return out
 
 
@@ -142,13 +151,13 @@ def blocks(s: np.ndarray, similar: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def tagged(docs: DataFrame, similar: int) -> DataFrame:
+def tagged(docs: DataFrame, similar: int, width: int) -> DataFrame:
     """doc_id, n, cls (hash of the set), keys (of its blocks)."""
 
     def sets(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in of:
             for at, texts in in_slices(batch.column("text")):
-                found = shingle_sets(texts)
+                found = shingle_sets(texts, width)
                 cols = [batch.column("doc_id").slice(at, len(texts)), pa.array([len(s) for s in found], pa.int64()), pa.array([identity(s) for s in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([blocks(s, similar) for s in found], pa.list_(pa.int64()))], ["doc_id", "n", "cls", "keys"])
 
@@ -256,15 +265,15 @@ def verified_edges(parts: DataFrame, similar: int) -> DataFrame:
     return dealt.groupBy("grp", "i", "j").applyInArrow(links, "a long, b long")
 
 
-def joined(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
+def joined(docs: DataFrame, similar: int = SIMILAR, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs(doc_id, text)."""
     with C.small_batches(docs.sparkSession):  # all that runs in Python is written inside
-        return grouped(docs, similar)
+        return grouped(docs, similar, width)
 
 
-def grouped(docs: DataFrame, similar: int) -> DataFrame:
+def grouped(docs: DataFrame, similar: int, width: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = C.written(tagged(docs, similar))
+    rows = C.written(tagged(docs, similar, width))
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     classes = C.written(classes)
     one = rows.where("size(keys) > 0 and doc_id is not null").join(classes, "cls").where("doc_id = least").select("cls", "keys")
@@ -278,7 +287,7 @@ def grouped(docs: DataFrame, similar: int) -> DataFrame:
         for batch in of:
             for at, texts in in_slices(batch.column("text")):
                 part = batch.slice(at, len(texts))
-                sets = shingle_sets(texts)
+                sets = shingle_sets(texts, width)
                 own = pa.array([identity(s) or 0 for s in sets], pa.int64())
                 cols = [part.column("grp"), part.column("cls"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 whole = pa.RecordBatch.from_arrays(cols, ["grp", "cls", "n", "hashes"])
@@ -297,11 +306,11 @@ def grouped(docs: DataFrame, similar: int) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("cls").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
+def one_of_each(docs: DataFrame, similar: int = SIMILAR, width: int = WIDTH) -> DataFrame:
     """docs with one document of each group, that of the smallest id; documents without words or without an id all stay."""
     from pyspark.sql import Window
 
-    groups = joined(docs, similar).where("doc_id is not null")
+    groups = joined(docs, similar, width).where("doc_id is not null")
     keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"), "n_shingles").groupBy("kept_id").agg(F.max("n_shingles").alias("n"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col("doc_id").cast("long").alias("id"))
