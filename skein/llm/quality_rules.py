@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Buckets of n-grams; rows of labels that make up the trusted target, at most; mean log ratio from which a text is kept.
-BUCKETS, TRUSTED_ROWS, KEEP_FROM = 1 << 16, 20_000, -0.5
+#: Buckets of n-grams; mean log ratio from which a text is kept.
+BUCKETS, KEEP_FROM = 1 << 16, -0.5
+#: Trusted rows up to which their ids are broadcast instead of shuffling n-grams.
+BROADCAST_IDS = 500_000
 SYMBOLS = r"[#*$%&|<>]"
 #: Words of a window whose repetition counts, and letters of a word that stand for it in an n-gram.
 WINDOW, ENDING = 5, 2
@@ -43,10 +45,9 @@ def with_grams(rows: DataFrame) -> DataFrame:
     return rows.withColumn("grams", grams("w"))
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
-    """doc_id of up to `most` rows labelled good, by the order of a hash: the trusted target, small enough to broadcast."""
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
-    return good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of every row labelled good: the trusted target."""
+    return labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -56,7 +57,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     other text has speaks for neither side.
     """
     some = with_grams(with_words(docs.select("doc_id", "text")))
-    some = some.select(F.col("row.doc_id").cast("long").alias("doc_id"), "grams").join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+    if trusted.count() <= BROADCAST_IDS:
+        trusted = F.broadcast(trusted)
+    some = some.select(F.col("row.doc_id").cast("long").alias("doc_id"), "grams").join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
     each = some.select(F.col("trusted_id").isNotNull().cast("long").alias("good"), F.explode_outer("grams").alias("bucket"))
     # explode_outer: for explode() the optimizer infers a filter on the array's size and evaluates it anew, word by word
     counts = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good"))
