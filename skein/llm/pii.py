@@ -36,12 +36,23 @@ CONTEXT = {
 MARK = "\ue000"
 LOCAL = rf"A-Za-z0-9._%+{MARK}-"
 LABEL = "A-Za-z0-9-"
+#: What follows the first four characters of an account number, upper-case words after it perhaps included.
+ACCOUNT = "(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+#: Characters of an account number by country; numbers of other countries are taken as long as mod 97 allows.
+ACCOUNT_LENGTHS = {
+    n: codes.split()
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
 PATTERNS = {
     "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[{LABEL}]++{MARK}[{LABEL}{MARK}]++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": rf"[0-9{MARK}]{{14,}}",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?={ACCOUNT})",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: What a text must have for the pattern to be tried.
@@ -89,6 +100,27 @@ def mod_97(account: Column) -> Column:
     return F.aggregate(turned, F.lit(0), add) == 1
 
 
+def whole_accounts(text: Column, heads: Column) -> Column:
+    """The spans of account numbers from those of their first four characters; a hit is empty where no number begins.
+
+    Words that belong to no number may follow in upper case: of the parts that end before a space, or where all ends, and
+    that mod 97 confirms, the one as long as its country's numbers are, or else the longest. Each beginning is tried, so
+    that one number takes none of the next.
+    """
+
+    def whole(s: Column) -> Column:
+        # 34 characters, a space before each of the last 30, and the character after
+        words = F.split(F.regexp_extract(F.substring(text, s["start"] + 1, F.lit(65)), f"^.{{4}}{ACCOUNT}", 0), " ")
+        parts = F.transform(words, lambda _, i: F.array_join(F.slice(words, F.lit(1), i + 1), " "))
+        size = lambda p: F.length(F.replace(p, F.lit(" "), F.lit("")))
+        good = F.filter(parts, lambda p: (size(p) >= 15) & mod_97(p))
+        own = F.coalesce(*[F.when(F.substring(F.get(words, F.lit(0)), 1, 2).isin(codes), n) for n, codes in ACCOUNT_LENGTHS.items()])
+        hit = F.coalesce(F.get(F.filter(good, lambda p: size(p) == own), F.lit(0)), F.get(good, F.size(good) - 1), F.lit(""))
+        return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), (s["start"] + F.length(hit)).alias("stop"), hit.alias("hit"))
+
+    return F.transform(heads, whole)
+
+
 def confirmed(kind: str, hit: Column) -> Column:
     digits = F.regexp_replace(hit, "[^0-9]", "")
     if kind == "ip":
@@ -99,7 +131,7 @@ def confirmed(kind: str, hit: Column) -> Column:
     if kind == "phone":
         return F.length(digits).between(10, 15)
     if kind == "iban":
-        return mod_97(hit)
+        return hit != ""
     return F.lit(True)
 
 
@@ -121,6 +153,7 @@ def found(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
     for k in KINDS:
         rows = rows.withColumn(f"p_{k}", proposed(F.col("t"), k))
+    rows = rows.withColumn("p_iban", whole_accounts(F.col("t"), F.col("p_iban")))
     every = F.concat(*[F.filter(f"p_{k}", keeps(k)) for k in KINDS])
     rows = rows.withColumn("all", F.when(F.greatest(*[F.size(f"p_{k}") for k in KINDS]) > 0, every).otherwise(F.array().cast(SPAN))).select("row", "t", "all")
     scored = F.transform("all", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"), score(s["kind"], F.col("t"), s["start"], s["stop"]).alias("score")))
