@@ -307,14 +307,19 @@ def grouped(docs: DataFrame, similar: int, width: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, similar: int = SIMILAR, width: int = WIDTH) -> DataFrame:
-    """docs with one document of each group, that of the smallest id; documents without words or without an id all stay."""
+    """docs with one row of each group, one of the smallest id (without an id where none has one); rows without words all
+    stay."""
     from pyspark.sql import Window
 
-    groups = joined(docs, similar, width).where("doc_id is not null")
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"), "n_shingles").groupBy("kept_id").agg(F.max("n_shingles").alias("n"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col("doc_id").cast("long").alias("id"))
-    rows = rows.join(keep, rows.id == keep.kept_id, "left").where("id is null or kept_id is not null")
-    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row.text")))
-    one = rows.where("id is not null").withColumn("nth", F.when(F.col("n") > 0, nth).otherwise(1)).where("nth = 1").select("row")
-    return one.unionByName(rows.where("id is null").select("row")).select("row.*")
+    # a row is known by a hash of id and text: ids may be missing or stand before several texts
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id"), F.col("text"))
+    groups = joined(keyed.select(F.col("key").alias("doc_id"), "text"), similar, width).distinct()
+    groups = groups.withColumnRenamed("doc_id", "key").join(keyed.select("key", "id").distinct(), "key")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"]
+    keep = groups.where("n_shingles > 0").groupBy("component_id").agg(first.alias("kept"), F.lit(True).alias("has_words"))
+    keep = keep.drop("component_id").unionByName(groups.where("n_shingles = 0").select(F.col("key").alias("kept"), F.lit(False).alias("has_words")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    rows = rows.join(keep, rows.key == keep.kept).withColumn("nth", F.when(F.col("has_words"), nth).otherwise(1))
+    return rows.where("nth = 1").select("row.*")

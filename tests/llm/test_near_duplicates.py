@@ -42,3 +42,17 @@ def test_stage_drops_near_copies_by_five_words(spark, sf):
         got = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect())
         root = components(texts, 80, 5)
         assert got == [i for i, r in enumerate(root) if r == i]
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (1, "first text of an id"), (1, "quite another text of the same id"), (2, long), (2, "something else of two"), (3, long + " end"), (1, "first text of an id"),
+        (None, "no id and twice"), (None, "no id and twice"), (None, long), (None, "v " + long), (4, "First  text of an id"), (None, ""), (None, ""), (5, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(docs, 80, 5).collect()), key=str)
+    want = [rows[i] for i in (0, 1, 2, 3, 6, 11, 12, 13)]
+    assert got == sorted(want, key=str)
+    only = spark.createDataFrame([(None, "v " + long), (None, long), (None, long)], "doc_id long, text string")
+    assert jaccard.one_of_each(only, 80, 5).count() == 1
