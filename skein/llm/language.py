@@ -26,6 +26,8 @@ from .quality_model import fold
 UNITS, WINDOW, END = 8, 128, 256
 #: Rows of the sample for each language, at most, and bytes of the longest of them.
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 1 << 15
+#: Languages that one network learns; a table with more is an error.
+MAX_LANGUAGES = 256
 #: Windows that a worker runs at a time.
 TOGETHER = 1024
 LETTER = re.compile(r"[^\W\d_]")
@@ -156,20 +158,25 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
 
 
 def learned(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
-    """A network for the languages of a bounded sample: up to `rows` rows of each language outside fold 2."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & F.octet_length("text").between(20, SAMPLE_BYTES))
-    ids = texts.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 20)).alias("h"))
-    number = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256).collect()
+    """A network for the languages of a bounded sample: up to `rows` rows of each language outside fold 2, of 20 to
+    SAMPLE_BYTES bytes; of a language that has none such, others, of which the first SAMPLE_BYTES characters are read."""
+    size = F.octet_length("text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_BYTES).alias("text"), "lang", size.between(20, SAMPLE_BYTES).alias("fits"), size.alias("size"))
+    texts = texts.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.col("size") > 0))
+    ids = texts.select("doc_id", "lang", "fits", F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 20)).alias("h"))
+    number = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.count_if("fits").alias("fit")).orderBy(F.desc("fit"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(number) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: name coarser ones")
     chosen = None
     for r in number:
         # a part of the hash range that holds about twice the rows wanted, then exactly the first of them
-        part = ids.where((F.col("lang") == r.lang) & (F.col("h") < F.lit(int((1 << 20) * min(1.0, 2.0 * rows / r["count"])) + 1)))
+        part = ids.where((F.col("lang") == r.lang) & (F.col("fits") == F.lit(r.fit > 0)) & (F.col("h") < F.lit(int((1 << 20) * min(1.0, 2.0 * rows / (r.fit or r["all"]))) + 1)))
         part = part.orderBy("h", "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
         return None
-    chosen = chosen.select(F.col("doc_id").alias("chosen")).distinct()
-    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    chosen = chosen.select("doc_id", "lang", "fits").distinct()
+    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang", "fits"]).select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
     return fitted([(t.as_py(), v.as_py()) for t, v in zip(sample.column("text"), sample.column("lang"))])
 
 
