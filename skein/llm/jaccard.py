@@ -1,20 +1,26 @@
 """Similarity join of whole texts: sets of shingles (WIDTH words, or as many as asked for) whose Jaccard similarity reaches a threshold.
 
-Equal sets are one class from the start. A set's hashes, in order, are cut by position (equal ranges of hashes) into a few
-more blocks than the differences of two linked sets can touch, so linked sets have equal blocks at equal positions. Index
-lists are kept by whole block, position and size class: everything in unequal blocks is skipped, and lists meet sets that
-are alike, not sets that share a common shingle.
+Equal sets are one class from the start. Index lists hold a set at the positions alone that a link can need; everything at
+other positions is skipped, block by block:
 
-Lists join classes to candidate groups. In a group one set is the pivot, and each other set is held as its difference
-from it: what it lacks, D, and what it adds, A. The overlap of any two follows from the pivot's answers,
+- the block of a set's smallest hashes, as many as it may lack and as many again that a linked set must then share;
+- of these the rarest, counted over all sets. Hashes of one set only come first and are in no list, so most sets are in
+  none; a passage that many texts share comes last and is in the lists only of texts that consist of little else. Hashes
+  that hold more than a fixed share of all entries (at most HOT_SHARE of them, by counts that cover every text) come after
+  all others and never meet in one task.
+
+A list is answered through its lowest set: what links to it is settled and needs no pair. Only lists with sets that are not
+yet joined are compared further. There one set of the largest joined part is the pivot, and each other set is held as its
+difference from it: what it lacks, D, and what it adds, A. The overlap of any two follows from the pivot's answers,
 
     |X & Z| = |P| - |D_x| - |D_z| + |D_x & D_z| + |A_x & A_z|,
 
-so whole sets are compared with the pivot only, and answers are derived from small differences. A group is a grid of
-blocks of bounded size, each giving the links' components only; no pairs are emitted, none is lost.
+so whole sets are compared with the pivot only. The sets that are not joined to the pivot meet one another and the rest in
+a grid of blocks of bounded size; those that are joined to it never meet. A block gives the links' components only; no
+pairs are emitted, none is lost, and m near copies of one text cost work in proportion to m.
 
-Shingles and sets are told apart by 64-bit hashes: among k sets the chance that two different ones are taken for equal
-is about k * k / 2**65.
+Shingles and sets are told apart by 64-bit hashes, those of words longer than LONG_WORD bytes by blake2b: among k sets the
+chance that two different ones are taken for equal is about k * k / 2**65.
 
 Cases: a text of fewer words than a shingle has one, its whole sequence; a text without words has none and links with
 nothing; a row without an id is of the class of equal texts and gets that group's smallest id, and links with no other if
@@ -23,12 +29,14 @@ no equal text has an id; repeated rows are one class; an empty table gives an em
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -38,6 +46,12 @@ from .components import components
 SIMILAR, WIDTH = 90, 3
 #: Members of a block, and hashes they may hold together.
 MEMBERS, HASHES = 512, 1 << 20
+#: Entries that a worker holds before it hands them on, entries of a part of the index, and least number of parts.
+HELD, PART, PARTS = 1 << 20, 1 << 20, 64
+#: A hash is hot with more than one in HOT_SHARE of all entries (so there are fewer than HOT_SHARE of them), and LEAST_HOT.
+HOT_SHARE, LEAST_HOT, LEAST_SEEN = 1 << 17, 64, 8
+#: Bytes of a word from which blake2b hashes it: a polynomial modulo a power of two can be fooled by long words.
+LONG_WORD = 64
 #: Candidates up to which their ids (16 bytes each) are broadcast instead of shuffling texts.
 BROADCAST_IDS = 500_000
 
@@ -89,6 +103,8 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         sums = np.concatenate([[_M(0)], np.cumsum(_OF_BYTE[b] * powers(_BASE, len(b))[: len(b)], dtype=np.uint64)])
         word = mixed((sums[end] - sums[start]) * powers(_INVERSE, len(b))[start])
+        for i in np.flatnonzero(end - start > LONG_WORD):
+            word[i] = int.from_bytes(hashlib.blake2b(b[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
         runs = sequences(word, width)
         size = np.array([len(t) + 1 for t in texts])
         first = np.searchsorted(start, np.concatenate([[0], size.cumsum()]))
@@ -115,53 +131,23 @@ def in_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list
             part, size, at = [], 0, i + 1
 
 
-def size_class(n: int, similar: int) -> tuple[int, int, int]:
-    """Number of the class of a set of n, its upper bound and the next one's: linked sets are in one class or in two
-    adjacent ones."""
-    number, upper = 0, smallest(similar)
-    while upper < n:
-        number, upper = number + 1, max(upper + 1, 100 * upper // similar)
-    return number, upper, max(upper + 1, 100 * upper // similar)
-
-
 def smallest(similar: int) -> int:
     """Shingles that a set needs to link with a different one, at least."""
     return -(-similar // (100 - similar))
 
 
-#: Equal blocks that linked sets have beyond one, so that a set may leave out so many blocks that are empty.
-SPARE = 1
-
-
-def blocks(s: np.ndarray, similar: int) -> np.ndarray:
-    """Keys of the blocks of a sorted set, once for its size class and once for the next."""
-    if len(s) < smallest(similar):
-        return np.empty(0, np.int64)
-    number, *uppers = size_class(len(s), similar)
-    out = []
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([[_M(0)], np.cumsum(mixed(s ^ _M(0x9FB21C651E98DF25)), dtype=np.uint64)])
-        for c, upper in enumerate(uppers):
-            touched = 2 * upper * (100 - similar) // (100 + similar)
-            k = touched + 1 + SPARE
-            end = np.searchsorted((s >> _M(32)) * _M(k) >> _M(32), np.arange(k, dtype=np.uint64), side="right")
-            size = np.diff(end, prepend=0)
-            keys = mixed(np.diff(sums[end], prepend=_M(0)) + _M(number + c << 40) + np.arange(k, dtype=np.uint64))
-            out.append(keys[size > 0] if (size == 0).sum() <= SPARE else keys)
-    return np.concatenate(out).view(np.int64)
-
-
-def tagged(docs: DataFrame, similar: int, width: int) -> DataFrame:
-    """doc_id, n, cls (hash of the set), keys (of its blocks)."""
-
-    def sets(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in of:
-            for at, texts in in_slices(batch.column("text")):
-                found = shingle_sets(texts, width)
-                cols = [batch.column("doc_id").slice(at, len(texts)), pa.array([len(s) for s in found], pa.int64()), pa.array([identity(s) for s in found], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([blocks(s, similar) for s in found], pa.list_(pa.int64()))], ["doc_id", "n", "cls", "keys"])
+def lengths(n: int, similar: int) -> tuple[int, int]:
+    """How many of a set's n hashes, the smallest ones, are looked at, and how many of these, the rarest, are indexed.
 
-    return docs.mapInArrow(sets, "doc_id long, n long, cls long, keys array<long>")
+    Two linked sets share at least need(n) of what is looked at, for the n of the smaller; so a set of n shares need of
+    the least n that can link to it, and one of those is among the rarest that are left when so many less one are put off.
+    """
+    if n < smallest(similar):
+        return 0, 0
+    kept = lambda n: -(-similar * n // 100)
+    need = lambda n: min(n - kept(n) + 1, kept(n))
+    whole = min(n, n - kept(n) + need(n))
+    return whole, whole - need(kept(n)) + 1
 
 
 def identity(s: np.ndarray) -> int | None:
@@ -170,19 +156,188 @@ def identity(s: np.ndarray) -> int | None:
         return int(mixed(np.array([s.sum() + _M(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else None
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
-    """Edges a, b from each class of a list to the list's smallest; classes(cls, keys), a class perhaps more than once."""
-    entries = classes.select("cls", F.explode("keys").alias("key"))
-    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-    lists = C.written(lists.where("low < high"))
-    two = lists.where("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    more = entries.join(lists.where("size > 2").select("key", "low"), "key")
-    return two.unionByName(more.select(F.col("cls").alias("a"), F.col("low").alias("b"))).where("a <> b").distinct()
+def local_counts(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that occur often in held, and how often."""
+    key, times = np.unique(np.concatenate(held), return_counts=True)
+    often = times >= max(LEAST_SEEN, int(times.sum()) // HOT_SHARE)
+    return key[often].view(np.int64), times[often]
+
+
+def measured(docs: DataFrame, similar: int, width: int) -> DataFrame:
+    """doc_id, n, cls (hash of the set), whole, rare (see lengths) of every row; and rows with often, times (arrays) alone,
+    the hashes that occur often among the entries that a worker held."""
+    names = ["doc_id", "n", "cls", "whole", "rare", "often", "times"]
 
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        key, times = local_counts(held)
+        none = [pa.nulls(1, pa.int64())] * 5
+        return pa.RecordBatch.from_arrays([*none, pa.array([key], pa.list_(pa.int64())), pa.array([times], pa.list_(pa.int64()))], names)
 
-def differences(sets: DataFrame) -> DataFrame:
-    """grp, cls, n, p (the pivot's size), lacks, adds (hashes as bytes) from sets(grp, cls, n, hashes)."""
-    pivots = sets.where("cls = grp").select(F.col("grp").alias("pivot"), F.col("hashes").alias("whole"))
+    def sets(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
+        for batch in of:
+            for at, texts in in_slices(batch.column("text")):
+                found = shingle_sets(texts, width)
+                cls = [identity(s) for s in found]
+                cut = [lengths(len(s), similar) for s in found]
+                longs = lambda v: pa.array(v, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(texts)), longs([len(s) for s in found]), longs(cls), longs([c[0] for c in cut]), longs([c[1] for c in cut])]
+                    + [pa.nulls(len(texts), pa.list_(pa.int64()))] * 2,
+                    names,
+                )
+                for s, c, (whole, _) in zip(found, cls, cut):
+                    if whole and c not in seen:
+                        seen.add(c)
+                        held.append(s[:whole])
+                        size += whole
+                if size >= HELD:
+                    yield counted(held)
+                    held, size, seen = [], 0, set()
+        if held:
+            yield counted(held)
+
+    return docs.mapInArrow(sets, "doc_id long, n long, cls long, whole long, rare long, often array<long>, times array<long>")
+
+
+def hot_hashes(rows: DataFrame) -> np.ndarray:
+    """The hot hashes, sorted: fewer than HOT_SHARE, whatever the number of texts."""
+    entries = rows.agg(F.sum("whole")).first()[0] or 0
+    each = rows.where("often is not null").select(F.explode(F.arrays_zip("often", "times")).alias("o")).groupBy(F.col("o.often").alias("key"))
+    got = each.agg(F.sum("o.times").alias("times")).where(F.col("times") > max(LEAST_HOT, entries // HOT_SHARE)).select("key").toArrow()
+    return np.sort(got.column("key").to_numpy().view(np.uint64))
+
+
+def is_in(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
+
+
+def distinct_sets(of: Iterator[pa.RecordBatch], similar: int, width: int) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Class, hashes that are looked at and number to be indexed of the sets of rows with an id; repetitions are left out
+    as far as a worker remembers."""
+    seen: set[int] = set()
+    for batch in of:
+        for _, texts in in_slices(batch.column("text")):
+            for s in shingle_sets(texts, width):
+                whole, rare = lengths(len(s), similar)
+                if whole and (c := identity(s)) not in seen:
+                    if len(seen) >= HELD:
+                        seen.clear()
+                    seen.add(c)
+                    yield c, s[:whole], rare
+
+
+def dealt(docs: DataFrame, similar: int, width: int, hot: Broadcast, parts: int) -> DataFrame:
+    """part, blob: the entries of a part of the index, all upper halves of hashes and then all classes. Hot hashes are in
+    none."""
+
+    def blobs(cls: list[int], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        owner = np.repeat(np.array(cls, np.int64), [len(s) for s in held])
+        s = np.concatenate(held)
+        part = ((s & _M(0xFFFFFFFF)) * _M(parts) >> _M(32)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, key, owner = part[order], (s[order] >> _M(32)).astype(np.uint32), owner[order]
+        at = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = [*at[1:].tolist(), len(part)]
+        for i in range(0, len(at), 64):
+            some = list(zip(at[i : i + 64].tolist(), ends[i : i + 64]))
+            yield pa.RecordBatch.from_arrays([pa.array(part[at[i : i + 64]], pa.int32()), pa.array([key[a:b].tobytes() + owner[a:b].tobytes() for a, b in some], pa.binary())], ["part", "blob"])
+
+    def entries(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls, held, size = [], [], 0
+        for c, s, _ in distinct_sets(of, similar, width):
+            cls.append(c)
+            held.append(s[~is_in(s, hot.value)])
+            size += len(held[-1])
+            if size >= HELD:
+                yield from blobs(cls, held)
+                cls, held, size = [], [], 0
+        if size:
+            yield from blobs(cls, held)
+
+    return docs.where("doc_id is not null").mapInArrow(entries, "part int, blob binary")
+
+
+def shared_entries(dealt_out: DataFrame) -> DataFrame:
+    """cls, key, times of the entries whose hash times classes have, at least two."""
+
+    def shared(group: pa.Table) -> pa.Table:
+        part = group.column("part")[0].as_py()
+        blobs = [b.as_buffer() for b in group.column("blob")]
+        n = [len(b) // 12 for b in blobs]
+        key = np.concatenate([np.frombuffer(b, np.uint32, k) for b, k in zip(blobs, n)])
+        cls = np.concatenate([np.frombuffer(b, np.int64, k, 4 * k) for b, k in zip(blobs, n)])
+        order = np.lexsort((cls, key))
+        key, cls = key[order], cls[order]
+        new_key = np.append(True, key[1:] != key[:-1])
+        keep = new_key | np.append(True, cls[1:] != cls[:-1])  # a class that several workers had
+        key, cls = key[keep], cls[keep]
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        times = np.diff(np.append(at, len(key)))
+        times = np.repeat(times, times)
+        many = times > 1
+        return pa.table({"cls": cls[many], "key": key[many].astype(np.int64) | np.int64(part) << np.int64(32), "times": times[many]})
+
+    return dealt_out.groupBy("part").applyInArrow(shared, "cls long, key long, times long")
+
+
+def hot_entries(docs: DataFrame, similar: int, width: int, hot: Broadcast) -> DataFrame:
+    """cls, n_hot, keys of the classes that hold hot hashes: how many, and those to be indexed for want of others."""
+
+    def found(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for c, s, rare in distinct_sets(of, similar, width):
+            own = s[is_in(s, hot.value)]
+            if len(own):
+                # the sign tells these keys from all others
+                need = max(0, rare - (len(s) - len(own)))
+                rows.append((c, len(own), (own[:need] | _M(1 << 63)).view(np.int64)))
+            if len(rows) >= 1000:
+                yield batch(rows)
+                rows = []
+        if rows:
+            yield batch(rows)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], ["cls", "n_hot", "keys"])
+
+    return docs.where("doc_id is not null").mapInArrow(found, "cls long, n_hot long, keys array<long>")
+
+
+def index_lists(docs: DataFrame, rows: DataFrame, classes: DataFrame, similar: int, width: int) -> DataFrame:
+    """key, cls: the index lists that hold more than one class."""
+    spark = docs.sparkSession
+    hot = hot_hashes(rows)
+    shared = spark.sparkContext.broadcast(hot)
+    parts = max(PARTS, (rows.agg(F.sum("whole")).first()[0] or 0) // PART)
+    entries = shared_entries(dealt(docs, similar, width, shared, parts))
+    entries = entries.join(classes.select(F.col("cls").alias("own"), "whole", "rare"), F.col("cls") == F.col("own")).drop("own")
+    of_hot = None
+    if len(hot):
+        of_hot = C.written(hot_entries(docs, similar, width, shared)).dropDuplicates(["cls"])
+        entries = entries.join(of_hot.select(F.col("cls").alias("own"), "n_hot"), F.col("cls") == F.col("own"), "left").drop("own")
+    else:
+        entries = entries.withColumn("n_hot", F.lit(0).cast("long"))
+    # hashes that no other class has come first in the order and use up positions
+    of_class = Window.partitionBy("cls")
+    alone = F.col("whole") - F.coalesce("n_hot", F.lit(0)) - F.count(F.lit(1)).over(of_class)
+    entries = entries.withColumn("alone", alone).where("alone < rare")
+    entries = entries.withColumn("nth", F.row_number().over(of_class.orderBy("times", "key"))).where("nth <= rare - alone").select("key", "cls")
+    if of_hot is not None:
+        entries = entries.unionByName(of_hot.select(F.explode("keys").alias("key"), "cls"))
+    return C.written(entries)
+
+
+def lows(lists: DataFrame, value: str) -> DataFrame:
+    """key, low: the smallest value of each list that holds more than one."""
+    ends = lists.groupBy("key").agg(F.min(value).alias("low"), F.max(value).alias("high")).where("low < high")
+    # a table of its own: a join with it can then split a list of many entries
+    return C.written(ends.select("key", "low"))
+
+
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The columns of pairs(cls, pivot, ...), n, p (the pivot's size), lacks, adds (hashes as bytes) from sets(cls, n, hashes)."""
+    extra = [c for c in pairs.columns if c not in ("cls", "pivot")]
 
     def differ(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in of:
@@ -196,10 +351,18 @@ def differences(sets: DataFrame) -> DataFrame:
                 p.append(len(y))
                 lacks.append(y[left].tobytes())
                 adds.append(x[~both].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("cls"), batch.column("n"), pa.array(p, pa.int64()), pa.array(lacks, pa.binary()), pa.array(adds, pa.binary())], ["grp", "cls", "n", "p", "lacks", "adds"])
+            names = ["cls", "pivot", *extra, "n"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(p, pa.int64()), pa.array(lacks, pa.binary()), pa.array(adds, pa.binary())], [*names, "p", "lacks", "adds"])
+
+    both = pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("pivot"), F.col("hashes").alias("whole")), "pivot")
+    kinds = "".join(f", {c} {pairs.schema[c].dataType.simpleString()}" for c in extra)
+    return both.select("cls", "pivot", *extra, "n", "hashes", "whole").mapInArrow(differ, f"cls long, pivot long{kinds}, n long, p long, lacks binary, adds binary")
 
-    both = sets.join(pivots, sets.grp == pivots.pivot).select("grp", "cls", "n", "hashes", "whole")
-    return both.mapInArrow(differ, "grp long, cls long, n long, p long, lacks binary, adds binary")
+
+def links_with_pivot(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """a, b of the pairs(cls, pivot) that link."""
+    got = differences(pairs, sets).withColumn("c", F.col("p") - (F.octet_length("lacks") / 8).cast("long"))
+    return got.where(100 * F.col("c") >= similar * (F.col("n") + F.col("p") - F.col("c"))).select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
 
 
 def overlaps(rows: list[np.ndarray], wide: int = 4096) -> np.ndarray:
@@ -245,24 +408,59 @@ def roots(link: np.ndarray) -> np.ndarray:
     return out
 
 
+def open_groups(lists: DataFrame, settled: DataFrame) -> DataFrame:
+    """cls, pivot, open of the classes in lists whose sets are not all joined: groups that these lists connect. The pivot is
+    of the largest joined part of its group; open are the classes of other parts."""
+    lists = lists.join(settled, lists.cls == settled.node, "left").select("key", "cls", F.coalesce("root", "cls").alias("part"))
+    lists = C.written(lists)
+    of_parts = lists.join(lows(lists, "part"), "key").select("cls", "part", "low")
+    of_parts = C.written(of_parts.distinct())
+    groups = components(of_parts.select(F.col("part").alias("a"), F.col("low").alias("b")).where("a <> b").distinct())
+    member = of_parts.select("cls", "part").distinct().join(groups, F.col("part") == groups.node).select("cls", "part", F.col("root").alias("grp"))
+    member = C.written(member)
+    largest = member.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("low"))
+    largest = C.written(largest.groupBy("grp").agg(F.max_by(F.struct("part", "low"), F.struct("n", F.negative("part"))).alias("top")))
+    return member.join(largest.select("grp", "top.*").withColumnRenamed("part", "main").withColumnRenamed("low", "pivot"), "grp").select("cls", "pivot", (F.col("part") != F.col("main")).alias("open"))
+
+
 def verified_edges(parts: DataFrame, similar: int) -> DataFrame:
-    """Edges a, b that join exactly the classes which links join, from differences(...)."""
-    size = parts.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / MEMBERS), F.ceil(F.sum(F.octet_length("lacks") + F.octet_length("adds")) / (8 * HASHES))).cast("int").alias("blocks"))
-    dealt = parts.join(size, "grp").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "p", "lacks", "adds")
+    """Edges a, b that join what links join, from differences(...) with `open`: the open classes of a group meet all of it,
+    in a grid of blocks, the others only those."""
+    held = F.octet_length("lacks") + F.octet_length("adds")
+    blocks = lambda c: F.greatest(F.ceil(F.count_if(c) / MEMBERS), F.ceil(F.sum(F.when(c, held)) / (8 * HASHES)), F.lit(0)).cast("int")
+    size = C.written(parts.groupBy("pivot").agg(blocks(F.col("open")).alias("nu"), blocks(~F.col("open")).alias("ns")))
+    rows = parts.join(size, "pivot").where("nu > 0")
+    rows = rows.withColumn("own", F.when(F.col("open"), F.pmod(F.xxhash64("cls"), F.col("nu"))).otherwise(F.col("nu") + F.pmod(F.xxhash64("cls"), F.col("ns"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("open"), F.col("nu") + F.col("ns")).otherwise(F.col("nu")) - 1)))
+    rows = rows.select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "p", "lacks", "adds")
 
     def links(group: pa.Table) -> pa.Table:
         group = group.sort_by("cls")
         cls = group.column("cls").to_numpy()
-        first = np.concatenate([[True], cls[1:] != cls[:-1]])  # a class whose text stands in several rows came as often
-        group, cls = group.filter(pa.array(first)), cls[first]
         hashes = lambda c: [np.frombuffer(b.as_buffer(), np.uint64) for b in group.column(c)]
         root = roots(linked(group.column("n").to_numpy(), group.column("p")[0].as_py(), hashes("lacks"), hashes("adds"), similar))
         own = root != np.arange(len(root))
         return pa.table({"a": cls[own], "b": cls[root[own]]})
 
-    return dealt.groupBy("grp", "i", "j").applyInArrow(links, "a long, b long")
+    return rows.groupBy("pivot", "i", "j").applyInArrow(links, "a long, b long")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """cls, n, hashes (sorted, as bytes) of the classes of wanted(cls, least), from the text of their smallest id."""
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+
+    def hashes(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in of:
+            for at, texts in in_slices(batch.column("text")):
+                part = batch.slice(at, len(texts))
+                sets = shingle_sets(texts, width)
+                own = pa.array([identity(s) or 0 for s in sets], pa.int64())
+                cols = [part.column("cls"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["cls", "n", "hashes"]).filter(pc.equal(own, part.column("cls")))  # an id may stand before several texts
+
+    texts = docs.join(wanted, docs.doc_id == wanted.least).select("cls", "text")
+    return C.written(texts.mapInArrow(hashes, "cls long, n long, hashes binary").dropDuplicates(["cls"]))
 
 
 def joined(docs: DataFrame, similar: int = SIMILAR, width: int = WIDTH) -> DataFrame:
@@ -273,30 +471,24 @@ def joined(docs: DataFrame, similar: int = SIMILAR, width: int = WIDTH) -> DataF
 
 def grouped(docs: DataFrame, similar: int, width: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = C.written(tagged(docs, similar, width))
-    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
+    every = C.written(measured(docs, similar, width))
+    rows = every.where("often is null")
+    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("whole").alias("whole"), F.first("rare").alias("rare"))
     classes = C.written(classes)
-    one = rows.where("size(keys) > 0 and doc_id is not null").join(classes, "cls").where("doc_id = least").select("cls", "keys")
-    groups = components(candidate_edges(one))
-    groups = C.written(groups.join(classes, groups.node == classes.cls).select(F.col("node").alias("cls"), F.col("root").alias("grp"), "least"))
 
-    if groups.count() <= BROADCAST_IDS:
-        groups = F.broadcast(groups)
+    lists = index_lists(docs, every, classes, similar, width)
+    pairs = lists.join(lows(lists, "cls"), "key").where("cls <> low").select("cls", F.col("low").alias("pivot")).distinct()
+    pairs = C.written(pairs)
+    nodes = pairs.select("cls").unionByName(pairs.select(F.col("pivot").alias("cls"))).distinct()
+    sets = whole_sets(docs, C.written(nodes.join(classes, "cls").select("cls", "least")), width)
+    links = C.written(links_with_pivot(pairs, sets, similar))
+    found = C.written(components(links))
+    unsettled = C.written(open_groups(lists, found))
+    if not unsettled.isEmpty():
+        more = C.written(verified_edges(C.written(differences(unsettled, sets)), similar))
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
 
-    def hashes(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in of:
-            for at, texts in in_slices(batch.column("text")):
-                part = batch.slice(at, len(texts))
-                sets = shingle_sets(texts, width)
-                own = pa.array([identity(s) or 0 for s in sets], pa.int64())
-                cols = [part.column("grp"), part.column("cls"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                whole = pa.RecordBatch.from_arrays(cols, ["grp", "cls", "n", "hashes"])
-                yield whole.filter(pc.equal(own, part.column("cls")))  # an id may stand before several texts
-
-    texts = docs.join(groups, docs.doc_id == groups.least).select("grp", "cls", "text")
-    sets = C.written(texts.mapInArrow(hashes, "grp long, cls long, n long, hashes binary"))
-    edges = verified_edges(C.written(differences(sets)), similar)
-    found = components(edges)
     least = found.join(classes, found.node == classes.cls).groupBy("root").agg(F.min("least").alias("component_id"))
     found = found.join(least, "root").select(F.col("node").alias("cls"), "component_id")
     # a table of its own: the join below can then split a class of many rows
@@ -309,8 +501,6 @@ def grouped(docs: DataFrame, similar: int, width: int) -> DataFrame:
 def one_of_each(docs: DataFrame, similar: int = SIMILAR, width: int = WIDTH) -> DataFrame:
     """docs with one row of each group, one of the smallest id (without an id where none has one); rows without words all
     stay."""
-    from pyspark.sql import Window
-
     # a row is known by a hash of id and text: ids may be missing or stand before several texts
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keyed = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id"), F.col("text"))

@@ -69,16 +69,49 @@ def test_sets_are_those_of_the_definition():
     assert len({h for g in got for h in g.tolist()}) == len(flat)
 
 
-def test_linked_sets_share_a_block():
+@pytest.mark.parametrize("similar", [50, 80, 90])
+def test_linked_sets_share_an_entry(similar):
+    """Whatever the hashes' counts, one of the entries of two linked sets is common."""
     rnd = random.Random(5)
-    for _ in range(400):
-        n = rnd.randint(9, 400)
+    seen = 0
+    for _ in range(1500):
+        n = rnd.randint(1, 400)
         x = np.unique(np.array([rnd.getrandbits(64) for _ in range(n)], np.uint64))
-        cut = rnd.randint(0, n // 8)
-        y = np.unique(np.concatenate([np.array(rnd.sample(x.tolist(), n - cut), np.uint64), np.array([rnd.getrandbits(64) for _ in range(rnd.randint(0, n // 10))], np.uint64)]))
+        y = np.unique(np.concatenate([np.array(rnd.sample(x.tolist(), n - rnd.randint(0, n * (100 - similar) // 100)), np.uint64), np.array([rnd.getrandbits(64) for _ in range(rnd.randint(0, n // 10))], np.uint64)]))
         both = len(np.intersect1d(x, y))
-        if 100 * both >= 90 * (len(x) + len(y) - both):
-            assert set(jaccard.blocks(x, 90)) & set(jaccard.blocks(y, 90))
+        if len(y) and len(x) != both and 100 * both >= similar * (len(x) + len(y) - both):
+            seen += 1
+            times = {h: rnd.randint(1, 3) for h in {*x.tolist(), *y.tolist()}}
+            entries = []
+            for s in (x, y):
+                whole, rare = jaccard.lengths(len(s), similar)
+                assert 0 < rare <= whole <= len(s)
+                entries.append(set(sorted(s[:whole].tolist(), key=lambda h: (times[h], h))[:rare]))
+            assert entries[0] & entries[1]
+    assert seen > 200
+
+
+def test_long_words_that_a_polynomial_takes_for_equal():
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    x, y = jaccard.shingle_sets([f"{w} and more words".encode() for w in (word, other)])
+    assert len(np.intersect1d(x, y)) == 1
+
+
+def test_hot_passage_and_many_near_copies(spark, monkeypatch):
+    """Hot hashes, parts of several workers and open groups of several blocks."""
+    for name, value in {"LEAST_HOT": 10, "LEAST_SEEN": 2, "HOT_SHARE": 1 << 9, "HELD": 4000, "MEMBERS": 16}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    text = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    passage, base = text(70), text(120)
+    texts = [text(rnd.choice([5, 30, 100])) + " " + passage for _ in range(150)] + [near(rnd, base, rnd.choice([1, 2, 3, 4, 6])) for _ in range(250)]
+    texts += [passage + " " + text(rnd.choice([1, 2, 3])) for _ in range(60)] + [passage, text(40), text(40)]
+    rnd.shuffle(texts)
+    check(jaccard.joined(frame(spark, texts).repartition(5)).collect(), texts)
 
 
 def test_overlaps():

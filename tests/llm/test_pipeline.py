@@ -8,7 +8,7 @@ import public_tokenizers as P
 
 import corpus_pipeline
 from tests.llm.brute import words
-from tests.llm.test_jaccard import brute
+from tests.llm.test_near_duplicates import components
 from tests.llm.test_rules_pii import base, base_spans
 
 
@@ -46,7 +46,7 @@ def test_stages(spark, sf):
             assert i in kept, r.text[:100]
 
     order = sorted(kept)
-    want = {order[c] for n, c in brute([kept[i].text for i in order]).values()}
+    want = {order[c] for c in components([kept[i].text for i in order], 80, 5)}
     assert {r.doc_id for r in single} == want and all(kept[r.doc_id] == r for r in single) and len(single) == len(want)
 
     assert {r.doc_id: r.text for r in clean} == {i: mask(kept[i].text) for i in want}
