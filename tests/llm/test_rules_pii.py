@@ -43,17 +43,36 @@ def test_ratio_is_that_of_plain_counts(spark):
 
     texts = ["the cat sat on the mat and the dog ran " * 2, "BUY!! NOW!! BUY!! NOW!! BUY!! CHEAP!! BUY!! NOW!! PILLS!! ALL!!", "the dog sat on the cat and the mat ran off", "a b", ""]
     rows = quality_rules.judged(frame(spark, texts), quality_rules.trusted_ids(spark.createDataFrame([(0, 1), (2, 1)], "doc_id long, quality int"))).collect()
-    ends = [[w[-2:] for w in words(t)] for t in texts]
-    keys = [list(zip(es, [*es[1:], None])) for es in ends]
-    flat = {k for ks in keys for k in ks}
-    of = lambda t: spark.createDataFrame([tuple(t)], ",".join(f"c{i} string" for i in range(len(t)))).select(F.pmod(F.hash("*"), F.lit(quality_rules.BUCKETS))).first()[0]
-    bucket = {k: of(k) for k in flat}
-    raw, good = Counter(bucket[k] for ks in keys for k in ks), Counter(bucket[k] for i in (0, 2) for k in keys[i])
-    b = quality_rules.BUCKETS
-    ratio = lambda k: math.log((good[k] + 1) / (good.total() + b)) - math.log(max(raw[k], 1) / (raw.total() + b))
+    flat = spark.createDataFrame([(w,) for w in {w for t in texts for w in words(t)}], "w string")
+    bucket = {r.w: r.b for r in flat.select("w", F.pmod(F.hash("w"), F.lit(quality_rules.BUCKETS)).alias("b")).collect()}
+    keys = [[bucket[w] for w in words(t)] for t in texts]
+    raw, good = Counter(k for ks in keys for k in set(ks)), Counter(k for i in (0, 2) for k in set(keys[i]))
+    share, more = good.total() / raw.total(), quality_rules.SMOOTH
     for r in rows:
-        ks = keys[r["row"].doc_id]
-        assert abs(r.llr - (sum(ratio(bucket[k]) for k in ks) / len(ks) if ks else 0)) < 1e-9
+        i = r["row"].doc_id
+        ratio = lambda k: math.log((good[k] - (i in (0, 2)) + more * share) / ((raw[k] - 1 + more) * share))  # noqa: B023, E731
+        assert abs(r.llr - (sum(map(ratio, keys[i])) / len(keys[i]) if keys[i] else 0)) < 1e-9
+
+
+def test_clean_texts_that_no_label_names_are_kept(spark):
+    """A quarter of the labels is hidden: its good texts of ten words stay, most of its junk goes."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    seen = quality_rules.trusted_ids(labels.where("doc_id % 4 <> 0"))
+    rows = {r["row"].doc_id: r for r in quality_rules.judged(docs, seen).collect()}
+    hidden = [(rows[r.doc_id], r.quality) for r in labels.where("doc_id % 4 = 0").collect()]
+    good, bad = ([r for r, q in hidden if q == v and r.n_words >= 10] for v in (1, 0))
+    assert len(good) > 50 and all(r.kept for r in good if not r.base_failed)
+    assert sum(not r.kept for r in bad) >= 0.7 * len(bad)
+    assert sum(not r.kept for r in bad if not r.base_failed) > 0
+
+
+def test_clashing_columns_and_equal_rows(spark):
+    docs = spark.createDataFrame([(1, "some words of a text", 5, 6, True, 0.5)] * 3, "doc_id long, text string, w int, grams int, kept boolean, llr double")
+    rows = quality_rules.judged(docs, quality_rules.trusted_ids(spark.createDataFrame([(1, 1)], "doc_id long, quality int"))).collect()
+    assert len(rows) == 3 and len({(r.llr, r.kept, r.n_words) for r in rows}) == 1 and rows[0]["row"].w == 5
+    got = pii.reported(docs.selectExpr("*", "1 as t", "2 as found", "3 as `all`")).collect()
+    assert [r.n_email for r in got] == [0, 0, 0]
 
 
 def luhn(d):
