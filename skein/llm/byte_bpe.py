@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import Splitter
+
 #: Cached pre-tokens in a worker and the longest that is cached: some 100 MB.
 CACHED, CACHED_CHARS = 400_000, 48
 #: A block ends with the text that brings it to so many characters.
@@ -30,8 +32,6 @@ TOGETHER = 1600
 
 class ReplayCodec:
     def __init__(self, ranks_file: bytes, pattern: str):
-        import regex
-
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks_file.splitlines() if line)}
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
@@ -40,7 +40,7 @@ class ReplayCodec:
         # \s of the regex module also has U+001C to U+001F, which are not white space in Unicode's sense
         blank = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
         own = pattern.replace(r"[^\s", f"[^{blank}").replace(r"\s", f"[{blank}]").replace(r"\S", f"[^{blank}]")
-        self.split = regex.compile(own).findall
+        self.split = Splitter(own)
         # by the left token: the rank of what it and each right token make together; some 20 MB
         self.rights: list[dict[int, int] | None] = [None] * len(self.bytes_of)
         for token, rank in self.ranks.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,35 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Letters and numbers of the regex module's Unicode that the tokenizers' libraries don't know yet and take for neither
+#: (fixed values, code points and ranges in hexadecimal).
+NEWER = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A "
+    "11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 "
+    "18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
+    "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+
+
+class Splitter:
+    """All matches of a pattern in a text, by the classes of the libraries: NEWER characters are neither letters nor numbers."""
+
+    def __init__(self, pattern: str):
+        import regex
+
+        self.pattern = regex.compile(pattern)
+        self.findall = self.pattern.findall
+        ends = [[int(e, 16) for e in r.split("-")] for r in NEWER.split()]
+        self.newer = re.compile("[" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in ends) + "]")
+        self.has_newer = self.newer.search
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii() or self.has_newer(text) is None:
+            return self.findall(text)
+        # a private character stands for each where the pattern looks
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(self.newer.sub("\ue000", text))]
+
+
 #: Distinct sources up to which their table is held by the driver and broadcast (some 100 bytes each).
 MAX_SOURCES = 100_000
 

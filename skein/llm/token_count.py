@@ -16,11 +16,17 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import Splitter
+
 #: Cached pieces of text in a worker, and the longest that is cached: some 150 MB at most.
 CACHED, CACHED_CHARS = 600_000, 40
 #: White space as Unicode defines it (str.split() also splits at U+001C to U+001F).
 BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 
+#: Lower case of letters that the library knows and Python's Unicode 15.1 does not (fixed values).
+LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for themselves."""
@@ -41,10 +47,8 @@ class HeapCounter:
         self.letters = byte_letters()
         special = [t["content"] for t in stated["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        import regex
-
         split = next(p["pattern"]["Regex"] for p in stated["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split.replace(r"\s", BLANK)).findall
+        self.pieces = Splitter(split.replace(r"\s", BLANK))
         self.blanks = re.compile(f"[{BLANK}]+").split
         self.odd_blanks = re.compile("[\x1c-\x1f]").search
         self.of_word: dict[str, int] = {}
@@ -88,6 +92,8 @@ class HeapCounter:
     def chunk(self, chunk: str) -> int:
         """Tokens of a run without white space or special tokens."""
         lower = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        if not lower.isascii():
+            lower = lower.translate(LOWER)
         total, known = 0, self.of_word
         for word in self.pieces(lower):
             k = known.get(word)

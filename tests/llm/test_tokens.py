@@ -4,7 +4,7 @@ import hashlib
 import public_tokenizers as P
 import pytest
 
-from skein.llm import byte_bpe, queries, token_count
+from skein.llm import byte_bpe, common, queries, token_count
 from tests.llm.brute import ODD, frame
 
 
@@ -53,6 +53,32 @@ def test_identifiers_query(spark, sf, reference):
         assert got[d.doc_id].ids_sha256 == hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in ids)).hexdigest()
 
 
+def test_classes_are_the_libraries_for_every_code_point():
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    for kind in (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]"):
+        library = tiktoken.Encoding("one", pat_str=kind, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        want = bytes(library.encode_ordinary(every)).decode()
+        got = "".join(common.Splitter(kind)(every))
+        assert got.replace("\x1c", "").replace("\x1d", "").replace("\x1e", "").replace("\x1f", "") == want.translate({c: None for c in range(0x1C, 0x20)})
+
+
+def test_newer_characters(spark, reference):
+    """Letters and numbers that the libraries don't know, and every capital whose lower case Python doesn't know."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    ends = [[int(e, 16) for e in r.split("-")] for r in common.NEWER.split()]
+    some = [c for r in ends for c in {r[0], r[-1], (r[0] + r[-1]) // 2}] + list(token_count.LOWER)
+    texts = [f"ab{chr(c)}cd 1{chr(c)}'s {chr(c)}X {chr(c)}{chr(c)}" for c in some]
+    counted = {r.doc_id: r.n_tokens for r in token_count.token_counts(frame(spark, texts), P.path("word_bpe_49k.json")).collect()}
+    coded = {r.doc_id: r.ids for r in byte_bpe.encode_decode(frame(spark, texts), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, keep_ids=True).collect()}
+    for i, text in enumerate(texts):
+        assert counted[i] == len(t.encode(text, add_special_tokens=False).ids), ascii(text)
+        assert coded[i] == reference.encode_ordinary(text), ascii(text)
+
+
 def test_empty_tables_and_other_columns(spark):
     empty = frame(spark, [])
     assert token_count.token_counts(empty, P.path("word_bpe_49k.json")).count() == 0
