@@ -5,9 +5,11 @@ other positions is skipped, block by block:
 
 - the block of a set's smallest hashes, as many as it may lack and as many again that a linked set must then share;
 - of these the rarest, counted over all sets. Hashes of one set only come first and are in no list, so most sets are in
-  none; a passage that many texts share comes last and is in the lists only of texts that consist of little else. Hashes
-  that hold more than a fixed share of all entries (at most HOT_SHARE of them, by counts that cover every text) come after
-  all others and never meet in one task.
+  none; a passage that many texts share comes last. Hashes that hold more than a fixed share of all entries are hot (at
+  most HOT_SHARE of them, by counts that cover every text): they come after all others and never meet in one task.
+- Sets for which such a block has too few hashes that are not hot are hot sets. They meet the others in the lists above,
+  and one another in a second index of the same kind, over all of their hashes instead of a block; hot hashes are listed
+  there for those sets alone that consist of little else.
 
 A list is answered through its lowest set: what links to it is settled and needs no pair. Only lists with sets that are not
 yet joined are compared further. There one set of the largest joined part is the pivot, and each other set is held as its
@@ -212,9 +214,9 @@ def is_in(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
 
 
-def distinct_sets(of: Iterator[pa.RecordBatch], similar: int, width: int) -> Iterator[tuple[int, np.ndarray, int]]:
-    """Class, hashes that are looked at and number to be indexed of the sets of rows with an id; repetitions are left out
-    as far as a worker remembers."""
+def distinct_sets(of: Iterator[pa.RecordBatch], similar: int, width: int, hot: np.ndarray) -> Iterator[tuple[int, np.ndarray, int, np.ndarray, bool]]:
+    """Class, set, number of its hashes that are looked at, which are hot, and whether it is a hot set, of rows with an id;
+    repetitions are left out as far as a worker remembers."""
     seen: set[int] = set()
     for batch in of:
         for _, texts in in_slices(batch.column("text")):
@@ -224,12 +226,13 @@ def distinct_sets(of: Iterator[pa.RecordBatch], similar: int, width: int) -> Ite
                     if len(seen) >= HELD:
                         seen.clear()
                     seen.add(c)
-                    yield c, s[:whole], rare
+                    warm = is_in(s, hot)
+                    yield c, s, whole, warm, bool(whole - warm[:whole].sum() < rare)
 
 
-def dealt(docs: DataFrame, similar: int, width: int, hot: Broadcast, parts: int) -> DataFrame:
-    """part, blob: the entries of a part of the index, all upper halves of hashes and then all classes. Hot hashes are in
-    none."""
+def dealt(docs: DataFrame, similar: int, width: int, hot: Broadcast, parts: int, second: bool) -> DataFrame:
+    """part, blob: the entries of a part of an index, all upper halves of hashes and then all classes; hot hashes are in
+    none. The second index has hot sets only."""
 
     def blobs(cls: list[int], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.array(cls, np.int64), [len(s) for s in held])
@@ -245,9 +248,11 @@ def dealt(docs: DataFrame, similar: int, width: int, hot: Broadcast, parts: int)
 
     def entries(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls, held, size = [], [], 0
-        for c, s, _ in distinct_sets(of, similar, width):
+        for c, s, whole, warm, is_hot in distinct_sets(of, similar, width, hot.value):
+            if second and not is_hot:
+                continue
             cls.append(c)
-            held.append(s[~is_in(s, hot.value)])
+            held.append(s[~warm] if second else s[:whole][~warm[:whole]])
             size += len(held[-1])
             if size >= HELD:
                 yield from blobs(cls, held)
@@ -281,17 +286,20 @@ def shared_entries(dealt_out: DataFrame) -> DataFrame:
     return dealt_out.groupBy("part").applyInArrow(shared, "cls long, key long, times long")
 
 
-def hot_entries(docs: DataFrame, similar: int, width: int, hot: Broadcast) -> DataFrame:
-    """cls, n_hot, keys of the classes that hold hot hashes: how many, and those to be indexed for want of others."""
+def warm_classes(docs: DataFrame, similar: int, width: int, hot: Broadcast) -> DataFrame:
+    """cls, n_hot of the classes with hot hashes in what is looked at; of hot sets also cold (how many are not hot in all),
+    needed (how many the second index wants) and keys, the hot ones that it takes for want of others."""
 
     def found(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for c, s, rare in distinct_sets(of, similar, width):
-            own = s[is_in(s, hot.value)]
-            if len(own):
+        for c, s, whole, warm, is_hot in distinct_sets(of, similar, width, hot.value):
+            n_hot = int(warm[:whole].sum())
+            if is_hot:
+                cold, needed = int(len(s) - warm.sum()), len(s) + 1 + -similar * len(s) // 100
                 # the sign tells these keys from all others
-                need = max(0, rare - (len(s) - len(own)))
-                rows.append((c, len(own), (own[:need] | _M(1 << 63)).view(np.int64)))
+                rows.append((c, n_hot, cold, needed, (s[warm][: max(0, needed - cold)] | _M(1 << 63)).view(np.int64)))
+            elif n_hot:
+                rows.append((c, n_hot, None, None, None))
             if len(rows) >= 1000:
                 yield batch(rows)
                 rows = []
@@ -299,33 +307,36 @@ def hot_entries(docs: DataFrame, similar: int, width: int, hot: Broadcast) -> Da
             yield batch(rows)
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], ["cls", "n_hot", "keys"])
+        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["cls", "n_hot", "cold", "needed", "keys"])
 
-    return docs.where("doc_id is not null").mapInArrow(found, "cls long, n_hot long, keys array<long>")
+    return docs.where("doc_id is not null").mapInArrow(found, "cls long, n_hot long, cold long, needed long, keys array<long>")
+
+
+def rarest(entries: DataFrame) -> DataFrame:
+    """key, cls of the entries to be listed, from shared_entries with cold, needed: hashes that no other class has come
+    first in the order and use up positions."""
+    of_class = Window.partitionBy("cls")
+    entries = entries.withColumn("left", F.col("needed") - F.col("cold") + F.count(F.lit(1)).over(of_class)).where("left > 0")
+    return entries.withColumn("nth", F.row_number().over(of_class.orderBy("times", "key"))).where(F.col("nth") <= F.col("left")).select("key", "cls")
 
 
 def index_lists(docs: DataFrame, rows: DataFrame, classes: DataFrame, similar: int, width: int) -> DataFrame:
-    """key, cls: the index lists that hold more than one class."""
-    spark = docs.sparkSession
+    """key, cls: the index lists; most have more than one class."""
     hot = hot_hashes(rows)
-    shared = spark.sparkContext.broadcast(hot)
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
     parts = max(PARTS, (rows.agg(F.sum("whole")).first()[0] or 0) // PART)
-    entries = shared_entries(dealt(docs, similar, width, shared, parts))
+    entries = shared_entries(dealt(docs, similar, width, shared, parts, False))
     entries = entries.join(classes.select(F.col("cls").alias("own"), "whole", "rare"), F.col("cls") == F.col("own")).drop("own")
-    of_hot = None
-    if len(hot):
-        of_hot = C.written(hot_entries(docs, similar, width, shared)).dropDuplicates(["cls"])
-        entries = entries.join(of_hot.select(F.col("cls").alias("own"), "n_hot"), F.col("cls") == F.col("own"), "left").drop("own")
-    else:
-        entries = entries.withColumn("n_hot", F.lit(0).cast("long"))
-    # hashes that no other class has come first in the order and use up positions
-    of_class = Window.partitionBy("cls")
-    alone = F.col("whole") - F.coalesce("n_hot", F.lit(0)) - F.count(F.lit(1)).over(of_class)
-    entries = entries.withColumn("alone", alone).where("alone < rare")
-    entries = entries.withColumn("nth", F.row_number().over(of_class.orderBy("times", "key"))).where("nth <= rare - alone").select("key", "cls")
-    if of_hot is not None:
-        entries = entries.unionByName(of_hot.select(F.explode("keys").alias("key"), "cls"))
-    return C.written(entries)
+    if not len(hot):
+        return C.written(rarest(entries.withColumns({"cold": F.col("whole"), "needed": F.col("rare")})))
+    warm = C.written(warm_classes(docs, similar, width, shared)).dropDuplicates(["cls"])
+    entries = entries.join(warm.select(F.col("cls").alias("own"), "n_hot"), F.col("cls") == F.col("own"), "left")
+    lists = rarest(entries.withColumns({"cold": F.col("whole") - F.coalesce("n_hot", F.lit(0)), "needed": F.col("rare")}))
+    hot_sets = warm.where("needed is not null")
+    second = shared_entries(dealt(docs, similar, width, shared, parts, True)).withColumn("key", F.col("key").bitwiseOR(1 << 62))
+    second = second.join(hot_sets.select(F.col("cls").alias("own"), "cold", "needed"), F.col("cls") == F.col("own"))
+    return C.written(lists.unionByName(rarest(second)).unionByName(hot_sets.select(F.explode("keys").alias("key"), "cls")))
 
 
 def lows(lists: DataFrame, value: str) -> DataFrame:

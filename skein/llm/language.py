@@ -11,26 +11,25 @@ columns take no part.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality_model import fold
 
 #: Units in each direction; bytes of a window; the symbol after a text's end.
 UNITS, WINDOW, END = 8, 128, 256
-#: Rows of the sample for each language, at most, and bytes of the longest of them.
-SAMPLE_ROWS, SAMPLE_BYTES = 400, 1 << 15
-#: Languages that one network learns; a table with more is an error.
-MAX_LANGUAGES = 256
-#: Windows that a worker runs at a time.
-TOGETHER = 1024
-LETTER = re.compile(r"[^\W\d_]")
+#: Rows of the sample for each language and in all, at most (one of each language at least); bytes of a window to learn from, and
+#: windows that a row gives, spread over its whole text.
+SAMPLE_ROWS, SAMPLE_ALL, LEARN, SPREAD = 400, 40_000, 64, 64
+#: Windows that a network is trained on, for each language and in all.
+TRAIN, TRAIN_ALL = 4000, 400_000
+#: Windows that a worker runs at a time, and probabilities that it holds.
+TOGETHER, HELD = 1024, 1 << 23
 
 
 class Network:
@@ -117,7 +116,7 @@ class Network:
         losses = []
         for i in range(1, rounds + 1):
             pick = rng.integers(0, len(x), batch)
-            loss, g = self.gradients(np.ascontiguousarray(x[pick].T), y[pick])
+            loss, g = self.gradients(np.ascontiguousarray(x[pick].T).astype(np.int64), y[pick])
             size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
             now = rate * (1 - 0.9 * i / rounds)
             for k in self.p:
@@ -144,13 +143,14 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
     """Mean probabilities (texts, languages) over all bytes of each text; zeros for a text without bytes."""
     x, count = windows(texts)
     sums = np.zeros((len(x), len(net.languages)))
-    for at in range(0, len(x), TOGETHER):
-        part = np.ascontiguousarray(x[at : at + TOGETHER].T)
+    together = max(1, min(TOGETHER, HELD // (WINDOW * len(net.languages))))
+    for at in range(0, len(x), together):
+        part = np.ascontiguousarray(x[at : at + together].T)
         inside = part != END
         p = net.probabilities(part)
         if not inside[-1].all():
             p *= inside[:, None, :]
-        sums[at : at + TOGETHER] = p.sum(axis=0).T
+        sums[at : at + together] = p.sum(axis=0).T
     ends = count.cumsum()
     total = np.vstack([np.zeros((1, sums.shape[1])), sums.cumsum(axis=0)])
     mean = total[ends] - total[ends - count]
@@ -158,39 +158,49 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
 
 
 def learned(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
-    """A network for the languages of a bounded sample: up to `rows` rows of each language outside fold 2, of 20 to
-    SAMPLE_BYTES bytes; of a language that has none such, others, of which the first SAMPLE_BYTES characters are read."""
-    size = F.octet_length("text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_BYTES).alias("text"), "lang", size.between(20, SAMPLE_BYTES).alias("fits"), size.alias("size"))
-    texts = texts.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.col("size") > 0))
-    ids = texts.select("doc_id", "lang", "fits", F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 20)).alias("h"))
-    number = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.count_if("fits").alias("fit")).orderBy(F.desc("fit"), "lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(number) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: name coarser ones")
-    chosen = None
-    for r in number:
-        # a part of the hash range that holds about twice the rows wanted, then exactly the first of them
-        part = ids.where((F.col("lang") == r.lang) & (F.col("fits") == F.lit(r.fit > 0)) & (F.col("h") < F.lit(int((1 << 20) * min(1.0, 2.0 * rows / (r.fit or r["all"]))) + 1)))
-        part = part.orderBy("h", "doc_id").limit(rows)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    if chosen is None:
-        return None
-    chosen = chosen.select("doc_id", "lang", "fits").distinct()
-    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang", "fits"]).select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
-    return fitted([(t.as_py(), v.as_py()) for t, v in zip(sample.column("text"), sample.column("lang"))])
-
-
-def fitted(rows: list[tuple[str, str]], rounds: int = 240) -> Network | None:
+    """A network for all languages of docs, from a bounded sample of up to `rows` rows of each language outside fold 2."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    texts = texts.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.octet_length("text") > 0))
+    texts = texts.withColumn("h", F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 40)))
+    counts = texts.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    each = max(1, min(rows, SAMPLE_ALL // max(1, counts.count())))
+    # a part of the hash range that holds some more rows than wanted, and of these exactly the first
+    part = texts.select("lang", "h").join(counts, F.col("lang") == F.col("of"))
+    part = part.where(F.col("h") < (1 << 40) * ((2.0 * each + 32) / F.col("n"))).select("lang", "h").distinct()
+    chosen = part.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("nth") <= each).drop("nth")
+
+    def spread(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in of:
+            found = [some_windows(t.as_py().encode()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("lang"), pa.array(found, pa.binary())], ["h", "lang", "bytes"])
+
+    sample = texts.join(F.broadcast(chosen), ["lang", "h"]).select("h", "lang", "text").mapInArrow(spread, "h long, lang string, bytes binary")
+    sample = sample.dropDuplicates(["h", "lang"]).toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
+    return fitted([(t.as_py(), v.as_py()) for t, v in zip(sample.column("bytes"), sample.column("lang"))])
+
+
+def some_windows(text: bytes) -> bytes:
+    """SPREAD windows of a longer text, evenly spaced from its beginning to its end."""
+    if len(text) <= SPREAD * LEARN:
+        return text
+    starts = np.linspace(0, len(text) - LEARN, SPREAD).astype(int)
+    return b"".join(text[i : i + LEARN] for i in starts.tolist())
+
+
+def fitted(rows: list[tuple[bytes, str]], rounds: int = 240) -> Network | None:
     languages = sorted({lang for _, lang in rows})
     if not languages:
         return None
-    net = Network(languages)
-    x, count = windows([t.encode() for t, _ in rows], 64)
-    y = np.repeat(np.array([languages.index(lang) for _, lang in rows]), count)
+    net, number = Network(languages), {lang: i for i, lang in enumerate(languages)}
+    x, count = windows([t for t, _ in rows], LEARN)
+    y = np.repeat(np.array([number[lang] for _, lang in rows]), count)
     # languages weigh the same, and so do texts: windows are drawn with repetition from each
     rng = np.random.default_rng(1)
-    pick = np.concatenate([rng.choice(np.flatnonzero(y == i), 4000) for i in range(len(languages)) if (y == i).any()])
-    net.train(x[pick].astype(np.int64), y[pick], rounds=rounds)
+    each = max(1, min(TRAIN, TRAIN_ALL // len(languages)))
+    order = np.argsort(y, kind="stable")
+    ends = np.searchsorted(y[order], np.arange(len(languages) + 1))
+    pick = np.concatenate([rng.choice(order[i:j], each) for i, j in zip(ends[:-1], ends[1:])])
+    net.train(x[pick], y[pick], rounds=rounds)
     return net
 
 
@@ -204,7 +214,7 @@ def labelled(docs: DataFrame, net: Network | None) -> DataFrame:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 texts = batch.column("text").to_pylist()
-                worth = [net is not None and bool(t) and LETTER.search(t) is not None for t in texts]
+                worth = [net is not None and bool(t) and any(map(str.isalpha, t)) for t in texts]
                 lang, score = ["und"] * len(texts), [0.0] * len(texts)
                 some = [i for i, w in enumerate(worth) if w]
                 if some:

@@ -1,5 +1,3 @@
-import pytest
-
 from skein.llm import language
 
 
@@ -9,7 +7,15 @@ def test_every_language_is_learnt_or_none(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(language, "fitted", lambda some: seen.extend(some))
     language.learned(docs)
-    assert {lang for _, lang in seen} == {"en", "fr", "de"} and max(len(t) for t, _ in seen) == language.SAMPLE_BYTES
-    many = spark.range(257 * 40).selectExpr("id as doc_id", "'long enough for a sample' as text", "'l' || id % 257 as lang")
-    with pytest.raises(ValueError):
-        language.learned(many)
+    assert {lang for _, lang in seen} == {"en", "fr", "de"} and max(len(t) for t, _ in seen) == language.SPREAD * language.LEARN
+    many = spark.range(300 * 40).selectExpr("id as doc_id", "'long enough for a sample' as text", "'l' || id % 300 as lang")
+    seen.clear()
+    language.learned(many)
+    assert {lang for _, lang in seen} == {f"l{i}" for i in range(300)}
+
+
+def test_three_hundred_languages_are_labelled(spark):
+    net = language.fitted([(f"text {i}".encode(), f"l{i}") for i in range(300)], rounds=2)
+    got = language.labelled(spark.createDataFrame([(1, "some text"), (None, "some text"), (2, "²½Ⅷ① 12")], "doc_id long, text string"), net).collect()
+    assert [r.lang_pred for r in got if r.doc_id == 2] == ["und"] and len({r.lang_pred for r in got if r.doc_id != 2}) == 1
+    assert {r.doc_id: r.held_out for r in got} == {1: False, None: False, 2: False}

@@ -91,7 +91,7 @@ def test_language_on_rows_held_out(spark):
 
 
 def test_pooling_is_that_of_single_texts():
-    net = language.fitted([("the cat and the dog " * 3, "en"), ("le chat et le chien " * 3, "fr")] * 5, rounds=30)
+    net = language.fitted([(b"the cat and the dog " * 3, "en"), (b"le chat et le chien " * 3, "fr")] * 5, rounds=30)
     texts = [b"the cat", b"x" * 1000, b"le chat et le chien " * 40, b"", "é".encode()]
     together = language.pooled(net, texts)
     for t, row in zip(texts, together):
