@@ -122,7 +122,8 @@ def dilate(mask: np.ndarray, times: int = 1) -> np.ndarray:
 
 
 def erode(mask: np.ndarray, times: int = 1) -> np.ndarray:
-    return ~dilate(np.pad(~mask, times, constant_values=True), times)[times:-times, times:-times] if times else mask
+    """What is left where the background grows; the image's border doesn't eat into the mask."""
+    return ~dilate(~mask, times)
 
 
 def label(mask: np.ndarray, eight: bool = False) -> np.ndarray:
@@ -146,31 +147,52 @@ def label(mask: np.ndarray, eight: bool = False) -> np.ndarray:
     return out
 
 
-def fill_holes(mask: np.ndarray, most: int = 800) -> np.ndarray:
-    """Fills background components that don't touch the border and have so many pixels at most."""
-    found = label(~mask)
-    border = np.unique(np.concatenate([found[0], found[-1], found[:, 0], found[:, -1]]))
-    size = np.bincount(found.ravel())
-    holes = [i for i in range(1, len(size)) if i not in border and size[i] <= most]
-    return mask | np.isin(found, holes)
+#: Channel from which a pixel is near white, alpha under which it is transparent, pixels of an interior blob,
+#: share of an image beyond which clearing is refused, pixels of the largest hole to fill.
+WHITE, CLEAR_ALPHA, BLOB, MOST_CLEARED, HOLE = 235, 16, 9, 0.35, 800
 
 
-def clear_background(rgb: np.ndarray, alpha: np.ndarray, white: int = 235) -> np.ndarray:
-    """Alpha with what is near white and connected to the border or to transparent pixels made transparent."""
-    pale = (rgb.min(axis=2) >= white) & (alpha > 0)
-    open_ = pale | (alpha == 0)
-    found = label(open_)
-    seeds = np.unique(np.concatenate([found[0], found[-1], found[:, 0], found[:, -1], found[alpha == 0]]))
-    return np.where(pale & np.isin(found, seeds[seeds > 0]), 0, alpha)
+def edge_labels(found: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([found[0], found[-1], found[:, 0], found[:, -1]]))
 
 
-def clear_blobs(rgb: np.ndarray, alpha: np.ndarray, least: int = 9, most_share: float = 0.35) -> np.ndarray:
-    """Alpha without interior blobs of pure white of so many pixels; as it was if that clears too large a share."""
-    found = label((rgb.min(axis=2) == 255) & (alpha > 0))
-    size = np.bincount(found.ravel())
-    blobs = [i for i in range(1, len(size)) if size[i] >= least]
-    gone = np.isin(found, blobs)
-    return alpha if gone.sum() > most_share * max(1, (alpha > 0).sum()) else np.where(gone, 0, alpha)
+def fill_holes(mask: np.ndarray, most: int = HOLE) -> np.ndarray:
+    """Fills background components (of eight neighbours) that don't touch the border and have so many pixels at most."""
+    found = label(~mask, eight=True)
+    fill = np.bincount(found.ravel()) <= most
+    fill[edge_labels(found)] = False
+    fill[0] = False
+    return mask | fill[found]
+
+
+def background(rgb: np.ndarray, alpha: np.ndarray, white: int = WHITE, pure: int = 255, least: int = BLOB) -> np.ndarray:
+    """Which opaque pixels are background: near white and connected (by eight neighbours) to the border or beside a
+    transparent pixel, and blobs of pure white of so many pixels elsewhere."""
+    clear = alpha < CLEAR_ALPHA
+    darkest = rgb.min(axis=2)
+    pale = (darkest >= white) & ~clear
+    found = label(pale, eight=True)
+    beside = np.logical_or.reduce([shifted(clear, dy, dx) for dy, dx in neighbours(False)])
+    flooded = np.zeros(found.max() + 1, bool)
+    flooded[edge_labels(found)] = True
+    flooded[found[beside]] = True
+    flooded[0] = False
+    edge = flooded[found]
+    inner = label((darkest >= pure) & ~clear & ~edge)
+    big = np.bincount(inner.ravel()) >= least
+    big[0] = False
+    return edge | big[inner]
+
+
+def cleared(rgb: np.ndarray, alpha: np.ndarray, white: int = WHITE, pure: int = 255, least: int = BLOB, most_share: float = MOST_CLEARED) -> np.ndarray:
+    """Alpha with the background transparent; as it was if that is too large a share of the image."""
+    gone = background(rgb, alpha, white, pure, least)
+    return alpha if gone.sum() > most_share * gone.size else np.where(gone, 0, alpha)
+
+
+def foreground(ink: np.ndarray, closing: int, hole: int = HOLE) -> np.ndarray:
+    """The mask closed by so many pixels, its holes filled."""
+    return fill_holes(erode(dilate(ink, closing), closing) if closing else ink, hole)
 
 
 def by_image(pixels: DataFrame, columns: Sequence[str], f: Callable[..., np.ndarray], result: str, kind: str = "long") -> DataFrame:
@@ -190,16 +212,16 @@ def by_image(pixels: DataFrame, columns: Sequence[str], f: Callable[..., np.ndar
     return pixels.drop(result).groupBy("image_id").applyInPandas(run, f"{fields}, `{result}` {kind}")
 
 
-def best_tolerance(pixels: DataFrame, background: DataFrame, tolerances: Sequence[int], least_area: int, largest_share: float = 0.25) -> DataFrame:
-    """Tries each tolerance: foreground is what differs from the background by more; the score is the number of
-    components of at least `least_area` pixels and at most a share of the image. image_id, tolerance, score; ties to the
-    first tolerance."""
+def best_tolerance(pixels: DataFrame, background: DataFrame, tolerances: Sequence[int], least_area: int, parts: int = 4, closing: int = 0, hole: int = HOLE) -> DataFrame:
+    """Tries each tolerance: foreground is what differs from the background by more, closed and without holes; the score is
+    the number of its components of at least `least_area` pixels and at most one of so many parts of the image. image_id,
+    tolerance, score; ties to the first tolerance."""
     bg = background.select("image_id", *[F.col(c).alias(f"bg_{c}") for c in RGB])
     far = F.greatest(*[F.abs(F.col(c) - F.col(f"bg_{c}")) for c in RGB])
     rows = pixels.join(bg, "image_id").withColumn("t", F.explode(F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(t).alias("tolerance")) for i, t in enumerate(tolerances)])))
     rows = rows.select(F.col("image_id").alias("of"), F.concat_ws(":", "image_id", "t.ord").alias("image_id"), "t.ord", "t.tolerance", "y", "x", (far > F.col("t.tolerance")).alias("ink"))
-    found = by_image(rows, ["ink"], label, "label").where("label > 0").groupBy("of", "ord", "tolerance", "label").agg(F.count(F.lit(1)).alias("area"))
-    size = pixels.groupBy(F.col("image_id").alias("of")).agg(F.count(F.lit(1)).alias("all"))
-    score = found.join(size, "of").groupBy("of", "ord", "tolerance").agg(F.count_if((F.col("area") >= least_area) & (F.col("area") <= F.col("all") * largest_share)).alias("score"))
-    best = score.groupBy("of").agg(F.max(F.struct("score", (-F.col("ord")).alias("first"), "tolerance")).alias("s"))
+    area = by_image(rows, ["ink"], lambda ink: label(foreground(ink, closing, hole)), "label").groupBy("of", "ord", "tolerance", "label").agg(F.count(F.lit(1)).alias("area"))
+    whole = area.groupBy("of", "ord", "tolerance").agg(F.sum("area").alias("all"), F.collect_list(F.when(F.col("label") > 0, F.col("area"))).alias("areas"))
+    score = F.size(F.filter("areas", lambda a: (a >= least_area) & (a <= F.floor(F.col("all") / parts))))
+    best = whole.withColumn("score", score.cast("long")).groupBy("of").agg(F.max(F.struct("score", (-F.col("ord")).alias("first"), "tolerance")).alias("s"))
     return best.select(F.col("of").alias("image_id"), "s.tolerance", "s.score")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,22 @@ def mode_first_seen(rows: DataFrame, by: str, value: str, order: str) -> DataFra
     return each.groupBy(by).agg(F.min_by(value, F.struct((-F.col("c")).alias("k"), "first")).alias(value), F.sum("c").alias("members"))
 
 
+def most_common(rows: DataFrame, value: str, order: str, most: int | None = None) -> DataFrame:
+    """value, n, place: counts in falling order, equally common ones as first seen; the first so many."""
+    each = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
+    ranked = each.orderBy(F.desc("n"), "first") if most is None else each.orderBy(F.desc("n"), "first").limit(most)
+    place = F.row_number().over(Window.orderBy(F.desc("n"), "first"))  # over distinct values, or `most` of them
+    return ranked.withColumn("place", place).select(value, "n", "place")
+
+
+def unit_centroids(rows: DataFrame, by: str, vector: str) -> DataFrame:
+    """by, v: the mean of each group's vectors, each scaled to length one before and the mean after."""
+    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    each = rows.select(by, F.posexplode(F.transform(vector, lambda x: x.cast("double") / length)).alias("i", "x"))
+    mean = each.groupBy(by, "i").agg(F.avg("x").alias("x")).groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("v"))
+    return mean.select(by, F.transform("v", lambda x: x / F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, y: a + y * y))).alias("v"))
+
+
 def histogram(rows: DataFrame, value: Column, name: str) -> DataFrame:
     """Counts of each value, missing ones as `null`."""
     return rows.groupBy(F.coalesce(value.cast("string"), F.lit("null")).alias(name)).agg(F.count(F.lit(1)).alias("n"))
@@ -77,18 +95,46 @@ def overlap_audit(rows: DataFrame, group: str, key: str, tokens: str) -> DataFra
     return members.where("members >= 2").join(pairs, group).join(shared, group, "left").na.fill(0, ["shared"])
 
 
-def suspicious(audit: DataFrame, below: float) -> DataFrame:
-    return audit.where((F.col("least") < below) & (F.col("shared") < 2))
+def flagged(below: float) -> Column:
+    """Whether a group of overlap_audit is suspicious: little overlap and hardly a word that all share."""
+    return (F.col("least") < below) & (F.col("shared") < 2)
+
+
+def suspicious(audit: DataFrame, below: float, group: str | None = None) -> DataFrame:
+    """The suspicious groups, the least overlap (to three digits) first, then by group."""
+    return audit.where(flagged(below)).orderBy(F.round("least", 3), F.col(group or audit.columns[0]))
+
+
+#: Entries from which a palette is no longer written into the plan.
+LONG_PALETTE = 256
+
+
+def nearest_of_many(rows: DataFrame, channels: Sequence[str], entries: list[dict], number: str, others: Sequence[str]) -> DataFrame:
+    table = rows.sparkSession.sparkContext.broadcast((np.array([[e[o] for o in others] for e in entries]), np.array([e[number] for e in entries])))
+
+    @F.pandas_udf("struct<d: long, k: long>")
+    def found(*columns: pd.Series) -> pd.DataFrame:
+        colours, numbers = table.value
+        x = np.stack([c.to_numpy() for c in columns], axis=1)
+        best, at = np.full(len(x), np.iinfo(np.int64).max), np.zeros(len(x), np.int64)
+        for i, colour in enumerate(colours):  # in order of number, so ties stay with the lower
+            d = np.abs(x - colour).max(axis=1)
+            nearer = d < best
+            best[nearer], at[nearer] = d[nearer], numbers[i]
+        return pd.DataFrame({"d": best, "k": at})
+
+    return rows.withColumn("nearest", found(*[F.col(c).cast("long") for c in channels]))
 
 
 def nearest(rows: DataFrame, channels: Sequence[str], palette: DataFrame, number: str, others: Sequence[str]) -> DataFrame:
     """rows with the number of the palette entry nearest by the largest difference of a channel; ties to the lower.
 
-    The palette is a small dimension table of fixed size, so it is an array beside each row and not a join.
+    The palette is a dimension table that the driver holds: an array beside each row, or a broadcast one for Arrow batches
+    where it is long; never a join.
     """
-    entries = sorted((r.asDict() for r in palette.limit(1025).collect()), key=lambda r: r[number])
-    if len(entries) > 1024:
-        raise ValueError("a palette has 1024 entries at most")
+    entries = sorted((r.asDict() for r in palette.collect()), key=lambda r: r[number])
+    if len(entries) > LONG_PALETTE:
+        return nearest_of_many(rows, channels, entries, number, others)
     each = F.array(*[F.struct(F.greatest(*[F.abs(F.col(c) - F.lit(e[o])) for c, o in zip(channels, others)]).alias("d"), F.lit(e[number]).alias("k")) for e in entries])
     return rows.withColumn("nearest", F.array_min(each))
 

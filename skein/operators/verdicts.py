@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.functions.text import trimmed
+
 
 def chain(rules: Sequence[tuple[str, Column]], default: str | None = None) -> Column:
     """Reason of the first condition that holds."""
@@ -14,9 +16,11 @@ def chain(rules: Sequence[tuple[str, Column]], default: str | None = None) -> Co
 
 
 def name_verdict(name: Column, generic: Sequence[str], patterns: Sequence[tuple[str, str]]) -> Column:
-    """null, nullify or keep, with the reason: generic names, (reason, pattern) rules, then single lower-case words."""
-    bare = F.btrim(name)
-    reason = chain([("exact_generic", F.lower(bare).isin(*generic)), *[(r, bare.rlike(p)) for r, p in patterns], ("single_lowercase", bare.rlike(r"^[a-z]+$"))])
+    """null, nullify or keep, with the reason: generic names, (reason, pattern) rules, then single words without a capital
+    first letter."""
+    bare = trimmed(name)
+    single = ~bare.rlike(r"\s") & ~bare.rlike(r"^\p{IsUppercase}")
+    reason = chain([("exact_generic", F.btrim(F.lower(bare), F.lit(' "')).isin(*generic)), *[(r, bare.rlike(p)) for r, p in patterns], ("single_lowercase", single)])
     verdict = F.when(F.coalesce(bare, F.lit("")) == "", "null").when(reason.isNotNull(), "nullify").otherwise("keep")
     return F.struct(verdict.alias("verdict"), F.when(verdict == "nullify", reason).alias("reason"))
 
@@ -51,15 +55,24 @@ def margin_gate(label: Column, margin: Column, least: float) -> Column:
     return F.when(margin >= least, label)
 
 
-def state_decision(current: Column, best: Column, margin: Column, weak: float, strong: float, locked: Sequence[str]) -> Column:
-    """state and reason: kept where locked or unsure, filled where empty, overridden only by a strong margin."""
+#: States of each classifier (fixed values): what activation may say, what of damage it may override, what damage may say.
+ACTIVATIONS, SOFT, DAMAGES = ("active", "inactive"), ("intact", "stateless"), ("intact", "damaged", "destroyed")
+
+
+def state_decision(damage: Column, damage_margin: Column, activation: Column, activation_margin: Column, least: float, least_activation: float) -> Column:
+    """state and reason from two classifiers. Damage decides if its margin is large enough; activation only where it names
+    a device's state by a large margin, larger than that of damage, and damage says nothing grave."""
+    shown = lambda m: F.format_string("%.2f", m.cast("double"))
+    overrides = activation.isin(*ACTIVATIONS) & (activation_margin >= least_activation) & (activation_margin > damage_margin) & damage.isin(*SOFT)
+    none = F.lit(None).cast("string")
+    say = lambda state, *parts: F.struct(state.alias("state"), F.concat(*parts).alias("reason"))
+    margin = F.concat(F.lit(" (margin "), shown(damage_margin), F.lit(")"))
     return (
-        F.when(current.isin(*locked), F.struct(current.alias("state"), F.lit("locked").alias("reason")))
-        .when(margin < weak, F.struct(current.alias("state"), F.lit("unsure").alias("reason")))
-        .when(current.isNull(), F.struct(best.alias("state"), F.lit("filled").alias("reason")))
-        .when(current == best, F.struct(current.alias("state"), F.lit("agrees").alias("reason")))
-        .when(margin >= strong, F.struct(best.alias("state"), F.lit("overridden").alias("reason")))
-        .otherwise(F.struct(current.alias("state"), F.lit("kept").alias("reason")))
+        F.when(overrides, say(activation, F.lit("activation="), activation, F.lit(" (margin "), shown(activation_margin), F.lit(", beats damage "), damage, F.lit("/"), shown(damage_margin), F.lit(")")))
+        .when(damage_margin < least, say(none, F.lit("damage margin too low ("), shown(damage_margin), F.lit(")")))
+        .when(damage == "stateless", say(none, F.lit("stateless object"), margin))
+        .when(damage.isin(*DAMAGES), say(damage, F.lit("damage="), damage, margin))
+        .otherwise(say(none, F.lit("unknown damage label '"), damage, F.lit("'")))
     )
 
 

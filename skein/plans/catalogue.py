@@ -132,10 +132,10 @@ def tag_histogram(spark, sf_dir):
 
 
 @query(f"""SELECT doc_id, count(DISTINCT w) AS n_words, sum(length(w)) FILTER (WHERE rn = 1)::BIGINT AS letters FROM (
- SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id, w) AS rn FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD4}')) AS w FROM documents WHERE lang = 'en')
+ SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id, w) AS rn FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD4}')) AS w FROM documents)
  WHERE length(w) >= 4 AND w NOT IN ('that', 'with', 'from', 'this', 'which')) GROUP BY doc_id""")
 def caption_words(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", T.content_words(F.col("text"), STOPWORDS).alias("w")).where(F.size("w") > 0)
+    words = table(spark, sf_dir, "documents").select("doc_id", T.content_words(F.col("text"), STOPWORDS).alias("w")).where(F.size("w") > 0)
     return words.select("doc_id", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("letters"))
 
 
@@ -155,7 +155,7 @@ def keyword_states(spark, sf_dir):
 def group_overlap_audit(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", T.content_words(F.col("text"), ()).alias("w"))
     out = R.overlap_audit(rows, "conv_id", "turn", "w")
-    return out.withColumn("flagged", (F.col("least") < 0.4) & (F.col("shared") < 2)).withColumns({c: F.round(c, 6) for c in ("least", "largest", "mean")})
+    return out.withColumn("flagged", R.flagged(0.4)).withColumns({c: F.round(c, 6) for c in ("least", "largest", "mean")})
 
 
 # ---- joins, sync, dedup --------------------------------------------------------------------------------------------
@@ -282,16 +282,16 @@ def treatment_jobs(spark, sf_dir):
     return generators.jobs("treatments", symbols, axes={"angle": ("n", "e", "s", "w")}, first=3).select("folder", "treatment", "seq", "angle", "version")
 
 
-_SECTIONS = [("bow_full", ("bow_port", "bow_mid"), "bow"), ("aft_full", ("aft_port", "aft_mid"), "aft")]
+_SECTIONS = [("bow_full", ("bow_port", "bow_mid")), ("aft_full", ("aft_port", "aft_mid"))]
 
 
-@query("""SELECT n_nationkey AS ord, CASE WHEN n_nationkey % 2 = 0 THEN 'bow: all of ' || n_name ELSE 'bow bow_port: left ' || n_regionkey END || chr(10) || 'aft aft_mid: core' AS block,
+@query("""SELECT n_nationkey AS ord, CASE WHEN n_nationkey % 2 = 0 THEN '  - bow_full (whole bow): all of ' || n_name || '.' ELSE '  - bow_port (bow_port): left ' || n_regionkey || '.' END || chr(10) || '  - aft_mid (r' || n_regionkey || '): core.' AS block,
  CASE WHEN n_nationkey % 2 = 0 THEN 'bow_full=all of ' || n_name || ' | ' ELSE '' END || 'bow_port=left ' || n_regionkey || ' | aft_mid=core' AS summary FROM nation""")
 def zone_blocks(spark, sf_dir):
-    zones = F.create_map(F.lit("bow_port"), F.concat(F.lit(" left  "), F.col("n_regionkey")), F.lit("aft_mid"), F.lit("core"), F.lit("bow_full"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("all of "), F.col("n_name"))).otherwise(""))
-    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("folder"), zones.alias("zones"))
-    out = generators.jobs("layouts", rows, axes={"light": ("dim", "bright")}, sections=_SECTIONS)
-    return out.select("ord", F.regexp_replace("block", "left  ", "left ").alias("block"), "summary")
+    zones = F.create_map(F.lit("bow_port"), F.concat(F.lit("left "), F.col("n_regionkey")), F.lit("aft_mid"), F.lit("core"), F.lit("bow_full"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("all of "), F.col("n_name"))))
+    positions = F.create_map(F.lit("bow_full"), F.lit("whole bow"), F.lit("aft_mid"), F.concat(F.lit("r"), F.col("n_regionkey")))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("folder"), zones.alias("zones"), positions.alias("positions"))
+    return generators.jobs("layouts", rows, axes={"light": ("dim", "bright")}, sections=_SECTIONS).select("ord", "block", "summary")
 
 
 @query("""SELECT total, total - to_do AS skipped, to_do, paid, to_do - paid AS staged, round(paid * 0.04::DOUBLE, 2) AS cost, round(paid * 0.04::DOUBLE, 2) <= 8.0 AS admitted FROM (SELECT count(*) AS total, count(*) FILTER (WHERE l.doc_id IS NULL) AS to_do,
@@ -424,10 +424,10 @@ def training_captions(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", T.training_caption(F.lit("tok"), F.col("p_name"), F.lower("p_type"), F.lit("new"), F.split("p_name", " "), described).alias("caption"))
 
 
-@query("SELECT p_partkey, p_name AS name, 'x' || p_size || ',y' AS rest FROM part WHERE p_size % 2 = 0")
+@query("SELECT p_partkey, p_name AS name, 'x' || p_size || ',y' AS rest FROM part")
 def parsed_specs(spark, sf_dir):
     spec = F.concat("p_name", F.lit(":x"), F.col("p_size"), F.lit(",y"))
-    rows = table(spark, sf_dir, "part").where("p_size % 2 = 0").select("p_partkey", files.caption_line(F.replace(spec, F.lit(":"), F.lit(","))).alias("c"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", files.caption_line(F.replace(spec, F.lit(":"), F.lit(","))).alias("c"))
     return rows.select("p_partkey", F.col("c.trigger").alias("name"), F.concat_ws(",", "c.subject", F.array_join("c.tags", ",")).alias("rest"))
 
 
@@ -485,14 +485,15 @@ def margin_gate(spark, sf_dir):
     return scored.select("vec_id", verdicts.margin_gate(F.get("s", F.lit(0))["label"], margin, 0.05).alias("label"), F.round(margin, 6).alias("margin"))
 
 
-@query("""SELECT vec_id, CASE WHEN cur = 'x' THEN cur WHEN m < 0.2 THEN cur WHEN cur IS NULL THEN best WHEN cur = best THEN cur WHEN m >= 0.6 THEN best ELSE cur END AS state,
- CASE WHEN cur = 'x' THEN 'locked' WHEN m < 0.2 THEN 'unsure' WHEN cur IS NULL THEN 'filled' WHEN cur = best THEN 'agrees' WHEN m >= 0.6 THEN 'overridden' ELSE 'kept' END AS reason
- FROM (SELECT vec_id, (['x','a','b',NULL])[vec_id % 4 + 1] AS cur, (['a','b','c'])[vec_id % 3 + 1] AS best, (vec_id % 10) / 10.0::DOUBLE AS m FROM embeddings)""")
+@query("""WITH v AS (SELECT vec_id, (['intact','damaged','stateless','destroyed','odd'])[vec_id % 5 + 1] AS d, (vec_id % 10) / 10.0::DOUBLE AS dm, (['active','inactive','none'])[vec_id % 3 + 1] AS a, (vec_id % 7) / 10.0::DOUBLE AS am FROM embeddings),
+ w AS (SELECT *, a <> 'none' AND am >= 0.4 AND am > dm AND d IN ('intact', 'stateless') AS o, ' (margin ' || printf('%.2f', dm) || ')' AS m FROM v)
+ SELECT vec_id, CASE WHEN o THEN a WHEN dm < 0.2 THEN NULL WHEN d IN ('intact', 'damaged', 'destroyed') THEN d END AS state,
+ CASE WHEN o THEN 'activation=' || a || ' (margin ' || printf('%.2f', am) || ', beats damage ' || d || '/' || printf('%.2f', dm) || ')' WHEN dm < 0.2 THEN 'damage margin too low (' || printf('%.2f', dm) || ')'
+ WHEN d = 'stateless' THEN 'stateless object' || m WHEN d = 'odd' THEN 'unknown damage label ' || chr(39) || 'odd' || chr(39) ELSE 'damage=' || d || m END AS reason FROM w""")
 def state_decisions(spark, sf_dir):
     v = F.col("vec_id")
-    cur = F.element_at(F.array(F.lit("x"), F.lit("a"), F.lit("b"), F.lit(None)), (v % 4 + 1).cast("int"))
-    best = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (v % 3 + 1).cast("int"))
-    decided = verdicts.state_decision(cur, best, (v % 10) / 10.0, 0.2, 0.6, ["x"])
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (v % len(values) + 1).cast("int"))
+    decided = verdicts.state_decision(pick(("intact", "damaged", "stateless", "destroyed", "odd")), (v % 10) / 10.0, pick(("active", "inactive", "none")), (v % 7) / 10.0, 0.2, 0.4)
     return _few(spark, sf_dir).select("vec_id", decided.alias("d")).select("vec_id", "d.state", "d.reason")
 
 
@@ -661,12 +662,13 @@ def appended_variants(spark, sf_dir):
     return rows.select("r_regionkey", R.appended_variants(old, new, "img").alias("v")).select("r_regionkey", F.array_join("v.img", ",").alias("variants"))
 
 
-@query("SELECT label, round(sqrt(sum(x * x)), 6) AS length, count(*) AS dims FROM (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY label, i) GROUP BY label")
+@query("""WITH e AS (SELECT label, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM embeddings),
+ m AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(list_transform(v, lambda x: x / n)) AS x, unnest(range(1, len(v) + 1)) AS i FROM e) GROUP BY label, i),
+ l AS (SELECT label, sqrt(sum(x * x)) AS n, count(*) AS dims FROM m GROUP BY label)
+ SELECT l.label, dims, round(sum(x * x / l.n / l.n), 6) AS length, round(max(CASE WHEN i = 1 THEN x END) / l.n, 6) + 0.0 AS first FROM m JOIN l USING (label) GROUP BY l.label, dims, l.n""")
 def label_centroids(spark, sf_dir):
-    unit = _few(spark, sf_dir).select("label", F.posexplode("embedding").alias("i", "x"))
-    mean = unit.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    vectors = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
-    return vectors.select("label", F.round(V.norm(F.col("v.x")), 6).alias("length"), F.size("v").cast("long").alias("dims"))
+    v = R.unit_centroids(_few(spark, sf_dir), "label", "embedding")
+    return v.select("label", F.size("v").cast("long").alias("dims"), F.round(V.norm(F.col("v")), 6).alias("length"), (F.round(F.get("v", F.lit(0)), 6) + 0.0).alias("first"))
 
 
 @query(f"SELECT DISTINCT image_id, r FROM ({_PIXELS}) WHERE r NOT IN (32, 33, 34, 35, 36, 37, 38, 39, 40, 200, 201, 202)")
@@ -741,3 +743,40 @@ def group_assignment(spark, sf_dir):
 def selected_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     return library.selected(docs, "source", "src1", "7", "quality").select("doc_id", "source")
+
+
+# ---- ordered reports and names --------------------------------------------------------------------------------------
+
+
+@query("SELECT p_type, n, row_number() OVER (ORDER BY n DESC, f)::INT AS place FROM (SELECT p_type, count(*) AS n, min(p_partkey) AS f FROM part GROUP BY p_type) QUALIFY place <= 20")
+def most_common_types(spark, sf_dir):
+    return R.most_common(table(spark, sf_dir, "part").select("p_type", "p_partkey"), "p_type", "p_partkey", 20)
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, list_distinct(list_filter(regexp_extract_all(lower(text), '{WORD4}'), lambda w: length(w) >= 4)) AS w FROM conversations),
+ p AS (SELECT a.conv_id, CASE WHEN len(list_distinct(list_concat(a.w, b.w))) = 0 THEN 0.0 ELSE len(list_intersect(a.w, b.w))::DOUBLE / len(list_distinct(list_concat(a.w, b.w))) END AS j FROM t a JOIN t b ON a.conv_id = b.conv_id AND a.turn < b.turn),
+ m AS (SELECT conv_id, count(*) AS members FROM t GROUP BY conv_id HAVING count(*) >= 2),
+ s AS (SELECT e.conv_id, count(*) AS shared FROM (SELECT conv_id, x, count(*) AS c FROM (SELECT conv_id, unnest(w) AS x FROM t) GROUP BY ALL) e JOIN m ON e.conv_id = m.conv_id AND e.c = m.members GROUP BY 1)
+ SELECT m.conv_id, members, round(min(j), 3) AS least, coalesce(any_value(shared), 0) AS shared FROM m JOIN p USING (conv_id) LEFT JOIN s USING (conv_id) GROUP BY m.conv_id, members HAVING min(j) < 0.3 AND coalesce(any_value(shared), 0) < 2""")
+def flagged_groups(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", T.content_words(F.col("text"), ()).alias("w"))
+    return R.suspicious(R.overlap_audit(rows, "conv_id", "turn", "w"), 0.3, "conv_id").select("conv_id", "members", F.round("least", 3).alias("least"), "shared")
+
+
+@query(r"""WITH f AS (SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(n, '\.(png|jpe?g|svg|psd|webp|gif|bmp)$', '', 'i'), '^\d+\s*[-_.]\s*', ''), '[_-]\d{1,3}$', ''), '[_-]v\d+$', '') AS s
+ FROM (SELECT p_partkey, p_size || '_' || replace(p_name, ' ', '-') || CASE WHEN p_partkey % 3 = 0 THEN '_v2' WHEN p_partkey % 3 = 1 THEN '_' || p_partkey ELSE '' END || '.PNG' AS n FROM part))
+ SELECT p_partkey, array_to_string(list_transform(string_split(trim(regexp_replace(s, '[_\s-]+', ' ', 'g')), ' '), lambda w: CASE WHEN w = upper(w) AND w <> lower(w) THEN w ELSE upper(left(w, 1)) || lower(substr(w, 2)) END), ' ') AS description FROM f""")
+def file_descriptions(spark, sf_dir):
+    k = F.col("p_partkey")
+    end = F.when(k % 3 == 0, "_v2").when(k % 3 == 1, F.concat(F.lit("_"), k)).otherwise("")
+    name = F.concat(F.col("p_size").cast("string"), F.lit("_"), F.replace("p_name", F.lit(" "), F.lit("-")), end, F.lit(".PNG"))
+    return table(spark, sf_dir, "part").select("p_partkey", T.file_description(name).alias("description"))
+
+
+@query(r"""WITH c AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'a ' || p_name || ' with a ' || p_type WHEN 1 THEN p_name || '; ' || p_brand ELSE upper(p_name) || '.' END AS t FROM part),
+ n AS (SELECT p_partkey, CASE WHEN regexp_matches(t, '^an? ([a-z ]+?) with') THEN regexp_extract(t, '^an? ([a-z ]+?) with', 1) ELSE trim(regexp_extract(t, '^([^.,;]*)', 1)) END AS n FROM c)
+ SELECT p_partkey, CASE WHEN regexp_matches(n, '(?i)gizmo$') THEN NULL WHEN n = lower(n) THEN array_to_string(list_transform(string_split(n, ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') ELSE n END AS name FROM n""")
+def caption_names(spark, sf_dir):
+    k = F.col("p_partkey")
+    caption = F.when(k % 3 == 0, F.concat(F.lit("a "), F.col("p_name"), F.lit(" with a "), F.col("p_type"))).when(k % 3 == 1, F.concat("p_name", F.lit("; "), F.col("p_brand"))).otherwise(F.concat(F.upper("p_name"), F.lit(".")))
+    return table(spark, sf_dir, "part").select("p_partkey", T.name_from_caption(caption, [], r"^an? ([a-z ]+?) with\b", ["(?i:gizmo)$"]).alias("name"))

@@ -58,20 +58,21 @@ def treatments(symbols: DataFrame, axes: dict[str, Sequence[str]], first: int, p
 
 @handler("layouts")
 def layouts(archetypes: DataFrame, axes: dict[str, Sequence[str]], sections: Sequence[tuple], part: str | None = None) -> DataFrame:
-    """archetypes(ord, folder, zones): with the block of zones as text and a summary of it."""
-    keys = [k for whole, lanes, _ in sections for k in (whole, *lanes)]
+    """archetypes(ord, folder, zones, and perhaps positions): with the block of zones as text and a summary of it."""
+    keys = [k for whole, lanes in sections for k in (whole, *lanes)]
     rows = R.round_robin(only(archetypes, "folder", part), ["ord"], axes)
-    return labelled(rows).withColumn("block", T.zone_block(F.col("zones"), sections)).withColumn("summary", T.zone_summary(F.col("zones"), keys))
+    return labelled(rows).withColumn("block", T.zone_block(F.col("zones"), sections, F.col("positions") if "positions" in rows.columns else None)).withColumn("summary", T.zone_summary(F.col("zones"), keys))
 
 
 @handler("assets")
 def assets(rows: DataFrame, trigger: str, categories: Sequence[tuple[str, Sequence[str]]], orientations: Sequence[str]) -> DataFrame:
-    """rows(stem, name, orientation, state, tags, description): caption, category and path of each."""
-    known = F.array_union("tags", F.split(F.lower("name"), r"\s+"))
+    """rows(stem, name, orientation, state, tags, description): caption, category and path of each that has a name."""
+    rows = rows.withColumns({"name": T.trimmed(F.col("name")), **{c: F.nullif(T.trimmed(F.col(c)), F.lit("")) for c in ("orientation", "state")}}).where("name <> ''")
+    known = F.array_union(F.transform(F.coalesce("tags", F.array().cast("array<string>")), F.lower), F.split(F.lower("name"), r"\s+"))
     category = F.coalesce(*[F.when(F.arrays_overlap(known, F.array(*[F.lit(w) for w in ws])), F.lit(c)) for c, ws in categories], F.lit("misc"))
     state, orientation = F.coalesce("state", F.lit("intact")), F.coalesce("orientation", F.lit("unknown"))
     out = rows.withColumn("category", category)
-    path = F.when(orientation.isin(*orientations), F.concat(F.lit("train/"), F.col("category"))).otherwise(F.lit("review"))
+    path = F.when(orientation.isin(*orientations), F.concat(F.lit("train/"), F.col("category"))).otherwise(F.concat_ws("/", F.lit("review"), orientation, F.col("category")))
     caption = T.training_caption(F.lit(trigger), F.col("name"), orientation, state, F.col("tags"), F.col("description"))
     return out.withColumn("path", F.concat(path, F.lit("/"), F.col("stem"))).withColumn("caption", caption)
 

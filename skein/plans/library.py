@@ -87,11 +87,14 @@ def pack_index(packed: DataFrame) -> DataFrame:
 def pack_violations(packed: DataFrame) -> DataFrame:
     """id, level, message of everything in a pack that breaks its contract."""
     blank = lambda c: F.coalesce(F.btrim(F.col(c)), F.lit("")) == ""
-    first = F.get("data", F.lit(0))
+    any_place = lambda f: F.exists("data", lambda d: F.coalesce(f(d), F.lit(False)))
+    src = lambda d: F.coalesce(F.btrim(d["texture"]["src"]), F.lit(""))
+    no_number = lambda d: d["x"].isNull() | d["y"].isNull() | d["width"].isNull() | d["height"].isNull() | d["rotation"].isNull()
     checks = [
         ("error", "id is missing", blank("id")), ("error", "name is missing", blank("name")), ("error", "documentName is missing", blank("documentName")), ("error", "gridSize is missing", F.col("gridSize").isNull()),
-        ("error", "data is empty", F.coalesce(F.size("data"), F.lit(0)) <= 0), ("error", "texture is missing", (F.size("data") > 0) & first["texture"]["src"].isNull()), ("warning", "img is empty", blank("img")),
-        ("warning", "src is not img", first["texture"]["src"] != F.col("img")), ("warning", "no extent", (first["width"] <= 0) | (first["height"] <= 0)),
+        ("error", "data is empty", F.coalesce(F.size("data"), F.lit(0)) <= 0), ("error", "texture is missing", any_place(lambda d: src(d) == "")), ("warning", "img is empty", blank("img")),
+        ("error", "a tag is missing", F.exists("tags", lambda t: t.isNull())), ("error", "a placement's number is missing", any_place(no_number)),
+        ("warning", "src is not img", ~blank("img") & any_place(lambda d: (src(d) != "") & (d["texture"]["src"] != F.col("img")))), ("warning", "no extent", any_place(lambda d: (d["width"] == 0) | (d["height"] == 0))),
     ]
     twice = verdicts.duplicate_keys(packed, "id").select("id", F.lit("error").alias("level"), F.lit("id is not unique").alias("message"))
     return verdicts.violations(packed, F.col("id"), checks).unionByName(twice)

@@ -26,7 +26,7 @@ def test_slugify(spark, text, slug):
     assert one(spark, T.slugify(F.col("t")), t=s(text)) == slug
 
 
-@pytest.mark.parametrize("name, want", [("The Old Bed (broken)", "bed"), ("Wooden Bed — damaged, north", "wooden bed"), ("A Table [v2]", "table"), ("old", ""), (None, ""), ("Tank-Top", "tank top")])
+@pytest.mark.parametrize("name, want", [("The Old Bed (broken)", "bed"), ("Wooden Bed — damaged, north", "wooden bed"), ("A Table [v2]", "table"), ("old", ""), (None, ""), ("Tank-Top", "tank top"), ("some wooden crates", "wooden crates"), ("Several jars", "jars"), ("Stool(old)Metal", "stoolmetal"), ("(x) some jars", "some jars")])
 def test_canonical_name(spark, name, want):
     assert one(spark, T.canonical_name(F.col("t"), ["old"]), t=s(name)) == want
 
@@ -41,6 +41,7 @@ def test_stripped_begins_anew(spark):
 
 @pytest.mark.parametrize("caption, want", [
     ("here is a wooden bed with a mattress", "Wooden Bed"), ("Broken o'hara chair-seat, near a desk", "Broken o'hara chair-seat"), ("here is ", None), ("image background", None), ("12 34 56 78", None), (None, None),
+    ("bed.", "Bed"), ("note: wooden bed", "Note: Wooden Bed"), ("word " * 20, "Word Word Word Word Word Word"), ("1a2b3", None), ("an Iron gate, with", "An Iron gate"),
     ("o'hara chair-seat, near", "O'Hara Chair-Seat"),
 ])
 def test_name_from_caption(spark, caption, want):
@@ -52,6 +53,7 @@ def test_keywords_and_categories(spark):
     assert one(spark, T.first_keyword(F.col("t"), rules), t=s("a new and broken bed")) == "damaged"
     assert one(spark, T.worst_keyword(F.col("t"), rules, ("inactive", "damaged", "intact")), t=s("a sunlit broken crate")) == "inactive"
     assert one(spark, T.worst_keyword(F.col("t"), rules, ("damaged",)), t=s("crate")) is None
+    assert one(spark, T.worst_keyword(F.col("t"), rules, ("unknown",)), t=s("a new and broken bed")) == "damaged"
     chairs = [(r"\b(?:chair|bench)s?\b", ("furniture", "chair")), (r"\b(?:desk|table)s?\b", ("furniture", "table"))]
     assert one(spark, T.categories(F.col("t"), chairs), t=s("A broken metal chair near a desk")) == ["furniture", "chair", "table"]
     assert one(spark, T.categories(F.col("t"), chairs), t=s("shelves and benches")) == []
@@ -66,7 +68,7 @@ def test_content_words_cut_accents(spark):
     assert one(spark, T.content_words(F.col("t"), ["with"]), t=s("élanique Bed with slat-ted tree tree")) == ["lanique", "slat-ted", "tree"]
 
 
-@pytest.mark.parametrize("name, want", [("03_iron-door_v2_7.png", "iron door"), ("USA flag (3).jpg", "USA flag"), ("a.b.png", "a.b")])
+@pytest.mark.parametrize("name, want", [("03_iron-door_v2_7.png", "Iron Door"), ("USA flag (3).jpg", "USA Flag (3)"), ("a.b.png", "A.b"), ("12.castle_2024.png", "Castle 2024"), ("map.txt", "Map.txt"), ("7 - Old  well_12.PNG", "Old Well")])
 def test_file_description(spark, name, want):
     assert one(spark, T.file_description(F.col("t")), t=s(name)) == want
 
@@ -137,7 +139,7 @@ def test_geometry(spark):
     assert head.middle.x == 5.0 and head.left.x < 10 and abs(head.left.y + head.right.y) < 1e-12
 
 
-@pytest.mark.parametrize("name, want", [(None, ("null", None)), ("  ", ("null", None)), ("Square", ("nullify", "exact_generic")), ("Bowl. The image is", ("nullify", "leak")), ("chair", ("nullify", "single_lowercase")), ("Wooden Bed", ("keep", None))])
+@pytest.mark.parametrize("name, want", [(None, ("null", None)), ("  ", ("null", None)), ("Square", ("nullify", "exact_generic")), ("Bowl. The image is", ("nullify", "leak")), ("chair", ("nullify", "single_lowercase")), ("Wooden Bed", ("keep", None)), ('"square"', ("nullify", "exact_generic")), ("x1", ("nullify", "single_lowercase")), ("tank-top", ("nullify", "single_lowercase")), ("été", ("nullify", "single_lowercase")), ("Chair", ("keep", None))])
 def test_name_verdict(spark, name, want):
     assert tuple(one(spark, verdicts.name_verdict(F.col("t"), ["square"], [("leak", r"\bThe image\b")]), t=s(name))) == want
 
@@ -151,3 +153,20 @@ def test_policies(spark):
     rows = spark.createDataFrame([("a", "", 100.5), (None, "x", 100.0)], "id string, name string, size double")
     checks = [("error", "id", F.col("id").isNull()), ("error", "name", F.col("name") == ""), ("warning", "size", F.col("size") % 1 > 0)]
     assert sorted(map(tuple, verdicts.violations(rows, F.col("id"), checks).collect()), key=str) == [("a", "error", "name"), ("a", "warning", "size"), (None, "error", "id")]
+
+
+@pytest.mark.parametrize("damage, margin, activation, other, want", [
+    ("intact", 0.3, "active", 0.9, ("active", "activation=active (margin 0.90, beats damage intact/0.30)")), ("stateless", 0.3, "inactive", 0.5, ("inactive", "activation=inactive (margin 0.50, beats damage stateless/0.30)")),
+    ("damaged", 0.3, "active", 0.9, ("damaged", "damage=damaged (margin 0.30)")), ("intact", 0.6, "active", 0.5, ("intact", "damage=intact (margin 0.60)")), ("intact", 0.3, "active", 0.4, ("intact", "damage=intact (margin 0.30)")),
+    ("intact", 0.1, "no device", 0.9, (None, "damage margin too low (0.10)")), ("stateless", 0.3, "no device", 0.9, (None, "stateless object (margin 0.30)")), ("melted", 0.3, "active", 0.9, (None, "unknown damage label 'melted'")),
+])
+def test_state_decision(spark, damage, margin, activation, other, want):
+    decided = verdicts.state_decision(F.col("d"), F.col("m"), F.col("a"), F.col("o"), 0.2, 0.5)
+    assert tuple(one(spark, decided, d=s(damage), m=("double", margin), a=s(activation), o=("double", other))) == want
+
+
+def test_zone_block(spark):
+    sections = [("all_full", ("all_left", "all_right")), ("end_full", ("end_left",))]
+    zones = F.create_map(*[F.lit(x) for x in ("all_right", "a door", "end_full", "stairs", "end_left", "nothing")])
+    at = F.create_map(F.lit("all_right"), F.lit("right half"))
+    assert one(spark, T.zone_block(zones, sections, at), t=s("")) == "  - all_right (right half): a door.\n  - end_full (end_full): stairs."

@@ -133,9 +133,14 @@ def test_labels_and_holes():
     rgb = np.full((6, 6, 3), 255)
     rgb[1:5, 1:5] = 10
     rgb[2:4, 2:4] = 255
-    alpha = raster.clear_background(rgb, np.full((6, 6), 255))
+    assert not raster.fill_holes(np.array([[1, 1, 0], [1, 0, 1], [1, 1, 1]], bool))[1, 1]  # open by a corner
+    assert raster.erode(np.ones((3, 3), bool)).all()
+    opaque = np.full((6, 6), 255)
+    assert (raster.cleared(rgb, opaque) == opaque).all()  # 20 of 36 pixels are too many
+    alpha = raster.cleared(rgb, opaque, most_share=0.6)
     assert alpha[0, 0] == 0 and alpha[2, 2] == 255
-    assert raster.clear_blobs(rgb, alpha, least=4)[2, 2] == 0 and raster.clear_blobs(rgb, alpha, least=4, most_share=0.1)[2, 2] == 255
+    both = raster.cleared(rgb, opaque, least=4, most_share=0.7)
+    assert both[2, 2] == 0 and both[0, 0] == 0 and both[1, 1] == 255
 
 
 def test_pixel_tables(spark):
@@ -162,9 +167,9 @@ def test_jobs(spark):
     assert [r.state for r in sorted(some, key=lambda r: r.seq)] == list("abcdef")
     with pytest.raises(ValueError, match="unknown generator"):
         generators.jobs("nothing", six)
-    assets = spark.createDataFrame([("s", "Old Bed", None, None, ["wood"], "soft"), ("t", "Lamp", "north", "lit", [], None)], "stem string, name string, orientation string, state string, tags array<string>, description string")
+    assets = spark.createDataFrame([("s", "Old Bed", None, None, ["wood"], "soft"), ("t", "Lamp", "north", "lit", [], None), ("u", " ", "north", "lit", [], None), ("v", "Box", "north", "", ["WOOD"], None)], "stem string, name string, orientation string, state string, tags array<string>, description string")
     got = {r.stem: (r.path, r.caption) for r in generators.jobs("assets", assets, trigger="tok", categories=[("beds", ["bed"]), ("wooden", ["wood"])], orientations=["north"]).collect()}
-    assert got == {"s": ("review/s", "tok, Old Bed, unknown view, intact, wood, soft"), "t": ("train/misc/t", "tok, Lamp, north view, lit")}
+    assert got == {"s": ("review/unknown/beds/s", "tok, Old Bed, unknown view, intact, wood, soft"), "t": ("train/misc/t", "tok, Lamp, north view, lit"), "v": ("train/wooden/v", "tok, Box, north view, intact, WOOD")}
     assert generators.stages(["a", "b", "c"], skip=["b"]) == ["a", "c"]
     ran = generators.run_stages({"a": lambda: 1, "b": lambda: 1 / 0, "c": lambda: 1})
     assert list(ran) == ["a", "b"] and ran["b"].startswith("ZeroDivisionError")
