@@ -64,13 +64,18 @@ def nearest_axes(y: np.ndarray, probes: int) -> np.ndarray:
 
 
 def unit(x: np.ndarray, longest: float, complete: bool, query: bool) -> np.ndarray:
-    """Rows of length one; with complete, of x / longest and the coordinate that completes it (0 for queries)."""
+    """Rows of length one; with complete, of x / e**longest and the coordinate that completes it (0 for queries). Lengths
+    are logarithms, and rows are scaled by their largest component first, so no finite vector is too long or too short."""
+    most = np.abs(x).max(axis=1, keepdims=True)
+    x = x / most
     norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    if query or not complete:
-        x = x / norm
-        return np.hstack([x, np.zeros_like(norm)]) if complete else x
-    rest = np.sqrt(np.maximum(0.0, 1.0 - (norm / longest) ** 2))
-    return np.hstack([x / longest, rest])
+    x = x / norm
+    if not complete:
+        return x
+    if query:
+        return np.hstack([x, np.zeros_like(norm)])
+    share = np.minimum(1.0, np.exp(np.log(most) + np.log(norm) - longest))
+    return np.hstack([x * share, np.sqrt(1.0 - share**2)])
 
 
 def by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -112,11 +117,13 @@ class Index:
         self.tables, self.seed = tables, seed
         kind = "array<float>" if "float" in vectors.schema["embedding"].dataType.simpleString() else "array<double>"
         rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
-        rows = rows.withColumn("square", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-        good = rows.where(F.col("vec_id").isNotNull() & (F.col("square") > 0) & ~F.isnan("square") & (F.col("square") < float("inf")))
-        ends = good.agg(F.min("square").alias("low"), F.max("square").alias("high"), F.count(F.lit(1)).alias("n")).first()
-        self.longest, self.n = float(np.sqrt(ends.high or 1.0)), ends.n
-        self.complete = bool(ends.n) and ends.low < ends.high * 0.99
+        most = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+        finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        good = rows.where(F.col("vec_id").isNotNull() & finite).withColumn("most", most).where("most > 0")
+        length = F.log("most") + 0.5 * F.log(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + (x.cast("double") / F.col("most")) * (x.cast("double") / F.col("most"))))
+        ends = good.select(length.alias("length")).agg(F.min("length").alias("low"), F.max("length").alias("high"), F.count(F.lit(1)).alias("n")).first()
+        self.longest, self.n = float(ends.high or 0.0), ends.n
+        self.complete = bool(ends.n) and ends.low < ends.high - 0.005
         longest, complete = self.longest, self.complete
 
         def hashed(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,3 +70,11 @@ def test_copies_and_unequal_lengths(spark, monkeypatch):
     want = exact(ids, x.astype("f8"), ids[ids % 20 == 0])
     share, got = recall(neighbours.nearest(frame(spark, [(int(i), v.tolist(), 1, "x") for i, v in zip(ids, x)]), F.col("vec_id") % 20 == 0).collect(), want)
     assert share >= 0.9, share
+
+
+def test_finite_vectors_of_any_length(spark):
+    rows = [(20, [1.0, 0.0]), (21, [1e200, 0.0]), (22, [1e-200, 0.0]), (23, [9.0, 9.0]), (40, [1e300, 1e300]), (41, [-1e-320, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in neighbours.nearest(docs, F.col("vec_id") % 20 == 0).collect()}
+    assert [got[20, i] for i in range(1, 6)] == [(40, 1e300), (21, 1e200), (23, 9.0), (22, 1e-200), (41, -1e-320)]
+    assert {got[40, i][0] for i in range(1, 6)} == {20, 21, 22, 23, 41} and got[40, 1] == (21, float("inf"))
