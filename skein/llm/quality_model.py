@@ -21,8 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Buckets of indicators. Labelled rows of the sample, at most, and bytes of the longest of them.
-BUCKETS, SAMPLE_ROWS, SAMPLE_BYTES = 1 << 18, 6000, 1 << 15
+from . import common as C
+
+#: Buckets of indicators. Labelled rows of the sample, at most, and indicators that they hold together (four bytes each).
+BUCKETS, SAMPLE_ROWS, SAMPLE_KEYS = 1 << 18, 6000, 1 << 26
 THRESHOLD = 0.7
 #: Indicators from which a text has full weight.
 EVIDENCE = 512
@@ -57,7 +59,7 @@ class Indicators:
 
     def __call__(self, text: str | None) -> np.ndarray:
         b = np.frombuffer((text or "").encode(), np.uint8).astype(np.uint32)
-        if len(b) < 4:
+        if len(b) < 2:
             return np.empty(0, np.uint32)
         two = b[:-1] << np.uint32(8) | b[1:]
         three = two[:-1] << np.uint32(8) | b[2:]
@@ -132,15 +134,16 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 20, cost: f
     if not pos or not neg:
         share = (pos + 1) / (pos + neg + 2)
         return Model(np.zeros(BUCKETS), 0.0, 1.0, float(np.log(share / (1 - share))))
-    p, n = np.ones(BUCKETS), np.ones(BUCKETS)
-    for k, v in zip(rows, y):
-        (p if v > 0 else n)[k] += 1
-    ratio = np.log(p / (pos + 2)) - np.log(n / (neg + 2))
     each = np.where(y > 0, cost * len(y) / (2 * pos), cost * len(y) / (2 * neg)) if balanced else np.full(len(y), cost)
     out = np.arange(len(y)) % 5 == 0
     if len({*y[out]}) < 2 or len({*y[~out]}) < 2:
         out = np.zeros(len(y), bool)
     learn = np.flatnonzero(~out)
+    # the rows that the curve is fitted to are in no count of the classes either
+    p, n = np.ones(BUCKETS), np.ones(BUCKETS)
+    for i in learn:
+        (p if y[i] > 0 else n)[rows[i]] += 1
+    ratio = np.log(p / ((y[learn] > 0).sum() + 2)) - np.log(n / ((y[learn] < 0).sum() + 2))
     w, bias = descent([rows[i] for i in learn], y[learn], ratio, each[learn], epochs, seed)
     weight = w * ratio
     left = np.flatnonzero(out) if out.any() else learn
@@ -154,7 +157,7 @@ def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mode
     good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 2))
     good = good.groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.max("quality").alias("quality"))
     good = good.orderBy(F.xxhash64("labelled"), "labelled").limit(rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text") <= SAMPLE_BYTES)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def keys(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
@@ -163,7 +166,12 @@ def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mode
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "quality", "keys"])
 
     sample = texts.join(F.broadcast(good), F.col("doc_id") == F.col("labelled")).select("doc_id", "quality", "text")
-    got = sample.mapInArrow(keys, "doc_id long, quality int, keys array<int>").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    sample = C.written(sample.mapInArrow(keys, "doc_id long, quality int, keys array<int>").dropDuplicates(["doc_id"]))
+    size = sample.select("doc_id", F.size("keys").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    fit = np.cumsum(size.column("n").to_numpy()) <= SAMPLE_KEYS
+    if not fit.all():  # some 180 MB in all, whatever the length of the texts
+        sample = sample.where(F.col("doc_id").isin(size.column("doc_id").to_numpy()[fit].tolist()))
+    got = sample.toArrow().sort_by("doc_id")
     found = [np.asarray(k.values.to_numpy(zero_copy_only=False), np.uint32) if k.is_valid else np.empty(0, np.uint32) for k in got.column("keys")]
     return fitted(found, got.column("quality").to_numpy())
 
