@@ -44,8 +44,8 @@ class Splitter:
         return [text[m.start() : m.end()] for m in self.pattern.finditer(self.newer.sub("\ue000", text))]
 
 
-#: Distinct sources up to which their table is held by the driver and broadcast (some 100 bytes each).
-MAX_SOURCES = 100_000
+#: Distinct sources up to which their table (some 100 bytes each) is broadcast instead of joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,26 +96,32 @@ def n_words(text: Column) -> Column:
 
 
 def size_per_source(slim: DataFrame, *sums: Column) -> list:
-    """One row for each source of slim(source, ...), the driver's to hold as their number is checked."""
-    rows = slim.groupBy("source").agg(F.count(F.lit(1)).alias("n"), *sums).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: name coarser ones")
+    """One row for each source of slim(source, ...), by code points, null last: a table that the driver holds."""
+    rows = slim.groupBy("source").agg(F.count(F.lit(1)).alias("n"), *sums).collect()
     return sorted(rows, key=lambda r: (r.source is None, r.source or ""))
 
 
-def hashed_prefix(slim: DataFrame, value: str, rows_per_bucket: int = 1024) -> DataFrame:
+def with_sources(slim: DataFrame, sources: list[tuple], schema: str) -> DataFrame:
+    """slim with the columns of its source's row in sources, whose schema names `source`."""
+    known = slim.sparkSession.createDataFrame(sources, schema)
+    return slim.join(F.broadcast(known) if len(sources) <= BROADCAST_SOURCES else known, slim.source.eqNullSafe(known.source)).drop(known.source)
+
+
+def hashed_prefix(slim: DataFrame, value: str, rows_per_bucket: int = 1024, wide: int = 4096) -> DataFrame:
     """slim(sid, n, u, ...) with `before`: the sum of value over the rows of its sid that come earlier by (u, tie columns).
 
-    A source, however large, falls into n / rows_per_bucket buckets of its hashed order; only sums of buckets meet, and
-    the rows of a bucket are summed in a task of their own.
+    A source, however large, falls into n / rows_per_bucket buckets of its hashed order. The rows of a bucket are summed in
+    a task of their own, the sums of `wide` buckets in one, and then the sums of these.
     """
     from pyspark.sql import Window
 
     ties = [c for c in ("doc_id", "size", "text_crc32") if c in slim.columns]
     cut = slim.withColumn("b", F.floor(F.col("u") * F.ceil(F.col("n") / F.lit(rows_per_bucket))).cast("long"))
-    sums = cut.groupBy("sid", "b").agg(F.sum(value).alias("inside"))
-    to_here = Window.partitionBy("sid").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("sid", "b", F.coalesce(F.sum("inside").over(to_here), F.lit(0)).alias("below"))
+    sums = cut.groupBy("sid", "b").agg(F.sum(value).alias("inside")).withColumn("bb", F.floor(F.col("b") / F.lit(wide)).cast("long"))
+    earlier = lambda *of, by: Window.partitionBy(*of).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    far = sums.groupBy("sid", "bb").agg(F.sum("inside").alias("x")).select("sid", "bb", F.coalesce(F.sum("x").over(earlier("sid", by="bb")), F.lit(0)).alias("far"))
+    sums = sums.withColumn("near", F.coalesce(F.sum("inside").over(earlier("sid", "bb", by="b")), F.lit(0))).join(far, ["sid", "bb"])
+    sums = sums.select("sid", "b", (F.col("far") + F.col("near")).alias("below"))
     within = Window.partitionBy("sid", "b").orderBy("u", *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = cut.withColumn("inside", F.sum(value).over(within) - F.col(value))
     return cut.join(sums, ["sid", "b"]).withColumn("before", F.col("below") + F.col("inside")).drop("b", "inside", "below")

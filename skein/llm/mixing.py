@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -83,12 +83,16 @@ def permuted(x: np.ndarray, size: int, key: int) -> np.ndarray:
     return v.astype(np.int64)
 
 
+def checksum(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 class Mix:
     """The tables of one mix; see mixed() and slots()."""
 
     def __init__(self, docs: DataFrame, seed: int = 11, block: int = BLOCK, shards: int = SHARDS, weights: tuple = WEIGHTS):
         self.spark, self.block, self.shards = docs.sparkSession, block, shards
-        slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), C.n_words(F.col("text")).alias("size"))
+        slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), C.n_words(F.col("text")).alias("size"), checksum(F.col("text")).alias("text_crc32"))
         slim = C.written(slim)
         sources = C.size_per_source(slim, F.sum("size").alias("words"))
         words = [r.words or 0 for r in sources]
@@ -98,10 +102,10 @@ class Mix:
         self.totals = [min(MOST_TIMES * m, round(t * m / w)) if w else 0 for t, m, w in zip(target, self.blocks, words)]
         self.counts = draws(self.totals, shards, seed)
         self.seed = seed
+        self.numbers = [(i, r.source) for i, r in enumerate(sources)]
         known = [(i, r.source, r.n, w, t) for i, (r, w, t) in enumerate(zip(sources, words, target))]
-        known = self.spark.createDataFrame(known, "sid int, source string, n long, source_size long, target double")
-        rows = slim.join(F.broadcast(known), slim.source.eqNullSafe(known.source)).drop(known.source)
-        rows = rows.withColumn("u", C.unit_hash(seed, F.col("doc_id"), F.col("size")))
+        rows = C.with_sources(slim, known, "sid int, source string, n long, source_size long, target double")
+        rows = rows.withColumn("u", C.unit_hash(seed, F.col("doc_id"), F.col("size"), F.col("text_crc32")))
         self.empty = rows.where("size = 0")
         self.placed = C.hashed_prefix(rows.where("size > 0"), "size").withColumnRenamed("before", "start")
 
@@ -143,7 +147,7 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     mix = Mix(docs, **how)
     times = mix.slots().groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
     # the plan of the slots looks small, the slots are not: they are never broadcast
-    taken = mix.pieces().join(times.hint("merge"), ["sid", "block"], "left").groupBy("sid", "start", "doc_id", "size", "source", "source_size", "target")
+    taken = mix.pieces().join(times.hint("merge"), ["sid", "block"], "left").groupBy("sid", "start", "doc_id", "size", "text_crc32", "source", "source_size", "target")
     taken = taken.agg(F.sum(F.col("words") * F.coalesce(F.col("times"), F.lit(0))).alias("taken"))
     columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
     return taken.select(*columns).unionByName(mix.empty.withColumn("taken", F.lit(0).cast("long")).select(*columns))
@@ -153,21 +157,21 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix: a row for each pass that takes words of a document, its text those words in their order.
 
     A pass that takes all of a document gives its text as it stands. The columns are those of docs; n_chars, where there is
-    one, is the new text's. Rows whose doc_id occurs more than once must be equal in size or they take what the other does.
+    one, is the new text's. Rows are known by id, size and checksum; such as are equal in these are interchangeable.
     """
     mix = Mix(docs, **how)
     got = mix.pieces().join(mix.slots().select("sid", "block", "pass").hint("merge"), ["sid", "block"])
-    got = got.groupBy("sid", "start", "doc_id", "size", "pass").agg(F.array_sort(F.collect_list(F.struct("from", "words"))).alias("spans"), F.sum("words").alias("some"))
-    # rows that share doc_id and size are told apart by their order in the source
-    from pyspark.sql import Window
-
-    got = got.select("doc_id", "size", "start", F.when(F.col("some") < F.col("size"), F.col("spans")).alias("spans"))
-    same = Window.partitionBy("doc_id", "size").orderBy("start")
+    got = got.groupBy("sid", "start", "doc_id", "size", "text_crc32", "pass").agg(F.array_sort(F.collect_list(F.struct("from", "words"))).alias("spans"), F.sum("words").alias("some"))
+    # rows that are equal in these are told apart by their order
+    got = got.select("doc_id", "size", "text_crc32", "sid", "start", F.when(F.col("some") < F.col("size"), F.col("spans")).alias("spans"))
+    same = Window.partitionBy("doc_id", "size", "text_crc32", "sid").orderBy("start")
     got = got.withColumn("copy", F.dense_rank().over(same)).drop("start")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), C.n_words(F.col("text")).alias("size")).where("size > 0")
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "size").orderBy(F.xxhash64("row.text"))))
-    out = rows.join(got, rows.doc_id.eqNullSafe(got.doc_id) & (rows["size"] == got["size"]) & (rows["copy"] == got["copy"])).select("row", "spans")
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), C.n_words(F.col("text")).alias("size"), checksum(F.col("text")).alias("text_crc32"), F.col("source").cast("string").alias("source")).where("size > 0")
+    rows = C.with_sources(rows, mix.numbers, "sid int, source string")
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "size", "text_crc32", "sid").orderBy(F.xxhash64("row.text"))))
+    equal = [rows[c] == got[c] for c in ("size", "text_crc32", "sid", "copy")]
+    out = rows.join(got, [rows.doc_id.eqNullSafe(got.doc_id), *equal]).select("row", "spans")
     words = F.regexp_extract_all("row.text", F.lit(f"{C.WORD}(?:{C.SPACE})?"), F.lit(0))
     out = out.withColumn("w", F.when(F.col("spans").isNotNull(), words))
     part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice("w", (s["from"] + 1).cast("int"), s["words"].cast("int")))), "")

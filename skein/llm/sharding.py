@@ -28,11 +28,9 @@ def interleaved_shards(docs: DataFrame, shards: int = 8, seed: int = 7) -> DataF
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     slim = C.written(slim)
-    spark = docs.sparkSession
     sources = C.size_per_source(slim)
     total = sum(r.n for r in sources)
-    known = spark.createDataFrame([(i, r.source, r.n) for i, r in enumerate(sources)], "sid int, source string, n long")
-    rows = slim.join(F.broadcast(known), slim.source.eqNullSafe(known.source)).drop(known.source)
+    rows = C.with_sources(slim, [(i, r.source, r.n) for i, r in enumerate(sources)], "sid int, source string, n long")
     rows = rows.withColumn("u", C.unit_hash(seed, F.col("doc_id"), F.col("text_crc32"))).withColumn("one", F.lit(1).cast("long"))
     ranked = C.hashed_prefix(rows, "one", ROWS_PER_BUCKET)
     ranked = ranked.withColumn("fraction", (F.col("before") + F.lit(0.5)) / F.col("n"))

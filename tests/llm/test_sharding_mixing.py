@@ -1,7 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
-from skein.llm import mixing, queries, sharding
+from skein.llm import common, mixing, queries, sharding
 from tests.llm.brute import ODD, frame, words
 
 
@@ -94,3 +94,58 @@ def test_mixed_documents_have_the_words_taken(spark):
         assert set(words(r.text)) <= set(words(whole[r.doc_id]))
         out[r.doc_id] += len(words(r.text))
     assert all(out[i] == n for i, n in taken.items())
+
+
+def plain_mix(rows, seed=11):
+    """What a mix takes of each of rows(doc_id, text, source), block by block and slot by slot."""
+    import hashlib
+
+    import numpy as np
+
+    def place(r):
+        n, crc = len(words(r[1])), zlib.crc32((r[1] or "").encode())
+        u = int(hashlib.md5(f"{seed}:{r[0]}:{n}:{crc}".encode()).hexdigest()[:12], 16)
+        return u, r[0], n, crc
+
+    names = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(len(words(r[1])) for r in rows if r[2] == s) for s in names]
+    target = mixing.targets(sizes, [mixing.WEIGHTS[i % 3] for i in range(len(names))])
+    blocks = [-(-n // mixing.BLOCK) for n in sizes]
+    totals = [min(3 * b, round(t * b / n)) if n else 0 for t, b, n in zip(target, blocks, sizes)]
+    taken = {}
+    for sid, s in enumerate(names):
+        times = Counter()
+        for turn in range(-(-totals[sid] // blocks[sid]) if blocks[sid] else 0):
+            slots = np.arange(min(blocks[sid], totals[sid] - turn * blocks[sid]))
+            times.update(mixing.permuted(slots, blocks[sid], seed * 1_000_003 + sid * 31 + turn).tolist())
+        at = 0
+        for r in sorted((r for r in rows if r[2] == s), key=place):
+            n = len(words(r[1]))
+            taken[r[0]] = sum(times[w // mixing.BLOCK] for w in range(at, at + n))
+            at += n
+    return taken
+
+
+def test_mix_is_the_plain_one(spark, sf, monkeypatch):
+    docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert {r.doc_id: r.taken for r in queries.op4_block_mixing(spark, sf).collect()} == plain_mix(docs)
+    many = [(i, " ".join(["w"] * (i % 90)), f"s{i % 40}") for i in range(400)]
+    monkeypatch.setattr(common, "BROADCAST_SOURCES", 3)
+    prefix = common.hashed_prefix
+    monkeypatch.setattr(common, "hashed_prefix", lambda slim, value, n=3: prefix(slim, value, 3, 4))
+    rows = spark.createDataFrame(many, "doc_id long, text string, source string")
+    assert {r.doc_id: r.taken for r in mixing.mixed(rows).collect()} == plain_mix(many)
+    check_shards(sharding.interleaved_shards(rows).collect(), {i: t for i, t, _ in many})
+
+
+def test_equal_ids_and_sizes_of_different_texts(spark):
+    rows = [(7, f"{c} " * 40, s) for c in "abcdefgh" for s in ("x", "y")] + [(None, f"n{i} " * 9, "x") for i in range(30)] + [(7, "a " * 40, "x")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        assert len(set(words(r.text))) == 1
+        taken[r.doc_id, words(r.text)[0], r.source] += len(words(r.text))
+    allowed = Counter()
+    for i, t, s in rows:
+        allowed[i, words(t)[0], s] += 3 * len(words(t))
+    assert all(n <= allowed[k] for k, n in taken.items()) and sum(taken.values()) == sum(r.taken for r in mixing.mixed(docs).collect())
