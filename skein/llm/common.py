@@ -56,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; only where the cluster names none, a local one (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="skein-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
