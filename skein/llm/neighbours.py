@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-A pseudo-rotation is three rounds of random signs and a fast Hadamard transform. In each of `tables` such rotations a
-vector falls into the bucket of its nearest signed axis; a query looks into the `probes` buckets whose axes are nearest
-to it, and what it finds there is ranked anew by exact inner products of the original vectors. As the measure is the
-inner product, vectors of unequal length are first completed to equal length by one more coordinate (queries by 0).
+A pseudo-rotation is three rounds of random signs and a fast Hadamard transform; it gives a vector its nearest signed axis.
+In each of `tables` tables a vector's bucket is what `width` such rotations give it, one after the other, and the width
+follows the number of rows, so that buckets stay small. A query looks into the buckets whose axes are together nearest to it
+(multiprobe over the sum of its coordinates along them), and what it finds there is ranked anew by exact inner products of
+the original vectors. As the measure is the inner product, vectors of unequal length are first completed to equal length by
+one more coordinate (queries by 0).
 
-A bucket is a grid of blocks, so many rows on one axis (or copies of one vector) are many tasks of bounded size, and a
-query that found fewer than k looks into every bucket of one table, which is exact.
+Rows travel in groups of buckets, a grid of blocks each, so many rows in one bucket (or copies of one vector) are many tasks
+of bounded size. A query goes to the groups that hold one of its buckets, with the least sum that it looks at. One that
+found fewer than k looks into every bucket of one table, which is exact.
 
 Cases: vectors that are null, zero, or hold a null or a component that is not finite take no part, nor do rows without an
 id; vectors of different dimensions never meet; a repeated id counts once, with the larger product; equal products rank by
@@ -24,10 +27,16 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Nearest rows returned; rotations; buckets that a query looks into in each.
-K, TABLES, PROBES = 20, 8, 16
-#: Rows and queries of a block.
-ROWS, QUERIES = 512, 4096
+#: Nearest rows returned; tables; rotations of a table at most.
+K, TABLES, WIDTH = 20, 8, 4
+#: Rows of a bucket, on average, beyond which tables get another rotation, by the table's width.
+BUCKET = (64, 16, 16)
+#: Buckets of a table that a query looks into, as a share of all, by the table's width.
+SHARES = (1 / 8, 1 / 32, 1 / 256, 1 / 4096)
+#: Buckets that are put in order to find them; groups of a table at most (the table of groups is broadcast).
+ORDERED, GROUPS = 1 << 15, 1 << 16
+#: Rows and queries of a block; queries that are compared at once.
+ROWS, QUERIES, TOGETHER = 4096, 4096, 1024
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -63,6 +72,74 @@ def nearest_axes(y: np.ndarray, probes: int) -> np.ndarray:
     return np.argsort(-both, axis=1, kind="stable")[:, :probes]
 
 
+def width_for(rows: int, axes: int) -> int:
+    """Rotations of a table: enough for buckets of BUCKET rows at most, as far as WIDTH and 60 bits of a bucket's number go."""
+    wanted = 1
+    while wanted < min(WIDTH, 60 // axes.bit_length()) and axes > 2 and rows > BUCKET[wanted - 1] * axes**wanted:
+        wanted += 1
+    return wanted
+
+
+def signed(y: np.ndarray) -> np.ndarray:
+    """Coordinates along all signed axes."""
+    return np.stack([y, -y], axis=2).reshape(len(y), -1)
+
+
+def group_of(code: np.ndarray, axes: int, width: int, groups: int) -> np.ndarray:
+    """Group of a bucket: by all of its axes but the last."""
+    first = code // axes if width > 1 else code
+    return ((first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(groups)
+
+
+class Table:
+    """Buckets of one table of an index of so many rows, for vectors whose rotation has `axes` signed axes."""
+
+    def __init__(self, number: int, axes: int, rows: int, seed: int):
+        self.number, self.axes, self.seed = number, axes, seed
+        self.width, self.groups = width_for(rows, axes), max(1, min(GROUPS, -(-rows // ROWS)))
+
+    def turned(self, u: np.ndarray) -> list[np.ndarray]:
+        return [rotated(u, self.number * WIDTH + i, self.seed) for i in range(self.width)]
+
+    def codes(self, u: np.ndarray) -> np.ndarray:
+        """Bucket of each row: the numbers of its axes as digits."""
+        out = np.zeros(len(u), np.int64)
+        for y in self.turned(u):
+            out = out * self.axes + nearest_axis(y)
+        return out
+
+    def group(self, codes: np.ndarray) -> np.ndarray:
+        return group_of(codes, self.axes, self.width, self.groups)
+
+    def sums(self, u: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """For each row of u and each bucket, the sum of its coordinates along the bucket's axes."""
+        out = np.zeros((len(u), len(codes)))
+        for i, y in enumerate(self.turned(u)):
+            out += signed(y)[:, codes // self.axes ** (self.width - 1 - i) % self.axes]
+        return out
+
+    def probes(self, u: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+        """For each row of u, the least sum that it looks at and the groups of the buckets that reach it."""
+        few = max(1, min(self.axes, int(ORDERED ** (1 / self.width) + 1e-9)))
+        wanted = max(1, min(int(SHARES[self.width - 1] * self.axes**self.width), few**self.width))
+        for at in range(0, len(u), 64):
+            part = u[at : at + 64]
+            total, code = np.zeros((len(part), 1)), np.zeros((len(part), 1), np.int64)
+            for y in self.turned(part):
+                near = nearest_axes(y, few)
+                along = np.take_along_axis(signed(y), near, 1)
+                total = (total[:, :, None] + along[:, None, :]).reshape(len(part), -1)
+                code = (code[:, :, None] * self.axes + near[:, None, :]).reshape(len(part), -1)
+            least = np.partition(total, total.shape[1] - wanted, axis=1)[:, total.shape[1] - wanted] - 1e-12
+            for row, buckets, low in zip(total, code, least):
+                yield float(low), np.unique(self.group(buckets[row >= low]))
+
+
+def axes(u: np.ndarray) -> int:
+    """Number of signed axes of rotated(u)."""
+    return 2 << max(0, (u.shape[1] - 1).bit_length())
+
+
 def unit(x: np.ndarray, longest: float, complete: bool, query: bool) -> np.ndarray:
     """Rows of length one; with complete, of x / e**longest and the coordinate that completes it (0 for queries). Lengths
     are logarithms, and rows are scaled by their largest component first, so no finite vector is too long or too short."""
@@ -89,28 +166,56 @@ def by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray
         yield rows, values[start[rows][:, None] + np.arange(d)]
 
 
-def best(q: np.ndarray, x: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row of q its k largest inner products with rows of x, ties to the earlier row: rows of q, of x, products.
+def first_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Rows (in order of id) without those that more than k equal ones precede: no query can want these."""
+    order = np.argsort(ids, kind="stable")
+    same = np.unique(np.ascontiguousarray(x[order]).view(f"V{x.shape[1] * x.itemsize}").reshape(-1), return_inverse=True)[1].reshape(-1)
+    by = np.argsort(same, kind="stable")
+    nth = np.empty(len(by), np.int64)
+    nth[by] = np.arange(len(by)) - np.searchsorted(same[by], same[by])
+    return order[nth <= k]
+
+
+def best(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, looks: Iterator[tuple[np.ndarray, slice]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of q the k largest inner products with the rows of x that it looks at, ties to the smaller id: rows of
+    q, of x, products. looks: rows of q and the stretch of x that they look at; no pair comes twice.
 
-    Products are summed coordinate by coordinate, so equal vectors have equal products wherever they stand.
+    Matrix products choose, with room for their rounding; what they choose is summed coordinate by coordinate, so equal
+    vectors have equal products wherever they stand.
     """
-    s = np.zeros((len(q), len(x)))
+    rows, cols, near = [], [], []
+    for of, stretch in looks:
+        rows.append(np.repeat(of, stretch.stop - stretch.start))
+        cols.append(np.tile(np.arange(stretch.start, stretch.stop), len(of)))
+        near.append((q[of] @ x[stretch].T).reshape(-1))
+    if not rows:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    rows, cols, near = np.concatenate(rows), np.concatenate(cols), np.concatenate(near)
+    other = qid[rows] != xid[cols]
+    rows, cols, near = rows[other], cols[other], near[other]
+    order = np.lexsort((-near, rows))
+    rows, cols, near = rows[order], cols[order], near[order]
+    first = np.searchsorted(rows, np.arange(len(q)))
+    count = np.searchsorted(rows, np.arange(len(q)), side="right") - first
+    least = np.full(len(q), -np.inf)
+    enough = count >= k
+    least[enough] = near[first[enough] + k - 1]
+    room = 1e-12 * np.abs(q).sum(axis=1) * np.abs(x).max(initial=0.0)
+    keep = ~(near < (least - room)[rows])
+    rows, cols = rows[keep], cols[keep]
+    value = np.zeros(len(rows))
     for j in range(q.shape[1]):
-        s += q[:, j, None] * x[None, :, j]
-    s[own] = -np.inf
-    if len(x) > k:
-        least = np.partition(s, len(x) - k, axis=1)[:, len(x) - k]
-        rows, cols = np.nonzero((s >= least[:, None]) & (s > -np.inf))
-    else:
-        rows, cols = np.nonzero(s > -np.inf)
-    value = s[rows, cols]
-    order = np.lexsort((cols, -value, rows))
+        value += q[rows, j] * x[cols, j]
+    order = np.lexsort((xid[cols], -value, rows))
     rows, cols, value = rows[order], cols[order], value[order]
-    first = np.searchsorted(rows, rows)
-    keep = np.arange(len(rows)) - first < k
+    keep = (np.arange(len(rows)) - np.searchsorted(rows, rows) < k) & ~np.isnan(value)
     return rows[keep], cols[keep], value[keep]
 
 
+#: Groups that a query goes to.
+LOOKS = pa.list_(pa.struct([("at", pa.int32()), ("least", pa.float64())]))
+
+
 class Index:
     def __init__(self, vectors: DataFrame, tables: int = TABLES, seed: int = 17):
         """Hashes every vector of vectors(vec_id, embedding) once and writes the index to the shared folder."""
@@ -124,69 +229,79 @@ class Index:
         ends = good.select(length.alias("length")).agg(F.min("length").alias("low"), F.max("length").alias("high"), F.count(F.lit(1)).alias("n")).first()
         self.longest, self.n = float(ends.high or 0.0), ends.n
         self.complete = bool(ends.n) and ends.low < ends.high - 0.005
-        longest, complete = self.longest, self.complete
+        longest, complete, n = self.longest, self.complete, self.n
 
         def hashed(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in of:
-                codes = np.zeros((batch.num_rows, tables), np.int32)
+                codes, groups = np.zeros((batch.num_rows, tables), np.int64), np.zeros((batch.num_rows, tables), np.int32)
                 dims = np.zeros(batch.num_rows, np.int32)
                 for at, x in by_dimension(batch):
                     u = unit(x, longest, complete, False)
                     dims[at] = x.shape[1]
                     for t in range(tables):
-                        codes[at, t] = nearest_axis(rotated(u, t, seed))
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, tables, dtype=np.int32)), pa.array(codes.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), pa.array(dims), flat], ["vec_id", "embedding", "dim", "codes"])
+                        table = Table(t, axes(u), n, seed)
+                        codes[at, t] = table.codes(u)
+                        groups[at, t] = table.group(codes[at, t]) + t * GROUPS
+                starts = pa.array(np.arange(0, codes.size + 1, tables, dtype=np.int32))
+                lists = [pa.ListArray.from_arrays(starts, pa.array(v.reshape(-1))) for v in (codes, groups)]
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), pa.array(dims), *lists], ["vec_id", "embedding", "dim", "codes", "groups"])
 
-        self.rows = C.written(good.select("vec_id", "embedding").mapInArrow(hashed, f"vec_id long, embedding {kind}, dim int, codes array<int>"))
+        self.rows = C.written(good.select("vec_id", "embedding").mapInArrow(hashed, f"vec_id long, embedding {kind}, dim int, codes array<long>, groups array<int>"))
 
-    def probed(self, queries: DataFrame, tables: int, probes: int | None) -> DataFrame:
-        """vec_id, embedding, dim and (tbl, bucket) of each bucket that a query looks into; probes None: all."""
-        longest, complete, seed = self.longest, self.complete, self.seed
+    def probed(self, queries: DataFrame, tables: int, everywhere: bool) -> DataFrame:
+        """vec_id, embedding, dim, and of each group that a query goes to: its number and the least sum it looks at."""
+        longest, complete, n, seed = self.longest, self.complete, self.n, self.seed
 
         def probe(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in of:
-                out: list = [None] * batch.num_rows
+                out: list = [[] for _ in range(batch.num_rows)]
                 for at, x in by_dimension(batch):
                     u = unit(x, longest, complete, True)
-                    found = []
                     for t in range(tables):
-                        y = rotated(u, t, seed)
-                        found.append(nearest_axes(y, 2 * y.shape[1] if probes is None else min(probes, 2 * y.shape[1])) + (t << 20))
-                    for i, codes in zip(at, np.hstack(found).astype(np.int32)):
-                        out[i] = codes
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), batch.column("dim"), pa.array(out, pa.list_(pa.int32()))], ["vec_id", "embedding", "dim", "at"])
+                        table = Table(t, axes(u), n, seed)
+                        looks = ((-np.inf, np.arange(table.groups)) for _ in at) if everywhere else table.probes(u)
+                        for i, (least, groups) in zip(at, looks):
+                            out[i] += [{"at": int(g) + t * GROUPS, "least": least} for g in groups]
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), batch.column("dim"), pa.array(out, LOOKS)], ["vec_id", "embedding", "dim", "looks"])
 
         kind = self.rows.schema["embedding"].dataType.simpleString()
-        got = queries.select("vec_id", "embedding", "dim").mapInArrow(probe, f"vec_id long, embedding {kind}, dim int, at array<int>")
-        return got.select("vec_id", "embedding", "dim", F.explode("at").alias("at"))
+        got = queries.select("vec_id", "embedding", "dim").mapInArrow(probe, f"vec_id long, embedding {kind}, dim int, looks array<struct<at: int, least: double>>")
+        return got.select("vec_id", "embedding", "dim", F.explode("looks").alias("look")).select("vec_id", "embedding", "dim", "look.at", "look.least")
 
-    def search(self, queries: DataFrame, k: int = K, tables: int | None = None, probes: int | None = PROBES) -> DataFrame:
+    def search(self, queries: DataFrame, k: int = K, tables: int | None = None, everywhere: bool = False) -> DataFrame:
         """query_id, vec_id, score, rank: the k largest inner products that each of queries (rows of the index) finds."""
         tables = self.tables if tables is None else tables
-        asked = self.probed(queries, tables, probes)
-        held = self.rows.select("vec_id", "embedding", "dim", F.posexplode(F.slice("codes", 1, tables)).alias("tbl", "code"))
-        held = held.withColumn("at", F.col("code") + F.shiftleft(F.col("tbl"), 20)).drop("tbl", "code")
-        # how many blocks a bucket's rows and queries make: a row for each bucket, 2 * dimension * tables of them
-        rows = held.groupBy("dim", "at").agg(F.ceil(F.count(F.lit(1)) / ROWS).cast("int").alias("row_blocks"))
+        longest, complete, n, seed = self.longest, self.complete, self.n, self.seed
+        asked = self.probed(queries, tables, everywhere)
+        held = self.rows.select("vec_id", "embedding", "dim", F.explode(F.arrays_zip(F.slice("codes", 1, tables).alias("code"), F.slice("groups", 1, tables).alias("at"))).alias("of"))
+        held = held.select("vec_id", "embedding", "dim", "of.code", "of.at")
+        # how many blocks a group's rows and queries make: a row for each group, tables * GROUPS at most of a dimension
+        rows = held.groupBy("dim", "at").agg(F.ceil(F.count(F.lit(1)) / (2 * ROWS)).cast("int").alias("row_blocks"))
         many = asked.groupBy("dim", "at").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("query_blocks"))
         grid = F.broadcast(rows.join(many, ["dim", "at"]))
-        held = held.join(grid, ["dim", "at"]).select("dim", "at", F.pmod(F.xxhash64("vec_id"), "row_blocks").cast("int").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("qb"), F.lit(False).alias("asks"), "vec_id", "embedding")
-        asked = asked.join(grid, ["dim", "at"]).select("dim", "at", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("rb"), F.pmod(F.xxhash64("vec_id"), "query_blocks").cast("int").alias("qb"), F.lit(True).alias("asks"), "vec_id", "embedding")
+        held = held.join(grid, ["dim", "at"]).select("dim", "at", F.pmod(F.xxhash64("vec_id"), "row_blocks").cast("int").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("qb"), F.lit(False).alias("asks"), "vec_id", "embedding", "code", F.lit(0.0).alias("least"))
+        asked = asked.join(grid, ["dim", "at"]).select("dim", "at", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("rb"), F.pmod(F.xxhash64("vec_id"), "query_blocks").cast("int").alias("qb"), F.lit(True).alias("asks"), "vec_id", "embedding", F.lit(0).cast("long").alias("code"), "least")
 
         def ranked(group: pa.Table) -> pa.Table:
-            ids, asks = group.column("vec_id").to_numpy(), np.asarray(group.column("asks"))
+            ids, asks, codes = group.column("vec_id").to_numpy(), np.asarray(group.column("asks")), group.column("code").to_numpy()
             values = np.asarray(group.column("embedding").combine_chunks().flatten(), np.float64).reshape(len(ids), -1)
             at = np.flatnonzero(~asks)
-            at = at[np.argsort(ids[at], kind="stable")]
-            x, xid = values[at], ids[at]
             found = [[], [], []]
-            q, qid = values[asks], ids[asks]
-            for i in range(0, len(q), 1024):
-                part = qid[i : i + 1024]
-                r, c, s = best(q[i : i + 1024], x, k, part[:, None] == xid[None, :])
-                for to, v in zip(found, (part[r], xid[c], s)):
-                    to.append(v)
+            if len(at) and asks.any():
+                at = at[first_copies(ids[at], values[at], k)]
+                at = at[np.argsort(codes[at], kind="stable")]
+                x, xid = values[at], ids[at]
+                buckets, starts = np.unique(codes[at], return_index=True)
+                stretches = [slice(a, b) for a, b in zip(starts, np.append(starts[1:], len(at)))]
+                q, qid, least = values[asks], ids[asks], group.column("least").to_numpy()[asks]
+                u = unit(q, longest, complete, True)
+                table = Table(group.column("at")[0].as_py() // GROUPS, axes(u), n, seed)
+                for i in range(0, len(q), TOGETHER):
+                    part = slice(i, i + TOGETHER)
+                    looks = table.sums(u[part], buckets) >= least[part, None]
+                    r, c, v = best(q[part], qid[part], x, xid, ((np.flatnonzero(looks[:, b]), stretches[b]) for b in np.flatnonzero(looks.any(axis=0))), k)
+                    for to, each in zip(found, (qid[part][r], xid[c], v)):
+                        to.append(each)
             cat = lambda v, t: pa.array(np.concatenate(v) if v else np.empty(0), t)
             return pa.table({"query_id": cat(found[0], pa.int64()), "vec_id": cat(found[1], pa.int64()), "score": cat(found[2], pa.float64())})
 
@@ -196,15 +311,15 @@ class Index:
         return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABLES) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of vectors(vec_id, embedding) that is_query picks, against all rows."""
     index = Index(vectors, tables)
     queries = index.rows.where(is_query)
-    found = C.written(index.search(queries, k, probes=probes))
+    found = C.written(index.search(queries, k))
     enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
     short = queries.join(enough, queries.vec_id == enough.query_id, "left_anti")
     if index.n <= 1 or short.isEmpty():
         return found.select("query_id", "rank", "vec_id", "score")
-    rest = index.search(short, k, tables=1, probes=None)
+    rest = index.search(short, k, tables=1, everywhere=True)
     full = found.join(enough.select("query_id"), "query_id", "left_semi")
     return full.unionByName(rest).select("query_id", "rank", "vec_id", "score")

@@ -63,6 +63,7 @@ def test_awkward_vectors(spark):
 def test_copies_and_unequal_lengths(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ROWS", 50)
     monkeypatch.setattr(neighbours, "QUERIES", 7)
+    monkeypatch.setattr(neighbours, "TOGETHER", 3)
     rng = np.random.default_rng(4)
     x = rng.normal(size=(900, 16)).astype("f4") * rng.uniform(0.2, 3, (900, 1)).astype("f4")
     x[300:600] = x[0]
@@ -78,3 +79,69 @@ def test_finite_vectors_of_any_length(spark):
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in neighbours.nearest(docs, F.col("vec_id") % 20 == 0).collect()}
     assert [got[20, i] for i in range(1, 6)] == [(40, 1e300), (21, 1e200), (23, 9.0), (22, 1e-200), (41, -1e-320)]
     assert {got[40, i][0] for i in range(1, 6)} == {20, 21, 22, 23, 41} and got[40, 1] == (21, float("inf"))
+
+
+def test_wider_tables_and_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BUCKET", (2, 2, 2))
+    monkeypatch.setattr(neighbours, "ROWS", 100)
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(60, 16)).repeat(25, axis=0) + 0.3 * rng.normal(size=(1500, 16))).astype("f4")
+    ids = np.arange(1500)
+    assert neighbours.width_for(1500, 32) == 2 and neighbours.Table(0, 64, 1500, 17).groups == 15
+    want = exact(ids, x.astype("f8"), ids[ids % 20 == 0])
+    share, got = recall(neighbours.nearest(frame(spark, [(int(i), v.tolist(), 1, "x") for i, v in zip(ids, x)]), F.col("vec_id") % 20 == 0).collect(), want)
+    assert share >= 0.9, share
+    for q, found in got.items():
+        scores = dict(want[q])
+        assert all(s == scores[v] for v, s in found if v in scores)
+
+
+def looked_at(x, n_queries=64):
+    """Shares of the rows (of 10,000 of them) that a query looks at: counted in each table, and distinct; recall of the 20
+    nearest of all rows."""
+    q = x[:n_queries]
+    s = q @ x.T
+    s[np.arange(n_queries), np.arange(n_queries)] = -9
+    top = np.argsort(-s, axis=1)[:, :20]
+    some = np.concatenate([top.reshape(-1), np.arange(min(10_000, len(x)))])
+    seen, products = np.zeros((n_queries, len(some)), bool), 0.0
+    for t in range(neighbours.TABLES):
+        table = neighbours.Table(t, neighbours.axes(x), len(x), 17)
+        least = np.array([p[0] for p in table.probes(q)])
+        looks = table.sums(q, table.codes(x[some])) >= least[:, None]
+        products, seen = products + looks[:, top.size :].mean(), seen | looks
+    of = np.arange(top.size).reshape(top.shape)
+    return products, seen[:, top.size :].mean(), np.take_along_axis(seen, of, 1).mean()
+
+
+def test_share_of_rows_falls_as_rows_grow():
+    rng = np.random.default_rng(8)
+
+    def clustered(n):
+        x = rng.normal(size=(n // 25, 64))[rng.integers(0, n // 25, n)] + 0.5 * rng.normal(size=(n, 64))
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    few, more = looked_at(clustered(4_000)), looked_at(clustered(40_000))
+    many = looked_at(clustered(270_000), 16)
+    assert few[1] > 2 * more[1] and more[1] > 2 * many[1] and many[1] < 0.1, (few, more, many)
+    assert min(few[2], more[2], many[2]) >= 0.9, (few, more, many)
+
+
+def test_buckets_that_reach_the_sum_are_in_the_groups():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(700, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = neighbours.Table(1, neighbours.axes(x), 10_000, 17)
+    codes = table.codes(x)
+    assert table.width == 2 and table.groups == 3
+    for q, (least, groups) in zip(x[:80], table.probes(x[:80])):
+        reached = table.sums(q[None], codes)[0] >= least
+        assert set(table.group(codes[reached])) <= set(groups)
+        nearest = table.sums(q[None], table.codes(q[None]))[0, 0]
+        assert nearest >= least and nearest >= table.sums(q[None], codes).max() - 1e-12
+
+
+def test_copies_that_no_query_can_want():
+    x = np.array([[1.0, 2.0]] * 6 + [[2.0, 1.0]])
+    kept = neighbours.first_copies(np.array([9, 3, 5, 1, 7, 2, 8]), x, 2)
+    assert sorted(kept.tolist()) == [1, 3, 5, 6]
