@@ -8,8 +8,9 @@ the original vectors. As the measure is the inner product, vectors of unequal le
 one more coordinate (queries by 0).
 
 Rows travel in groups of buckets, a grid of blocks each, so many rows in one bucket (or copies of one vector) are many tasks
-of bounded size. A query goes to the groups that hold one of its buckets, with the least sum that it looks at. One that
-found fewer than k looks into every bucket of one table, which is exact.
+of bounded size. A query goes to the groups that hold one of its buckets, with the least sum that it looks at. What it finds
+in the first table bounds what the others have to tell: nothing below the k-th product found can be among the k largest. One
+that found fewer than k looks into every bucket of one table, which is exact.
 
 Cases: vectors that are null, zero, or hold a null or a component that is not finite take no part, nor do rows without an
 id; vectors of different dimensions never meet; a repeated id counts once, with the larger product; equal products rank by
@@ -167,18 +168,23 @@ def by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray
 
 
 def first_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
-    """Rows (in order of id) without those that more than k equal ones precede: no query can want these."""
-    order = np.argsort(ids, kind="stable")
-    same = np.unique(np.ascontiguousarray(x[order]).view(f"V{x.shape[1] * x.itemsize}").reshape(-1), return_inverse=True)[1].reshape(-1)
-    by = np.argsort(same, kind="stable")
-    nth = np.empty(len(by), np.int64)
-    nth[by] = np.arange(len(by)) - np.searchsorted(same[by], same[by])
+    """Rows without repetitions of an id and its vector, and without those that equal more than k rows of smaller ids: no
+    query can want these."""
+    same = np.unique(np.ascontiguousarray(x).view(f"V{x.shape[1] * x.itemsize}").reshape(-1), return_inverse=True)[1].reshape(-1)
+    order = np.lexsort((ids, same))
+    order = order[np.append(True, (np.diff(same[order]) != 0) | (np.diff(ids[order]) != 0))]
+    nth = np.arange(len(order)) - np.searchsorted(same[order], same[order])
     return order[nth <= k]
 
 
-def best(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, looks: Iterator[tuple[np.ndarray, slice]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def first_of_each(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places where a pair comes for the first time."""
+    return np.sort(np.unique(np.stack([rows, ids], axis=1), axis=0, return_index=True)[1])
+
+
+def best(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, looks: Iterator[tuple[np.ndarray, slice]], floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each row of q the k largest inner products with the rows of x that it looks at, ties to the smaller id: rows of
-    q, of x, products. looks: rows of q and the stretch of x that they look at; no pair comes twice.
+    q, of x, products. looks: rows of q and the stretch of x that they look at; no pair comes twice. floor: what products have to reach.
 
     Matrix products choose, with room for their rounding; what they choose is summed coordinate by coordinate, so equal
     vectors have equal products wherever they stand.
@@ -195,20 +201,24 @@ def best(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, looks:
     rows, cols, near = rows[other], cols[other], near[other]
     order = np.lexsort((-near, rows))
     rows, cols, near = rows[order], cols[order], near[order]
-    first = np.searchsorted(rows, np.arange(len(q)))
-    count = np.searchsorted(rows, np.arange(len(q)), side="right") - first
-    least = np.full(len(q), -np.inf)
+    repeated = len(np.unique(xid)) < len(xid)
+    apart = first_of_each(rows, xid[cols]) if repeated else np.arange(len(rows))
+    first = np.searchsorted(rows[apart], np.arange(len(q)))
+    count = np.searchsorted(rows[apart], np.arange(len(q)), side="right") - first
+    least = floor.copy()
     enough = count >= k
-    least[enough] = near[first[enough] + k - 1]
+    least[enough] = np.fmax(floor[enough], near[apart][first[enough] + k - 1])
     room = 1e-12 * np.abs(q).sum(axis=1) * np.abs(x).max(initial=0.0)
     keep = ~(near < (least - room)[rows])
     rows, cols = rows[keep], cols[keep]
     value = np.zeros(len(rows))
     for j in range(q.shape[1]):
         value += q[rows, j] * x[cols, j]
-    order = np.lexsort((xid[cols], -value, rows))
+    reach = np.flatnonzero(value >= floor[rows])
+    order = reach[np.lexsort((xid[cols[reach]], -value[reach], rows[reach]))]
+    order = order[first_of_each(rows[order], xid[cols[order]])] if repeated else order
     rows, cols, value = rows[order], cols[order], value[order]
-    keep = (np.arange(len(rows)) - np.searchsorted(rows, rows) < k) & ~np.isnan(value)
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
     return rows[keep], cols[keep], value[keep]
 
 
@@ -248,8 +258,8 @@ class Index:
 
         self.rows = C.written(good.select("vec_id", "embedding").mapInArrow(hashed, f"vec_id long, embedding {kind}, dim int, codes array<long>, groups array<int>"))
 
-    def probed(self, queries: DataFrame, tables: int, everywhere: bool) -> DataFrame:
-        """vec_id, embedding, dim, and of each group that a query goes to: its number and the least sum it looks at."""
+    def probed(self, queries: DataFrame, tables: range, everywhere: bool) -> DataFrame:
+        """vec_id, embedding, dim, floor, and of each group that a query goes to: its number and the least sum it looks at."""
         longest, complete, n, seed = self.longest, self.complete, self.n, self.seed
 
         def probe(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,30 +267,32 @@ class Index:
                 out: list = [[] for _ in range(batch.num_rows)]
                 for at, x in by_dimension(batch):
                     u = unit(x, longest, complete, True)
-                    for t in range(tables):
+                    for t in tables:
                         table = Table(t, axes(u), n, seed)
                         looks = ((-np.inf, np.arange(table.groups)) for _ in at) if everywhere else table.probes(u)
                         for i, (least, groups) in zip(at, looks):
                             out[i] += [{"at": int(g) + t * GROUPS, "least": least} for g in groups]
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), batch.column("dim"), pa.array(out, LOOKS)], ["vec_id", "embedding", "dim", "looks"])
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), batch.column("dim"), batch.column("floor"), pa.array(out, LOOKS)], ["vec_id", "embedding", "dim", "floor", "looks"])
 
         kind = self.rows.schema["embedding"].dataType.simpleString()
-        got = queries.select("vec_id", "embedding", "dim").mapInArrow(probe, f"vec_id long, embedding {kind}, dim int, looks array<struct<at: int, least: double>>")
-        return got.select("vec_id", "embedding", "dim", F.explode("looks").alias("look")).select("vec_id", "embedding", "dim", "look.at", "look.least")
+        got = queries.select("vec_id", "embedding", "dim", "floor").mapInArrow(probe, f"vec_id long, embedding {kind}, dim int, floor double, looks array<struct<at: int, least: double>>")
+        return got.select("vec_id", "embedding", "dim", "floor", F.explode("looks").alias("look")).select("vec_id", "embedding", "dim", "floor", "look.at", "look.least")
 
-    def search(self, queries: DataFrame, k: int = K, tables: int | None = None, everywhere: bool = False) -> DataFrame:
-        """query_id, vec_id, score, rank: the k largest inner products that each of queries (rows of the index) finds."""
-        tables = self.tables if tables is None else tables
+    def search(self, queries: DataFrame, k: int = K, tables: range | None = None, everywhere: bool = False) -> DataFrame:
+        """query_id, vec_id, score: what each of queries (rows of the index; floor: a product that results have to reach)
+        finds in some of the tables, among it the k largest inner products; a pair may come twice."""
+        tables = range(self.tables) if tables is None else tables
         longest, complete, n, seed = self.longest, self.complete, self.n, self.seed
         asked = self.probed(queries, tables, everywhere)
-        held = self.rows.select("vec_id", "embedding", "dim", F.explode(F.arrays_zip(F.slice("codes", 1, tables).alias("code"), F.slice("groups", 1, tables).alias("at"))).alias("of"))
+        part = lambda c: F.slice(c, tables.start + 1, len(tables))
+        held = self.rows.select("vec_id", "embedding", "dim", F.explode(F.arrays_zip(part("codes").alias("code"), part("groups").alias("at"))).alias("of"))
         held = held.select("vec_id", "embedding", "dim", "of.code", "of.at")
         # how many blocks a group's rows and queries make: a row for each group, tables * GROUPS at most of a dimension
         rows = held.groupBy("dim", "at").agg(F.ceil(F.count(F.lit(1)) / (2 * ROWS)).cast("int").alias("row_blocks"))
         many = asked.groupBy("dim", "at").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("query_blocks"))
         grid = F.broadcast(rows.join(many, ["dim", "at"]))
-        held = held.join(grid, ["dim", "at"]).select("dim", "at", F.pmod(F.xxhash64("vec_id"), "row_blocks").cast("int").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("qb"), F.lit(False).alias("asks"), "vec_id", "embedding", "code", F.lit(0.0).alias("least"))
-        asked = asked.join(grid, ["dim", "at"]).select("dim", "at", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("rb"), F.pmod(F.xxhash64("vec_id"), "query_blocks").cast("int").alias("qb"), F.lit(True).alias("asks"), "vec_id", "embedding", F.lit(0).cast("long").alias("code"), "least")
+        held = held.join(grid, ["dim", "at"]).select("dim", "at", F.pmod(F.xxhash64("vec_id"), "row_blocks").cast("int").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("qb"), F.lit(False).alias("asks"), "vec_id", "embedding", "code", F.lit(0.0).alias("least"), F.lit(0.0).alias("floor"))
+        asked = asked.join(grid, ["dim", "at"]).select("dim", "at", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("rb"), F.pmod(F.xxhash64("vec_id"), "query_blocks").cast("int").alias("qb"), F.lit(True).alias("asks"), "vec_id", "embedding", F.lit(0).cast("long").alias("code"), "least", "floor")
 
         def ranked(group: pa.Table) -> pa.Table:
             ids, asks, codes = group.column("vec_id").to_numpy(), np.asarray(group.column("asks")), group.column("code").to_numpy()
@@ -293,33 +305,40 @@ class Index:
                 x, xid = values[at], ids[at]
                 buckets, starts = np.unique(codes[at], return_index=True)
                 stretches = [slice(a, b) for a, b in zip(starts, np.append(starts[1:], len(at)))]
-                q, qid, least = values[asks], ids[asks], group.column("least").to_numpy()[asks]
+                q, qid, least, floor = values[asks], ids[asks], group.column("least").to_numpy()[asks], group.column("floor").to_numpy()[asks]
                 u = unit(q, longest, complete, True)
                 table = Table(group.column("at")[0].as_py() // GROUPS, axes(u), n, seed)
                 for i in range(0, len(q), TOGETHER):
                     part = slice(i, i + TOGETHER)
                     looks = table.sums(u[part], buckets) >= least[part, None]
-                    r, c, v = best(q[part], qid[part], x, xid, ((np.flatnonzero(looks[:, b]), stretches[b]) for b in np.flatnonzero(looks.any(axis=0))), k)
+                    r, c, v = best(q[part], qid[part], x, xid, ((np.flatnonzero(looks[:, b]), stretches[b]) for b in np.flatnonzero(looks.any(axis=0))), floor[part], k)
                     for to, each in zip(found, (qid[part][r], xid[c], v)):
                         to.append(each)
             cat = lambda v, t: pa.array(np.concatenate(v) if v else np.empty(0), t)
             return pa.table({"query_id": cat(found[0], pa.int64()), "vec_id": cat(found[1], pa.int64()), "score": cat(found[2], pa.float64())})
 
-        pairs = held.unionByName(asked).groupBy("dim", "at", "rb", "qb").applyInArrow(ranked, "query_id long, vec_id long, score double")
-        pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+        return held.unionByName(asked).groupBy("dim", "at", "rb", "qb").applyInArrow(ranked, "query_id long, vec_id long, score double")
+
+
+def largest(pairs: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score: the k largest of pairs(query_id, vec_id, score), where a pair counts once."""
+    pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABLES) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of vectors(vec_id, embedding) that is_query picks, against all rows."""
     index = Index(vectors, tables)
-    queries = index.rows.where(is_query)
-    found = C.written(index.search(queries, k))
-    enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    queries = index.rows.where(is_query).select("vec_id", "embedding", "dim")
+    first = C.written(largest(index.search(queries.withColumn("floor", F.lit(float("-inf"))), k, range(1)), k))
+    floors = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    bounded = queries.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    more = index.search(bounded, k, range(1, tables))
+    found = C.written(largest(first.select("query_id", "vec_id", "score").unionByName(more), k))
+    enough = found.where(F.col("rank") == k).select("query_id")
     short = queries.join(enough, queries.vec_id == enough.query_id, "left_anti")
     if index.n <= 1 or short.isEmpty():
-        return found.select("query_id", "rank", "vec_id", "score")
-    rest = index.search(short, k, tables=1, everywhere=True)
-    full = found.join(enough.select("query_id"), "query_id", "left_semi")
-    return full.unionByName(rest).select("query_id", "rank", "vec_id", "score")
+        return found
+    rest = largest(index.search(short.withColumn("floor", F.lit(float("-inf"))), k, range(1), everywhere=True), k)
+    return found.join(enough, "query_id", "left_semi").select("query_id", "rank", "vec_id", "score").unionByName(rest)

@@ -145,3 +145,11 @@ def test_copies_that_no_query_can_want():
     x = np.array([[1.0, 2.0]] * 6 + [[2.0, 1.0]])
     kept = neighbours.first_copies(np.array([9, 3, 5, 1, 7, 2, 8]), x, 2)
     assert sorted(kept.tolist()) == [1, 3, 5, 6]
+    kept = neighbours.first_copies(np.array([1, 1, 1, 1, 7, 2, 1]), x, 1)
+    assert sorted(zip(np.array([1, 1, 1, 1, 7, 2, 1])[kept].tolist(), x[kept, 0].tolist())) == [(1, 1.0), (1, 2.0), (2, 1.0)]
+
+
+def test_repeated_ids_count_once(spark):
+    rows = [(20, [1.0, 0.1])] + [(7, [3.0, i / 100]) for i in range(50)] + [(8, [3.0, 0.0])] * 40 + [(i, [1.0, 0.0]) for i in range(30, 60)]
+    got = neighbours.nearest(frame(spark, [(i, v, 1, "x") for i, v in rows]), F.col("vec_id") == 20).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [7, 8, *range(30, 48)]
