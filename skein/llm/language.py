@@ -26,6 +26,8 @@ UNITS, WINDOW, END = 8, 128, 256
 #: Rows of the sample for each language and in all, at most (one of each language at least); bytes of a window to learn from, and
 #: windows that a row gives, spread over its whole text.
 SAMPLE_ROWS, SAMPLE_ALL, LEARN, SPREAD = 400, 40_000, 64, 64
+#: Languages up to which their counts are broadcast, so that no language's rows meet in one task.
+BROADCAST_LANGUAGES = 100_000
 #: Windows that a network is trained on, for each language and in all.
 TRAIN, TRAIN_ALL = 4000, 400_000
 #: Windows that a worker runs at a time, and probabilities that it holds.
@@ -163,9 +165,10 @@ def learned(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
     texts = texts.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.octet_length("text") > 0))
     texts = texts.withColumn("h", F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 40)))
     counts = texts.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
-    each = max(1, min(rows, SAMPLE_ALL // max(1, counts.count())))
+    languages = counts.count()
+    each = max(1, min(rows, SAMPLE_ALL // max(1, languages)))
     # a part of the hash range that holds some more rows than wanted, and of these exactly the first
-    part = texts.select("lang", "h").join(counts, F.col("lang") == F.col("of"))
+    part = texts.select("lang", "h").join(F.broadcast(counts) if languages <= BROADCAST_LANGUAGES else counts, F.col("lang") == F.col("of"))
     part = part.where(F.col("h") < (1 << 40) * ((2.0 * each + 32) / F.col("n"))).select("lang", "h").distinct()
     chosen = part.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("nth") <= each).drop("nth")
 
