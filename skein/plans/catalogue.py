@@ -780,3 +780,91 @@ def caption_names(spark, sf_dir):
     k = F.col("p_partkey")
     caption = F.when(k % 3 == 0, F.concat(F.lit("a "), F.col("p_name"), F.lit(" with a "), F.col("p_type"))).when(k % 3 == 1, F.concat("p_name", F.lit("; "), F.col("p_brand"))).otherwise(F.concat(F.upper("p_name"), F.lit(".")))
     return table(spark, sf_dir, "part").select("p_partkey", T.name_from_caption(caption, [], r"^an? ([a-z ]+?) with\b", ["(?i:gizmo)$"]).alias("name"))
+
+
+# ---- functions of names, specs and numbers ---------------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, CASE WHEN contains(n, 'bolt') THEN 'fastener' WHEN contains(n, 'red') THEN 'paint' WHEN contains(n, 'large') THEN 'bulk' END AS kind FROM (SELECT p_partkey, lower(p_name) AS n FROM part)")
+def first_keywords(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.first_keyword(F.upper("p_name"), [("bolt", "fastener"), ("red", "paint"), ("large", "bulk")]).alias("kind"))
+
+
+@query(r"""SELECT p_partkey, title, '"' || replace(replace(q, '\', '\\'), '"', '\"') || '"' AS quoted, '[' || array_to_string(string_split(p_name, ' '), ', ') || ']' AS tags
+ FROM (SELECT p_partkey, p_name, p_name || ' "' || p_size || '" \ ' || p_brand AS q, array_to_string(list_transform(string_split(p_name || ' ' || p_brand, ' '), lambda w: CASE WHEN w = upper(w) AND w <> lower(w) THEN w ELSE upper(left(w, 1)) || lower(substr(w, 2)) END), ' ') AS title FROM part)""")
+def titles_and_scalars(spark, sf_dir):
+    text = F.concat("p_name", F.lit(' "'), F.col("p_size").cast("string"), F.lit('" \\ '), F.col("p_brand"))
+    title = T.title_words(F.concat_ws(" ", "p_name", "p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", title.alias("title"), T.quoted(text).alias("quoted"), T.quoted_list(F.split("p_name", " ")).alias("tags"))
+
+
+@query(r"""SELECT p_partkey, p_name AS name, CASE WHEN p_partkey % 3 <> 2 THEN p_size END AS x, CASE WHEN p_partkey % 3 <> 2 THEN -p_size END AS y, CASE WHEN p_partkey % 3 = 0 THEN 64 END AS size,
+ split_part(p_name, ' ', 1) AS anchor, p_size AS width, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS material, CASE WHEN p_partkey % 3 <> 1 THEN 'front' END AS side FROM (SELECT * REPLACE (p_size::INT AS p_size) FROM part)""")
+def spec_parts(spark, sf_dir):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    place = F.when(k % 3 == 2, F.col("p_name")).otherwise(F.concat("p_name", F.lit(":"), size, F.lit(",-"), size, F.when(k % 3 == 0, ",64").otherwise("")))
+    anchor = F.concat(F.col("p_name"), F.lit(":"), F.substring_index("p_name", " ", 1), F.lit(","), size, F.when(k % 3 == 0, F.concat(F.lit(","), "p_brand")).otherwise(""))
+    side = F.concat("p_name", F.lit("="), "p_brand", F.when(k % 3 == 1, "").otherwise(":front"))
+    parsed = table(spark, sf_dir, "part").select("p_partkey", "p_name", T.place_spec(place).alias("p"), T.anchor_spec(anchor).alias("a"), T.side_spec(side).alias("s"))
+    return parsed.select("p_partkey", F.col("a.name").alias("name"), "p.x", "p.y", "p.size", "a.anchor", F.col("a.size").alias("width"), "a.material", "s.side")
+
+
+@query("""SELECT vec_id, (vec_id * 37) % 256 AS r, (vec_id * 11) % 256 AS g, vec_id % 256 AS b, CASE WHEN vec_id % 7 = 6 THEN 255 ELSE (vec_id % 7) * 51 END AS a FROM embeddings""")
+def overlay_colours(spark, sf_dir):
+    v = F.col("vec_id")
+    color = F.concat(F.lit("#"), *[F.lpad(F.hex(x % 256), 2, "0") for x in (v * 37, v * 11, v)])
+    return _few(spark, sf_dir).select("vec_id", T.rgba(color, (v % 7) / 5.0).alias("c")).select("vec_id", *[F.col(f"c.{x}").cast("long").alias(x) for x in "rgba"])
+
+
+@query("""SELECT vec_id, bit_count(xor(vec_id * 2654435761, (vec_id // 8) * 8 * 2654435761)) <= 5 AS near FROM embeddings""")
+def near_hashes(spark, sf_dir):
+    hashed = lambda v: v * F.lit(2654435761)
+    v = F.col("vec_id")
+    return _few(spark, sf_dir).select("vec_id", H.near_hash(hashed(v), hashed(F.floor(v / 8) * 8)).alias("near"))
+
+
+@query("""WITH s AS (SELECT vec_id, embedding[1:5]::DOUBLE[] AS s FROM embeddings), e AS (SELECT vec_id, list_transform(s, lambda x: exp((x - list_max(s)) * 100)) AS e FROM s)
+ SELECT vec_id, round(list_max(e) / list_sum(e), 6) AS best, round(list_sum(e), 6) AS total FROM e""")
+def label_shares(spark, sf_dir):
+    s = F.transform(F.slice("embedding", 1, 5), lambda x: x.cast("double"))
+    share = F.array_max(V.softmax(F.col("s")))
+    return _few(spark, sf_dir).select("vec_id", s.alias("s")).select("vec_id", F.round(share, 6).alias("best"), F.round(1.0 / share, 6).alias("total"))
+
+
+@query("""SELECT o_orderkey, greatest(abs(x - 120), abs(y - 90), abs(z - 60)) AS far, greatest(abs(x - 120), abs(y - 90), abs(z - 60)) <= 40 AS inside FROM (SELECT o_orderkey, o_orderkey % 256 AS x, (o_orderkey * 7) % 256 AS y, o_custkey % 256 AS z FROM orders)""")
+def colour_distances(spark, sf_dir):
+    a = [F.col("o_orderkey") % 256, F.col("o_orderkey") * 7 % 256, F.col("o_custkey") % 256]
+    b = [F.lit(120), F.lit(90), F.lit(60)]
+    return table(spark, sf_dir, "orders").select("o_orderkey", G.chebyshev(a, b).alias("far"), G.within(a, b, 40).alias("inside"))
+
+
+@query("""SELECT p_partkey, greatest(8, round_even(p_size * 17 * 0.25::DOUBLE / 8, 0)::INT * 8) AS side, p_size * 60 >= 1500 AND (p_size * 60) / 10000.0::DOUBLE >= 0.15 AS solid,
+ round((p_size - 3.5::DOUBLE) * 12, 2) AS pixel, p_name IN ('red widget') OR regexp_matches(p_name, '^old ') AS garbage, contains(lower(p_name || ' ' || p_brand), 'gizmo') OR contains(lower(p_name || ' ' || p_brand), 'brand#1') AS wanted,
+ CASE WHEN p_size % 4 = 3 THEN 'rotation' WHEN p_partkey % 2 = 0 AND p_partkey % 3 <> 0 THEN 'mirror' END AS breach FROM part""")
+def gates_and_sizes(spark, sf_dir):
+    size, k = F.col("p_size"), F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        G.to_eight(size * 17, F.lit(0.25)).alias("side"),
+        verdicts.component_gate(size * 60, F.lit(10000.0), 1500, 0.15).alias("solid"),
+        G.to_pixels(size.cast("double"), F.lit(3.5), F.lit(12)).alias("pixel"),
+        verdicts.garbage_name(F.col("p_name"), ["red widget"], _NAME_RULES[:1]).alias("garbage"),
+        verdicts.terms_match(F.split("p_name", " "), F.col("p_brand"), ["Gizmo", "Brand#1"]).alias("wanted"),
+        verdicts.policy_breach(size % 4, k % 2 == 0, F.array(*map(F.lit, (0, 1, 2))), k % 3 == 0).alias("breach"),
+    )
+
+
+@query("""SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN trim(text) WHEN 1 THEN 'turn ' || turn END AS told FROM (SELECT conv_id, turn, text FROM conversations)""")
+def payload_texts(spark, sf_dir):
+    t = F.col("turn")
+    payload = F.when(t % 3 == 0, F.to_json(F.struct(F.col("text").alias("caption"), t.alias("n")))).when(t % 3 == 1, F.to_json(F.array(F.concat(F.lit("turn "), t)))).otherwise(F.lit("{broken"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.payload_text(payload).alias("told"))
+
+
+@query(r"""SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_size % 2 = 0 THEN 'bow=' || p_name END, CASE WHEN p_size % 3 = 0 THEN 'stern=' || left(p_brand, 60) END], lambda x: x IS NOT NULL), ' | ') AS summary,
+ trim(p_name || '. ', '. ') AS clause, trim(', ' || p_type || ' ,', ', ') AS caption FROM part""")
+def zone_summaries(spark, sf_dir):
+    size = F.col("p_size")
+    zones = F.map_from_arrays(F.array(F.lit("bow"), F.lit("stern")), F.array(F.when(size % 2 == 0, F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit(" \n ")))), F.when(size % 3 == 0, F.col("p_brand"))))
+    rows = table(spark, sf_dir, "part")
+    return rows.select("p_partkey", T.zone_summary(zones, ["bow", "stern", "keel"]).alias("summary"), T.trimmed_clause(F.concat("p_name", F.lit(". "))).alias("clause"), T.trimmed_caption(F.concat(F.lit(", "), "p_type", F.lit(" ,"))).alias("caption"))
