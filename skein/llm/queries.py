@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, jaccard, language, mixing, neighbours, pii, quality_model, quality_rules, sharding, token_count
+from . import byte_bpe, centroids, common, jaccard, language, mixing, neighbours, periodic, pii, piece_bpe, quality_model, quality_rules, sharding, token_count
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +54,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.reported(common.table(spark, sf_dir, "documents"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_decode(common.table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(common.table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(common.table(spark, sf_dir, "documents"), planted=True)
+
+
 _ALL = (
     op1_token_counts, op2_cross_polytope, op3_interleaved_shards, op4_block_mixing, op5_quality_rules, op6_quality_model, op7_byte_bpe, op8_jaccard_join,
-    op9_language, op10_pii,
+    op9_language, op10_pii, op11_piece_bpe, op12_centroids, op13_periodic_runs,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {
