@@ -38,12 +38,14 @@ def square_crop(cx: Column, cy: Column, side: Column, width: Column, height: Col
     return F.struct(edge(cx, width).alias("x"), edge(cy, height).alias("y"), s.alias("side"))
 
 
-def hex_centre(col: Column, row: Column, radius: float) -> Column:
-    """Centre and axial coordinates of a flat-topped hexagon in a grid of columns shifted by half a row."""
-    x = col * F.lit(1.5 * radius) + F.lit(radius)
-    y = (row + F.when(col % 2 == 1, 0.5).otherwise(0.0)) * F.lit(math.sqrt(3) * radius) + F.lit(math.sqrt(3) * radius / 2)
-    r = row - F.floor((col - col % 2) / 2).cast("int")
-    return F.struct(x.alias("x"), y.alias("y"), col.alias("q"), r.alias("r"))
+def hex_centre(col: Column, row: Column, edge: Column | float) -> Column:
+    """Centre and axial coordinates of a flat-topped hexagon of an edge length in a grid whose odd columns are half a row lower; the
+    hexagon (0, 0) is centred at the origin, columns and rows may be negative."""
+    edge = F.lit(edge) if isinstance(edge, (int, float)) else edge
+    odd = F.pmod(col, F.lit(2))
+    down = F.lit(math.sqrt(3)) * edge
+    y = row * down + F.when(odd == 1, down / 2).otherwise(F.lit(0.0))
+    return F.struct((col * (F.lit(1.5) * edge)).alias("x"), y.alias("y"), col.alias("q"), (row - ((col - odd) / 2).cast("long")).alias("r"))
 
 
 def arrow_head(x0: Column, y0: Column, x1: Column, y1: Column, size: float, spread: float = math.pi / 7) -> Column:
@@ -57,9 +59,12 @@ def sector_angle(nth: Column, total: Column, base: Column, jitter: Column) -> Co
     return base + F.lit(2 * math.pi) * nth / total + jitter
 
 
-def to_eight(side: Column, scale: Column) -> Column:
-    """A scaled side rounded to a multiple of 8, at least 8."""
-    return F.greatest(F.lit(8), F.bround(side * scale / 8).cast("int") * 8)
+def latent_size(width: Column, height: Column, least: int) -> Column:
+    """Width and height enlarged until the shorter is `least` (rounded half to even), then cut to multiples of 8."""
+    short = F.least(width, height)
+    scale = F.lit(float(least)) / short
+    side = lambda x: F.floor(F.when(short < least, F.greatest(F.lit(least), F.bround(x * scale).cast("int"))).otherwise(x) / 8).cast("int") * 8
+    return F.struct(side(width).alias("width"), side(height).alias("height"))
 
 
 def spaced(count: Column, low: Column, high: Column) -> Column:

@@ -2,29 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.vectors import dot, norm, upper_median
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the folder that the cluster's executors share (a local one where none is named)."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="skein-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/skein-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+from . import products
+from .tables import written
 
 
 def components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
@@ -48,42 +30,35 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFr
 
 
 def cosine_edges(vectors: DataFrame, key: str, group: str, vector: str, least: float) -> DataFrame:
-    """Pairs of a group's rows whose cosine reaches `least`. For name groups, whose size is small."""
-    a, b = sided(vectors, key, vector, "a", group), sided(vectors, key, vector, "b", group)
-    return a.join(b, group).where("a < b").select(group, "a", "b", similarity().alias("similarity")).where(F.col("similarity") >= least)
-
-
-def sided(rows: DataFrame, key: str, vector: str, side: str, *others: str) -> DataFrame:
-    """One side of a pair join; lengths are taken once for each row, not for each pair."""
-    return rows.select(*others, F.col(key).alias(side), F.col(vector).alias(f"v{side}"), norm(F.col(vector)).alias(f"n{side}"))
-
-
-def similarity():
-    """Cosine of the two sides, 0 where a length is 0."""
-    lengths = F.col("na") * F.col("nb")
-    return F.when(lengths == 0, 0.0).otherwise(dot(F.col("va"), F.col("vb")) / lengths)
+    """Pairs of a group's rows whose cosine reaches `least` (0 for a vector of length 0)."""
+    return products.above(products.blocks(vectors, key, vector, group), least).withColumnRenamed("grp", group)
 
 
 def split_clusters(vectors: DataFrame, key: str, group: str, vector: str, least: float) -> DataFrame:
     """key, group and cluster: each name group split into the components of its cosine edges; rows without vector drop."""
     some = vectors.where(F.col(vector).isNotNull())
-    found = components(some, cosine_edges(some, key, group, vector, least), key)
+    edges = products.links(products.blocks(some, key, vector, group), least)
+    found = components(some, edges, key)
     return some.select(key, group, vector).join(found, key).withColumnRenamed("component", "cluster")
 
 
-def merge_medians(clusters: DataFrame, key: str, vector: str, least: float) -> DataFrame:
-    """Pairs of clusters and the upper median of the cosines between their members, where it reaches `least`.
+def merging(clusters: DataFrame, key: str, vector: str, least: float) -> DataFrame:
+    """c1, c2, n: pairs of clusters whose upper median of the cosines between their members reaches `least`, by counts.
 
-    All members meet all members of every other cluster: for cluster tables of catalogue size (thousands of rows).
+    Every cluster meets every other, as the rule says: rows^2 / BLOCK^2 tiles of matrix products.
     """
-    a, b = sided(clusters, "cluster", vector, "a"), sided(clusters, "cluster", vector, "b")
-    pairs = a.join(b, F.col("a") < F.col("b")).select(F.col("a").alias("c1"), F.col("b").alias("c2"), similarity().alias("s"))
-    return pairs.groupBy("c1", "c2").agg(upper_median(F.collect_list("s")).alias("median")).where(F.col("median") >= least)
+    return products.with_upper_median(products.blocks(clusters, key, vector, tag="cluster"), least)
+
+
+def merge_medians(clusters: DataFrame, key: str, vector: str, least: float) -> DataFrame:
+    """merging's pairs with the median itself."""
+    packed = written(products.blocks(clusters, key, vector, tag="cluster"))
+    return products.upper_medians(packed, products.with_upper_median(packed, least))
 
 
 def refined(vectors: DataFrame, key: str, group: str, vector: str, split: float, merge: float) -> DataFrame:
     """key and final cluster: groups split by cosine components, then clusters merged by upper medians, transitively."""
     parts = written(split_clusters(vectors, key, group, vector, split))
-    merges = merge_medians(parts, key, vector, merge).select(F.col("c1").alias("a"), F.col("c2").alias("b"))
+    merges = merging(parts, key, vector, merge).select(F.col("c1").alias("a"), F.col("c2").alias("b"))
     final = components(parts.select("cluster").distinct(), merges, "cluster")
     return parts.select(key, group, "cluster").join(final, "cluster").select(key, group, "cluster", F.col("component").alias("final"))

@@ -31,10 +31,13 @@ def bounding_box(pixels: DataFrame, inside: Column) -> DataFrame:
 
 
 def border_median(pixels: DataFrame, frame: int) -> DataFrame:
-    """Median of each channel over the frame of so many pixels, fractions cut off."""
+    """Median of each channel over four strips of so many pixels along the edges, fractions cut off; what lies in two strips
+    (the corners) counts twice."""
     size = pixels.groupBy("image_id").agg(F.max("x").alias("mx"), F.max("y").alias("my"))
-    edge = (F.col("x") < frame) | (F.col("y") < frame) | (F.col("x") > F.col("mx") - frame) | (F.col("y") > F.col("my") - frame)
-    return pixels.join(size, "image_id").where(edge).groupBy("image_id").agg(*[F.floor(F.median(c)).cast("int").alias(c) for c in RGB])
+    strips = [F.col("x") < frame, F.col("y") < frame, F.col("x") > F.col("mx") - frame, F.col("y") > F.col("my") - frame]
+    often = sum((s.cast("int") for s in strips[1:]), strips[0].cast("int"))
+    edge = pixels.join(size, "image_id").withColumn("often", often).where("often > 0")
+    return edge.groupBy("image_id").agg(*[F.floor(F.percentile(c, 0.5, F.col("often"))).cast("int").alias(c) for c in RGB])
 
 
 def modal_colour(pixels: DataFrame, step: int = 16) -> DataFrame:
@@ -58,13 +61,41 @@ def coverage(pixels: DataFrame, inside: Column) -> DataFrame:
     return pixels.groupBy("image_id").agg(F.avg(inside.cast("int")).alias("share"))
 
 
-def mask_iou(masks: DataFrame) -> DataFrame:
-    """Intersection over union of each two images of masks(image_id, y, x), 0 where both are empty at a pixel."""
-    size = masks.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
-    a, b = masks.select(F.col("image_id").alias("a"), "y", "x"), masks.select(F.col("image_id").alias("b"), "y", "x")
-    both = a.join(b, ["y", "x"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
-    sizes = size.select(F.col("image_id").alias("a"), F.col("n").alias("na")), size.select(F.col("image_id").alias("b"), F.col("n").alias("nb"))
-    return both.join(sizes[0], "a").join(sizes[1], "b").select("a", "b", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("iou"))
+#: Bits of a word and words of a block of a packed mask.
+WORD, WORDS = 64, 64
+
+
+def packed_masks(masks: DataFrame, width: int, keys: Sequence[str] = ("image_id",)) -> DataFrame:
+    """keys, block and words of masks(keys, y, x): the pixels of images of so many columns as bits, a row for each block of
+    WORD * WORDS pixels that has any. A pixel that comes twice is one bit."""
+    at = F.col("y").cast("long") * width + F.col("x")
+    bits = masks.select(*keys, F.floor(at / WORD).alias("word"), F.expr(f"shiftleft(1L, cast((y * {width}L + x) % {WORD} as int))").alias("bit"))
+    words = bits.groupBy(*keys, "word").agg(F.bit_or("bit").alias("bits"))
+    rows = words.groupBy(*keys, F.floor(F.col("word") / WORDS).alias("block")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("word") % WORDS).cast("int").alias("w"), "bits"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long")))
+    return rows.select(*keys, "block", dense.alias("words"))
+
+
+def bits_in(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w))
+
+
+def mask_iou(masks: DataFrame, images: DataFrame, width: int, stack: str = "stack") -> DataFrame:
+    """stack, a, b, iou: intersection over union of each two images (a < b) of a stack of images(stack, image_id), whose
+    masks(image_id, y, x) may be empty: 0 for disjoint ones and for two empty ones.
+
+    Only blocks of bits meet, and only those at the same place of two images of a stack.
+    """
+    packed = packed_masks(masks.join(images, "image_id"), width, [stack, "image_id"])
+    size = packed.groupBy(stack, "image_id").agg(F.sum(bits_in(F.col("words"))).alias("n"))
+    sized = images.select(stack, "image_id").distinct().join(size, [stack, "image_id"], "left").na.fill(0, ["n"])
+    side = lambda df, c, k: df.select(F.col(stack), F.col("image_id").alias(k), *[F.col(x).alias(f"{x}_{k}") if x in ("words", "n") else F.col(x) for x in c])
+    pairs = side(sized, ["n"], "a").join(side(sized, ["n"], "b"), stack).where("a < b")
+    met = side(packed, ["block", "words"], "a").join(side(packed, ["block", "words"], "b"), [stack, "block"]).where("a < b")
+    both = met.groupBy(stack, "a", "b").agg(F.sum(bits_in(F.zip_with("words_a", "words_b", lambda x, y: x.bitwiseAND(y)))).alias("both"))
+    joined = pairs.join(both, [stack, "a", "b"], "left").na.fill(0, ["both"])
+    union = F.col("n_a") + F.col("n_b") - F.col("both")
+    return joined.select(stack, "a", "b", F.when(union == 0, 0.0).otherwise(F.col("both") / union).alias("iou"))
 
 
 def painted(canvas: DataFrame, shapes: DataFrame) -> DataFrame:

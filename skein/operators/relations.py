@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sequences import numbered, numbered_within, summed_before
+
 
 def coverage(rows: DataFrame, by: str, flags: dict[str, Column]) -> DataFrame:
     """Rows of each group, how many have each flag, and percentages."""
@@ -37,8 +39,10 @@ def missing(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def first_wins(rows: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The first row of each key."""
-    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("nth = 1").drop("nth")
+    """The first row of each key, the smaller rest of the row first where the order ties: an aggregate that combines before the shuffle."""
+    others = [c for c in rows.columns if c not in key]
+    first = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)], F.struct(*others).alias("row"))
+    return rows.groupBy(*key).agg(F.min(first).alias("m")).select(*key, *[F.col(f"m.row.{c}").alias(c) for c in others]).select(*rows.columns)
 
 
 def quota(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], most: int) -> DataFrame:
@@ -59,9 +63,10 @@ def mode_first_seen(rows: DataFrame, by: str, value: str, order: str) -> DataFra
 def most_common(rows: DataFrame, value: str, order: str, most: int | None = None) -> DataFrame:
     """value, n, place: counts in falling order, equally common ones as first seen; the first so many."""
     each = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    ranked = each.orderBy(F.desc("n"), "first") if most is None else each.orderBy(F.desc("n"), "first").limit(most)
-    place = F.row_number().over(Window.orderBy(F.desc("n"), "first"))  # over distinct values, or `most` of them
-    return ranked.withColumn("place", place).select(value, "n", "place")
+    order = [F.desc("n"), "first"]
+    if most is None:
+        return numbered(each, order, "place").select(value, "n", (F.col("place") + 1).cast("int").alias("place")).orderBy("place")
+    return each.orderBy(*order).limit(most).withColumn("place", F.row_number().over(Window.orderBy(*order))).select(value, "n", "place")  # of `most` rows
 
 
 def unit_centroids(rows: DataFrame, by: str, vector: str) -> DataFrame:
@@ -158,8 +163,7 @@ def row_bands(boxes: DataFrame, by: str, top: str, bottom: str, left: str) -> Da
 
 def round_robin(rows: DataFrame, order: Sequence[Column | str], axes: dict[str, Sequence[str]], within: Sequence[str] = ()) -> DataFrame:
     """seq (from 0, in order, after all filters) and each axis at seq modulo its length: axes advance in step."""
-    w = Window.partitionBy(*within).orderBy(*order) if within else Window.orderBy(*order)
-    out = rows.withColumn("seq", (F.row_number().over(w) - 1).cast("long"))
+    out = numbered_within(rows, within, order).drop("size_") if within else numbered(rows, order)
     pick = lambda v: F.element_at(F.array(*[F.lit(x) for x in v]), (F.col("seq") % len(v) + 1).cast("int"))
     return out.withColumns({k: pick(v) for k, v in axes.items()})
 
@@ -172,16 +176,15 @@ def reconcile(assets: DataFrame, records: DataFrame, key: str) -> DataFrame:
 
 def even_sample(rows: DataFrame, by: str, order: str, least: int) -> DataFrame:
     """At least `least` rows of each stratum (all of a smaller one), evenly spaced in order."""
-    w = Window.partitionBy(by)
-    n, nth = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(order)) - 1
-    return rows.withColumn("step", F.greatest(F.floor(n / least), F.lit(1))).withColumn("nth", nth).where("nth % step = 0").drop("step", "nth")
+    placed = numbered_within(rows, [by], [order], "nth")
+    return placed.withColumn("step", F.greatest(F.floor(F.col("size_") / least), F.lit(1))).where("nth % step = 0").drop("step", "nth", "size_")
 
 
 def budgeted(plan: DataFrame, order: str, wanted: str, made: str, limit: int) -> DataFrame:
     """What each row of a plan may still make, in order, of a limit that what is made has used in part."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.greatest(F.lit(limit) - F.coalesce(F.sum(F.greatest(F.col(wanted) - F.col(made), F.lit(0))).over(w), F.lit(0)), F.lit(0))
-    return plan.withColumn("to_make", F.least(F.greatest(F.col(wanted) - F.col(made), F.lit(0)), left))
+    open_ = F.greatest(F.col(wanted) - F.col(made), F.lit(0))
+    rows = summed_before(plan, [order], open_, "used_")
+    return rows.withColumn("to_make", F.least(open_, F.greatest(F.lit(limit) - F.col("used_"), F.lit(0)))).drop("used_")
 
 
 def cost_plan(jobs: DataFrame, done: DataFrame, key: str, price: float, is_paid: Column) -> DataFrame:

@@ -11,9 +11,10 @@ from skein.functions import geometry as G
 from skein.functions import hashing as H
 from skein.functions import text as T
 from skein.functions import vectors as V
-from skein.operators import graph, raster
+from skein.operators import graph, layout, raster
 from skein.operators import relations as R
-from skein.operators import verdicts
+from skein.operators import allocation, verdicts
+from skein.operators.tables import new_folder, written
 from skein.plans import generators, library
 from skein.sinks import records
 from skein.sources import files
@@ -255,6 +256,21 @@ def set_operations(spark, sf_dir):
     return segments.unionByName(rest.agg(F.count(F.lit(1)).alias("n")).select(F.lit("SUPPLIER").alias("c_mktsegment"), "n"))
 
 
+@query("""WITH RECURSIVE o AS (SELECT s_nationkey * 10 + l_linenumber AS bin, l_partkey AS item, min(l_orderkey) AS place FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag <> 'R' AND l_partkey % 50 > 0 GROUP BY 1, 2),
+ b AS (SELECT bin, list(item ORDER BY place, item) AS items, row_number() OVER (ORDER BY bin) AS k FROM o GROUP BY bin),
+ s AS (SELECT 0::BIGINT AS k, 0::BIGINT AS bin, []::BIGINT[] AS taken, []::BIGINT[] AS got UNION ALL
+ SELECT b.k, b.bin, list_concat(t, g), g FROM (SELECT b.k, b.bin, s.taken AS t, list_filter(b.items, lambda x: NOT list_contains(s.taken, x))[1:5] AS g FROM s JOIN b ON b.k = s.k + 1) b)
+ SELECT bin, unnest(got) AS item FROM s WHERE k > 0""")
+def sequential_quota(spark, sf_dir):
+    """Each nation's line numbers take, in turn, five parts that no earlier one has: first come, first served against a quota."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    rows = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'R'").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = rows.select((F.col("s_nationkey") * 10 + F.col("l_linenumber")).cast("long").alias("bin"), F.col("l_partkey").alias("item"), F.col("l_orderkey").alias("place"))
+    offers = rows.groupBy("bin", "item").agg(F.min("place").alias("place"))
+    taken = table(spark, sf_dir, "part").where("p_partkey % 50 = 0").select(F.col("p_partkey").alias("item"))
+    return allocation.allocated(offers, "bin", "item", ["place"], 5, taken).select("bin", "item")
+
+
 # ---- sequences, windows, jobs --------------------------------------------------------------------------------------
 
 _AXES = {"state": ("intact", "worn", "broken"), "angle": ("top", "side")}
@@ -279,7 +295,7 @@ def interleaved_jobs(spark, sf_dir):
 def treatment_jobs(spark, sf_dir):
     lists = [F.array(*[F.lit(t) for t in ts]) for ts in (("etched", "gilt", "worn"), ("lit", "dark"))]
     symbols = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("folder"), lists[0].alias("common"), lists[1].alias("extra"))
-    return generators.jobs("treatments", symbols, axes={"angle": ("n", "e", "s", "w")}, first=3).select("folder", "treatment", "seq", "angle", "version")
+    return generators.jobs("treatments", symbols, axes={"angle": ("n", "e", "s", "w")}, first=("common",), second=("extra",)).select("folder", "treatment", "seq", "angle", "version")
 
 
 _SECTIONS = [("bow_full", ("bow_port", "bow_mid")), ("aft_full", ("aft_port", "aft_mid"))]
@@ -464,11 +480,19 @@ def split_clusters(spark, sf_dir):
 @query(f"""WITH RECURSIVE {_CLUSTERS}, big AS (SELECT * FROM c WHERE cluster IN (SELECT cluster FROM c GROUP BY cluster HAVING count(*) > 1)), p AS (SELECT a.cluster AS c1, b.cluster AS c2, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM big a JOIN big b ON a.cluster < b.cluster)
  SELECT c1, c2, round(median, 6) AS median FROM (SELECT c1, c2, list_sort(list(s))[(count(*) // 2 + 1)::INT] AS median FROM p GROUP BY c1, c2) WHERE median >= {_MERGE}""")
 def median_merges(spark, sf_dir):
-    parts = graph.written(graph.split_clusters(_few(spark, sf_dir), "vec_id", "label", "embedding", _SPLIT))
+    parts = written(graph.split_clusters(_few(spark, sf_dir), "vec_id", "label", "embedding", _SPLIT))
     big = parts.join(parts.groupBy("cluster").count().where("count > 1").select("cluster"), "cluster", "left_semi")
     return graph.merge_medians(big, "vec_id", "embedding", _MERGE).withColumn("median", F.round("median", 6))
 
 
+@query(f"""WITH RECURSIVE {_CLUSTERS}, p AS (SELECT a.cluster AS c1, b.cluster AS c2, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM c a JOIN c b ON a.cluster < b.cluster),
+ g AS (SELECT c1, c2 FROM (SELECT c1, c2, list_sort(list(s))[(count(*) // 2 + 1)::INT] AS median FROM p GROUP BY c1, c2) WHERE median >= 0.45), h AS (SELECT c1 AS a, c2 AS b FROM g UNION ALL SELECT c2, c1 FROM g),
+ t(node, reach) AS (SELECT DISTINCT cluster, cluster FROM c UNION SELECT t.node, h.b FROM t JOIN h ON t.reach = h.a)
+ SELECT c.vec_id, c.label, c.cluster, f.final FROM c JOIN (SELECT node, min(reach) AS final FROM t GROUP BY node) f ON f.node = c.cluster""")
+def refined_clusters(spark, sf_dir):
+    return graph.refined(_few(spark, sf_dir), "vec_id", "label", "embedding", _SPLIT, 0.45)
+
+
 @query("""WITH m AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY label, i), c AS (SELECT label, list(x ORDER BY i) AS v FROM m GROUP BY label),
  s AS (SELECT e.vec_id, c.label, list_cosine_similarity(e.embedding::DOUBLE[], c.v) AS s FROM embeddings e, c), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k FROM s)
  SELECT a.vec_id, CASE WHEN a.s - b.s >= 0.05 THEN a.label END AS label, round(a.s - b.s, 6) AS margin FROM r a JOIN r b ON a.vec_id = b.vec_id AND a.k = 1 AND b.k = 2""")
@@ -499,14 +523,18 @@ def state_decisions(spark, sf_dir):
 
 # ---- pixels and geometry -------------------------------------------------------------------------------------------
 
-_PIXELS = "SELECT i % 3 AS image_id, (i // 3) // 40 AS y, (i // 3) % 40 AS x, ((i * 37) % 16 + CASE WHEN i % 5 = 0 THEN 200 ELSE 32 END)::INT AS r, ((i * 11) % 16 + 48)::INT AS g, ((i * 7) % 16 + CASE WHEN i % 7 = 0 THEN 160 ELSE 64 END)::INT AS b FROM (SELECT unnest(range(0, 4800)) AS i)"
+#: An image of 40 x 40 pixels for each supplier.
+_PIXELS = """SELECT image_id, p // 40 AS y, p % 40 AS x, ((i * 37) % 16 + CASE WHEN i % 5 = 0 THEN 200 ELSE 32 END)::INT AS r, ((i * 11) % 16 + 48)::INT AS g, ((i * 7) % 16 + CASE WHEN i % 7 = 0 THEN 160 ELSE 64 END)::INT AS b
+ FROM (SELECT s_suppkey AS image_id, p, s_suppkey * 7 + p * 3 AS i FROM supplier, (SELECT unnest(range(0, 1600)) AS p))"""
 _PALETTE = ((200, 50, 70), (40, 50, 160), (210, 60, 170))
 
 
-def pixels(spark):
-    i = F.col("id")
-    return spark.range(4800).select(
-        (i % 3).alias("image_id"), F.expr("(id div 3) div 40").alias("y"), F.expr("(id div 3) % 40").alias("x"), ((i * 37) % 16 + F.when(i % 5 == 0, 200).otherwise(32)).cast("int").alias("r"),
+def pixels(spark, sf_dir):
+    p = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1599).cast("long")))
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("image_id"), p.alias("p")).withColumn("i", F.col("image_id") * 7 + F.col("p") * 3)
+    i = F.col("i")
+    return rows.select(
+        "image_id", F.expr("p div 40").alias("y"), (F.col("p") % 40).alias("x"), ((i * 37) % 16 + F.when(i % 5 == 0, 200).otherwise(32)).cast("int").alias("r"),
         ((i * 11) % 16 + 48).cast("int").alias("g"), ((i * 7) % 16 + F.when(i % 7 == 0, 160).otherwise(64)).cast("int").alias("b"),
     )
 
@@ -517,64 +545,122 @@ _MODAL = f"""SELECT image_id, r * 16 + 8 AS r, g * 16 + 8 AS g, b * 16 + 8 AS b,
 
 @query(_MODAL)
 def modal_colours(spark, sf_dir):
-    return raster.modal_colour(pixels(spark))
+    return raster.modal_colour(pixels(spark, sf_dir))
 
 
 @query(f"""WITH m AS ({_MODAL}), d AS (SELECT p.image_id, p.y, p.x, greatest(abs(p.r - m.r), abs(p.g - m.g), abs(p.b - m.b)) AS bg, [{', '.join(f'greatest(abs(p.r - {r}), abs(p.g - {g}), abs(p.b - {b}))' for r, g, b in _PALETTE)}] AS ds FROM ({_PIXELS}) p JOIN m USING (image_id))
  SELECT image_id, role, count(*) AS n FROM (SELECT image_id, CASE WHEN bg <= 25 THEN -1 ELSE list_position(ds, list_min(ds)) - 1 END AS role FROM d) GROUP BY image_id, role""")
 def palette_quantize(spark, sf_dir):
-    p = pixels(spark)
+    p = pixels(spark, sf_dir)
     return raster.quantized(p, raster.modal_colour(p), _PALETTE).groupBy("image_id", "role").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH m AS (SELECT image_id, y, x FROM ({_PIXELS}) WHERE r > 100 + image_id * 102 OR b < 70), s AS (SELECT image_id, count(*) AS n FROM m GROUP BY 1)
- SELECT a, b, round(c::DOUBLE / (p.n + q.n - c), 6) AS iou FROM (SELECT k.image_id AS a, l.image_id AS b, count(*) AS c FROM m k JOIN m l ON k.y = l.y AND k.x = l.x AND k.image_id < l.image_id GROUP BY ALL) JOIN s p ON p.image_id = a JOIN s q ON q.image_id = b""")
+@query(f"""WITH m AS (SELECT image_id, y, x FROM ({_PIXELS}) WHERE r > 100 + image_id % 4 * 51 AND x % 3 <> image_id % 3), s AS (SELECT image_id, count(*) AS n FROM m GROUP BY 1), i AS (SELECT s_suppkey AS image_id, s_suppkey // 4 AS stack FROM supplier),
+ p AS (SELECT k.stack, k.image_id AS a, l.image_id AS b FROM i k JOIN i l ON k.stack = l.stack AND k.image_id < l.image_id), c AS (SELECT k.image_id AS a, l.image_id AS b, count(*) AS c FROM m k JOIN m l ON k.y = l.y AND k.x = l.x AND k.image_id // 4 = l.image_id // 4 AND k.image_id < l.image_id GROUP BY ALL)
+ SELECT p.stack, p.a, p.b, CASE WHEN coalesce(x.n, 0) + coalesce(y.n, 0) = 0 THEN 0.0 ELSE round(coalesce(c, 0)::DOUBLE / (coalesce(x.n, 0) + coalesce(y.n, 0) - coalesce(c, 0)), 6) END AS iou FROM p LEFT JOIN c ON c.a = p.a AND c.b = p.b LEFT JOIN s x ON x.image_id = p.a LEFT JOIN s y ON y.image_id = p.b""")
 def mask_ious(spark, sf_dir):
-    masks = pixels(spark).where((F.col("r") > 100 + F.col("image_id") * 102) | (F.col("b") < 70)).select("image_id", "y", "x")
-    return raster.mask_iou(masks).withColumn("iou", F.round("iou", 6))
+    image = F.col("image_id")
+    masks = pixels(spark, sf_dir).where((F.col("r") > 100 + image % 4 * 51) & (F.col("x") % 3 != image % 3)).select("image_id", "y", "x")
+    images = table(spark, sf_dir, "supplier").select(F.expr("s_suppkey div 4").alias("stack"), F.col("s_suppkey").alias("image_id"))
+    return raster.mask_iou(masks, images, 40).withColumn("iou", F.round("iou", 6))
 
 
 @query(f"SELECT image_id, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) + 1 AS x1, max(y) + 1 AS y1 FROM ({_PIXELS}) WHERE r > 200 AND x > 3 GROUP BY image_id")
 def bounding_boxes(spark, sf_dir):
-    return raster.bounding_box(pixels(spark), (F.col("r") > 200) & (F.col("x") > 3))
+    return raster.bounding_box(pixels(spark, sf_dir), (F.col("r") > 200) & (F.col("x") > 3))
 
 
 @query(f"SELECT image_id, round(avg(CASE WHEN r > 200 THEN 1 ELSE 0 END), 6) AS share FROM ({_PIXELS}) GROUP BY image_id")
 def mask_coverage(spark, sf_dir):
-    return raster.coverage(pixels(spark), F.col("r") > 200).withColumn("share", F.round("share", 6))
+    return raster.coverage(pixels(spark, sf_dir), F.col("r") > 200).withColumn("share", F.round("share", 6))
 
 
-@query(f"SELECT image_id, floor(median(r))::INT AS r, floor(median(g))::INT AS g, floor(median(b))::INT AS b FROM ({_PIXELS}) WHERE x < 2 OR y < 2 OR x > 37 OR y > 37 GROUP BY image_id")
+@query(f"""WITH p AS ({_PIXELS}) SELECT image_id, floor(median(r))::INT AS r, floor(median(g))::INT AS g, floor(median(b))::INT AS b FROM (
+ SELECT * FROM p WHERE x < 2 UNION ALL SELECT * FROM p WHERE y < 2 UNION ALL SELECT * FROM p WHERE x > 37 UNION ALL SELECT * FROM p WHERE y > 37) GROUP BY image_id""")
 def border_medians(spark, sf_dir):
-    return raster.border_median(pixels(spark), 2)
+    return raster.border_median(pixels(spark, sf_dir), 2)
 
 
-@query("""WITH s AS (SELECT s_suppkey % 3 AS image_id, s_suppkey AS z, s_nationkey AS role, s_suppkey % 30 AS x0, s_suppkey % 20 AS y0, s_suppkey % 30 + 9 AS x1, s_suppkey % 20 + 7 AS y1 FROM supplier),
- c AS (SELECT i AS image_id, y, x FROM (SELECT unnest(range(0, 3)) AS i), (SELECT unnest(range(0, 30)) AS y), (SELECT unnest(range(0, 40)) AS x))
+@query("""WITH s AS (SELECT s_suppkey // 8 AS image_id, s_suppkey AS z, s_nationkey AS role, s_suppkey % 30 AS x0, s_suppkey % 20 AS y0, s_suppkey % 30 + 9 AS x1, s_suppkey % 20 + 7 AS y1 FROM supplier),
+ c AS (SELECT image_id, y, x FROM (SELECT DISTINCT image_id FROM s), (SELECT unnest(range(0, 30)) AS y), (SELECT unnest(range(0, 40)) AS x))
  SELECT image_id, role, count(*) AS n FROM (SELECT c.image_id, c.y, c.x, arg_max(role, z) AS role FROM c LEFT JOIN s ON c.image_id = s.image_id AND c.y >= y0 AND c.y < y1 AND c.x >= x0 AND c.x < x1 GROUP BY ALL) GROUP BY image_id, role""")
 def painted_regions(spark, sf_dir):
     k = F.col("s_suppkey")
-    shapes = table(spark, sf_dir, "supplier").select((k % 3).alias("image_id"), k.alias("z"), F.col("s_nationkey").alias("role"), (k % 30).alias("x0"), (k % 20).alias("y0"), (k % 30 + 9).alias("x1"), (k % 20 + 7).alias("y1"))
-    canvas = spark.range(3600).select(F.expr("id div 1200").alias("image_id"), F.expr("id % 1200 div 40").alias("y"), (F.col("id") % 40).alias("x"))
+    shapes = table(spark, sf_dir, "supplier").select(F.expr("s_suppkey div 8").alias("image_id"), k.alias("z"), F.col("s_nationkey").alias("role"), (k % 30).alias("x0"), (k % 20).alias("y0"), (k % 30 + 9).alias("x1"), (k % 20 + 7).alias("y1"))
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1199).cast("long")))
+    canvas = shapes.select("image_id").distinct().select("image_id", at.alias("p")).select("image_id", F.expr("p div 40").alias("y"), (F.col("p") % 40).alias("x"))
     return raster.painted(canvas, shapes).groupBy("image_id", "role").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(f"""WITH RECURSIVE i AS (SELECT image_id, y * 40 + x AS p, y, x FROM ({_PIXELS}) WHERE r > 200),
+ e AS (SELECT a.image_id, a.p, b.p AS q FROM i a JOIN i b ON a.image_id = b.image_id AND abs(a.y - b.y) + abs(a.x - b.x) = 1 AND b.p IN (a.p - 1, a.p + 1, a.p - 40, a.p + 40)),
+ r(image_id, p, q) AS (SELECT image_id, p, p FROM i UNION SELECT r.image_id, r.p, e.q FROM r JOIN e ON e.image_id = r.image_id AND e.p = r.q), c AS (SELECT image_id, p, min(q) AS root FROM r GROUP BY image_id, p)
+ SELECT c.image_id, dense_rank() OVER (PARTITION BY c.image_id ORDER BY root) AS label, area, x0, y0, x1, y1 FROM (SELECT c.image_id, root, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) + 1 AS x1, max(y) + 1 AS y1 FROM c JOIN i ON i.image_id = c.image_id AND i.p = c.p GROUP BY c.image_id, root) c""")
 def image_components(spark, sf_dir):
-    ink = pixels(spark).select("image_id", "y", "x", (F.col("r") > 200).alias("ink"))
+    ink = pixels(spark, sf_dir).select("image_id", "y", "x", (F.col("r") > 200).alias("ink"))
     return raster.boxes(raster.by_image(ink, ["ink"], raster.label, "label").where("label > 0"), "label")
 
 
-@query()
+_RING = "(x - 20) * (x - 20) + (y - 20) * (y - 20) BETWEEN 20 + image_id % 40 AND 140"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT image_id, p, p // 40 AS y, p % 40 AS x FROM (SELECT s_suppkey AS image_id, unnest(range(0, 1600)) AS p FROM supplier) WHERE NOT ((p % 40 - 20) * (p % 40 - 20) + (p // 40 - 20) * (p // 40 - 20) BETWEEN 20 + image_id % 40 AND 140)),
+ d AS (SELECT dy, dx FROM (SELECT unnest([-1, 0, 1]) AS dy), (SELECT unnest([-1, 0, 1]) AS dx)),
+ f(image_id, y, x) AS (SELECT image_id, y, x FROM o WHERE y IN (0, 39) OR x IN (0, 39) UNION SELECT o.image_id, o.y, o.x FROM f, d JOIN o ON o.image_id = f.image_id AND o.y = f.y + dy AND o.x = f.x + dx)
+ SELECT s_suppkey AS image_id, round(1 - n / 1600.0::DOUBLE, 6) AS share FROM supplier JOIN (SELECT image_id, count(*) AS n FROM f GROUP BY 1) ON image_id = s_suppkey""")
 def filled_holes(spark, sf_dir):
-    ink = pixels(spark).select("image_id", "y", "x", ((F.col("x") - 20) * (F.col("x") - 20) + (F.col("y") - 20) * (F.col("y") - 20)).between(60, 140).alias("ink"))
-    return raster.coverage(raster.by_image(ink, ["ink"], raster.fill_holes, "filled", "boolean"), F.col("filled"))
+    ink = pixels(spark, sf_dir).select("image_id", "y", "x", F.expr(_RING).alias("ink"))
+    return raster.coverage(raster.by_image(ink, ["ink"], raster.fill_holes, "filled", "boolean"), F.col("filled")).withColumn("share", F.round("share", 6))
 
 
-@query("SELECT i AS col, j AS row, round(i * 15.0::DOUBLE + 10, 6) AS x, round((j + CASE WHEN i % 2 = 1 THEN 0.5 ELSE 0 END) * sqrt(3) * 10 + sqrt(3) * 5, 6) AS y, j - (i - i % 2) // 2 AS r FROM (SELECT unnest(range(0, 8)) AS i), (SELECT unnest(range(0, 6)) AS j)")
+@query("""SELECT s_suppkey, c AS col, d AS row, round(c * 1.5::DOUBLE * edge, 6) AS x, round(d * (sqrt(3) * edge) + CASE WHEN c % 2 <> 0 THEN sqrt(3) * edge / 2 ELSE 0 END, 6) AS y, d - CASE WHEN c < 0 THEN -1 ELSE c // 2 END AS r
+ FROM (SELECT s_suppkey, 10 + s_nationkey AS edge, c, d FROM supplier, (SELECT unnest(range(-1, 7)) AS c), (SELECT unnest(range(-1, 5)) AS d))""")
 def hex_grid(spark, sf_dir):
-    grid = spark.range(48).select(F.expr("id div 6").alias("col"), (F.col("id") % 6).alias("row"))
-    return grid.select("col", "row", G.hex_centre(F.col("col"), F.col("row"), 10.0).alias("h")).select("col", "row", F.round("h.x", 6).alias("x"), F.round("h.y", 6).alias("y"), F.col("h.r").cast("long").alias("r"))
+    grid = table(spark, sf_dir, "supplier").select("s_suppkey", (F.lit(10) + F.col("s_nationkey")).alias("edge"), F.explode(F.sequence(F.lit(-1).cast("long"), F.lit(6).cast("long"))).alias("col"))
+    grid = grid.select("*", F.explode(F.sequence(F.lit(-1).cast("long"), F.lit(4).cast("long"))).alias("row"))
+    return grid.select("s_suppkey", "col", "row", G.hex_centre(F.col("col"), F.col("row"), F.col("edge")).alias("h")).select("s_suppkey", "col", "row", F.round("h.x", 6).alias("x"), F.round("h.y", 6).alias("y"), F.col("h.r").cast("long").alias("r"))
+
+
+#: A map of 10 x 7 squares for each supplier: a closed wall, another one that varies, two lights, a door with and one without a span.
+_MAP = """{"resolution": {"map_size": {"x": 10, "y": 7}, "pixels_per_grid": %s}, "line_of_sight": [[{"x": 1, "y": 1}, {"x": 9, "y": 1}, {"x": 9, "y": 6}, {"x": 1, "y": 6}, {"x": 1, "y": 1}]],
+ "objects_line_of_sight": [[{"x": %s, "y": 2}, {"x": 7, "y": 5}]], "portals": [{"position": {"x": 4.5, "y": 1}, "bounds": [{"x": 4, "y": 1}, {"x": 5, "y": 1}], "rotation": 90}, {"position": {"x": 9, "y": 3}, "bounds": []}],
+ "lights": [{"position": {"x": 3, "y": 3}, "range": 4, "color": "ffaabbcc"}, {"position": {"x": 8, "y": %s}, "intensity": 0.5}, {"range": 2}]}"""
+
+
+def _maps(spark, sf_dir):
+    k = F.col("s_suppkey")
+    doc = F.format_string(_MAP, (k % 5 + 8).cast("string"), (k % 3 + 2).cast("string"), (k % 4 + 2).cast("string"))
+    return table(spark, sf_dir, "supplier").select(k.alias("image_id"), files.vector_map(doc).alias("m"))
+
+
+_ROLES = {"floor": 1, "wall": 2, "light": 3, "door": 1}
+
+
+@query("""WITH m AS (SELECT s_suppkey AS image_id, s_suppkey AS k, s_suppkey % 5 + 8 AS g FROM supplier), t AS (SELECT *, greatest(2, round_even(g * 0.3::DOUBLE, 0))::BIGINT AS w, greatest(2, round_even(g * 0.25::DOUBLE, 0))::BIGINT AS l FROM m),
+ u AS (SELECT *, round_even(w * 1.5::DOUBLE, 0)::BIGINT AS c FROM t),
+ s AS (SELECT image_id, 1 AS z, 2 AS role, true AS line, sx * g AS sx, sy * g AS sy, tx * g AS tx, ty * g AS ty, w AS d FROM u, (VALUES (1, 1, 9, 1), (9, 1, 9, 6), (9, 6, 1, 6), (1, 6, 1, 1)) v(sx, sy, tx, ty)
+ UNION ALL SELECT image_id, 1, 2, true, (k % 3 + 2) * g, 2 * g, 7 * g, 5 * g, w FROM u
+ UNION ALL SELECT image_id, 1, 2, false, sx * g, sy * g, 0, 0, w // 2 FROM u, (VALUES (1, 1), (9, 1), (9, 6), (1, 6), (7, 5)) v(sx, sy) UNION ALL SELECT image_id, 1, 2, false, (k % 3 + 2) * g, 2 * g, 0, 0, w // 2 FROM u
+ UNION ALL SELECT image_id, 2, 3, false, 3 * g, 3 * g, 0, 0, l FROM u UNION ALL SELECT image_id, 2, 3, false, 8 * g, (k % 4 + 2) * g, 0, 0, l FROM u
+ UNION ALL SELECT image_id, 3, 1, true, 4 * g, g, 5 * g, g, c FROM u UNION ALL SELECT image_id, 3, 1, false, 9 * g, 3 * g, 0, 0, c // 2 FROM u),
+ p AS (SELECT image_id, y, x FROM m, (SELECT unnest(range(0, 84)) AS y), (SELECT unnest(range(0, 120)) AS x) WHERE y < 7 * g AND x < 10 * g),
+ h AS (SELECT p.image_id, p.y, p.x, s.z, s.role, s.line, s.d, (p.x - sx) * (p.x - sx) + (p.y - sy) * (p.y - sy) AS r2, (p.x - sx) * (tx - sx) + (p.y - sy) * (ty - sy) AS along, (p.x - sx) * (ty - sy) - (p.y - sy) * (tx - sx) AS across, (tx - sx) * (tx - sx) + (ty - sy) * (ty - sy) AS l2 FROM p JOIN s USING (image_id)),
+ c AS (SELECT image_id, y, x, arg_max(role, z) AS role FROM h WHERE CASE WHEN line THEN along BETWEEN 0 AND l2 AND CASE WHEN across < 0 THEN 4 * across * across <= d * d * l2 ELSE 4 * across * across < d * d * l2 END ELSE r2 <= d * d END GROUP BY image_id, y, x)
+ SELECT p.image_id, coalesce(role, 1) AS role, count(*) AS pixels, sum(p.y * 1000 + p.x)::BIGINT AS places FROM p LEFT JOIN c USING (image_id, y, x) GROUP BY ALL""")
+def layout_areas(spark, sf_dir):
+    maps = written(_maps(spark, sf_dir))
+    canvas = layout.canvases(maps)
+    runs = layout.painted_runs(canvas, layout.scanned(layout.map_shapes(maps, 0.3, 0.25, _ROLES), canvas), _ROLES["floor"])
+    n = F.col("x1") - F.col("x0")
+    places = n * F.col("y") * 1000 + (F.col("x0") + F.col("x1") - 1) * n / 2
+    return runs.groupBy("image_id", "role").agg(F.sum(n).alias("pixels"), F.sum(places.cast("long")).alias("places"))
+
+
+@query("""SELECT image_id, '{"image_size":[' || 10 * g || ',' || 7 * g || '],"pixels_per_grid":' || g || ',"doors":[{"x":' || 4.5 * g || ',"y":' || g || '.0,"rotation_deg":90.0,"closed":true,"freestanding":false,"span_px":[[' || 4 * g || '.0,' || g || '.0],[' || 5 * g || '.0,' || g || '.0]]},'
+ || '{"x":' || 9 * g || '.0,"y":' || 3 * g || '.0,"rotation_deg":0.0,"closed":true,"freestanding":false,"span_px":[]}],"lights":[{"x":' || 3 * g || '.0,"y":' || 3 * g || '.0,"range_px":' || 4 * g || '.0,"intensity":1.0,"color":"aabbcc"},'
+ || '{"x":' || 8 * g || '.0,"y":' || (image_id % 4 + 2) * g || '.0,"range_px":0.0,"intensity":0.5,"color":"ffffff"}]}' AS value FROM (SELECT s_suppkey AS image_id, s_suppkey % 5 + 8 AS g FROM supplier)""")
+def layout_placements(spark, sf_dir):
+    return library.placements_json(_maps(spark, sf_dir))
 
 
 @query("SELECT s_suppkey, greatest(0, least(cx - side // 2, 800 - side)) AS x, greatest(0, least(cy - side // 2, 600 - side)) AS y, side FROM (SELECT s_suppkey, (s_suppkey * 37 % 800)::INT AS cx, (s_suppkey * 53 % 600)::INT AS cy, least(100 + s_nationkey * 30, 800, 600)::INT AS side FROM supplier)")
@@ -674,7 +760,7 @@ def label_centroids(spark, sf_dir):
 @query(f"SELECT DISTINCT image_id, r FROM ({_PIXELS}) WHERE r NOT IN (32, 33, 34, 35, 36, 37, 38, 39, 40, 200, 201, 202)")
 def palette_violations(spark, sf_dir):
     allowed = spark.createDataFrame([(v,) for v in (*range(32, 41), 200, 201, 202)], "r int")
-    return pixels(spark).select("image_id", "r").distinct().join(F.broadcast(allowed), "r", "left_anti").select("image_id", "r")
+    return pixels(spark, sf_dir).select("image_id", "r").distinct().join(F.broadcast(allowed), "r", "left_anti").select("image_id", "r")
 
 
 @query("""SELECT p_partkey, 'part of ' || p_brand || ': ' || p_name || CASE WHEN p_size > 40 THEN ', with ' || 'ring; and ' || p_type ELSE '' END AS prompt FROM part""")
@@ -731,6 +817,54 @@ def pack_violations(spark, sf_dir):
     return library.pack_violations(renamed)
 
 
+@query(f"""WITH p AS (SELECT left(md5(stem), 16) AS id, p_size, row_number() OVER (ORDER BY left(md5(stem), 16)) - 1 AS nth FROM ({_PARTS}))
+ SELECT id, 'warning' AS level, 'preset[' || nth || '].data[' || j || '].' || c AS path, 'no extent' AS message FROM p, (SELECT unnest([0, 1]) AS j), (SELECT unnest(['width', 'height']) AS c) WHERE p_size < 5 AND (j = 0 OR c = 'width')
+ UNION ALL SELECT id, 'error', 'preset[' || nth || '].data[1].y', 'a placement''s number is missing' FROM p UNION ALL SELECT id, 'error', 'preset[' || nth || '].tags[1]', 'a tag is missing' FROM p WHERE p_size % 10 = 0
+ UNION ALL SELECT id, 'warning', 'preset[' || nth || '].data[1].texture.src', 'src is not img' FROM p""")
+def pack_error_paths(spark, sf_dir):
+    rows = _library(spark, sf_dir)
+    side = F.when(F.col("p_size") < 5, 0).otherwise(9)
+    packed = library.presets(rows.select("stem", side.alias("width"), side.alias("height")), rows, 100, "tiles")
+    other = lambda d: d.withField("y", F.lit(None).cast("int")).withField("height", F.lit(9)).withField("texture", d["texture"].withField("src", F.lit("elsewhere.png")))
+    packed = packed.join(rows.select(F.concat(F.lit("tiles/"), "stem", F.lit(".png")).alias("img"), "p_size"), "img")
+    broken = packed.withColumn("data", F.concat("data", F.transform("data", other))).withColumn("tags", F.when(F.col("p_size") % 10 == 0, F.array(F.lit("a"), F.lit(None).cast("string"))).otherwise(F.array(F.lit("a"))))
+    return library.pack_errors(broken, ["id"])
+
+
+@query(r"""SELECT p_partkey, '# ' || p_name || chr(10) || 'name: ' || p_name || '  # by hand' || chr(10) || chr(10) || 'tags: [' || replace(p_name, ' ', ', ') || ', "a, b"]' || chr(10) || '  state: inner' || chr(10) || 'state: ' || CASE WHEN p_size % 2 = 0 THEN 'null' ELSE '"true"' END || ' # seen' || chr(10) || 'other: 1' AS value FROM part""")
+def rewritten_records(spark, sf_dir):
+    n = F.col("p_name")
+    text = F.concat(F.lit("# "), n, F.lit("\nname: old  # by hand\n\ntags: [x]\n  state: inner\nstate:   worn # seen\nother: 1"))
+    state = F.when(F.col("p_size") % 2 == 1, "true")
+    tags = F.concat(F.split(n, " "), F.array(F.lit("a, b")))
+    return table(spark, sf_dir, "part").select("p_partkey", records.rewritten(text, {"name": n, "tags": tags, "state": state, "absent": F.lit("x")}).alias("value"))
+
+
+@query(r"""SELECT p_partkey, 'a: 1' || chr(10) || 'state: ' || p_name || chr(10) || 'state: other' AS value, p_name <> 'red ring' AS changed FROM part""")
+def first_line_set(spark, sf_dir):
+    r = records.replaced_line(F.lit("a: 1\nstate: red ring\nstate: other"), "state", F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", r["text"].alias("value"), r["changed"].alias("changed"))
+
+
+@query("SELECT md5(p_name) AS md5, arg_min(p_brand || '/' || p_partkey, {'f': p_size % 4, 'k': -p_partkey}) AS path FROM part GROUP BY 1")
+def first_lines(spark, sf_dir):
+    """Written as four files and read again: of equal digests the first file's first line wins."""
+    rows = table(spark, sf_dir, "part").select((F.col("p_size") % 4).alias("f"), F.col("p_partkey").alias("k"), F.concat(F.md5("p_name"), F.lit("  "), "p_brand", F.lit("/"), "p_partkey").alias("value"))
+    path = new_folder(spark)
+    rows.repartition("f").sortWithinPartitions("f", F.desc("k")).select("f", "value").write.partitionBy("f").text(path)
+    return files.hash_list(spark, path)
+
+
+@query("""SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN trim(role || ' a ' || turn) WHEN 1 THEN nullif(trim(text), '') WHEN 2 THEN turn || ' true 1.5' END AS told FROM conversations""")
+def nested_payloads(spark, sf_dir):
+    t, text = F.col("turn"), F.col("text")
+    deep = F.struct(F.array(F.struct(F.struct(F.col("role").alias("string")).alias("value"))).alias("first"), F.lit("x").alias("second"))
+    listed = F.concat(F.lit('{"caption": "no", "result": ['), F.to_json(deep["first"]), F.lit(', ["a", {"text": {"result": '), t, F.lit("}}], null, {}]}"))
+    payload = F.when(t % 4 == 0, listed).when(t % 4 == 1, F.to_json(F.struct(F.array(F.array(text)).alias("string"), F.lit("later").alias("caption")))).when(t % 4 == 2, F.concat(F.lit("["), t, F.lit(", true, 1.5]")))
+    payload = F.when(t % 4 == 2, F.replace(payload, F.lit("true"), F.lit('{"text": "true"}'))).when(t % 4 == 3, F.lit('{"text": null, "caption": "not reached"}')).otherwise(payload)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.payload_text(payload).alias("told"))
+
+
 @query(f"SELECT {_CANON} AS canonical, count(*) AS members FROM part GROUP BY 1")
 def group_assignment(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -798,15 +932,19 @@ def titles_and_scalars(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", title.alias("title"), T.quoted(text).alias("quoted"), T.quoted_list(F.split("p_name", " ")).alias("tags"))
 
 
-@query(r"""SELECT p_partkey, p_name AS name, CASE WHEN p_partkey % 3 <> 2 THEN p_size END AS x, CASE WHEN p_partkey % 3 <> 2 THEN -p_size END AS y, CASE WHEN p_partkey % 3 = 0 THEN 64 END AS size,
- split_part(p_name, ' ', 1) AS anchor, p_size AS width, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS material, CASE WHEN p_partkey % 3 <> 1 THEN 'front' END AS side FROM (SELECT * REPLACE (p_size::INT AS p_size) FROM part)""")
+_SPEC_SIZES, _SPEC_MATERIALS = ("small", "medium", "large"), ("brass", "stone")
+
+
+@query(r"""SELECT p_partkey, CASE WHEN p_partkey % 3 <> 2 THEN p_size END AS x, CASE WHEN p_partkey % 3 <> 2 THEN -p_size END AS y, CASE WHEN p_partkey % 3 = 0 THEN 64 END AS size,
+ CASE WHEN p_partkey % 4 < 3 THEN p_name END AS name, CASE WHEN p_partkey % 4 < 3 THEN split_part(p_name, ' ', 1) END AS anchor, CASE p_partkey % 4 WHEN 0 THEN 'medium' WHEN 1 THEN 'large' WHEN 2 THEN 'small' END AS label, CASE WHEN p_partkey % 4 = 2 THEN 'brass' END AS material,
+ CASE WHEN p_partkey % 3 = 0 THEN p_size END AS deck, CASE WHEN p_partkey % 3 = 0 THEN 'ramp' END AS role, CASE WHEN p_partkey % 3 = 0 THEN 'north' END AS side FROM (SELECT * REPLACE (p_size::INT AS p_size) FROM part)""")
 def spec_parts(spark, sf_dir):
     k, size = F.col("p_partkey"), F.col("p_size").cast("string")
     place = F.when(k % 3 == 2, F.col("p_name")).otherwise(F.concat("p_name", F.lit(":"), size, F.lit(",-"), size, F.when(k % 3 == 0, ",64").otherwise("")))
-    anchor = F.concat(F.col("p_name"), F.lit(":"), F.substring_index("p_name", " ", 1), F.lit(","), size, F.when(k % 3 == 0, F.concat(F.lit(","), "p_brand")).otherwise(""))
-    side = F.concat("p_name", F.lit("="), "p_brand", F.when(k % 3 == 1, "").otherwise(":front"))
-    parsed = table(spark, sf_dir, "part").select("p_partkey", "p_name", T.place_spec(place).alias("p"), T.anchor_spec(anchor).alias("a"), T.side_spec(side).alias("s"))
-    return parsed.select("p_partkey", F.col("a.name").alias("name"), "p.x", "p.y", "p.size", "a.anchor", F.col("a.size").alias("width"), "a.material", "s.side")
+    anchor = F.concat(F.col("p_name"), F.lit(":"), F.substring_index("p_name", " ", 1), F.when(k % 4 == 1, ", large").when(k % 4 == 2, ",small,brass").when(k % 4 == 3, ",huge").otherwise(""))
+    side = F.concat(F.lit("deck"), size, F.when(k % 3 == 0, "= ramp:north ").when(k % 3 == 1, "=stairs:north").otherwise("=ramp"))
+    parsed = table(spark, sf_dir, "part").select("p_partkey", T.place_spec(place).alias("p"), T.anchor_spec(anchor, _SPEC_SIZES, _SPEC_MATERIALS).alias("a"), T.side_spec(side, ("ramp", "windscreen"), ("north", "south")).alias("s"))
+    return parsed.select("p_partkey", "p.x", "p.y", "p.size", "a.name", "a.anchor", F.col("a.size").alias("label"), "a.material", "s.deck", "s.role", "s.side")
 
 
 @query("""SELECT vec_id, (vec_id * 37) % 256 AS r, (vec_id * 11) % 256 AS g, vec_id % 256 AS b, CASE WHEN vec_id % 7 = 6 THEN 255 ELSE (vec_id % 7) * 51 END AS a FROM embeddings""")
@@ -838,14 +976,15 @@ def colour_distances(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", G.chebyshev(a, b).alias("far"), G.within(a, b, 40).alias("inside"))
 
 
-@query("""SELECT p_partkey, greatest(8, round_even(p_size * 17 * 0.25::DOUBLE / 8, 0)::INT * 8) AS side, p_size * 60 >= 1500 AND (p_size * 60) / 10000.0::DOUBLE >= 0.15 AS solid,
+@query("""SELECT p_partkey, CASE WHEN p_size < 40 THEN 40 ELSE p_size // 8 * 8 END AS side, (CASE WHEN p_size < 40 THEN greatest(40, round_even(p_size * 2 * (40.0::DOUBLE / p_size), 0)::INT) ELSE p_size * 2 END) // 8 * 8 AS longer, p_size * 60 >= 1500 AND (p_size * 60) / 10000.0::DOUBLE >= 0.15 AS solid,
  round((p_size - 3.5::DOUBLE) * 12, 2) AS pixel, p_name IN ('red widget') OR regexp_matches(p_name, '^old ') AS garbage, contains(lower(p_name || ' ' || p_brand), 'gizmo') OR contains(lower(p_name || ' ' || p_brand), 'brand#1') AS wanted,
  CASE WHEN p_size % 4 = 3 THEN 'rotation' WHEN p_partkey % 2 = 0 AND p_partkey % 3 <> 0 THEN 'mirror' END AS breach FROM part""")
 def gates_and_sizes(spark, sf_dir):
     size, k = F.col("p_size"), F.col("p_partkey")
     return table(spark, sf_dir, "part").select(
         "p_partkey",
-        G.to_eight(size * 17, F.lit(0.25)).alias("side"),
+        G.latent_size(size, size * 2, 40)["width"].alias("side"),
+        G.latent_size(size, size * 2, 40)["height"].alias("longer"),
         verdicts.component_gate(size * 60, F.lit(10000.0), 1500, 0.15).alias("solid"),
         G.to_pixels(size.cast("double"), F.lit(3.5), F.lit(12)).alias("pixel"),
         verdicts.garbage_name(F.col("p_name"), ["red widget"], _NAME_RULES[:1]).alias("garbage"),

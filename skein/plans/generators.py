@@ -49,11 +49,17 @@ def interleaved(categories: DataFrame, axes: dict[str, Sequence[str]], part: str
 
 
 @handler("treatments")
-def treatments(symbols: DataFrame, axes: dict[str, Sequence[str]], first: int, part: str | None = None) -> DataFrame:
-    """symbols(ord, folder, common, extra): a job for each treatment, numbered within its symbol, v2 beyond the first."""
-    each = symbols.select("ord", "folder", F.posexplode(F.concat("common", "extra")).alias("variant", "treatment"))
+def treatments(symbols: DataFrame, axes: dict[str, Sequence[str]], first: Sequence[str] = ("common", "extra", "extended"), second: Sequence[str] = ("new",), part: str | None = None) -> DataFrame:
+    """symbols(ord, folder, lists of treatments): a job for each treatment, numbered within its symbol.
+
+    What the lists of `first` hold is version v1, what those of `second` hold is v2, each symbol's own; a list that symbols
+    lack, or that is null, is empty.
+    """
+    none = F.array().cast("array<string>")
+    held = lambda names: F.concat(none, *[F.coalesce(F.col(c), none) for c in names if c in symbols.columns])
+    each = symbols.select("ord", "folder", F.size(held(first)).alias("n_first"), F.posexplode(F.concat(held(first), held(second))).alias("variant", "treatment"))
     rows = R.round_robin(only(each, "folder", part), ["variant"], axes, within=["folder"])
-    return labelled(rows).withColumn("version", F.when(F.col("seq") < first, "v1").otherwise("v2"))
+    return labelled(rows).withColumn("version", F.when(F.col("variant") < F.col("n_first"), "v1").otherwise("v2")).drop("n_first")
 
 
 @handler("layouts")
@@ -65,16 +71,20 @@ def layouts(archetypes: DataFrame, axes: dict[str, Sequence[str]], sections: Seq
 
 
 @handler("assets")
-def assets(rows: DataFrame, trigger: str, categories: Sequence[tuple[str, Sequence[str]]], orientations: Sequence[str]) -> DataFrame:
-    """rows(stem, name, orientation, state, tags, description): caption, category and path of each that has a name."""
-    rows = rows.withColumns({"name": T.trimmed(F.col("name")), **{c: F.nullif(T.trimmed(F.col(c)), F.lit("")) for c in ("orientation", "state")}}).where("name <> ''")
+def assets(rows: DataFrame, trigger: str, categories: Sequence[tuple[str, Sequence[str]]], orientations: Sequence[str], part: str | None = None) -> DataFrame:
+    """rows(stem, name, orientation, state, tags, description): label, caption, category, path and an empty prompt (nothing is
+    generated) of each that has a name; `part`: only those whose file name has it."""
+    blank = lambda c: F.nullif(T.trimmed(F.col(c)), F.lit(""))
+    rows = only(rows.withColumn("file_", F.concat("stem", F.lit(".png"))), "file_", part).drop("file_")
+    rows = rows.withColumns({"name": T.trimmed(F.col("name")), **{c: blank(c) for c in ("orientation", "state", "description")}}).where("name <> ''")
     known = F.array_union(F.transform(F.coalesce("tags", F.array().cast("array<string>")), F.lower), F.split(F.lower("name"), r"\s+"))
     category = F.coalesce(*[F.when(F.arrays_overlap(known, F.array(*[F.lit(w) for w in ws])), F.lit(c)) for c, ws in categories], F.lit("misc"))
-    state, orientation = F.coalesce("state", F.lit("intact")), F.coalesce("orientation", F.lit("unknown"))
-    out = rows.withColumn("category", category)
-    path = F.when(orientation.isin(*orientations), F.concat(F.lit("train/"), F.col("category"))).otherwise(F.concat_ws("/", F.lit("review"), orientation, F.col("category")))
-    caption = T.training_caption(F.lit(trigger), F.col("name"), orientation, state, F.col("tags"), F.col("description"))
-    return out.withColumn("path", F.concat(path, F.lit("/"), F.col("stem"))).withColumn("caption", caption)
+    rows = rows.withColumns({"category": category, "state": F.coalesce("state", F.lit("intact")), "orientation": F.coalesce("orientation", F.lit("unknown"))})
+    inside = F.col("orientation").isin(*orientations)
+    path = F.when(inside, F.concat(F.lit("train/"), F.col("category"))).otherwise(F.concat_ws("/", F.lit("review"), "orientation", "category"))
+    caption = T.training_caption(F.lit(trigger), F.col("name"), F.col("orientation"), F.col("state"), F.col("tags"), F.col("description"))
+    label = F.concat_ws("/", F.lit("stamp"), "orientation", "category", "stem")
+    return rows.withColumns({"path": F.concat(path, F.lit("/"), F.col("stem")), "caption": caption, "label": label, "prompt": F.lit("")})
 
 
 def labelled(rows: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from skein.functions import text as T
 from skein.operators import graph
 from skein.operators import relations as R
 from skein.operators import verdicts
+from skein.operators.sequences import numbered
+from skein.operators.tables import written
 
 
 def selected(rows: DataFrame, name: str, prefix: str | None = None, part: str | None = None, blank: str | None = None, force: bool = False, most: int | None = None) -> DataFrame:
@@ -59,7 +61,7 @@ def assigned_groups(rows: DataFrame, key: str, name: str, vector: str | None, st
         members = named.select(key, "canonical", F.col("canonical").alias("final"))
     else:
         members = graph.refined(named, key, "canonical", vector, split, merge).select(key, "canonical", F.col("final").cast("string").alias("final"))
-    members = graph.written(members)
+    members = written(members)
     commonest = R.mode_first_seen(members, "final", "canonical", key).select("final", F.col("canonical").alias("mode"))
     digests = members.groupBy("final").agg(H.member_digest(F.collect_list(F.col(key).cast("string"))).alias("digest"))
     ids = commonest.join(digests, "final").select("final", H.uuid5(namespace, F.concat_ws(":", "mode", "digest")).alias("group_id"))
@@ -84,20 +86,45 @@ def pack_index(packed: DataFrame) -> DataFrame:
     return packed.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("id").alias("key"), entry.alias("value"))))).alias("index"))
 
 
+#: Fields of a preset and numbers of a placement that a pack must have (fixed values).
+PRESET_FIELDS, PLACE_NUMBERS = ("id", "name", "documentName", "img", "gridSize"), ("x", "y", "width", "height", "rotation")
+
+
+def pack_errors(packed: DataFrame, order: Sequence[Column | str] = ("id", "img")) -> DataFrame:
+    """id, level, path, message: a row for everything in a pack that breaks its contract, at the place where it is.
+
+    Paths number presets in order and placements and tags as they lie, from 0. An id that several presets have is one row,
+    without a path; a missing one is missing, not repeated.
+    """
+    rows = numbered(packed, order, "nth")
+    at = F.concat(F.lit("preset["), F.col("nth"), F.lit("]"))
+    blank = lambda c: F.coalesce(T.trimmed(c), F.lit("")) == ""
+    fault = lambda bad, level, path, message: F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(level).alias("level"), path.alias("path"), F.lit(message).alias("message")))
+    field = lambda c, bad, level="error", message=None: fault(bad, level, F.concat(at, F.lit(f".{c}")), message or f"{c} is missing")
+    whole = [field(c, F.col(c).isNull() if c in ("img", "gridSize") else blank(F.col(c))) for c in PRESET_FIELDS]
+    whole += [field("img", blank(F.col("img")), "warning", "img is empty"), field("data", F.coalesce(F.size("data"), F.lit(0)) <= 0, message="data is empty")]
+
+    def placed(d: Column, j: Column) -> Column:
+        here = F.concat(at, F.lit(".data["), j, F.lit("]"))
+        src = d["texture"]["src"]
+        there = lambda c: F.concat(here, F.lit(f".{c}"))
+        found = [fault(blank(src), "error", there("texture.src"), "texture is missing"), fault(~blank(src) & ~blank(F.col("img")) & (src != F.col("img")), "warning", there("texture.src"), "src is not img")]
+        found += [fault(d[c].isNull(), "error", there(c), "a placement's number is missing") for c in PLACE_NUMBERS]
+        found += [fault(d[c] == 0, "warning", there(c), "no extent") for c in ("width", "height")]
+        return F.array(*found)
+
+    fault_type = "struct<level:string,path:string,message:string>"
+    no_fault, no_places = F.array().cast(f"array<{fault_type}>"), F.array().cast(f"array<array<{fault_type}>>")
+    tags = F.transform("tags", lambda t, j: fault(t.isNull(), "error", F.concat(at, F.lit(".tags["), j, F.lit("]")), "a tag is missing"))
+    every = F.concat(F.array(*whole), F.coalesce(tags, no_fault), F.flatten(F.coalesce(F.transform("data", placed), no_places)))
+    found = rows.select("id", F.explode(F.array_compact(every)).alias("e")).select("id", "e.level", "e.path", "e.message")
+    twice = verdicts.duplicate_keys(packed.where(F.col("id") != ""), "id")
+    return found.unionByName(twice.select("id", F.lit("error").alias("level"), F.lit(None).cast("string").alias("path"), F.lit("id is not unique").alias("message")))
+
+
 def pack_violations(packed: DataFrame) -> DataFrame:
-    """id, level, message of everything in a pack that breaks its contract."""
-    blank = lambda c: F.coalesce(F.btrim(F.col(c)), F.lit("")) == ""
-    any_place = lambda f: F.exists("data", lambda d: F.coalesce(f(d), F.lit(False)))
-    src = lambda d: F.coalesce(F.btrim(d["texture"]["src"]), F.lit(""))
-    no_number = lambda d: d["x"].isNull() | d["y"].isNull() | d["width"].isNull() | d["height"].isNull() | d["rotation"].isNull()
-    checks = [
-        ("error", "id is missing", blank("id")), ("error", "name is missing", blank("name")), ("error", "documentName is missing", blank("documentName")), ("error", "gridSize is missing", F.col("gridSize").isNull()),
-        ("error", "data is empty", F.coalesce(F.size("data"), F.lit(0)) <= 0), ("error", "texture is missing", any_place(lambda d: src(d) == "")), ("warning", "img is empty", blank("img")),
-        ("error", "a tag is missing", F.exists("tags", lambda t: t.isNull())), ("error", "a placement's number is missing", any_place(no_number)),
-        ("warning", "src is not img", ~blank("img") & any_place(lambda d: (src(d) != "") & (d["texture"]["src"] != F.col("img")))), ("warning", "no extent", any_place(lambda d: (d["width"] == 0) | (d["height"] == 0))),
-    ]
-    twice = verdicts.duplicate_keys(packed, "id").select("id", F.lit("error").alias("level"), F.lit("id is not unique").alias("message"))
-    return verdicts.violations(packed, F.col("id"), checks).unionByName(twice)
+    """id, level, message of everything in a pack that breaks its contract; a row for each faulty place."""
+    return pack_errors(packed).select("id", "level", "message")
 
 
 def status(assets: DataFrame, records: DataFrame, sheets: DataFrame) -> DataFrame:
@@ -117,10 +144,17 @@ def placements(maps: DataFrame) -> DataFrame:
     ppg = F.col("m.per_grid")
     px = lambda v, axis: F.round((v - F.col(f"m.origin.{axis}")) * ppg, 2)
     point = lambda p: F.array(px(p["x"], "x"), px(p["y"], "y"))
-    door = lambda d: F.struct(px(d["position"]["x"], "x").alias("x"), px(d["position"]["y"], "y").alias("y"), F.round(F.degrees(d["rotation"]), 2).alias("rotation_deg"), d["closed"].alias("closed"), d["freestanding"].alias("freestanding"), F.transform(d["bounds"], point).alias("span_px"))
-    light = lambda x: F.struct(px(x["position"]["x"], "x").alias("x"), px(x["position"]["y"], "y").alias("y"), F.round(x["range"] * ppg, 2).alias("range_px"), x["intensity"].alias("intensity"), F.right(x["color"], F.lit(6)).alias("color"))
-    size = F.array((F.col("m.size.x") * ppg).cast("int"), (F.col("m.size.y") * ppg).cast("int"))
-    return maps.select("image_id", size.alias("image_size"), ppg.alias("pixels_per_grid"), F.transform("m.portals", door).alias("doors"), F.transform("m.lights", light).alias("lights"))
+    door = lambda d: F.struct(px(d["position"]["x"], "x").alias("x"), px(d["position"]["y"], "y").alias("y"), F.round(F.coalesce(d["rotation"], F.lit(0.0)), 2).alias("rotation_deg"), F.coalesce(d["closed"], F.lit(True)).alias("closed"), F.coalesce(d["freestanding"], F.lit(False)).alias("freestanding"), F.transform(d["bounds"], point).alias("span_px"))
+    light = lambda x: F.struct(px(x["position"]["x"], "x").alias("x"), px(x["position"]["y"], "y").alias("y"), F.round(F.coalesce(x["range"], F.lit(0.0)) * ppg, 2).alias("range_px"), F.coalesce(x["intensity"], F.lit(1.0)).alias("intensity"), F.right(F.coalesce(x["color"], F.lit("ffffffff")), F.lit(6)).alias("color"))
+    size = F.array(*[F.bround(F.col(f"m.size.{c}") * ppg).cast("int") for c in "xy"])
+    placed = F.filter("m.lights", lambda x: x["position"]["x"].isNotNull() & x["position"]["y"].isNotNull())
+    return maps.select("image_id", size.alias("image_size"), ppg.alias("pixels_per_grid"), F.transform("m.portals", door).alias("doors"), F.transform(placed, light).alias("lights"))
+
+
+def placements_json(maps: DataFrame) -> DataFrame:
+    """image_id and value: placements as a JSON object, missing coordinates as null."""
+    fields = F.struct("image_size", "pixels_per_grid", "doors", "lights")
+    return placements(maps).select("image_id", F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def floor_plan(plans: DataFrame, roles: dict[str, int]) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.text import quoted, quoted_list
+from skein.functions import text as T
 
 
 def updated(df: DataFrame, changes: dict[str, Column], when: Column | None = None) -> DataFrame:
@@ -26,11 +26,39 @@ def upserted(df: DataFrame, key: str, new: DataFrame, field: str) -> DataFrame:
 
 
 def replaced_line(text: Column, key: str, value: Column) -> Column:
-    """text and changed: the text with the key's line set, and whether that changed it."""
-    new = F.regexp_replace(text, F.lit(rf"(?m)^{key}[ \t]*:.*$"), F.concat(F.lit(f"{key}: "), F.coalesce(value, F.lit("null"))))
+    """text and changed: the text with the first line `key:` set to the value (null as null), and whether that changed it."""
+    line = rf"(?dsm)\A(.*?)^{key}:[^\n]*$(.*)\z"
+    new = F.concat(F.regexp_extract(text, line, 1), F.lit(f"{key}: "), F.coalesce(value, F.lit("null")), F.regexp_extract(text, line, 2))
+    new = F.when(text.rlike(line), new).otherwise(text)
     return F.struct(new.alias("text"), (new != text).alias("changed"))
 
 
+#: Where a text's lines end, and a line of a key (key, value, comment), with Unicode's white space (fixed values).
+LINE_ENDS = r"(?<=[\n\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029])|(?<=\r)(?!\n)"
+KEY_LINE = r"(?dU)^([A-Za-z_][A-Za-z0-9_]*)\s*:\s*(.*?)(\s*#.*)?$"
+
+
+def rewritten(text: Column, fields: dict[str, Column], lists: Sequence[str] = ("tags",)) -> Column:
+    """A record's text with the values of top-level keys replaced, everything else byte for byte as it was.
+
+    Lines keep their order and their trailing comments, and comments, blank lines, other keys and lines that are none stay.
+    A key that the text lacks isn't added; a null value becomes null (of a list: an empty one). A # begins a comment.
+    """
+
+    def one(line: Column) -> Column:
+        body = F.rtrim(line, F.lit("\n"))
+        key, comment = F.regexp_extract(body, KEY_LINE, 1), F.regexp_extract(body, KEY_LINE, 3)
+        end = F.when(line.endswith("\n"), "\n").otherwise("")
+        plain = (T.trimmed(line) == "") | T.trimmed(line).startswith("#") | ~body.rlike(KEY_LINE)
+        out = F.when(plain, line)
+        for name, value in fields.items():
+            value = T.quoted_list(value) if name in lists else T.quoted(value)
+            out = out.when(key == name, F.concat(F.lit(f"{name}: "), value, comment, end))
+        return out.otherwise(line)
+
+    return F.array_join(F.transform(F.split(text, LINE_ENDS), one), "")
+
+
 def nullified(df: DataFrame, field: str, failing: Column) -> DataFrame:
     return df.withColumn(field, F.when(~F.coalesce(failing, F.lit(False)), F.col(field)))
 
@@ -48,7 +76,7 @@ def inserted_if_absent(assets: DataFrame, records: DataFrame, key: str, template
 
 def rendered(fields: Sequence[str], lists: Sequence[str] = ("tags",)) -> Column:
     """A record as YAML lines, in the order of fields."""
-    return F.concat_ws("\n", *[F.concat(F.lit(f"{k}: "), quoted_list(F.col(k)) if k in lists else quoted(F.col(k).cast("string"))) for k in fields])
+    return F.concat_ws("\n", *[F.concat(F.lit(f"{k}: "), T.quoted_list(F.col(k)) if k in lists else T.quoted(F.col(k).cast("string"))) for k in fields])
 
 
 def json_array(df: DataFrame, row: Column, order: str) -> DataFrame:

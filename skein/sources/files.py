@@ -100,11 +100,21 @@ def tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, sep="\t", header=True).where(F.col(names[1]).isNotNull())
 
 
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """value and at: the lines of text files and a position that orders them by file, then as they lie in it.
+
+    A split of a file is read by one task from its start to its end, so file, start of the split and the task's own count
+    order lines however splits are dealt to tasks.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("nth"))
+    return spark.read.text(path).select("value", at.alias("at"))
+
+
 def hash_list(spark: SparkSession, path: str) -> DataFrame:
-    """md5 and path of lines `md5  path`; the smallest position, and so the first path, of each md5."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at")).where(F.col("value").contains("  "))
-    parts = lines.select(F.split_part("value", F.lit("  "), F.lit(1)).alias("md5"), F.regexp_extract("value", r"^.*?  (.*)$", 1).alias("path"), "at")
-    return parts.groupBy("md5").agg(F.min_by("path", "at").alias("path"))
+    """md5 and path of lines `md5  path`; of lines with one md5 the first (files in order of their paths) wins. A line without
+    the two blanks is an md5 without a path; one that begins with them is left out."""
+    parts = lines(spark, path).select(F.split_part("value", F.lit("  "), F.lit(1)).alias("md5"), F.regexp_extract("value", r"^.*?  (.*)$", 1).alias("path"), "at")
+    return parts.where("md5 <> ''").groupBy("md5").agg(F.min_by("path", "at").alias("path"))
 
 
 def list_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -129,23 +139,29 @@ def labelled_lines(text: Column) -> Column:
 
 
 VECTOR_MAP = (
-    "resolution struct<map_origin:struct<x:double,y:double>,map_size:struct<x:double,y:double>,pixels_per_grid:int>, "
+    "resolution struct<map_origin:struct<x:double,y:double>,map_size:struct<x:double,y:double>,pixels_per_grid:double>, "
     "line_of_sight array<array<struct<x:double,y:double>>>, objects_line_of_sight array<array<struct<x:double,y:double>>>, "
     "portals array<struct<position:struct<x:double,y:double>,bounds:array<struct<x:double,y:double>>,rotation:double,closed:boolean,freestanding:boolean>>, "
     "lights array<struct<position:struct<x:double,y:double>,range:double,intensity:double,color:string>>, image string"
 )
 
 
+def polylines(text: Column, parsed: Column, field: str) -> Column:
+    """The field's lines; older exports have one line as a flat list of points. Empty lines are left out."""
+    none = F.array().cast("array<array<struct<x:double,y:double>>>")
+    flat = F.from_json(F.get_json_object(text, f"$.{field}"), "array<struct<x:double,y:double>>")
+    one = F.get_json_object(text, f"$.{field}[0].x").isNotNull()
+    return F.filter(F.coalesce(F.when(one, F.array(flat)).otherwise(parsed[field]), none), lambda p: p.isNotNull() & (F.size(p) > 0))
+
+
 def vector_map(text: Column) -> Column:
-    """A vector map with all its lists; one without a size is an error."""
+    """A vector map with all its lists; one without a size is an error, one without a grid has 100 pixels a square."""
     v = F.from_json(text, VECTOR_MAP)
     size = F.when(v["resolution"]["map_size"].isNull(), F.raise_error(F.lit("map_size is missing")).cast("struct<x:double,y:double>")).otherwise(v["resolution"]["map_size"])
     zero = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    none = F.array()
-    walls = "array<array<struct<x:double,y:double>>>"
-    both = F.concat(F.coalesce(v["line_of_sight"], none.cast(walls)), F.coalesce(v["objects_line_of_sight"], none.cast(walls)))
+    both = F.concat(polylines(text, v, "line_of_sight"), polylines(text, v, "objects_line_of_sight"))
     return F.struct(
-        F.coalesce(v["resolution"]["map_origin"], zero).alias("origin"), size.alias("size"), v["resolution"]["pixels_per_grid"].alias("per_grid"), both.alias("walls"),
+        F.coalesce(v["resolution"]["map_origin"], zero).alias("origin"), size.alias("size"), F.coalesce(F.bround(v["resolution"]["pixels_per_grid"]), F.lit(100.0)).cast("int").alias("per_grid"), both.alias("walls"),
         F.coalesce(v["portals"], F.from_json(F.lit("[]"), VECTOR_MAP.split("portals ")[1].split(", lights")[0])).alias("portals"),
         F.coalesce(v["lights"], F.from_json(F.lit("[]"), VECTOR_MAP.split("lights ")[1].split(", image")[0])).alias("lights"),
         F.unbase64(v["image"]).alias("image"),

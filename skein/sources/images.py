@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -45,29 +43,6 @@ def crops(rgba: DataFrame, found: DataFrame, padding: int) -> DataFrame:
     return both.select("image_id", "own", y.alias("y"), x.alias("x"), "r", "g", "b", F.when(F.col("label") == F.col("own"), F.col("a")).otherwise(0).alias("a"))
 
 
-def wall_pixels(walls: DataFrame, per_grid: int, thickness: int) -> DataFrame:
-    """image_id, y, x of the pixels that lie within half a thickness of walls(image_id, points: array of x, y)."""
-
-    def draw(of: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in of:
-            for image, points in zip(batch["image_id"], batch["points"]):
-                p = np.array([(q["x"], q["y"]) for q in points], float) * per_grid
-                found = []
-                for a, b in zip(p, p[1:]):
-                    n = int(np.ceil(np.hypot(*(b - a)))) * 2 + 1
-                    line = a + np.linspace(0, 1, n)[:, None] * (b - a)
-                    d = np.arange(-(thickness // 2), thickness - thickness // 2)
-                    square = np.stack(np.meshgrid(d, d), -1).reshape(-1, 2)
-                    found.append(np.unique((np.floor(line)[:, None, :] + square).astype(int).reshape(-1, 2), axis=0))
-                if found:
-                    xy = np.unique(np.concatenate(found), axis=0)
-                    xy = xy[(xy >= 0).all(axis=1)]
-                    yield pd.DataFrame({"image_id": image, "y": xy[:, 1], "x": xy[:, 0]})
-
-    kind = dict(walls.dtypes)["image_id"]
-    return walls.select("image_id", "points").mapInPandas(draw, f"image_id {kind}, y long, x long").distinct()
-
-
 def media_files(landed: DataFrame) -> DataFrame:
     """title, url, width, height, mime, license of a media catalogue's pages, landed as JSON text in `value`."""
     schema = "query struct<pages:map<string,struct<title:string,imageinfo:array<struct<url:string,width:int,height:int,mime:string,extmetadata:map<string,struct<value:string>>>>>>>"

@@ -59,9 +59,13 @@ def test_keywords_and_categories(spark):
     assert one(spark, T.categories(F.col("t"), chairs), t=s("shelves and benches")) == []
 
 
-def test_caption_tags_cap_before_categories(spark):
-    got = one(spark, T.caption_tags(F.col("t"), F.col("g"), ["the"], F.array(F.lit("extra"), F.lit("red"))), t=s(" ".join(f"word{'abcdefghijklmnop'[i]}" for i in range(16)) + " the"), g=("array<string>", ["red", "worda"]))
-    assert len(got) == 13 and got[:3] == ["red", "worda", "wordb"] and got[-1] == "extra"
+@pytest.mark.parametrize("given, want", [
+    (["red", "worda"], ["red", "worda", *(f"word{c}" for c in "bcdefghijk"), "extra"]), ([f"g{i}" for i in range(12)], [*(f"g{i}" for i in range(12)), "worda", "extra", "red"]),
+    ([f"g{i}" for i in range(14)], [*(f"g{i}" for i in range(14)), "worda", "extra", "red"]), (["red", "red"], ["red", "red", *(f"word{c}" for c in "abcdefghij"), "extra"]), (None, [*(f"word{c}" for c in "abcdefghijkl"), "extra", "red"]),
+])
+def test_caption_tags_cap_before_categories(spark, given, want):
+    text = " ".join(f"Word{c}" for c in "abcdefghijklmnop") + " the of " + "x" * 40
+    assert one(spark, T.caption_tags(F.col("t"), F.col("g"), ["the"], F.array(F.lit("extra"), F.lit("red"))), t=s(text), g=("array<string>", given)) == want
 
 
 def test_content_words_cut_accents(spark):
@@ -76,17 +80,47 @@ def test_file_description(spark, name, want):
 def test_small_texts(spark):
     assert one(spark, T.title_words(F.col("t")), t=s("iron USA door")) == "Iron USA Door"
     assert one(spark, T.quoted(F.col("t")), t=s('a "b" \\ c')) == '"a \\"b\\" \\\\ c"' and one(spark, T.quoted(F.col("t")), t=s(None)) == "null"
-    assert one(spark, T.side_spec(F.col("t")), t=s("deck1=cargo:port")).asDict() == {"name": "deck1", "role": "cargo", "side": "port"}
     assert one(spark, T.place_spec(F.col("t")), t=s("door:10,-4,32")).asDict() == {"name": "door", "x": 10, "y": -4, "size": 32}
-    assert one(spark, T.anchor_spec(F.col("t")), t=s("flag:top,64,silk")).asDict() == {"name": "flag", "anchor": "top", "size": 64, "material": "silk"}
     assert one(spark, T.place_spec(F.col("t")), t=s("door:x")) is None
     assert one(spark, T.rgba(F.lit("#7A1212"), F.lit(0.30)), t=s("")).asDict() == {"r": 122, "g": 18, "b": 18, "a": 76}
-    assert one(spark, T.tag_list(F.col("t")), t=s("Red Door, red-door;Blue\n,")) == ["red-door", "blue"]
+    many = [f"tag-{i}" for i in range(40)]
+    assert one(spark, T.tag_list(F.col("t")), t=s("Red Door, red-door;Blue\n," + "y" * 33 + "," + "z" * 32 + "," + ",".join(many))) == ["red-door", "blue", "z" * 32, *many]
     assert one(spark, T.distinct_ignoring_case(F.col("t")), t=("array<string>", ["Ab", "cd", "aB ", "CD", "e"])) == ["Ab", "cd", "e"]
     assert one(spark, T.first_match(F.col("t"), [("cruiser", "c"), ("light.?cruiser", "l")]), t=s("light cruiser")) == "c"
 
 
-@pytest.mark.parametrize("payload, want", [('{"text": "a"}', "a"), ('{"caption": "b", "x": 1}', "b"), ('["c", "d"]', "c"), ('[{"text": "e"}]', "e"), ('"f"', "f"), ("not json", None)])
+@pytest.mark.parametrize("spec, want", [
+    ("deck1=ramp:north", (1, "ramp", "north")), ("deck12 = ramp : east", (12, "ramp", "east")), ("deck1=stairs:north", None), ("deck1=ramp:up", None), ("roof=ramp:north", None), ("deck=ramp:north", None), ("deck1=ramp", None), ("deck1:ramp=north", None),
+])
+def test_side_spec(spark, spec, want):
+    got = one(spark, T.side_spec(F.col("t"), ("ramp", "windscreen"), ("north", "east")), t=s(spec))
+    assert (got and tuple(got)) == want
+
+
+@pytest.mark.parametrize("spec, want", [
+    ("seal:wall", ("seal", "wall", "medium", None)), ("seal:wall,large", ("seal", "wall", "large", None)), ("seal: wall , large,, stone,more", ("seal", "wall", "large", "stone")), ("seal:wall,64", None), ("seal:wall,large,silk", None), ("seal:", None), ("seal", None),
+])
+def test_anchor_spec(spark, spec, want):
+    got = one(spark, T.anchor_spec(F.col("t"), ("small", "medium", "large"), ("brass", "stone")), t=s(spec))
+    assert (got and tuple(got)) == want
+
+
+@pytest.mark.parametrize("text", ["plain", "two words", "a, b", "x: y", "it's", "50%", "tail ", " head", "null", "True", "falsey", "#1", "", "a-b_c.d", "é", "back\\slash", "back\\ and: more"])
+def test_scalars_are_quoted_where_yaml_needs_it(spark, text):
+    import yaml
+
+    got = one(spark, T.quoted(F.col("t")), t=s(text))
+    special = set(":#'\"\n[]{},&*?|>!%@`")
+    needed = bool(set(text) & special) or text.lower() in ("null", "true", "false") or text.strip() != text
+    assert got.startswith('"') == needed
+    assert text == "" or yaml.safe_load(got) == text
+    assert text == "" or yaml.safe_load(one(spark, T.quoted_list(F.col("t")), t=("array<string>", [text, "x"]))) == [text, "x"]
+
+
+@pytest.mark.parametrize("payload, want", [
+    ('{"text": "a"}', "a"), ('{"caption": "b", "x": 1}', "b"), ('["c", "d"]', "c d"), ('[{"text": "e"}, ["f", [{"value": {"string": " g "}}]]]', "e f g"), ('"h"', "h"), ("not json", None), ('{"result": 5, "caption": "no"}', "5"), ('{"string": true}', "True"),
+    ('{"text": null, "caption": "no"}', None), ('{"caption": "no", "value": []}', None), ("{}", None), ("null", None), ("[]", None), ("", None), (None, None), ('{"x": "y"}', None), ("[" * 100_000, None), ("[" * 200 + '"deep"' + "]" * 200, "deep"),
+])
 def test_payload(spark, payload, want):
     assert one(spark, T.payload_text(F.col("t")), t=s(payload)) == want
 
@@ -134,7 +168,14 @@ def test_geometry(spark):
     points = one(spark, G.around(F.lit(0), F.lit(0), F.lit(10), F.lit(10), F.lit(4)), t=s(""))
     assert [(p.x, p.y) for p in points] == [(0, 0), (10, 0), (10, 10), (0, 10)]
     assert one(spark, G.spaced(F.lit(2), F.lit(0.0), F.lit(8.0)), t=s("")) == [2.0, 6.0]
-    assert one(spark, G.to_eight(F.lit(100), F.lit(1.5)), t=s("")) == 152
+    for w, h in ((128, 128), (100, 333), (2000, 1500), (1023, 1999), (7, 9), (1024, 1031)):
+        scale = 1024 / min(w, h)
+        grown = [max(1024, round(x * scale)) for x in (w, h)] if min(w, h) < 1024 else [w, h]
+        assert tuple(one(spark, G.latent_size(F.lit(w), F.lit(h), 1024), t=s(""))) == tuple(x // 8 * 8 for x in grown)
+    for c, r in ((0, 0), (1, 0), (-1, -1), (-2, 3), (5, 2)):
+        got = one(spark, G.hex_centre(F.lit(c), F.lit(r), 10.0), t=s(""))
+        down = 3**0.5 * 10
+        assert (got.x, got.q, got.r) == (c * 15.0, c, r - (c - (c & 1)) // 2) and abs(got.y - (r * down + (down / 2 if c % 2 else 0))) < 1e-9
     head = one(spark, G.arrow_head(F.lit(0.0), F.lit(0.0), F.lit(10.0), F.lit(0.0), 2.0), t=s(""))
     assert head.middle.x == 5.0 and head.left.x < 10 and abs(head.left.y + head.right.y) < 1e-12
 
