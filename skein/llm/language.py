@@ -23,13 +23,14 @@ from .quality_model import fold
 
 #: Units in each direction; bytes of a window; the symbol after a text's end.
 UNITS, WINDOW, END = 8, 128, 256
-#: Rows of the sample for each language and in all, at most (one of each language at least); bytes of a window to learn from, and
-#: windows that a row gives, spread over its whole text.
-SAMPLE_ROWS, SAMPLE_ALL, LEARN, SPREAD = 400, 40_000, 64, 64
+#: Distinct texts of the sample for each language and in all, at most (one of each language at least), read whole; bytes of a window
+#: to learn from.
+SAMPLE_ROWS, SAMPLE_ALL, LEARN = 400, 40_000, 64
 #: Languages up to which their counts are broadcast, so that no language's rows meet in one task.
 BROADCAST_LANGUAGES = 100_000
-#: Windows that a network is trained on, for each language and in all.
-TRAIN, TRAIN_ALL = 4000, 400_000
+#: Windows that a network is trained on, for each language and in all; rounds of training at least, windows of a round, and
+#: windows of each language that are seen at least, on average, however many languages there are.
+TRAIN, TRAIN_ALL, ROUNDS, BATCH, SEEN = 4000, 400_000, 240, 96, 1200
 #: Windows that a worker runs at a time, and probabilities that it holds.
 TOGETHER, HELD = 1024, 1 << 23
 
@@ -110,7 +111,7 @@ class Network:
                 dh = dh * update + u.T @ back
         return loss, g
 
-    def train(self, x: np.ndarray, y: np.ndarray, rounds: int = 240, batch: int = 96, rate: float = 0.02, seed: int = 9) -> float:
+    def train(self, x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, batch: int = BATCH, rate: float = 0.02, seed: int = 9) -> float:
         """Adam over random batches of windows x(windows, steps); the loss of the last ones."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -160,11 +161,12 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
 
 
 def learned(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
-    """A network for all languages of docs, from a bounded sample of up to `rows` rows of each language outside fold 2."""
+    """A network for all languages of docs, from a bounded sample of up to `rows` distinct texts of each language outside fold 2."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     texts = texts.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2) & (F.octet_length("text") > 0))
-    texts = texts.withColumn("h", F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 40)))
-    counts = texts.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    texts = texts.withColumn("h", F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 40)))
+    # copies of a text are one: the distinct ones are counted (to some hundredths), and chosen among
+    counts = texts.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("h", 0.02).alias("n"))
     languages = counts.count()
     each = max(1, min(rows, SAMPLE_ALL // max(1, languages)))
     # a part of the hash range that holds some more rows than wanted, and of these exactly the first
@@ -172,38 +174,50 @@ def learned(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
     part = part.where(F.col("h") < (1 << 40) * ((2.0 * each + 32) / F.col("n"))).select("lang", "h").distinct()
     chosen = part.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("nth") <= each).drop("nth")
 
-    def spread(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in of:
-            found = [some_windows(t.as_py().encode()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("lang"), pa.array(found, pa.binary())], ["h", "lang", "bytes"])
-
-    sample = texts.join(F.broadcast(chosen), ["lang", "h"]).select("h", "lang", "text").mapInArrow(spread, "h long, lang string, bytes binary")
-    sample = sample.dropDuplicates(["h", "lang"]).toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
+            for i in range(batch.num_rows):
+                text, h = batch.column("text")[i].as_py().encode(), batch.column("h")[i].as_py()
+                starts = range(0, len(text), LEARN)
+                kinds = pa.array([batch.column("lang")[i].as_py()] * len(starts), pa.string())
+                yield pa.RecordBatch.from_arrays([kinds, pa.array(places(h, len(starts))), pa.array([text[j : j + LEARN] for j in starts], pa.binary())], ["lang", "place", "bytes"])
+
+    # every window of the chosen rows' whole texts, in an order drawn by hash; the first of each language
+    whole = texts.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", "text").dropDuplicates(["lang", "h"])
+    drawn = whole.mapInArrow(cut, "lang string, place long, bytes binary")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "bytes"))
+    sample = drawn.withColumn("nth", nth).where(F.col("nth") <= max(1, min(TRAIN, TRAIN_ALL // max(1, languages)))).drop("nth")
+    sample = sample.toArrow().sort_by([("lang", "ascending"), ("place", "ascending"), ("bytes", "ascending")])
     return fitted([(t.as_py(), v.as_py()) for t, v in zip(sample.column("bytes"), sample.column("lang"))])
 
 
-def some_windows(text: bytes) -> bytes:
-    """SPREAD windows of a longer text, evenly spaced from its beginning to its end."""
-    if len(text) <= SPREAD * LEARN:
-        return text
-    starts = np.linspace(0, len(text) - LEARN, SPREAD).astype(int)
-    return b"".join(text[i : i + LEARN] for i in starts.tolist())
+def places(h: int, n: int) -> np.ndarray:
+    """Places of n windows of a text of hash h among all: 62 bits that look drawn at random."""
+    x = np.array([h], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(odd)
+    return (x >> np.uint64(2)).astype(np.int64)
+
+
+def rounds_for(languages: int) -> int:
+    return max(ROUNDS, -(-SEEN * languages // BATCH))
 
 
-def fitted(rows: list[tuple[bytes, str]], rounds: int = 240) -> Network | None:
+def fitted(rows: list[tuple[bytes, str]], rounds: int | None = None) -> Network | None:
+    """A network for the languages of rows (text or window of one, language); all windows of longer texts are used."""
     languages = sorted({lang for _, lang in rows})
     if not languages:
         return None
     net, number = Network(languages), {lang: i for i, lang in enumerate(languages)}
     x, count = windows([t for t, _ in rows], LEARN)
     y = np.repeat(np.array([number[lang] for _, lang in rows]), count)
-    # languages weigh the same, and so do texts: windows are drawn with repetition from each
+    # languages weigh the same: windows are drawn with repetition from each
     rng = np.random.default_rng(1)
     each = max(1, min(TRAIN, TRAIN_ALL // len(languages)))
     order = np.argsort(y, kind="stable")
     ends = np.searchsorted(y[order], np.arange(len(languages) + 1))
     pick = np.concatenate([rng.choice(order[i:j], each) for i, j in zip(ends[:-1], ends[1:])])
-    net.train(x[pick], y[pick], rounds=rounds)
+    net.train(x[pick], y[pick], rounds=rounds_for(len(languages)) if rounds is None else rounds)
     return net
 
 
