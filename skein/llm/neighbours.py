@@ -34,8 +34,11 @@ K, TABLES, WIDTH = 20, 8, 4
 BUCKET = (64, 16, 16)
 #: Buckets of a table that a query looks into, as a share of all, by the table's width.
 SHARES = (1 / 8, 1 / 32, 1 / 256, 1 / 4096)
-#: Buckets that are put in order to find them; groups of a table at most (the table of groups is broadcast).
-ORDERED, GROUPS = 1 << 15, 1 << 16
+#: Axes of a rotation, nearest first, that a query's buckets may have, by the table's width: so many that the share above can be
+#: had of their combinations, which are put in order to find it.
+FEW = (1 << 30, 1 << 30, 32, 19)
+#: Groups of a table at most (the table of groups is broadcast).
+GROUPS = 1 << 16
 #: Rows and queries of a block; queries that are compared at once.
 ROWS, QUERIES, TOGETHER = 4096, 4096, 1024
 
@@ -86,9 +89,13 @@ def signed(y: np.ndarray) -> np.ndarray:
     return np.stack([y, -y], axis=2).reshape(len(y), -1)
 
 
+#: Axes of a bucket, from the first, that tell its group: a query's buckets have FEW ** PREFIX of these at most.
+PREFIX = 2
+
+
 def group_of(code: np.ndarray, axes: int, width: int, groups: int) -> np.ndarray:
-    """Group of a bucket: by all of its axes but the last."""
-    first = code // axes if width > 1 else code
+    """Group of a bucket: by its first axes, all but the last or PREFIX of them."""
+    first = code // axes ** (width - min(PREFIX, max(1, width - 1)))
     return ((first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(groups)
 
 
@@ -98,6 +105,7 @@ class Table:
     def __init__(self, number: int, axes: int, rows: int, seed: int):
         self.number, self.axes, self.seed = number, axes, seed
         self.width, self.groups = width_for(rows, axes), max(1, min(GROUPS, -(-rows // ROWS)))
+        self.few = min(axes, FEW[self.width - 1])
 
     def turned(self, u: np.ndarray) -> list[np.ndarray]:
         return [rotated(u, self.number * WIDTH + i, self.seed) for i in range(self.width)]
@@ -113,15 +121,21 @@ class Table:
         return group_of(codes, self.axes, self.width, self.groups)
 
     def sums(self, u: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """For each row of u and each bucket, the sum of its coordinates along the bucket's axes."""
+        """For each row of u and each bucket, the sum of its coordinates along the bucket's axes; minus infinity where one of
+        them is not among its `few` nearest, so that what probes() goes to is exactly what can reach its least sum."""
         out = np.zeros((len(u), len(codes)))
         for i, y in enumerate(self.turned(u)):
-            out += signed(y)[:, codes // self.axes ** (self.width - 1 - i) % self.axes]
+            along = signed(y)
+            if self.few < self.axes:
+                near, among = nearest_axes(y, self.few), np.full_like(along, -np.inf)
+                np.put_along_axis(among, near, np.take_along_axis(along, near, 1), 1)
+                along = among
+            out += along[:, codes // self.axes ** (self.width - 1 - i) % self.axes]
         return out
 
     def probes(self, u: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
         """For each row of u, the least sum that it looks at and the groups of the buckets that reach it."""
-        few = max(1, min(self.axes, int(ORDERED ** (1 / self.width) + 1e-9)))
+        few = self.few
         wanted = max(1, min(int(SHARES[self.width - 1] * self.axes**self.width), few**self.width))
         for at in range(0, len(u), 64):
             part = u[at : at + 64]

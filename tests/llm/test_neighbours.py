@@ -127,20 +127,68 @@ def test_share_of_rows_falls_as_rows_grow():
     assert min(few[2], more[2], many[2]) >= 0.9, (few, more, many)
 
 
-def test_buckets_that_reach_the_sum_are_in_the_groups():
+@pytest.mark.parametrize("rows, width, groups", [(10_000, 2, 3), (20_000, 3, 5), (600_000, 4, 147)])
+def test_buckets_that_reach_the_sum_are_in_the_groups(rows, width, groups):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(700, 12))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    table = neighbours.Table(1, neighbours.axes(x), 10_000, 17)
+    table = neighbours.Table(1, neighbours.axes(x), rows, 17)
     codes = table.codes(x)
-    assert table.width == 2 and table.groups == 3
-    for q, (least, groups) in zip(x[:80], table.probes(x[:80])):
+    assert table.width == width and table.groups == groups
+    for q, (least, visited) in zip(x[:80], table.probes(x[:80])):
         reached = table.sums(q[None], codes)[0] >= least
-        assert set(table.group(codes[reached])) <= set(groups)
+        assert set(table.group(codes[reached])) <= set(visited)
         nearest = table.sums(q[None], table.codes(q[None]))[0, 0]
         assert nearest >= least and nearest >= table.sums(q[None], codes).max() - 1e-12
 
 
+def test_what_reaches_the_sum_is_what_is_listed():
+    """Of four rotations: as many buckets as the share says, and no bucket outside them reaches the least sum."""
+    x = np.random.default_rng(10).normal(size=(5, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = neighbours.Table(0, neighbours.axes(x), 40_000_000, 17)
+    assert table.width == 4 and table.few**4 >= neighbours.SHARES[3] * table.axes**4
+    codes = np.random.default_rng(11).integers(0, table.axes**4, 200_000)
+    for q, (least, visited) in zip(x, table.probes(x)):
+        reached = table.sums(q[None], codes)[0] >= least
+        assert np.isin(table.group(codes[reached]), visited).all()
+        assert reached.mean() < 3 * neighbours.SHARES[3]
+
+
+def test_groups_that_a_query_goes_to_stay_bounded():
+    """Copies of queries to shuffle, for each row of the table (a twentieth of them asks): they stop growing."""
+    x = np.random.default_rng(12).normal(size=(32, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    copies = {}
+    for n in (10**5, 10**6, 10**7, 10**8, 10**9):
+        table = neighbours.Table(0, neighbours.axes(x), n, 17)
+        visited = np.mean([len(g) for _, g in table.probes(x)])
+        assert visited <= min(table.groups, table.few ** min(neighbours.PREFIX, max(1, table.width - 1)))
+        copies[n] = visited * neighbours.TABLES / 20
+    assert copies[10**5] < 12 and copies[10**6] < 110 and copies[10**7] < 320 and copies[10**8] < 160 and copies[10**9] < 160, copies
+
+
+@pytest.mark.parametrize("rows, width", [(10**6, 3), (4 * 10**7, 4)])
+def test_recall_of_wide_tables_through_their_groups(rows, width):
+    """The width of large tables forced on a small one: a row counts as found where its bucket reaches the sum and its group is visited."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(400, 64)).repeat(25, axis=0) + 0.4 * rng.normal(size=(10_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = x[::100]
+    s = q @ x.T
+    s[np.arange(len(q)), np.arange(0, 10_000, 100)] = -9
+    top = np.argsort(-s, axis=1)[:, :20]
+    found = np.zeros(top.shape, bool)
+    for t in range(neighbours.TABLES):
+        table = neighbours.Table(t, neighbours.axes(x), rows, 17)
+        assert table.width == width
+        codes = table.codes(x)
+        for i, (least, visited) in enumerate(table.probes(q)):
+            own = codes[top[i]]
+            found[i] |= (table.sums(q[i : i + 1], own)[0] >= least) & np.isin(table.group(own), visited)
+    assert found.mean() >= 0.9, found.mean()
+
+
 def test_copies_that_no_query_can_want():
     x = np.array([[1.0, 2.0]] * 6 + [[2.0, 1.0]])
     kept = neighbours.first_copies(np.array([9, 3, 5, 1, 7, 2, 8]), x, 2)
