@@ -98,6 +98,14 @@ def scanned(shapes: DataFrame, canvas: DataFrame) -> DataFrame:
     return runs.where("x0 < x1").select("image_id", F.col("y").cast("long").alias("y"), "x0", "x1", "z", "role")
 
 
+def rect_runs(shapes: DataFrame, canvas: DataFrame) -> DataFrame:
+    """image_id, y, x0, x1, z, role: the rows of rectangles shapes(image_id, z, role, x0, y0, x1, y1), ends exclusive, inside canvas."""
+    rows = shapes.join(canvas, "image_id")
+    cut = rows.select("image_id", "z", "role", *[F.greatest(F.lit(0), F.least(F.col(c), F.col(side))).cast("long").alias(c) for c, side in (("x0", "width"), ("x1", "width"), ("y0", "height"), ("y1", "height"))])
+    cut = cut.where("x0 < x1 and y0 < y1").withColumn("y", F.explode(F.sequence("y0", F.col("y1") - 1)))
+    return cut.select("image_id", "y", "x0", "x1", "z", "role")
+
+
 def painted_runs(canvas: DataFrame, runs: DataFrame, floor: int) -> DataFrame:
     """image_id, y, x0, x1, role: every row of every canvas as neighbouring runs of different roles, the floor's where nothing is.
 

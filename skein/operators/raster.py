@@ -132,6 +132,38 @@ def turned(pixels: DataFrame, size: DataFrame, quarters: int) -> DataFrame:
     return pixels.join(size, "image_id").withColumns({"x": to[0], "y": to[1]}).drop("w", "h")
 
 
+def trimmed(pixels: DataFrame, inside: Column) -> DataFrame:
+    """pixels within the box around those that are inside, at the box's origin; an image without any is as it was."""
+    box = bounding_box(pixels, inside)
+    both = pixels.join(box.drop("area"), "image_id", "left")
+    kept = both.where(F.col("x0").isNull() | ((F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1"))))
+    return kept.withColumns({"x": F.col("x") - F.coalesce("x0", F.lit(0)), "y": F.col("y") - F.coalesce("y0", F.lit(0))}).select(*pixels.columns)
+
+
+#: Quarter turns, counter-clockwise, of an image that faces north (fixed values).
+TURNS = {"north": 0, "south": 2, "east": 3, "west": 1}
+
+
+def facing(pixels: DataFrame, size: DataFrame, side: str) -> DataFrame:
+    """pixels(..., a) turned to face a side and trimmed to what is not transparent."""
+    return trimmed(turned(pixels, size, TURNS[side]), F.col("a") > 0)
+
+
+def in_rim(y: Column, x: Column, height: Column, width: Column, inset: int = 96, wall: int = 36) -> Column:
+    """Whether a pixel lies in the ring of a hull's outer wall, which begins so far from the edges."""
+    inner = (y >= inset) & (y < height - inset) & (x >= inset) & (x < width - inset)
+    deep = (y >= inset + wall) & (y < height - inset - wall) & (x >= inset + wall) & (x < width - inset - wall)
+    return inner & ~deep
+
+
+def guides(canvas: DataFrame, symbols: DataFrame, placements: DataFrame) -> DataFrame:
+    """canvas(image_id, y, x) with v: white, and on it the silhouettes of symbols(symbol, y, x, a), black where they are opaque, at
+    placements(image_id, z, symbol, x, y): each covers its whole rectangle, later ones cover earlier ones, and the canvas cuts."""
+    at = placements.select("image_id", "z", "symbol", F.col("x").alias("left"), F.col("y").alias("top")).join(symbols, "symbol")
+    ink = at.groupBy("image_id", (F.col("top") + F.col("y")).alias("y"), (F.col("left") + F.col("x")).alias("x")).agg(F.max_by("a", "z").alias("a"))
+    return canvas.join(ink, ["image_id", "y", "x"], "left").select("image_id", "y", "x", (F.lit(255) - F.coalesce("a", F.lit(0))).alias("v"))
+
+
 # ---- one image at a time -------------------------------------------------------------------------------------------
 
 
@@ -157,6 +189,11 @@ def erode(mask: np.ndarray, times: int = 1) -> np.ndarray:
     return ~dilate(~mask, times)
 
 
+def gradient(mask: np.ndarray, times: int = 1) -> np.ndarray:
+    """The rim of a mask: what growing adds and shrinking takes."""
+    return dilate(mask, times) & ~erode(mask, times)
+
+
 def label(mask: np.ndarray, eight: bool = False) -> np.ndarray:
     """Components numbered from 1 in raster order of their first pixels, by least labels that spread and jump."""
     h, w = mask.shape

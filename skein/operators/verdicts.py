@@ -36,9 +36,14 @@ def license_allowed(license: Column, allowed: Sequence[str]) -> Column:
     return F.coalesce(F.exists(F.array(*[F.lit(a) for a in allowed]), lambda a: F.contains(F.lower(license), a)), F.lit(False))
 
 
-def gate(license: Column, width: Column, height: Column, mime: Column, known: Column, allowed: Sequence[str], mimes: Sequence[str], least: int = 600) -> Column:
-    """ok, or what fails first: license, size, mime, duplicate."""
-    return chain([("license", ~license_allowed(license, allowed)), ("size", F.least(width, height) < least), ("mime", ~mime.isin(*mimes)), ("duplicate", known)], "ok")
+def large_enough(width: Column, height: Column, least: int, longer: bool = False) -> Column:
+    """Whether the shorter edge, or the longer one, has so many pixels; an image of unknown size hasn't."""
+    return F.coalesce((F.greatest(width, height) if longer else F.least(width, height)) >= least, F.lit(False))
+
+
+def gate(license: Column, width: Column, height: Column, mime: Column, known: Column, allowed: Sequence[str], mimes: Sequence[str], least: int = 600, longer: bool = False) -> Column:
+    """ok, or what fails first: license, size (of the shorter edge, or the longer one), mime, duplicate."""
+    return chain([("license", ~license_allowed(license, allowed)), ("size", ~large_enough(width, height, least, longer)), ("mime", ~mime.isin(*mimes)), ("duplicate", known)], "ok")
 
 
 def terms_match(tags: Column, slug: Column, terms: Sequence[str]) -> Column:

@@ -15,7 +15,7 @@ from skein.operators import graph, layout, raster
 from skein.operators import relations as R
 from skein.operators import allocation, verdicts
 from skein.operators.tables import new_folder, written
-from skein.plans import generators, library
+from skein.plans import floor_plans, generators, library
 from skein.sinks import records
 from skein.sources import files
 
@@ -523,6 +523,7 @@ def state_decisions(spark, sf_dir):
 
 # ---- pixels and geometry -------------------------------------------------------------------------------------------
 
+_PARTS = "SELECT 'sheet_' || p_size || '_' || p_partkey AS stem, p_name AS name, CASE WHEN p_size % 3 = 0 THEN 'north' END AS orientation, CASE WHEN p_size % 2 = 0 THEN 'worn' END AS state, CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS group_id, p_size, p_partkey FROM part"
 #: An image of 40 x 40 pixels for each supplier.
 _PIXELS = """SELECT image_id, p // 40 AS y, p % 40 AS x, ((i * 37) % 16 + CASE WHEN i % 5 = 0 THEN 200 ELSE 32 END)::INT AS r, ((i * 11) % 16 + 48)::INT AS g, ((i * 7) % 16 + CASE WHEN i % 7 = 0 THEN 160 ELSE 64 END)::INT AS b
  FROM (SELECT s_suppkey AS image_id, p, s_suppkey * 7 + p * 3 AS i FROM supplier, (SELECT unnest(range(0, 1600)) AS p))"""
@@ -663,6 +664,54 @@ def layout_placements(spark, sf_dir):
     return library.placements_json(_maps(spark, sf_dir))
 
 
+_SIDES = ("north", "south", "east", "west")
+_PLAN_ROLES = {"outside": 0, "wall": 1, "floor": 2, "light": 3, "windscreen": 4, "ramp": 5}
+
+
+@query("""WITH p AS (SELECT s_suppkey AS k, 300 AS w, 280 AS h, 8 + s_suppkey % 3 * 4 AS t, s_suppkey % 2 AS kind, s_suppkey % 4 AS ws, (s_suppkey + 1) % 4 AS rs FROM supplier), q AS (SELECT *, (w - t) // 2 AS r, w * 3 // 4 AS b FROM p),
+ m AS (SELECT *, 0 AS i, 0 AS x, 0 AS y, CASE WHEN kind = 0 THEN r + t // 2 ELSE b + t END AS rw, h AS rh FROM q UNION ALL SELECT *, 1, CASE WHEN kind = 0 THEN r - t // 2 ELSE b END, CASE WHEN kind = 0 THEN 0 ELSE (h - h // 2) // 2 END, CASE WHEN kind = 0 THEN w - (r - t // 2) ELSE w - b END, CASE WHEN kind = 0 THEN h ELSE h // 2 END FROM q),
+ u AS (SELECT *, CASE WHEN ws < 2 THEN floor(rw * 0.4::DOUBLE)::BIGINT ELSE floor(rh * 0.4::DOUBLE)::BIGINT END AS n, CASE WHEN rs < 2 THEN rw ELSE rh END AS l FROM m WHERE i = 0), v AS (SELECT *, floor(l * 0.25::DOUBLE)::BIGINT AS rn FROM u), g AS (SELECT *, greatest(0, floor(l * 0.5::DOUBLE)::BIGINT - rn // 2) AS p0 FROM v), g2 AS (SELECT *, least(l, p0 + rn) AS p1 FROM g),
+ s AS (SELECT k, 2 * i AS z, 1 AS role, x AS x0, y AS y0, x + rw AS x1, y + rh AS y1, NULL::BIGINT AS d FROM m UNION ALL SELECT k, 2 * i + 1, 2, x + t, y + t, x + rw - t, y + rh - t, NULL FROM m
+ UNION ALL SELECT k, 10, 2, CASE WHEN kind = 0 THEN r - t // 2 ELSE b END, CASE WHEN kind = 0 THEN (h - 96) // 2 ELSE (h - h // 2) // 2 + (h // 2 - 128) // 2 END, CASE WHEN kind = 0 THEN r - t // 2 ELSE b END + t, CASE WHEN kind = 0 THEN (h - 96) // 2 + 96 ELSE (h - h // 2) // 2 + (h // 2 - 128) // 2 + 128 END, NULL FROM q
+ UNION ALL SELECT k, 20, 4, CASE ws WHEN 2 THEN rw - t WHEN 3 THEN 0 ELSE (rw - n) // 2 END, CASE ws WHEN 0 THEN 0 WHEN 1 THEN rh - t ELSE (rh - n) // 2 END, CASE ws WHEN 2 THEN rw WHEN 3 THEN t ELSE (rw - n) // 2 + n END, CASE ws WHEN 0 THEN t WHEN 1 THEN rh ELSE (rh - n) // 2 + n END, NULL FROM u
+ UNION ALL SELECT k, 30, 5, CASE rs WHEN 2 THEN rw - t WHEN 3 THEN 0 ELSE p0 END, CASE rs WHEN 0 THEN 0 WHEN 1 THEN rh - t ELSE p0 END, CASE rs WHEN 2 THEN w WHEN 3 THEN t ELSE p1 END, CASE rs WHEN 0 THEN t WHEN 1 THEN h ELSE p1 END, NULL FROM g2
+ UNION ALL SELECT k, 40, 3, CASE c WHEN 2 THEN x + e WHEN 3 THEN x + rw - e ELSE x + floor(rw * j::DOUBLE / (o + 1))::BIGINT END, CASE c WHEN 0 THEN y + e WHEN 1 THEN y + rh - e ELSE y + floor(rh * j::DOUBLE / (o + 1))::BIGINT END, NULL, NULL, e FROM (SELECT *, greatest(8, t // 2) AS e, CASE WHEN kind = 0 THEN 1 ELSE 2 END AS o FROM m), (SELECT unnest([0, 1, 2, 3]) AS c), (SELECT unnest([1, 2]) AS j) WHERE j <= o),
+ a AS (SELECT k, y, x FROM p, (SELECT unnest(range(0, 280)) AS y), (SELECT unnest(range(0, 300)) AS x)),
+ c AS (SELECT a.k, a.y, a.x, arg_max(role, z) AS role FROM a JOIN s ON a.k = s.k AND CASE WHEN d IS NULL THEN a.x >= x0 AND a.x < x1 AND a.y >= y0 AND a.y < y1 ELSE (a.x - x0) * (a.x - x0) + (a.y - y0) * (a.y - y0) <= d * d END GROUP BY ALL)
+ SELECT a.k AS image_id, coalesce(role, 0) AS role, count(*) AS pixels, sum(a.y * 1000 + a.x)::BIGINT AS places FROM a LEFT JOIN c ON a.k = c.k AND a.y = c.y AND a.x = c.x GROUP BY ALL""")
+def floor_plan_areas(spark, sf_dir):
+    k = F.col("s_suppkey")
+    side = lambda n: F.element_at(F.array(*map(F.lit, _SIDES)), (n % 4 + 1).cast("int"))
+    wanted = table(spark, sf_dir, "supplier").select(k.alias("image_id"), F.when(k % 2 == 0, "hab-2room").otherwise("industrial-bay").alias("preset"), F.lit(300).alias("width"), F.lit(280).alias("height"), (k % 3 * 4 + 8).cast("int").alias("thickness"))
+    plans = floor_plans.preset_plans(wanted).withColumns({
+        "windscreen": F.struct(side(F.col("image_id")).alias("side"), F.lit(None).cast("int").alias("thickness"), F.lit(0.4).alias("frac")),
+        "ramp": F.struct(side(F.col("image_id") + 1).alias("side"), F.lit(0.5).alias("x_frac"), F.lit(0.25).alias("width_frac")),
+    })
+    runs = floor_plans.painted(plans, _PLAN_ROLES)
+    n = F.col("x1") - F.col("x0")
+    places = n * F.col("y") * 1000 + (F.col("x0") + F.col("x1") - 1) * n / 2
+    return runs.groupBy("image_id", "role").agg(F.sum(n).alias("pixels"), F.sum(places.cast("long")).alias("places"))
+
+
+@query(f"""WITH p AS (SELECT image_id, 39 - y AS x, x AS y, r FROM ({_PIXELS}) WHERE (x - 15) * (x - 15) + (y - 22) * (y - 22) <= 20 + image_id % 50), b AS (SELECT image_id, min(x) AS x0, min(y) AS y0, max(x) - min(x) + 1 AS width, max(y) - min(y) + 1 AS height FROM p GROUP BY 1)
+ SELECT image_id, width, height, sum(r * ((y - y0) * 41 + x - x0))::BIGINT AS digest FROM p JOIN b USING (image_id) GROUP BY ALL""")
+def turned_icons(spark, sf_dir):
+    rgba = pixels(spark, sf_dir).withColumn("a", F.expr("case when (x - 15) * (x - 15) + (y - 22) * (y - 22) <= 20 + image_id % 50 then 255 else 0 end"))
+    size = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("image_id"), F.lit(40).alias("w"), F.lit(40).alias("h"))
+    rows = raster.facing(rgba, size, "east").groupBy("image_id")
+    return rows.agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"), F.sum(F.when(F.col("a") > 0, F.col("r") * (F.col("y") * 41 + F.col("x"))).otherwise(0)).alias("digest"))
+
+
+@query(f"""WITH p AS (SELECT stem, left(md5(stem), 16) AS id FROM ({_PARTS}) WHERE p_partkey % 4 <> 0) SELECT id, 'tiles/' || stem || '.png' AS img, 1::BIGINT AS presets, (SELECT count(*) FROM p) AS indexed FROM p UNION ALL SELECT 'MassEditMetaData', NULL, 0, (SELECT count(*) FROM p)""")
+def pack_documents(spark, sf_dir):
+    rows = _library(spark, sf_dir)
+    packed = library.presets(rows.select("stem", F.col("p_size").alias("width"), F.lit(None).cast("int").alias("height")), rows.where("p_partkey % 4 <> 0").drop("p_size", "p_partkey"), 100, "tiles")
+    docs = written(library.pack_documents(packed))
+    flag = F.get_json_object("value", "$.flags.multi-token-edit")
+    index = docs.where(F.col("id") == library.INDEX_ID).select(F.size(F.map_keys(F.from_json(F.get_json_object(flag, "$.index"), "map<string,string>"))).cast("long").alias("indexed")).scalar()
+    return docs.select("id", F.get_json_object(flag, "$.preset.img").alias("img"), F.when(F.get_json_object(flag, "$.preset.id") == F.col("id"), 1).otherwise(0).cast("long").alias("presets"), index.alias("indexed"))
+
+
 @query("SELECT s_suppkey, greatest(0, least(cx - side // 2, 800 - side)) AS x, greatest(0, least(cy - side // 2, 600 - side)) AS y, side FROM (SELECT s_suppkey, (s_suppkey * 37 % 800)::INT AS cx, (s_suppkey * 53 % 600)::INT AS cy, least(100 + s_nationkey * 30, 800, 600)::INT AS side FROM supplier)")
 def square_crops(spark, sf_dir):
     k = F.col("s_suppkey")
@@ -790,7 +839,6 @@ def _library(spark, sf_dir):
     return rows
 
 
-_PARTS = "SELECT 'sheet_' || p_size || '_' || p_partkey AS stem, p_name AS name, CASE WHEN p_size % 3 = 0 THEN 'north' END AS orientation, CASE WHEN p_size % 2 = 0 THEN 'worn' END AS state, CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS group_id, p_size, p_partkey FROM part"
 
 
 @query(f"""SELECT left(md5(stem), 16) AS id, name || CASE WHEN state IS NULL AND orientation IS NULL THEN '' ELSE ' — ' || concat_ws(', ', state, orientation) END AS name, concat_ws(';', replace(name, ' ', ';'), 'facing-' || orientation, 'state-' || state, 'group:' || group_id) AS tags,

@@ -80,6 +80,19 @@ def presets(assets: DataFrame, records: DataFrame, grid: int, folder: str) -> Da
     )
 
 
+#: Identifier and name of a pack's index document, and the module whose flags hold presets and index (fixed values).
+INDEX_ID, INDEX_NAME, MODULE = "MassEditMetaData", "!!! METADATA: DO NOT DELETE !!!", "multi-token-edit"
+
+
+def pack_documents(packed: DataFrame) -> DataFrame:
+    """id and value: a JSON document for each preset of a pack, and one with the index of all."""
+    shell = lambda id_, name, flag: F.to_json(F.struct(id_.alias("_id"), name.alias("name"), F.lit(0).alias("sort"), F.lit(None).cast("string").alias("folder"), F.struct(F.lit(0).alias("default")).alias("ownership"), F.struct(F.struct(flag).alias(MODULE)).alias("flags")), {"ignoreNullFields": "false"})
+    preset = F.struct("id", "name", "documentName", "img", "tags", "gridSize", "data").alias("preset")
+    rows = packed.select("id", shell(F.col("id"), F.col("name"), preset).alias("value"))
+    index = pack_index(packed).select(F.lit(INDEX_ID).alias("id"), shell(F.lit(INDEX_ID), F.lit(INDEX_NAME), F.col("index")).alias("value"))
+    return rows.unionByName(index)
+
+
 def pack_index(packed: DataFrame) -> DataFrame:
     """One row: the map of a pack's ids to image, kind and tags."""
     entry = F.struct("img", "documentName", "tags")
@@ -157,21 +170,6 @@ def placements_json(maps: DataFrame) -> DataFrame:
     return placements(maps).select("image_id", F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def floor_plan(plans: DataFrame, roles: dict[str, int]) -> DataFrame:
-    """Shapes, in painting order, of plans(image_id, thickness, rooms, corridors, walls, doors: arrays of x, y, w, h): a
-    room or corridor is its wall's rectangle and its floor's inside; later shapes cover earlier ones."""
-    box = lambda e, grow: F.struct((e["x"] - grow).alias("x0"), (e["y"] - grow).alias("y0"), (e["x"] + e["w"] + grow).alias("x1"), (e["y"] + e["h"] + grow).alias("y1"))
-    t, none = F.col("thickness"), F.lit(0)
-    # kind, then member, then wall before floor
-    layers = [("rooms", 0, 0, "wall", t), ("rooms", 0, 1, "floor", none), ("corridors", 1, 0, "wall", t), ("corridors", 1, 1, "floor", none), ("walls", 2, 0, "wall", none), ("doors", 3, 0, "door", none)]
-    out = None
-    for field, kind, part_of, role, grow in layers:
-        part = plans.select("image_id", "thickness", F.posexplode(field).alias("at", "e"))
-        part = part.select("image_id", (F.lit(kind).cast("long") * 1_000_000_000 + F.col("at") * 2 + part_of).alias("z"), F.lit(roles[role]).alias("role"), box(F.col("e"), grow).alias("b"))
-        out = part if out is None else out.unionByName(part)
-    return out.select("image_id", "z", "role", "b.*")
-
-
 def collapsed(packed: DataFrame, by: Column) -> DataFrame:
     """One preset for all that share a value of `by`: that of the smallest id, with every one's data, in order of id."""
     rows = packed.withColumn("by", by)

@@ -55,3 +55,12 @@ def texture_assets(landed: DataFrame) -> DataFrame:
     """asset_id, category, downloads and tags of a texture catalogue, landed as a JSON object by asset in `value`."""
     schema = "map<string,struct<categories:array<string>,tags:array<string>,download_count:long>>"
     return landed.select(F.explode(F.from_json("value", schema)).alias("asset_id", "a")).select("asset_id", F.get("a.categories", F.lit(0)).alias("category"), F.col("a.download_count").alias("downloads"), "a.tags")
+
+
+def material_assets(landed: DataFrame, site: str) -> DataFrame:
+    """asset_id, place (from 0, as listed: by popularity), tags and link of a material catalogue, landed as a JSON object with a list of
+    assets in `value`; the link is the site's for the identifier where there is none."""
+    schema = "foundAssets array<struct<assetId:string,tags:array<string>,shortLink:string>>"
+    rows = landed.select(F.posexplode(F.from_json("value", schema)["foundAssets"]).alias("place", "a")).where("a.assetId is not null")
+    link = F.coalesce(F.col("a.shortLink"), F.concat(F.lit(site), F.col("a.assetId")))
+    return rows.select(F.col("a.assetId").alias("asset_id"), "place", F.coalesce(F.col("a.tags"), F.array().cast("array<string>")).alias("tags"), link.alias("link"))

@@ -185,6 +185,11 @@ def test_name_verdict(spark, name, want):
     assert tuple(one(spark, verdicts.name_verdict(F.col("t"), ["square"], [("leak", r"\bThe image\b")]), t=s(name))) == want
 
 
+def test_size_gates(spark):
+    g = lambda w, h, longer: one(spark, verdicts.gate(F.lit("CC0"), F.col("w"), F.col("h"), F.lit("png"), F.lit(False), ["cc0"], ["png"], 1024, longer), w=("int", w), h=("int", h))
+    assert [g(2000, 500, False), g(2000, 500, True), g(1024, 1024, False), g(1000, 900, True), g(None, None, True)] == ["size", "ok", "ok", "size", "size"]
+
+
 def test_policies(spark):
     assert one(spark, verdicts.policy_breach(F.lit(45), F.lit(False), F.array(F.lit(0), F.lit(90)), F.lit(True)), t=s("")) == "rotation"
     assert one(spark, verdicts.terms_match(F.array(F.lit("Red")), F.lit("door"), ["DOOR"]), t=s("")) is True
