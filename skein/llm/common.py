@@ -75,15 +75,17 @@ def written(df: DataFrame) -> DataFrame:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
-    """Arrow batches of so many rows for what runs inside, so that whole texts stay a few megabytes a batch."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of so many rows and bytes for what runs inside, however long its texts and sets are."""
+    new = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    old = {name: spark.conf.get(name) for name in new}
+    for name, value in new.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, old)
+        for name, value in old.items():
+            spark.conf.set(name, value)
 
 
 def unit_hash(seed: int, *parts: Column) -> Column:
