@@ -48,8 +48,11 @@ from .components import components
 SIMILAR, WIDTH = 90, 3
 #: Members of a block, and hashes they may hold together.
 MEMBERS, HASHES = 512, 1 << 20
-#: Entries that a worker holds before it hands them on, entries of a part of the index, and least number of parts.
-HELD, PART, PARTS = 1 << 20, 1 << 20, 64
+#: Entries that a worker counts together; entries, and classes, that it holds before it hands them on; entries of a part of the index,
+#: and least number of parts. A worker's memory follows these: some 100 MB beside its libraries.
+COUNTED, HELD, PART, PARTS = 1 << 20, 1 << 18, 1 << 18, 64
+#: Bytes of texts whose shingles are made at once (a longer text is on its own).
+SLICE = 1 << 18
 #: A hash is hot with more than one in HOT_SHARE of all entries (so there are fewer than HOT_SHARE of them), and LEAST_HOT.
 HOT_SHARE, LEAST_HOT, LEAST_SEEN = 1 << 17, 64, 8
 #: Bytes of a word from which blake2b hashes it: a polynomial modulo a power of two can be fooled by long words.
@@ -121,8 +124,8 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     return out
 
 
-def in_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
-    """The texts of a column as bytes, about a megabyte at a time, with the row each slice begins at."""
+def in_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a column as bytes, about `most` at a time, with the row each slice begins at."""
     part, size, at = [], 0, 0
     for i, t in enumerate(column):
         b = t.as_buffer()
@@ -191,9 +194,9 @@ def measured(docs: DataFrame, similar: int, width: int) -> DataFrame:
                 for s, c, (whole, _) in zip(found, cls, cut):
                     if whole and c not in seen:
                         seen.add(c)
-                        held.append(s[:whole])
+                        held.append(s[:whole].copy())  # not a view, which would keep the whole set
                         size += whole
-                if size >= HELD:
+                if size >= COUNTED:
                     yield counted(held)
                     held, size, seen = [], 0, set()
         if held:

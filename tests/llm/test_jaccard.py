@@ -102,7 +102,7 @@ def test_long_words_that_a_polynomial_takes_for_equal():
 
 def test_hot_passage_and_many_near_copies(spark, monkeypatch):
     """Hot hashes, parts of several workers and open groups of several blocks."""
-    for name, value in {"LEAST_HOT": 10, "LEAST_SEEN": 2, "HOT_SHARE": 1 << 9, "HELD": 4000, "MEMBERS": 16}.items():
+    for name, value in {"LEAST_HOT": 10, "LEAST_SEEN": 2, "HOT_SHARE": 1 << 9, "HELD": 4000, "COUNTED": 4000, "MEMBERS": 16}.items():
         monkeypatch.setattr(jaccard, name, value)
     rnd = random.Random(8)
     vocabulary = [f"w{i}" for i in range(5000)]
