@@ -145,25 +145,31 @@ def segments(tags: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, tags[1:] != tags[:-1]))
 
 
-def counts_above(packed: DataFrame, least: float) -> DataFrame:
-    """c1, c2 (tags, c1 < c2), n, above: cosines between the rows of two tags, and those of `least` or more."""
+def has_upper_median(n, above):
+    """Whether the element n // 2 of n cosines in rising order is among those above: at most n // 2 are below."""
+    return n - above <= (n - n % 2) / 2
+
+
+def with_upper_median(packed: DataFrame, least: float) -> DataFrame:
+    """c1, c2, n: pairs of tags (c1 < c2) whose upper median cosine is `least` or more, from counts of the cosines above it.
+
+    Tags lie together, so all but the first and the last of a block are in no other block: two such tags are decided within
+    their tile, and leave it only as a result. The counts of others are added up, some thousand pairs of a tile.
+    """
 
     def f(t: Tile) -> dict[str, np.ndarray]:
         rows, columns = segments(t.tags1), segments(t.tags2)
         total = lambda x: np.add.reduceat(np.add.reduceat(x.astype(np.int64), rows, axis=0), columns, axis=1)
         n, high = total(~np.isnan(t.cosines)), total(t.cosines >= least)
-        i, j = np.nonzero((t.tags1[rows][:, None] < t.tags2[columns][None]) & (n > 0))
+        inner1, inner2 = (np.pad(np.ones(max(0, len(x) - 2), bool), 1)[: len(x)] for x in (rows, columns))
+        told = ~(inner1[:, None] & inner2[None]) | has_upper_median(n, high)
+        i, j = np.nonzero((t.tags1[rows][:, None] < t.tags2[columns][None]) & (n > 0) & told)
         return {"c1": t.tags1[rows][i], "c2": t.tags2[columns][j], "n": n[i, j], "above": high[i, j]}
 
     k = kind(packed, "tags")
     each = by_tile(tiles(packed), f, f"c1 {k}, c2 {k}, n long, above long")
-    return each.groupBy("c1", "c2").agg(F.sum("n").alias("n"), F.sum("above").alias("above"))
-
-
-def with_upper_median(packed: DataFrame, least: float) -> DataFrame:
-    """c1, c2, n: pairs of tags whose upper median cosine (element n // 2 of n in rising order) is `least` or more, which is
-    to say that at most n // 2 are below it."""
-    return counts_above(packed, least).where(F.col("n") - F.col("above") <= F.floor(F.col("n") / 2)).select("c1", "c2", "n")
+    sums = each.groupBy("c1", "c2").agg(F.sum("n").alias("n"), F.sum("above").alias("above"))
+    return sums.where(has_upper_median(F.col("n"), F.col("above"))).select("c1", "c2", "n")
 
 
 #: Bits of a cosine (as a whole number of 2^-47 from -1) and of them those that a round tells apart.

@@ -57,6 +57,11 @@ def quantized(pixels: DataFrame, background: DataFrame, palette: Sequence[tuple[
     return pixels.join(bg, "image_id").select(*pixels.columns, F.when(near, -1).otherwise(nearest).alias("role"))
 
 
+def outside_palette(pixels: DataFrame, channels: Sequence[str], palette: DataFrame) -> DataFrame:
+    """image_id and channels of the distinct colours that are not in a palette's table."""
+    return pixels.select("image_id", *channels).distinct().join(F.broadcast(palette), list(channels), "left_anti").select("image_id", *channels)
+
+
 def coverage(pixels: DataFrame, inside: Column) -> DataFrame:
     return pixels.groupBy("image_id").agg(F.avg(inside.cast("int")).alias("share"))
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.functions.vectors import cosine
+
 from .sequences import numbered, numbered_within, summed_before
 
 
@@ -208,3 +210,66 @@ def replaced(rows: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def most_wanted(rows: DataFrame, by: str, tie: str, most: int) -> DataFrame:
     """The rows of the largest values; of equal ones the first by tie."""
     return rows.orderBy(F.desc(by), tie).limit(most)
+
+
+def known(rows: DataFrame, digest: str, held: DataFrame, path: str) -> DataFrame:
+    """rows with status (new or known) and, where the digest is in held(digest, path), its smallest path."""
+    first = held.groupBy(digest).agg(F.min(path).alias(path))
+    return rows.join(first, digest, "left").withColumn("status", F.when(F.col(path).isNull(), "new").otherwise("known"))
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame, table_key: str, value: str, default: str) -> DataFrame:
+    """rows with the value of their key in a table, or the default."""
+    found = table.select(F.col(table_key).alias("key_"), F.col(value).alias("value_"))
+    return rows.join(found, rows[key] == F.col("key_"), "left").withColumn(value, F.coalesce("value_", F.lit(default))).drop("key_", "value_")
+
+
+def present(rows: DataFrame, held: DataFrame, key: str, there: str, absent: str) -> DataFrame:
+    """rows with status: whether their key is in held, which may have it many times."""
+    once = held.select(key).distinct().withColumn("held_", F.lit(True))
+    return rows.join(once, key, "left").withColumn("status", F.when(F.col("held_"), there).otherwise(absent)).drop("held_")
+
+
+def cleared_groups(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """rows without the group of those whose group has more than `most` members."""
+    large = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_") > most).select(F.col(group).alias("group_"))
+    return rows.join(large, F.col(group) == F.col("group_"), "left").withColumn(group, F.when(F.col("group_").isNull(), F.col(group))).drop("group_")
+
+
+def missing_states(rows: DataFrame, group: str, state: str, wanted: Sequence[str]) -> DataFrame:
+    """group and missing: the wanted states that no row of a group has."""
+    every = rows.select(group).distinct().select(group, F.explode(F.array(*[F.lit(w) for w in wanted])).alias("missing"))
+    return every.join(rows.select(group, F.col(state).alias("missing")), [group, "missing"], "left_anti")
+
+
+def cycles(rows: DataFrame, by: Sequence[str], value: str, least: int = 2) -> DataFrame:
+    """by, cycle and n: the distinct values of each group, in order, where there are so many."""
+    each = rows.groupBy(*by).agg(F.sort_array(F.collect_set(value)).alias("cycle"))
+    return each.withColumn("n", F.size("cycle").cast("long")).where(F.col("n") >= least)
+
+
+def aligned(rows: DataFrame, stack: str, measures: Sequence[str]) -> DataFrame:
+    """stack, aligned (whether all its members measure the same) and members."""
+    return rows.groupBy(stack).agg((F.count_distinct(F.struct(*measures)) == 1).alias("aligned"), F.count(F.lit(1)).alias("members"))
+
+
+def rollup_counts(rows: DataFrame, outer: str, inner: str, counts: dict[str, Column], all_: str = "all") -> DataFrame:
+    """Counts by outer and inner, and by outer alone, where inner says so; rows without an outer value don't count."""
+    out = rows.where(F.col(outer).isNotNull()).rollup(outer, inner).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in counts.items()])
+    return out.where(F.col(outer).isNotNull()).withColumn(inner, F.coalesce(inner, F.lit(all_)))
+
+
+def mean_vectors(rows: DataFrame, by: str, vector: str) -> DataFrame:
+    """by and centre: the mean of each group's vectors, component by component."""
+    each = rows.select(by, F.posexplode(vector).alias("i", "x")).groupBy(by, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    return each.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("c")).select(by, F.col("c.x").alias("centre"))
+
+
+def by_margin(rows: DataFrame, vector: str, centres: DataFrame, label: str) -> DataFrame:
+    """rows with the label whose centre is nearest by cosine (ties: the smaller label) and its margin over the second, of
+    centres(label, centre): one array beside each row, for some hundred labels, not a join of every row with every centre."""
+    all_ = centres.agg(F.array_sort(F.collect_list(F.struct(label, "centre"))).alias("centres")).scalar()
+    scored = rows.withColumn("centres_", all_).withColumn("s_", F.transform("centres_", lambda c: F.struct((-cosine(F.col(vector), c["centre"])).alias("s"), c[label].alias("label"))))
+    best = scored.withColumn("s_", F.slice(F.array_sort("s_"), 1, 2)).drop("centres_")
+    at = lambda i: F.get("s_", F.lit(i))
+    return best.withColumns({"best": at(0)["label"], "margin": at(1)["s"] - at(0)["s"]}).drop("s_")

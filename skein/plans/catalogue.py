@@ -195,9 +195,8 @@ def byte_dedup(spark, sf_dir):
 
 @query("SELECT doc_id, CASE WHEN k.h IS NULL THEN 'new' ELSE 'known' END AS status, k.path FROM documents d LEFT JOIN (SELECT md5(text) AS h, min(item_id) AS path FROM benchmark GROUP BY 1) k ON md5(d.text) = k.h")
 def known_hashes(spark, sf_dir):
-    known = table(spark, sf_dir, "benchmark").groupBy(F.md5("text").alias("h")).agg(F.min("item_id").alias("path"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("h")).join(known, "h", "left")
-    return rows.select("doc_id", F.when(F.col("path").isNull(), "new").otherwise("known").alias("status"), "path")
+    held = table(spark, sf_dir, "benchmark").select(F.md5("text").alias("h"), F.col("item_id").alias("path"))
+    return R.known(table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("h")), "h", held, "path").select("doc_id", "status", "path")
 
 
 @query("SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) = 1")
@@ -214,8 +213,8 @@ def quota_per_group(spark, sf_dir):
 @query("SELECT c_custkey, n_name, coalesce(r_name, 'nowhere') AS r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') ON n_regionkey = r_regionkey")
 def lookup_with_default(spark, sf_dir):
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region").where("r_name <> 'ASIA'")
-    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return rows.select("c_custkey", "n_name", F.coalesce("r_name", F.lit("nowhere")).alias("r_name"))
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return R.looked_up(rows, "n_regionkey", region, "r_regionkey", "r_name", "nowhere").select("c_custkey", "n_name", "r_name")
 
 
 @query("SELECT l_orderkey, min(priority) AS priority, arg_min(path, {'k': priority, 'p': path}) AS path FROM (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS priority, lpad(l_partkey::VARCHAR, 9, '0') AS path FROM lineitem) GROUP BY l_orderkey")
@@ -342,8 +341,8 @@ def even_sample(spark, sf_dir):
 
 @query("SELECT o_orderpriority, o_orderkey, rank FROM (SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey)::INT AS rank FROM orders) WHERE rank <= 20")
 def top_orders(spark, sf_dir):
-    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", F.row_number().over(w).alias("rank")).where("rank <= 20")
+    rows = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return R.quota(rows, ["o_orderpriority"], [F.desc("o_totalprice"), "o_orderkey"], 20).select("o_orderpriority", "o_orderkey", F.col("nth").alias("rank"))
 
 
 # ---- packs, identifiers, contracts ---------------------------------------------------------------------------------
@@ -430,8 +429,7 @@ def slugs(spark, sf_dir):
 @query(r"""SELECT s_suppkey, regexp_extract(f, '^(.+)_(\d+)\.png$', 1) AS stem, regexp_extract(f, '^(.+)_(\d+)\.png$', 2)::INT AS idx, regexp_extract(f, '^(.+)_(\d+)\.png$', 1) || '.png' AS source FROM (SELECT s_suppkey, 'sheet_' || s_nationkey || '_' || s_suppkey || '.png' AS f FROM supplier)""")
 def stem_and_index(spark, sf_dir):
     file = F.concat(F.lit("sheet_"), F.col("s_nationkey"), F.lit("_"), F.col("s_suppkey"), F.lit(".png"))
-    stem = F.regexp_extract(file, r"^(?<stem>.+)_(?<idx>\d+)\.png$", 1)
-    return table(spark, sf_dir, "supplier").select("s_suppkey", stem.alias("stem"), F.regexp_extract(file, r"^(?<stem>.+)_(?<idx>\d+)\.png$", 2).cast("int").alias("idx"), F.concat(stem, F.lit(".png")).alias("source"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", files.stem_and_index(file).alias("f")).select("s_suppkey", "f.stem", "f.idx", "f.source")
 
 
 @query("SELECT p_partkey, 'tok, ' || p_name || ', ' || lower(p_type) || ' view, ' || 'new, ' || replace(p_name, ' ', ', ') || CASE WHEN p_size > 25 THEN ', size ' || p_size ELSE '' END AS caption FROM part")
@@ -498,15 +496,8 @@ def refined_clusters(spark, sf_dir):
  SELECT a.vec_id, CASE WHEN a.s - b.s >= 0.05 THEN a.label END AS label, round(a.s - b.s, 6) AS margin FROM r a JOIN r b ON a.vec_id = b.vec_id AND a.k = 1 AND b.k = 2""")
 def margin_gate(spark, sf_dir):
     vectors = _few(spark, sf_dir)
-    mean = vectors.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    centres = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("c")).select("label", F.col("c.x").alias("centre"))
-    # a row for each label: as one array beside each vector, not a join of every vector with every centre
-    all_ = centres.agg(F.array_sort(F.collect_list(F.struct("label", "centre"))).alias("centres")).scalar()
-    rows = vectors.select("vec_id", "embedding", all_.alias("centres"))
-    scored = rows.select("vec_id", F.transform("centres", lambda c: F.struct((-V.cosine(F.col("embedding"), c["centre"])).alias("s"), c["label"].alias("label"))).alias("s"))
-    scored = scored.select("vec_id", F.slice(F.array_sort("s"), 1, 2).alias("s"))
-    margin = F.get("s", F.lit(1))["s"] - F.get("s", F.lit(0))["s"]
-    return scored.select("vec_id", verdicts.margin_gate(F.get("s", F.lit(0))["label"], margin, 0.05).alias("label"), F.round(margin, 6).alias("margin"))
+    scored = R.by_margin(vectors.select("vec_id", "embedding"), "embedding", R.mean_vectors(vectors, "label", "embedding"), "label")
+    return scored.select("vec_id", verdicts.margin_gate(F.col("best"), F.col("margin"), 0.05).alias("label"), F.round("margin", 6).alias("margin"))
 
 
 @query("""WITH v AS (SELECT vec_id, (['intact','damaged','stateless','destroyed','odd'])[vec_id % 5 + 1] AS d, (vec_id % 10) / 10.0::DOUBLE AS dm, (['active','inactive','none'])[vec_id % 3 + 1] AS a, (vec_id % 7) / 10.0::DOUBLE AS am FROM embeddings),
@@ -724,23 +715,18 @@ def square_crops(spark, sf_dir):
 
 @query("SELECT p_partkey, CASE WHEN n > 80 THEN NULL ELSE p_brand END AS p_brand FROM part JOIN (SELECT p_brand, count(*) AS n FROM part GROUP BY 1) USING (p_brand)")
 def cleared_groups(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    flagged = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).where("n > 80").select("p_brand", F.lit(True).alias("bad"))
-    return part.join(flagged, "p_brand", "left").select("p_partkey", F.when(F.col("bad").isNull(), F.col("p_brand")).alias("p_brand"))
+    return R.cleared_groups(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_brand", 80)
 
 
 @query("SELECT p_brand, p_type, array_to_string(list_sort(list(DISTINCT p_name)), ',') AS cycle, count(DISTINCT p_name) AS n FROM part GROUP BY ALL HAVING count(DISTINCT p_name) >= 2")
 def variant_cycles(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.sort_array(F.collect_set("p_name")).alias("c"))
-    return rows.where(F.size("c") >= 2).select("p_brand", "p_type", F.array_join("c", ",").alias("cycle"), F.size("c").cast("long").alias("n"))
+    return R.cycles(table(spark, sf_dir, "part"), ["p_brand", "p_type"], "p_name").select("p_brand", "p_type", F.array_join("cycle", ",").alias("cycle"), "n")
 
 
 @query("SELECT b.p_brand, t.s AS missing FROM (SELECT DISTINCT p_brand FROM part) b, (SELECT unnest(['old', 'hot', 'broken']) AS s) t WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_brand = b.p_brand AND starts_with(p.p_name, t.s || ' r'))")
 def missing_variants(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    wanted = part.select("p_brand").distinct().select("p_brand", F.explode(F.array(*[F.lit(s) for s in ("old", "hot", "broken")])).alias("missing"))
-    there = part.where(F.col("p_name").rlike("^[a-z]+ r")).select("p_brand", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("missing"))
-    return wanted.join(there, ["p_brand", "missing"], "left_anti")
+    state = F.when(F.col("p_name").rlike("^[a-z]+ r"), F.split_part("p_name", F.lit(" "), F.lit(1)))
+    return R.missing_states(table(spark, sf_dir, "part").select("p_brand", state.alias("state")), "p_brand", "state", ("old", "hot", "broken"))
 
 
 @query("SELECT base, arg_min(f, {'w': w, 'f': f}) AS f, count(*) AS copies FROM (SELECT 'img' || (s_suppkey // 2) AS base, CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END AS w, 'img' || (s_suppkey // 2) || CASE WHEN s_suppkey % 3 = 0 THEN '-WM' ELSE '' END AS f FROM supplier) GROUP BY base")
@@ -761,8 +747,7 @@ def lookalike_collisions(spark, sf_dir):
 
 @query("SELECT lang, coalesce(source, 'all') AS source, count(*) AS n, count(*) FILTER (WHERE n_chars < 600) AS short FROM documents GROUP BY ROLLUP (lang, source) HAVING lang IS NOT NULL")
 def verdict_rollup(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").rollup("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_chars") < 600).alias("short"))
-    return rows.where("lang is not null").withColumn("source", F.coalesce("source", F.lit("all")))
+    return R.rollup_counts(table(spark, sf_dir, "documents"), "lang", "source", {"short": F.col("n_chars") < 600})
 
 
 # ---- the library's chain and the rest of the inventory -------------------------------------------------------------
@@ -771,8 +756,7 @@ def verdict_rollup(spark, sf_dir):
 @query("SELECT role, CASE WHEN role IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000) THEN 'textured' ELSE 'bare' END AS status FROM (SELECT n_nationkey AS role FROM nation)")
 def textured_roles(spark, sf_dir):
     roles, have = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("role")), table(spark, sf_dir, "supplier").where("s_acctbal > 9000").select(F.col("s_nationkey").alias("role"))
-    there = roles.join(have, "role", "left_semi").withColumn("status", F.lit("textured"))
-    return there.unionByName(roles.join(have, "role", "left_anti").withColumn("status", F.lit("bare")))
+    return R.present(roles, have, "role", "textured", "bare")
 
 
 @query("""SELECT page_id, CASE WHEN regexp_matches(url, 'page=') THEN 'paged' WHEN regexp_matches(url, '/en/') THEN 'english' WHEN regexp_matches(url, '/fr/') THEN 'french' ELSE 'other' END AS trigger FROM pages""")
@@ -785,7 +769,7 @@ def fallback_matches(spark, sf_dir):
 @query("SELECT n_regionkey AS deck_set, count(DISTINCT n_nationkey % 2) = 1 AS aligned, count(*) AS decks FROM nation GROUP BY 1")
 def registration_check(spark, sf_dir):
     rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("deck_set"), (F.col("n_nationkey") % 2).alias("size"))
-    return rows.groupBy("deck_set").agg((F.count_distinct("size") == 1).alias("aligned"), F.count(F.lit(1)).alias("decks"))
+    return R.aligned(rows, "deck_set", ["size"]).withColumnRenamed("members", "decks")
 
 
 @query("SELECT r_regionkey, array_to_string(list_concat(['NATION_0', 'NATION_' || r_regionkey], list_filter([n_first, 'NATION_0'], lambda x: x NOT IN ('NATION_0', 'NATION_' || r_regionkey))), ',') AS variants FROM region JOIN (SELECT n_regionkey, min(n_name) AS n_first FROM nation GROUP BY 1) ON r_regionkey = n_regionkey")
@@ -809,7 +793,7 @@ def label_centroids(spark, sf_dir):
 @query(f"SELECT DISTINCT image_id, r FROM ({_PIXELS}) WHERE r NOT IN (32, 33, 34, 35, 36, 37, 38, 39, 40, 200, 201, 202)")
 def palette_violations(spark, sf_dir):
     allowed = spark.createDataFrame([(v,) for v in (*range(32, 41), 200, 201, 202)], "r int")
-    return pixels(spark, sf_dir).select("image_id", "r").distinct().join(F.broadcast(allowed), "r", "left_anti").select("image_id", "r")
+    return raster.outside_palette(pixels(spark, sf_dir), ["r"], allowed)
 
 
 @query("""SELECT p_partkey, 'part of ' || p_brand || ': ' || p_name || CASE WHEN p_size > 40 THEN ', with ' || 'ring; and ' || p_type ELSE '' END AS prompt FROM part""")

@@ -117,6 +117,13 @@ def hash_list(spark: SparkSession, path: str) -> DataFrame:
     return parts.where("md5 <> ''").groupBy("md5").agg(F.min_by("path", "at").alias("path"))
 
 
+def stem_and_index(file: Column, suffix: str = "png") -> Column:
+    """stem, idx and source (the sheet's file) of `<stem>_<number>.<suffix>`, null for other names."""
+    pattern = rf"^(.+)_(\d+)\.{suffix}$"
+    stem = F.regexp_extract(file, pattern, 1)
+    return F.when(file.rlike(pattern), F.struct(stem.alias("stem"), F.regexp_extract(file, pattern, 2).cast("int").alias("idx"), F.concat(stem, F.lit(f".{suffix}")).alias("source")))
+
+
 def list_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines that are neither blank nor comments."""
     return spark.read.text(path).select(F.btrim("value").alias("value")).where((F.col("value") != "") & ~F.col("value").startswith("#"))

@@ -72,6 +72,18 @@ def test_upper_medians_by_counting(spark, rows, least):
         assert got.keys() == want.keys() and all(abs(got[k] - want[k][1]) < 1e-12 for k in got)
 
 
+def test_small_clusters_are_decided_within_their_tile(spark):
+    """A cluster of one for each row: what leaves a tile is what merges and what its edge clusters have, not all pairs."""
+    r = np.random.default_rng(8)
+    v = np.repeat(r.normal(size=(300, 6)), 2, axis=0) + 0.01 * r.normal(size=(600, 6))
+    df = spark.createDataFrame([(i, i, x.tolist()) for i, x in enumerate(v)], "k int, cluster int, v array<double>")
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    s = unit @ unit.T
+    for rows in (100, 1024):
+        got = {(x.c1, x.c2) for x in products.with_upper_median(products.blocks(df, "k", "v", tag="cluster", rows=rows), 0.99).collect()}
+        assert got == {(i, j) for i in range(600) for j in range(i + 1, 600) if s[i, j] >= 0.99}
+
+
 def test_equal_vectors_and_one_cosine_for_all(spark):
     df = spark.createDataFrame([(i, i % 3, [1.0, 1.0]) for i in range(30)], "k int, cluster int, v array<double>")
     packed = products.blocks(df, "k", "v", tag="cluster", rows=8)
@@ -82,4 +94,4 @@ def test_equal_vectors_and_one_cosine_for_all(spark):
 def test_no_rows(spark):
     df, *_ = vectors(spark)
     packed = products.blocks(df.where("k > 1000"), "k", "v", "g")
-    assert products.above(packed, 0.1).count() == products.links(packed, 0.1).count() == products.counts_above(packed, 0.1).count() == 0
+    assert products.above(packed, 0.1).count() == products.links(packed, 0.1).count() == products.with_upper_median(packed, 0.1).count() == 0
