@@ -75,7 +75,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     # a row for each bucket, then one row: BUCKETS is all that ever meets in a task
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
     one = every.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "good"))).alias("c"), F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
-    one = one.withColumn("share", F.col("all_good") / F.col("all_raw"))
+    one = one.withColumn("share", F.try_divide(F.col("all_good"), F.col("all_raw")))  # null for a table without words
 
     def ratio(own: int) -> F.Column:
         good, raw = lambda x: F.greatest(x["good"] - own, F.lit(0)), lambda x: F.greatest(x["raw"] - 1, F.lit(0))
