@@ -27,14 +27,19 @@ BLOCK = 1024
 
 
 def blocks(vectors: DataFrame, key: str, vector: str, group: str | None = None, tag: str | None = None, rows: int = BLOCK) -> DataFrame:
-    """group, blk, n_blk, keys, tags, m (unit rows one after another) of vectors; rows without a vector are left out.
+    """grp, blk, n_blk, keys, tags, m (unit rows one after another) of vectors; rows without a vector are left out.
 
-    Rows are packed in order of tag (what is counted together lies together) and key.
+    With a tag, rows are packed in order of tag (what is counted together lies together) and key; without one, by a hash of the
+    key into as many blocks as a group's count asks for, which needs no order of all rows.
     """
     v = vectors.where(F.col(vector).isNotNull()).select(
         (F.lit(0) if group is None else F.col(group)).alias("grp"), F.col(key).alias("key"), (F.lit(0) if tag is None else F.col(tag)).alias("tag"), normalized(F.col(vector)).alias("u")
     )
-    placed = numbered_within(v, ["grp"], ["tag", "key"], "nth").withColumn("blk", F.floor(F.col("nth") / rows)).withColumn("n_blk", F.ceil(F.col("size_") / rows))
+    if tag is None:
+        size = v.groupBy(F.col("grp").alias("of")).agg(F.ceil(F.count(F.lit(1)) / rows).alias("n_blk"))
+        placed = v.join(size, v.grp.eqNullSafe(size.of)).withColumn("blk", F.pmod(F.xxhash64("key"), "n_blk")).withColumn("nth", F.lit(0))
+    else:
+        placed = numbered_within(v, ["grp"], ["tag", "key"], "nth").withColumn("blk", F.floor(F.col("nth") / rows)).withColumn("n_blk", F.ceil(F.col("size_") / rows))
     packed = placed.groupBy("grp", "blk", "n_blk").agg(F.array_sort(F.collect_list(F.struct("nth", "key", "tag", "u"))).alias("r"))
     return packed.select("grp", "blk", "n_blk", F.col("r.key").alias("keys"), F.col("r.tag").alias("tags"), F.flatten("r.u").alias("m"))
 
