@@ -18,8 +18,10 @@ difference from it: what it lacks, D, and what it adds, A. The overlap of any tw
     |X & Z| = |P| - |D_x| - |D_z| + |D_x & D_z| + |A_x & A_z|,
 
 so whole sets are compared with the pivot only. The sets that are not joined to the pivot meet one another and the rest in
-a grid of blocks of bounded size; those that are joined to it never meet. A block gives the links' components only; no
-pairs are emitted, none is lost, and m near copies of one text cost work in proportion to m.
+a grid of blocks of bounded size; those that are joined to it never meet. Lists are cut first where sizes leave a gap that no
+link crosses. Where lists chain more such sets together than a block holds, as more texts do by chance, sets meet within
+each list instead of all. A block gives the links' components only; no pairs are emitted, none is lost, and m near copies of
+one text cost work in proportion to m.
 
 Shingles and sets are told apart by 64-bit hashes, those of words longer than LONG_WORD bytes by blake2b: among k sets the
 chance that two different ones are taken for equal is about k * k / 2**65.
@@ -422,19 +424,45 @@ def roots(link: np.ndarray) -> np.ndarray:
     return out
 
 
-def open_groups(lists: DataFrame, settled: DataFrame) -> DataFrame:
-    """cls, pivot, open of the classes in lists whose sets are not all joined: groups that these lists connect. The pivot is
-    of the largest joined part of its group; open are the classes of other parts."""
+def comparable(lists: DataFrame, sizes: DataFrame, similar: int) -> DataFrame:
+    """key, cls, part of lists(key, cls, part), each list cut where the next larger of sizes(cls, n) is too large to link: what
+    links lies on one side of a cut."""
+    rows = C.written(lists.join(sizes.select("cls", "n"), "cls"))
+    in_order = Window.partitionBy("key").orderBy("n")
+    cut = (100 * F.lag("n").over(in_order) < similar * F.col("n")).cast("int")
+    cuts = rows.select("key", "n").distinct().withColumn("cut", F.coalesce(cut, F.lit(0)))  # sizes, not sets: a list may be long
+    cuts = C.written(cuts.select("key", "n", F.sum("cut").over(in_order).alias("nth")))
+    return rows.join(cuts, ["key", "n"]).select(F.struct("key", "nth").alias("key"), "cls", "part")
+
+
+def parted(members: DataFrame) -> DataFrame:
+    """grp, cls, pivot, open of members(grp, cls, part): the pivot is of the largest part of its group; open are the classes of
+    other parts."""
+    largest = members.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("low"))
+    largest = C.written(largest.groupBy("grp").agg(F.max_by(F.struct("part", "low"), F.struct("n", F.negative("part"))).alias("top")))
+    return members.join(largest.select("grp", "top.*").withColumnRenamed("part", "main").withColumnRenamed("low", "pivot"), "grp").select("grp", "cls", "pivot", (F.col("part") != F.col("main")).alias("open"))
+
+
+def open_groups(lists: DataFrame, settled: DataFrame, sizes: DataFrame, similar: int) -> DataFrame:
+    """grp, cls, pivot, open (see parted) of the classes in lists whose sets are not all joined: groups that these lists
+    connect. A group of more open classes than a block holds is not met as a whole, which would cost their square: each of
+    its lists is a group of its own, lists of the same classes once."""
     lists = lists.join(settled, lists.cls == settled.node, "left").select("key", "cls", F.coalesce("root", "cls").alias("part"))
     lists = C.written(lists)
-    of_parts = lists.join(lows(lists, "part"), "key").select("cls", "part", "low")
-    of_parts = C.written(of_parts.distinct())
-    groups = components(of_parts.select(F.col("part").alias("a"), F.col("low").alias("b")).where("a <> b").distinct())
-    member = of_parts.select("cls", "part").distinct().join(groups, F.col("part") == groups.node).select("cls", "part", F.col("root").alias("grp"))
-    member = C.written(member)
-    largest = member.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("low"))
-    largest = C.written(largest.groupBy("grp").agg(F.max_by(F.struct("part", "low"), F.struct("n", F.negative("part"))).alias("top")))
-    return member.join(largest.select("grp", "top.*").withColumnRenamed("part", "main").withColumnRenamed("low", "pivot"), "grp").select("cls", "pivot", (F.col("part") != F.col("main")).alias("open"))
+    lists = C.written(comparable(lists.join(lows(lists, "part").select("key"), "key"), sizes, similar))
+    lists = C.written(lists.join(lows(lists, "part"), "key"))
+    groups = components(lists.select(F.col("part").alias("a"), F.col("low").alias("b")).where("a <> b").distinct())
+    members = lists.select("cls", "part").distinct().join(groups, F.col("part") == groups.node).select(F.col("root").alias("grp"), "cls", "part")
+    whole = C.written(parted(C.written(members)))
+    wide = C.written(whole.groupBy("grp").agg(F.count_if("open").alias("n")).where(F.col("n") > MEMBERS).select("grp"))
+    if wide.isEmpty():
+        return whole
+    of_wide = groups.join(wide, groups.root == wide.grp).select(F.col("node").alias("part"))
+    each = C.written(lists.drop("low").join(of_wide, "part", "left_semi"))
+    alike = each.groupBy("key").agg(F.struct(F.count(F.lit(1)).alias("n"), *[F.sum(F.xxhash64("cls", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]).alias("same"))
+    once = C.written(alike.groupBy("same").agg(F.min("key").alias("key")).select("key"))
+    by_list = each.join(once, "key").select(F.xxhash64("key.key", "key.nth").alias("grp"), "cls", "part").distinct()
+    return whole.join(wide, "grp", "left_anti").unionByName(parted(C.written(by_list)))
 
 
 def verified_edges(parts: DataFrame, similar: int) -> DataFrame:
@@ -442,11 +470,11 @@ def verified_edges(parts: DataFrame, similar: int) -> DataFrame:
     in a grid of blocks, the others only those."""
     held = F.octet_length("lacks") + F.octet_length("adds")
     blocks = lambda c: F.greatest(F.ceil(F.count_if(c) / MEMBERS), F.ceil(F.sum(F.when(c, held)) / (8 * HASHES)), F.lit(0)).cast("int")
-    size = C.written(parts.groupBy("pivot").agg(blocks(F.col("open")).alias("nu"), blocks(~F.col("open")).alias("ns")))
-    rows = parts.join(size, "pivot").where("nu > 0")
+    size = C.written(parts.groupBy("grp", "pivot").agg(blocks(F.col("open")).alias("nu"), blocks(~F.col("open")).alias("ns")))
+    rows = parts.join(size, ["grp", "pivot"]).where("nu > 0")
     rows = rows.withColumn("own", F.when(F.col("open"), F.pmod(F.xxhash64("cls"), F.col("nu"))).otherwise(F.col("nu") + F.pmod(F.xxhash64("cls"), F.col("ns"))).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("open"), F.col("nu") + F.col("ns")).otherwise(F.col("nu")) - 1)))
-    rows = rows.select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "p", "lacks", "adds")
+    rows = rows.select("grp", "pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "p", "lacks", "adds")
 
     def links(group: pa.Table) -> pa.Table:
         group = group.sort_by("cls")
@@ -456,7 +484,7 @@ def verified_edges(parts: DataFrame, similar: int) -> DataFrame:
         own = root != np.arange(len(root))
         return pa.table({"a": cls[own], "b": cls[root[own]]})
 
-    return rows.groupBy("pivot", "i", "j").applyInArrow(links, "a long, b long")
+    return rows.groupBy("grp", "pivot", "i", "j").applyInArrow(links, "a long, b long")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -497,7 +525,7 @@ def grouped(docs: DataFrame, similar: int, width: int) -> DataFrame:
     sets = whole_sets(docs, C.written(nodes.join(classes, "cls").select("cls", "least")), width)
     links = C.written(links_with_pivot(pairs, sets, similar))
     found = C.written(components(links))
-    unsettled = C.written(open_groups(lists, found))
+    unsettled = C.written(open_groups(lists, found, sets, similar))
     if not unsettled.isEmpty():
         more = C.written(verified_edges(C.written(differences(unsettled, sets)), similar))
         if not more.isEmpty():

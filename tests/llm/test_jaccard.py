@@ -131,6 +131,33 @@ def test_components_of_families(spark, seed, members, monkeypatch):
     check(jaccard.joined(frame(spark, texts)).collect(), texts)
 
 
+def test_chained_lists_are_not_met_as_a_whole(spark, monkeypatch):
+    """Rows sent to blocks grow no faster than sets where lists chain all of them (the square of the open ones before)."""
+    monkeypatch.setattr(jaccard, "MEMBERS", 16)
+    sent = {}
+    for size in (60, 240):
+        rnd = random.Random(9)
+        word = lambda: f"w{rnd.randrange(10**9)}"
+        joint = [" ".join(word() for _ in range(4)) for _ in range(size + 1)]
+        # neighbours share a passage and little else; every tenth text has a near copy
+        texts = [" ".join([joint[i], *(word() for _ in range(20)), joint[i + 1]]) for i in range(size)]
+        texts += [near(rnd, t + " " + t.replace("w", "v"), 1) for t in texts[::10] for _ in range(2)]
+        rows = []
+        real = jaccard.differences
+
+        def kept(pairs, sets):
+            if "open" in pairs.columns:
+                rows.append((pairs.where("open").groupBy("grp").count().selectExpr("max(count)").first()[0] or 0, pairs.count()))
+            return real(pairs, sets)
+
+        monkeypatch.setattr(jaccard, "differences", kept)
+        check(jaccard.joined(frame(spark, texts)).collect(), texts)
+        monkeypatch.setattr(jaccard, "differences", real)
+        assert all(most <= jaccard.MEMBERS for most, _ in rows)
+        sent[size] = sum(n for _, n in rows)
+    assert 0 < sent[240] <= 5 * sent[60]
+
+
 def test_awkward_texts(spark):
     check(jaccard.joined(frame(spark).selectExpr("*", "1 as n", "2 as cls", "3 as grp")).collect(), ODD)
     assert jaccard.joined(frame(spark, [])).count() == 0
