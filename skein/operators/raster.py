@@ -13,6 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RGB = ("r", "g", "b")
+#: Pixels of a part, about.
+PART = 1 << 19
+
+
+def dealt(images: DataFrame, pixels: int) -> DataFrame:
+    """images, of about so many pixels each, in parts by image_id whose number follows the number of pixels: what is made of
+    them needs no further exchange by image, and no task more memory as images become more."""
+    return images.repartition(-(-images.count() * pixels // PART) or 1, "image_id")
+
+
+def per_image(pixels: DataFrame, images: DataFrame, how: str = "inner") -> DataFrame:
+    """pixels joined with a row of each image by image_id. Pixels that a generator makes seem to Spark as few as the rows they
+    come from, so neither side is broadcast on such a guess: a task holds the images of its part, never pixels."""
+    return pixels.join(images.hint("shuffle_hash"), "image_id", how)
 
 
 def area_histogram(pixels: DataFrame, label: str) -> DataFrame:
@@ -36,7 +50,7 @@ def border_median(pixels: DataFrame, frame: int) -> DataFrame:
     size = pixels.groupBy("image_id").agg(F.max("x").alias("mx"), F.max("y").alias("my"))
     strips = [F.col("x") < frame, F.col("y") < frame, F.col("x") > F.col("mx") - frame, F.col("y") > F.col("my") - frame]
     often = sum((s.cast("int") for s in strips[1:]), strips[0].cast("int"))
-    edge = pixels.join(size, "image_id").withColumn("often", often).where("often > 0")
+    edge = per_image(pixels, size).withColumn("often", often).where("often > 0")
     return edge.groupBy("image_id").agg(*[F.floor(F.percentile(c, 0.5, F.col("often"))).cast("int").alias(c) for c in RGB])
 
 

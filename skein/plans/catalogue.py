@@ -523,7 +523,8 @@ _PALETTE = ((200, 50, 70), (40, 50, 160), (210, 60, 170))
 
 def pixels(spark, sf_dir):
     p = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1599).cast("long")))
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("image_id"), p.alias("p")).withColumn("i", F.col("image_id") * 7 + F.col("p") * 3)
+    images = raster.dealt(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("image_id")), 1600)
+    rows = images.select("image_id", p.alias("p")).withColumn("i", F.col("image_id") * 7 + F.col("p") * 3)
     i = F.col("i")
     return rows.select(
         "image_id", F.expr("p div 40").alias("y"), (F.col("p") % 40).alias("x"), ((i * 37) % 16 + F.when(i % 5 == 0, 200).otherwise(32)).cast("int").alias("r"),
