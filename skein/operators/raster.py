@@ -105,14 +105,15 @@ def mask_iou(masks: DataFrame, images: DataFrame, width: int, stack: str = "stac
 
     Only blocks of bits meet, and only those at the same place of two images of a stack.
     """
-    packed = packed_masks(masks.join(images, "image_id"), width, [stack, "image_id"])
+    # packed before they meet anything: bits are few, and Spark doesn't know of any table here how many rows it has
+    packed = packed_masks(masks, width).join(images.hint("merge"), "image_id").select(stack, "image_id", "block", "words")
     size = packed.groupBy(stack, "image_id").agg(F.sum(bits_in(F.col("words"))).alias("n"))
-    sized = images.select(stack, "image_id").distinct().join(size, [stack, "image_id"], "left").na.fill(0, ["n"])
+    sized = images.select(stack, "image_id").distinct().join(size.hint("merge"), [stack, "image_id"], "left").na.fill(0, ["n"])
     side = lambda df, c, k: df.select(F.col(stack), F.col("image_id").alias(k), *[F.col(x).alias(f"{x}_{k}") if x in ("words", "n") else F.col(x) for x in c])
-    pairs = side(sized, ["n"], "a").join(side(sized, ["n"], "b"), stack).where("a < b")
-    met = side(packed, ["block", "words"], "a").join(side(packed, ["block", "words"], "b"), [stack, "block"]).where("a < b")
+    pairs = side(sized, ["n"], "a").join(side(sized, ["n"], "b").hint("merge"), stack).where("a < b")
+    met = side(packed, ["block", "words"], "a").join(side(packed, ["block", "words"], "b").hint("merge"), [stack, "block"]).where("a < b")
     both = met.groupBy(stack, "a", "b").agg(F.sum(bits_in(F.zip_with("words_a", "words_b", lambda x, y: x.bitwiseAND(y)))).alias("both"))
-    joined = pairs.join(both, [stack, "a", "b"], "left").na.fill(0, ["both"])
+    joined = pairs.join(both.hint("merge"), [stack, "a", "b"], "left").na.fill(0, ["both"])
     union = F.col("n_a") + F.col("n_b") - F.col("both")
     return joined.select(stack, "a", "b", F.when(union == 0, 0.0).otherwise(F.col("both") / union).alias("iou"))
 

@@ -27,3 +27,7 @@ def test_parts_follow_pixels(spark, sf, monkeypatch):
     n = rows.count()
     assert rows.rdd.getNumPartitions() == -(-n // 4000) == 4
     assert plan(raster.coverage(rows, rows.r > 200)).count("Exchange") == 1  # that of the images
+
+
+def test_mask_ious_broadcast_no_pixels(spark, sf):
+    assert "Broadcast" not in plan(catalogue.mask_ious(spark, sf))
