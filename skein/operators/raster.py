@@ -68,7 +68,7 @@ def quantized(pixels: DataFrame, background: DataFrame, palette: Sequence[tuple[
     nearest = F.array_min(F.array(*[F.struct(d(p).alias("d"), F.lit(i).alias("k")) for i, p in enumerate(palette)]))["k"]
     bg = background.select("image_id", *[F.col(c).alias(f"bg_{c}") for c in RGB])
     near = F.greatest(*[F.abs(F.col(c) - F.col(f"bg_{c}")) for c in RGB]) <= tolerance
-    return pixels.join(bg, "image_id").select(*pixels.columns, F.when(near, -1).otherwise(nearest).alias("role"))
+    return per_image(pixels, bg).select(*pixels.columns, F.when(near, -1).otherwise(nearest).alias("role"))
 
 
 def outside_palette(pixels: DataFrame, channels: Sequence[str], palette: DataFrame) -> DataFrame:
@@ -123,39 +123,39 @@ def painted(canvas: DataFrame, shapes: DataFrame) -> DataFrame:
     rows = shapes.select("image_id", "z", "role", F.explode(F.sequence("y0", F.col("y1") - 1)).alias("y"), "x0", "x1").where("x1 > x0")
     rows = rows.select("image_id", "z", "role", "y", F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x"))
     top = rows.groupBy("image_id", "y", "x").agg(F.max_by("role", "z").alias("role"))
-    return canvas.join(top, ["image_id", "y", "x"], "left")
+    return canvas.join(top.hint("merge"), ["image_id", "y", "x"], "left")
 
 
 def masked(pixels: DataFrame, roles: DataFrame, role: int) -> DataFrame:
     """pixels with alpha 255 where roles(image_id, y, x, role) has the role, else 0."""
-    return pixels.join(roles.select("image_id", "y", "x", "role"), ["image_id", "y", "x"]).withColumn("a", F.when(F.col("role") == role, 255).otherwise(0)).drop("role")
+    return pixels.join(roles.select("image_id", "y", "x", "role").hint("merge"), ["image_id", "y", "x"]).withColumn("a", F.when(F.col("role") == role, 255).otherwise(0)).drop("role")
 
 
 def composited(under: DataFrame, over: DataFrame) -> DataFrame:
     """over(image_id, y, x, r, g, b, a) upon under, by alpha, rounded."""
     o = over.select("image_id", "y", "x", *[F.col(c).alias(f"o_{c}") for c in (*RGB, "a")])
     mix = lambda c: F.coalesce(F.floor((F.col(f"o_{c}") * F.col("o_a") + F.col(c) * (255 - F.col("o_a"))) / 255 + 0.5).cast("int"), F.col(c)).alias(c)
-    return under.join(o, ["image_id", "y", "x"], "left").select("image_id", "y", "x", *[mix(c) for c in RGB])
+    return under.join(o.hint("merge"), ["image_id", "y", "x"], "left").select("image_id", "y", "x", *[mix(c) for c in RGB])
 
 
 def resized(pixels: DataFrame, size: DataFrame, width: int, height: int) -> DataFrame:
     """Nearest-neighbour resize; size(image_id, w, h) is the old size."""
     grid = size.select("image_id", "w", "h", F.explode(F.sequence(F.lit(0), F.lit(height - 1))).alias("ny")).select("*", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("nx"))
     grid = grid.select("image_id", "ny", "nx", F.floor((F.col("ny") + 0.5) * F.col("h") / height).cast("int").alias("y"), F.floor((F.col("nx") + 0.5) * F.col("w") / width).cast("int").alias("x"))
-    return grid.join(pixels, ["image_id", "y", "x"]).drop("y", "x").withColumnsRenamed({"ny": "y", "nx": "x"})
+    return grid.join(pixels.hint("merge"), ["image_id", "y", "x"]).drop("y", "x").withColumnsRenamed({"ny": "y", "nx": "x"})
 
 
 def turned(pixels: DataFrame, size: DataFrame, quarters: int) -> DataFrame:
     """Rotated counter-clockwise by quarter turns."""
     x, y, w, h = (F.col(c) for c in ("x", "y", "w", "h"))
     to = [(x, y), (y, w - 1 - x), (w - 1 - x, h - 1 - y), (h - 1 - y, x)][quarters % 4]
-    return pixels.join(size, "image_id").withColumns({"x": to[0], "y": to[1]}).drop("w", "h")
+    return per_image(pixels, size).withColumns({"x": to[0], "y": to[1]}).drop("w", "h")
 
 
 def trimmed(pixels: DataFrame, inside: Column) -> DataFrame:
     """pixels within the box around those that are inside, at the box's origin; an image without any is as it was."""
     box = bounding_box(pixels, inside)
-    both = pixels.join(box.drop("area"), "image_id", "left")
+    both = per_image(pixels, box.drop("area"), "left")
     kept = both.where(F.col("x0").isNull() | ((F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1"))))
     return kept.withColumns({"x": F.col("x") - F.coalesce("x0", F.lit(0)), "y": F.col("y") - F.coalesce("y0", F.lit(0))}).select(*pixels.columns)
 
@@ -181,7 +181,7 @@ def guides(canvas: DataFrame, symbols: DataFrame, placements: DataFrame) -> Data
     placements(image_id, z, symbol, x, y): each covers its whole rectangle, later ones cover earlier ones, and the canvas cuts."""
     at = placements.select("image_id", "z", "symbol", F.col("x").alias("left"), F.col("y").alias("top")).join(symbols, "symbol")
     ink = at.groupBy("image_id", (F.col("top") + F.col("y")).alias("y"), (F.col("left") + F.col("x")).alias("x")).agg(F.max_by("a", "z").alias("a"))
-    return canvas.join(ink, ["image_id", "y", "x"], "left").select("image_id", "y", "x", (F.lit(255) - F.coalesce("a", F.lit(0))).alias("v"))
+    return canvas.join(ink.hint("merge"), ["image_id", "y", "x"], "left").select("image_id", "y", "x", (F.lit(255) - F.coalesce("a", F.lit(0))).alias("v"))
 
 
 # ---- one image at a time -------------------------------------------------------------------------------------------
@@ -306,7 +306,7 @@ def best_tolerance(pixels: DataFrame, background: DataFrame, tolerances: Sequenc
     tolerance, score; ties to the first tolerance."""
     bg = background.select("image_id", *[F.col(c).alias(f"bg_{c}") for c in RGB])
     far = F.greatest(*[F.abs(F.col(c) - F.col(f"bg_{c}")) for c in RGB])
-    rows = pixels.join(bg, "image_id").withColumn("t", F.explode(F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(t).alias("tolerance")) for i, t in enumerate(tolerances)])))
+    rows = per_image(pixels, bg).withColumn("t", F.explode(F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(t).alias("tolerance")) for i, t in enumerate(tolerances)])))
     rows = rows.select(F.col("image_id").alias("of"), F.concat_ws(":", "image_id", "t.ord").alias("image_id"), "t.ord", "t.tolerance", "y", "x", (far > F.col("t.tolerance")).alias("ink"))
     area = by_image(rows, ["ink"], lambda ink: label(foreground(ink, closing, hole)), "label").groupBy("of", "ord", "tolerance", "label").agg(F.count(F.lit(1)).alias("area"))
     whole = area.groupBy("of", "ord", "tolerance").agg(F.sum("area").alias("all"), F.collect_list(F.when(F.col("label") > 0, F.col("area"))).alias("areas"))

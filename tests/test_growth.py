@@ -31,3 +31,8 @@ def test_parts_follow_pixels(spark, sf, monkeypatch):
 
 def test_mask_ious_broadcast_no_pixels(spark, sf):
     assert "Broadcast" not in plan(catalogue.mask_ious(spark, sf))
+
+
+@pytest.mark.parametrize("name", ["palette_quantize", "painted_regions", "turned_icons"])
+def test_pixel_joins_broadcast_no_pixels(spark, sf, name):
+    assert "Broadcast" not in plan(catalogue.QUERIES[name](spark, sf))
