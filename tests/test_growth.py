@@ -36,3 +36,11 @@ def test_mask_ious_broadcast_no_pixels(spark, sf):
 @pytest.mark.parametrize("name", ["palette_quantize", "painted_regions", "turned_icons"])
 def test_pixel_joins_broadcast_no_pixels(spark, sf, name):
     assert "Broadcast" not in plan(catalogue.QUERIES[name](spark, sf))
+
+
+def test_images_are_one_task_no_longer(spark, sf, monkeypatch):
+    """A task sorted as many images as there were for a partition: parts are now of the images dealt, with no exchange of pixels."""
+    monkeypatch.setattr(raster, "PART", 4000)
+    ink = catalogue.pixels(spark, sf).selectExpr("image_id", "y", "x", "r > 200 as ink")
+    filled = raster.by_image(ink, ["ink"], raster.fill_holes, "filled", "boolean")
+    assert plan(filled).count("Exchange") == 1 and filled.rdd.getNumPartitions() == 4
