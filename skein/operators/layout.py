@@ -112,14 +112,16 @@ def painted_runs(canvas: DataFrame, runs: DataFrame, floor: int) -> DataFrame:
     The runs of one row are cut at all their ends; each part has the role of the last run that covers it.
     """
     base = canvas.select("image_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("height").cast("long") - 1)).alias("y"), F.lit(0).cast("long").alias("x0"), F.col("width").cast("long").alias("x1"), F.lit(-1).cast("long").alias("z"), F.lit(floor).alias("role"))
-    row = base.unionByName(runs).groupBy("image_id", "y").agg(F.collect_set(F.struct("z", "role", "x0", "x1")).alias("r"))
+    # rows of an image with the same runs, as those through the middle of a room, are cut once
+    every = base.unionByName(runs).repartition("image_id").groupBy("image_id", "y").agg(F.sort_array(F.collect_set(F.struct("z", "role", "x0", "x1"))).alias("r"))
+    row = every.groupBy("image_id", "r").agg(F.collect_list("y").alias("ys"))
     row = row.withColumn("cuts", F.array_sort(F.array_union("r.x0", "r.x1")))
     last = lambda at: F.array_max(F.transform(F.filter("r", lambda s: (s["x0"] <= at) & (at < s["x1"])), lambda s: F.struct(s["z"], s["role"])))["role"]
     row = row.withColumn("roles", F.transform(F.slice("cuts", 1, F.size("cuts") - 1), last))
     changes = F.filter(F.sequence(F.lit(0), F.size("roles") - 1), lambda i: (i == 0) | (F.get("roles", i) != F.get("roles", i - 1)))
     row = row.withColumn("at", changes)
     part = F.transform("at", lambda i, n: F.struct(F.get("cuts", i).alias("x0"), F.coalesce(F.get("cuts", F.get("at", n + 1)), F.array_max("cuts")).alias("x1"), F.get("roles", i).alias("role")))
-    return row.select("image_id", "y", F.inline(part))
+    return row.select("image_id", "ys", F.inline(part)).select("image_id", F.explode("ys").alias("y"), "x0", "x1", "role")
 
 
 def role_areas(runs: DataFrame) -> DataFrame:

@@ -148,6 +148,16 @@ def lights(plans: DataFrame, role: int) -> DataFrame:
     return layout.discs(every)
 
 
+#: Plans of a part.
+PART = 512
+
+
+def spread(plans: DataFrame) -> DataFrame:
+    """plans in parts by image_id whose number follows theirs: a few bytes of a plan become thousands of runs, which a file of
+    plans would leave to one task."""
+    return plans.repartition(-(-plans.count() // PART) or 1, "image_id")
+
+
 def painted(plans: DataFrame, roles: dict[str, int]) -> DataFrame:
     """image_id, y, x0, x1, role of plans(image_id, width, height, thickness, rooms, and perhaps corridors, extra_walls, doors,
     windscreen(side, thickness, frac), ramp(side, x_frac, width_frac), lights_room, lights_corridor).
@@ -155,6 +165,7 @@ def painted(plans: DataFrame, roles: dict[str, int]) -> DataFrame:
     roles: of outside, wall, floor, light, and of windscreen and ramp where there are any. Without rooms there is no hull, and so
     neither windscreen nor ramp; null lists are empty; a plan of nothing is all outside.
     """
+    plans = spread(plans)
     canvas = plans.select("image_id", "width", "height")
     runs = layout.rect_runs(rectangles(plans, roles), canvas)
     if {"lights_room", "lights_corridor"} & {*plans.columns}:

@@ -44,3 +44,17 @@ def test_images_are_one_task_no_longer(spark, sf, monkeypatch):
     ink = catalogue.pixels(spark, sf).selectExpr("image_id", "y", "x", "r > 200 as ink")
     filled = raster.by_image(ink, ["ink"], raster.fill_holes, "filled", "boolean")
     assert plan(filled).count("Exchange") == 1 and filled.rdd.getNumPartitions() == 4
+
+
+def test_plans_are_spread(spark, sf, monkeypatch):
+    """A small file of plans left all their runs to one task, and each row of an image was cut on its own."""
+    from skein.operators import layout
+    from skein.plans import floor_plans
+
+    monkeypatch.setattr(floor_plans, "PART", 3)
+    plans = floor_plans.preset_plans(spark.range(10).selectExpr("id as image_id", "'hab-2room' as preset", "60 as width", "50 as height", "4 as thickness"))
+    assert floor_plans.spread(plans).rdd.getNumPartitions() == 4
+    canvas = spark.createDataFrame([(1, 9, 40)], "image_id long, width int, height int")
+    runs = spark.range(40).selectExpr("1L as image_id", "id as y", "2L as x0", "5L as x1", "1L as z", "7 as role").where("y < 30")
+    painted = layout.painted_runs(canvas, runs, 0)
+    assert painted.count() == 30 * 3 + 10 and "collect_list(y" in plan(painted)
