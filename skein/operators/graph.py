@@ -45,7 +45,7 @@ def split_clusters(vectors: DataFrame, key: str, group: str, vector: str, least:
 def merging(clusters: DataFrame, key: str, vector: str, least: float) -> DataFrame:
     """c1, c2, n: pairs of clusters whose upper median of the cosines between their members reaches `least`, by counts.
 
-    Every cluster meets every other, as the rule says: rows^2 / BLOCK^2 tiles of matrix products.
+    Every cluster meets every other, as the rule says: products grow with rows^2, but what is moved grows with the rows.
     """
     return products.with_upper_median(products.blocks(clusters, key, vector, tag="cluster"), least)
 

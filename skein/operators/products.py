@@ -1,14 +1,16 @@
 """Cosines of many vectors with one another as blocked matrix products in Arrow batches.
 
-Vectors become unit rows (of length 0: zeros, so their cosines are 0) and are packed into blocks of a bounded number of rows, by
-group. A tile is two blocks of a group; each block is sent to the tiles it has part in (rows / BLOCK copies of a row), tiles
-are joined by their numbers, and what leaves a tile is what is asked for: pairs above a threshold, edges that connect as
-those pairs do, or counts by pairs of clusters. No table of all pairs or list of all cosines exists anywhere.
+Vectors are packed, as they are and with their lengths, into blocks of a bounded number of rows, by group, and blocks into a few
+strips. Each two strips of a group meet in one task, so a row is sent as often as its group has strips, whose number is
+fixed up to a million rows. A task goes through its strips tile by tile, in products of unit rows (of length 0: zeros, so
+their cosines are 0), and what leaves it is what is asked for: pairs above a threshold, edges that connect as those pairs do,
+or counts by pairs of clusters. No table of all pairs or list of all cosines exists anywhere.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,86 +19,123 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from skein.functions.vectors import normalized
+from skein.functions.vectors import norm
 
 from .sequences import numbered_within
 from .tables import written
 
 #: Rows of a block: a tile of two holds some megabytes.
 BLOCK = 1024
+#: Strips of a group, and blocks of a strip at most (of 64 dimensions, 64 MB): larger groups have more strips.
+STRIPS, LONGEST = 8, 128
 
 
 def blocks(vectors: DataFrame, key: str, vector: str, group: str | None = None, tag: str | None = None, rows: int = BLOCK) -> DataFrame:
-    """grp, blk, n_blk, keys, tags, m (unit rows one after another) of vectors; rows without a vector are left out.
+    """grp, blk, n_blk, keys, tags, m (vectors one after another), norms of vectors; rows without a vector are left out.
 
     With a tag, rows are packed in order of tag (what is counted together lies together) and key; without one, by a hash of the
     key into as many blocks as a group's count asks for, which needs no order of all rows.
     """
     v = vectors.where(F.col(vector).isNotNull()).select(
-        (F.lit(0) if group is None else F.col(group)).alias("grp"), F.col(key).alias("key"), (F.lit(0) if tag is None else F.col(tag)).alias("tag"), normalized(F.col(vector)).alias("u")
+        (F.lit(0) if group is None else F.col(group)).alias("grp"), F.col(key).alias("key"), (F.lit(0) if tag is None else F.col(tag)).alias("tag"), F.col(vector).alias("u"), norm(F.col(vector)).alias("norm")
     )
     if tag is None:
         size = v.groupBy(F.col("grp").alias("of")).agg(F.ceil(F.count(F.lit(1)) / rows).alias("n_blk"))
         placed = v.join(size, v.grp.eqNullSafe(size.of)).withColumn("blk", F.pmod(F.xxhash64("key"), "n_blk")).withColumn("nth", F.lit(0))
     else:
         placed = numbered_within(v, ["grp"], ["tag", "key"], "nth").withColumn("blk", F.floor(F.col("nth") / rows)).withColumn("n_blk", F.ceil(F.col("size_") / rows))
-    packed = placed.groupBy("grp", "blk", "n_blk").agg(F.array_sort(F.collect_list(F.struct("nth", "key", "tag", "u"))).alias("r"))
-    return packed.select("grp", "blk", "n_blk", F.col("r.key").alias("keys"), F.col("r.tag").alias("tags"), F.flatten("r.u").alias("m"))
+    packed = placed.groupBy("grp", "blk", "n_blk").agg(F.array_sort(F.collect_list(F.struct("nth", "key", "tag", "u", "norm"))).alias("r"))
+    return packed.select("grp", "blk", "n_blk", F.col("r.key").alias("keys"), F.col("r.tag").alias("tags"), F.flatten("r.u").alias("m"), F.col("r.norm").alias("norms"))
 
 
 def kind(packed: DataFrame, column: str) -> str:
     return dict(packed.dtypes)[column].removeprefix("array<").removesuffix(">")
 
 
-def tiles(packed: DataFrame) -> DataFrame:
-    """Each two blocks of a group, and each block with itself, once: columns with suffixes 1 and 2."""
-    one, two = (packed.select("grp", "n_blk", *[F.col(c).alias(f"{c}{i}") for c in ("blk", "keys", "tags", "m")]) for i in (1, 2))
-    one = one.withColumn("blk2", F.explode(F.sequence("blk1", F.col("n_blk") - 1)))
-    two = two.withColumn("blk1", F.explode(F.sequence(F.lit(0).cast("long"), "blk2"))).drop("n_blk")
-    return one.join(two, ["grp", "blk1", "blk2"])
+def striped(packed: DataFrame) -> DataFrame:
+    """packed with `strip`, the number of a block's strip within its group, and how many strips the group has."""
+    long = F.least(F.ceil(F.col("n_blk") / STRIPS), F.lit(LONGEST))
+    return packed.select("*", F.floor(F.col("blk") / long).alias("strip"), F.ceil(F.col("n_blk") / long).alias("n_strips"))
 
 
-class Tile:
-    """Two blocks' keys and tags, the cosines of their rows, and other columns by name. In a block's tile with itself each pair
-    comes once, cosines of the others are NaN. Tags rise along rows and along columns, and from the first block to the second."""
+def strips(packed: DataFrame) -> DataFrame:
+    """The blocks of each two strips of a group (s1 < s2), and of each strip alone (s1 = s2); `second` for those of s2 in a pair.
+    A null group has none."""
+    each = striped(packed.where(F.col("grp").isNotNull())).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_strips") - 1)))
+    s, o = F.col("strip"), F.col("other")
+    return each.select("grp", F.least(s, o).alias("s1"), F.greatest(s, o).alias("s2"), (s > o).alias("second"), "blk", "keys", "tags", "m", "norms")
 
-    def __init__(self, batch: pa.RecordBatch, i: int):
-        self.batch, self.i = batch, i
-        self.keys1, self.keys2, self.tags1, self.tags2 = (self.array(c) for c in ("keys1", "keys2", "tags1", "tags2"))
-        self.cosines = self.array("m1").reshape(len(self.keys1), -1) @ self.array("m2").reshape(len(self.keys2), -1).T
-        self.alone = batch.column("blk1")[i].as_py() == batch.column("blk2")[i].as_py()
-        if self.alone:
-            self.cosines[np.tril_indices(len(self.keys1))] = np.nan
 
-    def array(self, column: str) -> np.ndarray:
-        return self.batch.column(column)[self.i].values.to_numpy(zero_copy_only=False)
+def unit(m: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    m, n = m.astype(np.float64).reshape(len(norms), -1), norms[:, None]
+    return np.divide(m, n, out=np.zeros_like(m), where=n != 0)
 
 
-def by_tile(pairs: DataFrame, f: Callable[[Tile], dict], schema: str) -> DataFrame:
-    """What f makes of each tile, in columns of the schema, with the tile's group as `grp`."""
-    kinds = to_arrow_schema(StructType.fromDDL(schema))
+class Strips:
+    """Two strips' keys, tags and unit vectors, in order of their blocks, or one strip with itself (`alone`: both are the same,
+    and each pair of rows is to come once); `rows` is the edge of a tile. Tags rise along rows, and from the first strip to the
+    second. Rows of the input that are no block are `asked`, by column."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        found: tuple[list, list] = [], []
+        self.asked: list[pa.RecordBatch] = []
         for batch in batches:
+            second, blk = batch.column("second").to_pylist(), batch.column("blk").to_pylist()
+            take = lambda c, i: batch.column(c)[i].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
             for i in range(batch.num_rows):
-                out = f(Tile(batch, i))
-                if n := len(out[kinds.names[0]]):
-                    group = pa.array([batch.column("grp")[i].as_py()] * n, batch.schema.field("grp").type)
-                    yield pa.RecordBatch.from_arrays([group, *[pa.array(out[k.name], k.type) for k in kinds]], ["grp", *kinds.names])
+                if blk[i] is not None:
+                    found[second[i]].append((blk[i], take("keys", i), take("tags", i), unit(take("m", i), take("norms", i))))
+            if None in blk:
+                self.asked.append(batch.filter(batch.column("blk").is_null()))
+        self.alone = not found[1]
+        self.rows = max(len(b[1]) for side in found for b in side)
+        sides = [[np.concatenate(c) for c in list(zip(*sorted(side, key=lambda b: b[0])))[1:]] for side in found if side]
+        self.keys1, self.tags1, self.m1 = sides[0]
+        self.keys2, self.tags2, self.m2 = sides[-1]
+
+    def places(self) -> Iterator[tuple[int, int]]:
+        """First row and column of each tile."""
+        for i in range(0, len(self.m1), self.rows):
+            for j in range(i if self.alone else 0, len(self.m2), self.rows):
+                yield i, j
+
+    def cosines(self, i: int, j: int) -> np.ndarray:
+        """Cosines of a tile; where each pair is to come once, those that come elsewhere are NaN."""
+        out = self.m1[i : i + self.rows] @ self.m2[j : j + self.rows].T
+        if self.alone and i == j:
+            out[np.tril_indices(len(out))] = np.nan
+        return out
+
+
+def by_strips(moved: DataFrame, f: Callable[[Strips], Iterator[dict]], schema: str) -> DataFrame:
+    """What f makes of each two strips, in columns of the schema, with their group as `grp`."""
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = iter(batches)
+        first = next(batches)
+        group, s = first.column("grp")[0], Strips(chain([first], batches))
+        del first
+        for out in f(s):
+            if n := len(out[kinds.names[0]]):
+                grp = pa.array([group.as_py()] * n, group.type)
+                yield pa.RecordBatch.from_arrays([grp, *[pa.array(out[k.name], k.type) for k in kinds]], ["grp", *kinds.names])
 
-    return pairs.mapInArrow(run, f"grp {dict(pairs.dtypes)['grp']}, {schema}")
+    return moved.groupBy("grp", "s1", "s2").applyInArrow(run, f"grp {dict(moved.dtypes)['grp']}, {schema}")
 
 
 def above(packed: DataFrame, least: float) -> DataFrame:
     """grp, a, b (a < b), similarity of every pair of a group whose cosine reaches `least`."""
 
-    def f(t: Tile) -> dict[str, np.ndarray]:
-        i, j = np.nonzero(t.cosines >= least)
-        a, b = t.keys1[i], t.keys2[j]
-        return {"a": np.minimum(a, b), "b": np.maximum(a, b), "similarity": t.cosines[i, j]}
+    def f(s: Strips) -> Iterator[dict]:
+        for i, j in s.places():
+            cosines = s.cosines(i, j)
+            x, y = np.nonzero(cosines >= least)
+            a, b = s.keys1[i + x], s.keys2[j + y]
+            yield {"a": np.minimum(a, b), "b": np.maximum(a, b), "similarity": cosines[x, y]}
 
     k = kind(packed, "keys")
-    return by_tile(tiles(packed), f, f"a {k}, b {k}, similarity double")
+    return by_strips(strips(packed), f, f"a {k}, b {k}, similarity double")
 
 
 def forest(near: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -133,16 +172,48 @@ def forest(near: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows) if rows else np.zeros(0, np.int64), np.concatenate(columns) if columns else np.zeros(0, np.int64)
 
 
-def links(packed: DataFrame, least: float) -> DataFrame:
-    """grp, a, b: edges that connect a group's rows as all pairs with a cosine of `least` or more do; at most a tile's rows
-    of each tile, however many pairs are near."""
+def joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """label (the same for what is joined) after x[i] and y[i] have been joined for all i, and which i joined something."""
+    up: dict[int, int] = {}
+
+    def root(k: int) -> int:
+        while (above := up.get(k, k)) != k:
+            up[k] = k = up.get(above, above)
+        return k
+
+    new = []
+    at = np.flatnonzero(label[x] != label[y])
+    for i, p, q in zip(at.tolist(), label[x[at]].tolist(), label[y[at]].tolist()):
+        p, q = root(p), root(q)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            new.append(i)
+    if new:
+        to = np.arange(len(label))
+        for k in up:
+            to[k] = root(k)
+        label = to[label]
+    return label, np.array(new, np.int64)
 
-    def f(t: Tile) -> dict[str, np.ndarray]:
-        i, j = forest(t.cosines >= least, t.alone)
-        return {"a": t.keys1[i], "b": t.keys2[j]}
+
+def links(packed: DataFrame, least: float) -> DataFrame:
+    """grp, a, b: edges that connect a group's rows as all pairs with a cosine of `least` or more do; fewer than there are rows
+    of each two strips, however many pairs are near. Tiles whose rows are all joined are not multiplied."""
+
+    def f(s: Strips) -> Iterator[dict]:
+        keys = s.keys1 if s.alone else np.concatenate([s.keys1, s.keys2])
+        label, second = np.arange(len(keys)), 0 if s.alone else len(s.keys1)
+        for i, j in s.places():
+            seen = np.append(label[: second or None][i : i + s.rows], label[second:][j : j + s.rows])
+            if (seen == seen[0]).all():
+                continue
+            x, y = forest(s.cosines(i, j) >= least, s.alone and i == j)
+            x, y = x + i, y + j + second
+            label, new = joined(label, x, y)
+            yield {"a": keys[x[new]], "b": keys[y[new]]}
 
     k = kind(packed, "keys")
-    return by_tile(tiles(packed), f, f"a {k}, b {k}")
+    return by_strips(strips(packed), f, f"a {k}, b {k}")
 
 
 def segments(tags: np.ndarray) -> np.ndarray:
@@ -155,24 +226,61 @@ def has_upper_median(n, above):
     return n - above <= (n - n % 2) / 2
 
 
+def units(ends: np.ndarray, rows: int) -> list[tuple[int, int]]:
+    """Stretches (from, to) of segments with such ends: as many as have so many rows together, or one that has more."""
+    out, at = [], 0
+    while at < len(ends) - 1:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + rows, "right")) - 1)
+        out.append((at, to))
+        at = to
+    return out
+
+
+def summed(hits: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Counts of hits by segments, which begin at such rows and columns."""
+    if len(rows) == len(columns) == 1:
+        return np.array([[np.count_nonzero(hits)]])
+    for axis, first in enumerate((rows, columns)):
+        if len(first) < hits.shape[axis]:
+            hits = np.add.reduceat(hits, first, axis=axis, dtype=np.int64)
+    return hits
+
+
 def with_upper_median(packed: DataFrame, least: float) -> DataFrame:
     """c1, c2, n: pairs of tags (c1 < c2) whose upper median cosine is `least` or more, from counts of the cosines above it.
 
-    Tags lie together, so all but the first and the last of a block are in no other block: two such tags are decided within
-    their tile, and leave it only as a result. The counts of others are added up, some thousand pairs of a tile.
+    Tags lie together, so all but the first and the last of a strip are in no other strip: two such tags are decided within
+    their task, and leave it only as a result. The counts of others are added up, a few for each tag of a strip.
     """
 
-    def f(t: Tile) -> dict[str, np.ndarray]:
-        rows, columns = segments(t.tags1), segments(t.tags2)
-        total = lambda x: np.add.reduceat(np.add.reduceat(x.astype(np.int64), rows, axis=0), columns, axis=1)
-        n, high = total(~np.isnan(t.cosines)), total(t.cosines >= least)
-        inner1, inner2 = (np.pad(np.ones(max(0, len(x) - 2), bool), 1)[: len(x)] for x in (rows, columns))
-        told = ~(inner1[:, None] & inner2[None]) | has_upper_median(n, high)
-        i, j = np.nonzero((t.tags1[rows][:, None] < t.tags2[columns][None]) & (n > 0) & told)
-        return {"c1": t.tags1[rows][i], "c2": t.tags2[columns][j], "n": n[i, j], "above": high[i, j]}
+    def f(s: Strips) -> Iterator[dict]:
+        both = []
+        for tags, m in ((s.tags1, s.m1), (s.tags2, s.m2)):
+            first = segments(tags)
+            valid = np.add.reduceat(~np.isnan(m).any(axis=1), first, dtype=np.int64)
+            inner = np.ones(len(first), bool)
+            inner[[0, -1]] = False
+            both.append((tags[first], np.append(first, len(tags)), valid, inner))
+        (tag1, ends1, valid1, inner1), (tag2, ends2, valid2, inner2) = both
+        # numbers of tags over both strips, which a tag that goes on in the second has once
+        after = 0 if s.alone else len(tag1) - (tag1[-1] == tag2[0])
+        for p, q in units(ends1, s.rows):
+            for u, v in units(ends2, s.rows):
+                if p >= v - 1 + after:  # no tag of the unit comes before one of the other
+                    continue
+                high = np.zeros((q - p, v - u), np.int64)
+                for i in range(ends1[p], ends1[q], s.rows):
+                    for j in range(ends2[u], ends2[v], s.rows):
+                        rows, columns = (slice(a, min(a + s.rows, b)) for a, b in ((i, ends1[q]), (j, ends2[v])))
+                        hits = s.m1[rows] @ s.m2[columns].T >= least
+                        high += summed(hits, *(e - e[0] for e in (ends1[p:q], ends2[u:v])))
+                n = valid1[p:q, None] * valid2[None, u:v]
+                told = ~(inner1[p:q, None] & inner2[None, u:v]) | has_upper_median(n, high)
+                a, b = np.nonzero((np.arange(p, q)[:, None] < np.arange(u, v)[None] + after) & (n > 0) & told)
+                yield {"c1": tag1[p:q][a], "c2": tag2[u:v][b], "n": n[a, b], "above": high[a, b]}
 
     k = kind(packed, "tags")
-    each = by_tile(tiles(packed), f, f"c1 {k}, c2 {k}, n long, above long")
+    each = by_strips(strips(packed), f, f"c1 {k}, c2 {k}, n long, above long")
     sums = each.groupBy("c1", "c2").agg(F.sum("n").alias("n"), F.sum("above").alias("above"))
     return sums.where(has_upper_median(F.col("n"), F.col("above"))).select("c1", "c2", "n")
 
@@ -184,30 +292,50 @@ BITS, DIGIT = 48, 16
 def upper_medians(packed: DataFrame, pairs: DataFrame) -> DataFrame:
     """c1, c2, median of pairs(c1, c2, n), to 2^-47: the element at n // 2 in rising order, found digit by digit by counting.
 
-    A round goes through the tiles that hold a pair's rows and counts the next digit of the cosines that begin with what is
-    known of the median; at most 2^DIGIT counts of a pair are added up.
+    A round goes through the blocks that hold a pair's rows, two strips at a time, and counts the next digit of the cosines
+    that begin with what is known of the median; at most 2^DIGIT counts of a pair and two strips are added up.
     """
-    held = packed.select("blk", F.explode(F.array_distinct("tags")).alias("tag"))
+    held = striped(packed).select("strip", "blk", F.explode(F.array_distinct("tags")).alias("tag"))
     state = written(pairs.select("c1", "c2", F.floor(F.col("n") / 2).alias("rest"), F.lit(0).cast("long").alias("known")))
-    one, two = held.select(F.col("blk").alias("blk1"), F.col("tag").alias("c1")), held.select(F.col("blk").alias("blk2"), F.col("tag").alias("c2"))
-    every, k = tiles(packed), kind(packed, "tags")
+    sides = [held.select(F.col("strip").alias(f"s{i}"), "blk", F.col("tag").alias(f"c{i}")) for i in (1, 2)]
+    met = state.select("c1", "c2").join(sides[0].drop("blk").distinct(), "c1").join(sides[1].drop("blk").distinct(), "c2")
+    met = written(met.select("c1", "c2", "s1", "s2"))
+    needed = [met.select(f"c{i}", "s1", "s2").distinct().join(sides[i - 1], [f"c{i}", f"s{i}"]).select("s1", "s2", "blk") for i in (1, 2)]
+    needed = written(needed[0].unionByName(needed[1]).distinct())  # a row for a block and a strip at most
+    moved, k = strips(packed).join(F.broadcast(needed), ["s1", "s2", "blk"]), kind(packed, "tags")
     for left in range(BITS - DIGIT, -1, -DIGIT):
 
-        def f(t: Tile, left: int = left) -> dict[str, np.ndarray]:
-            ends1, ends2 = (np.append(segments(x), len(x)) for x in (t.tags1, t.tags2))
-            at1, at2 = (dict(zip(x[e[:-1]].tolist(), zip(e[:-1], e[1:]))) for x, e in ((t.tags1, ends1), (t.tags2, ends2)))
-            out: dict[str, list] = {"c1": [], "c2": [], "digit": [], "n": []}
-            for a, b, known in zip(t.array("w1").tolist(), t.array("w2").tolist(), t.array("w0").tolist()):
-                x = t.cosines[slice(*at1[a]), slice(*at2[b])]
+        def f(s: Strips, left: int = left) -> Iterator[dict]:
+            ends1, ends2 = (np.append(segments(x), len(x)) for x in (s.tags1, s.tags2))
+            at1, at2 = (dict(zip(x[e[:-1]].tolist(), zip(e[:-1].tolist(), e[1:].tolist()))) for x, e in ((s.tags1, ends1), (s.tags2, ends2)))
+
+            def digits(rows: slice, columns: slice, known: int) -> np.ndarray:
+                x = s.m1[rows] @ s.m2[columns].T
                 whole = np.clip(np.floor((x + 1.0) * 2.0 ** (BITS - 1)), 0, 2.0**BITS - 1).astype(np.int64) >> left
-                digits, n = np.unique((whole & ((1 << DIGIT) - 1))[whole >> DIGIT == known], return_counts=True)
-                for column, values in zip(out.values(), ([a] * len(n), [b] * len(n), digits.tolist(), n.tolist())):
-                    column += values
-            return out
-
-        wanted = state.join(one, "c1").join(two, "c2").where("blk1 <= blk2").groupBy("blk1", "blk2").agg(F.collect_list(F.struct("c1", "c2", "known")).alias("w"))
-        wanted = wanted.select("blk1", "blk2", F.col("w.c1").alias("w1"), F.col("w.c2").alias("w2"), F.col("w.known").alias("w0"))
-        sums = by_tile(every.join(wanted, ["blk1", "blk2"]), f, f"c1 {k}, c2 {k}, digit long, n long").groupBy("c1", "c2", "digit").agg(F.sum("n").alias("n"))
+                return (whole & ((1 << DIGIT) - 1))[whole >> DIGIT == known]
+
+            out: dict[str, list] = {"c1": [], "c2": [], "digit": [], "n": []}
+            for batch in s.asked:
+                for a, b, known in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "known"))):
+                    (i, i2), (j, j2) = at1[a], at2[b]
+                    if max(i2 - i, j2 - j) <= s.rows:
+                        found, n = np.unique(digits(slice(i, i2), slice(j, j2), known), return_counts=True)
+                    else:
+                        n = np.zeros(1 << DIGIT, np.int64)
+                        for x in range(i, i2, s.rows):
+                            for y in range(j, j2, s.rows):
+                                n += np.bincount(digits(slice(x, min(x + s.rows, i2)), slice(y, min(y + s.rows, j2)), known), minlength=1 << DIGIT)
+                        found = np.flatnonzero(n)
+                        n = n[found]
+                    for column, values in zip(out.values(), ([a] * len(n), [b] * len(n), found.tolist(), n.tolist())):
+                        column += values
+                    if len(out["n"]) > 1 << DIGIT:
+                        yield out
+                        out = {c: [] for c in out}
+            yield out
+
+        asked = met.join(state, ["c1", "c2"]).select(F.lit(0).alias("grp"), "s1", "s2", "c1", "c2", "known")
+        sums = by_strips(moved.unionByName(asked, allowMissingColumns=True), f, f"c1 {k}, c2 {k}, digit long, n long").groupBy("c1", "c2", "digit").agg(F.sum("n").alias("n"))
         earlier = Window.partitionBy("c1", "c2").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("below", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(state, ["c1", "c2"])
         hit = sums.where((F.col("below") <= F.col("rest")) & (F.col("rest") < F.col("below") + F.col("n")))

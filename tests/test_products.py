@@ -95,3 +95,33 @@ def test_no_rows(spark):
     df, *_ = vectors(spark)
     packed = products.blocks(df.where("k > 1000"), "k", "v", "g")
     assert products.above(packed, 0.1).count() == products.links(packed, 0.1).count() == products.with_upper_median(packed, 0.1).count() == 0
+
+
+def test_a_row_is_sent_once_for_each_strip(spark):
+    """Each block went to as many tiles as there are blocks, so what was moved grew with the square of the rows."""
+    df, *_ = vectors(spark)
+    packed = products.blocks(df, "k", "v", tag="cluster", rows=2)
+    sent = products.strips(packed).groupBy("blk").count().collect()
+    assert len(sent) == 30 and {r["count"] for r in sent} == {products.STRIPS}
+
+
+def test_links_of_near_rows_follow_the_rows(spark):
+    """Each two blocks sent edges of their own: some 1,300 for 60 near rows in blocks of two. Rows of no group have none."""
+    df = spark.createDataFrame([(i, None if i > 59 else 0, [1.0, i / 1000]) for i in range(64)], "k int, g int, v array<double>")
+    edges = products.links(products.blocks(df, "k", "v", "g", rows=2), 0.9)
+    assert edges.count() < products.STRIPS * 60
+    parts = graph.split_clusters(df, "k", "g", "v", 0.9).groupBy("cluster").count().collect()
+    assert sorted(r["count"] for r in parts) == [1, 1, 1, 1, 60]
+
+
+def test_medians_of_clusters_beyond_a_strip(spark):
+    df, _, tag, s = vectors(spark, n=150, seed=3)
+    packed = products.blocks(df, "k", "v", tag="cluster", rows=3)
+    want = {}
+    for a in range(7):
+        for b in range(a + 1, 7):
+            x = np.sort(s[np.ix_(tag == a, tag == b)].ravel())
+            if x[len(x) // 2] >= 0.05:
+                want[a, b] = x[len(x) // 2]
+    got = {(r.c1, r.c2): r.median for r in products.upper_medians(packed, products.with_upper_median(packed, 0.05)).collect()}
+    assert got and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
