@@ -125,3 +125,12 @@ def test_medians_of_clusters_beyond_a_strip(spark):
                 want[a, b] = x[len(x) // 2]
     got = {(r.c1, r.c2): r.median for r in products.upper_medians(packed, products.with_upper_median(packed, 0.05)).collect()}
     assert got and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_joined_labels():
+    label, new = products.joined(np.arange(6), np.array([0, 1, 2, 5, 4]), np.array([1, 2, 0, 4, 5]))
+    assert label.tolist() == [0, 0, 0, 3, 4, 4] and new.tolist() == [0, 1, 3]
+
+
+def test_units_are_whole_segments():
+    assert products.units(np.array([0, 1, 2, 3, 9, 10, 12]), 3) == [(0, 3), (3, 4), (4, 6)]
