@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from . import products
 from .tables import written
 
+#: Large clusters that are broadcast, by their number.
+BROADCAST = 100_000
+
 
 def components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     """node and its component's smallest node, from nodes(node) and edges(a, b), by labels that also jump to their label's.
@@ -42,23 +45,30 @@ def split_clusters(vectors: DataFrame, key: str, group: str, vector: str, least:
     return some.select(key, group, vector).join(found, key).withColumnRenamed("component", "cluster")
 
 
-def merging(clusters: DataFrame, key: str, vector: str, least: float) -> DataFrame:
-    """c1, c2, n: pairs of clusters whose upper median of the cosines between their members reaches `least`, by counts.
+def merging(clusters: DataFrame, key: str, vector: str, least: float, connect: bool = False) -> DataFrame:
+    """c1, c2, n: pairs of clusters whose upper median of the cosines between their members reaches `least`, by moments or counts
+    (connect: of these pairs so many that they connect clusters as all do).
 
-    Every cluster meets every other, as the rule says: products grow with rows^2, but what is moved grows with the rows.
+    Every cluster meets every other, as the rule says; what is moved grows with the rows.
     """
-    return products.with_upper_median(products.blocks(clusters, key, vector, tag="cluster"), least)
+    sizes = clusters.groupBy(F.col("cluster").alias("of")).agg((F.count(vector) >= products.LARGE * F.max(F.size(vector))).alias("large"))
+    large = written(sizes.where("large"))
+    of = F.broadcast(large) if large.count() <= BROADCAST else large
+    rows = clusters.join(of, F.col("cluster") == F.col("of"), "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    return products.merges(written(products.blocks(rows, key, vector, "large", "cluster")), least, connect)
 
 
 def merge_medians(clusters: DataFrame, key: str, vector: str, least: float) -> DataFrame:
     """merging's pairs with the median itself."""
-    packed = written(products.blocks(clusters, key, vector, tag="cluster"))
-    return products.upper_medians(packed, products.with_upper_median(packed, least))
+    pairs = written(merging(clusters, key, vector, least))
+    some = written(pairs.select("c1").unionByName(pairs.select(F.col("c2").alias("c1"))).distinct().withColumnRenamed("c1", "cluster"))
+    packed = written(products.blocks(clusters.join(some, "cluster", "left_semi"), key, vector, tag="cluster"))
+    return products.upper_medians(packed, pairs)
 
 
 def refined(vectors: DataFrame, key: str, group: str, vector: str, split: float, merge: float) -> DataFrame:
     """key and final cluster: groups split by cosine components, then clusters merged by upper medians, transitively."""
     parts = written(split_clusters(vectors, key, group, vector, split))
-    merges = merging(parts, key, vector, merge).select(F.col("c1").alias("a"), F.col("c2").alias("b"))
+    merges = merging(parts, key, vector, merge, connect=True).select(F.col("c1").alias("a"), F.col("c2").alias("b"))
     final = components(parts.select("cluster").distinct(), merges, "cluster")
     return parts.select(key, group, "cluster").join(final, "cluster").select(key, group, "cluster", F.col("component").alias("final"))

@@ -4,7 +4,8 @@ Vectors are packed, as they are and with their lengths, into blocks of a bounded
 strips. Each two strips of a group meet in one task, so a row is sent as often as its group has strips, whose number is
 fixed up to a million rows. A task goes through its strips tile by tile, in products of unit rows (of length 0: zeros, so
 their cosines are 0), and what leaves it is what is asked for: pairs above a threshold, edges that connect as those pairs do,
-or counts by pairs of clusters. No table of all pairs or list of all cosines exists anywhere.
+or counts by pairs of clusters. Two large clusters are told apart by their moments where these tell enough, and their rows stay
+where they are. No table of all pairs or list of all cosines exists anywhere.
 """
 
 from __future__ import annotations
@@ -26,8 +27,15 @@ from .tables import written
 
 #: Rows of a block: a tile of two holds some megabytes.
 BLOCK = 1024
-#: Strips of a group, and blocks of a strip at most (of 64 dimensions, 64 MB): larger groups have more strips.
-STRIPS, LONGEST = 8, 128
+#: Strips of a group, and blocks of a strip at most (of 64 dimensions, 64 MB): larger groups have more strips. A group of so few
+#: blocks is one strip: its tiles are a task's work.
+STRIPS, LONGEST, WHOLE = 8, 128, 12
+#: Rows for each dimension from which a cluster is large: its moments are then a fraction of its rows.
+LARGE = 4
+#: Numbers in a block of moments, or held by a task that adds moments up.
+MOMENTS, HELD = 1 << 16, 1 << 22
+#: Added to a variance, beyond what rounding can take from it.
+SLACK = 1e-6
 
 
 def blocks(vectors: DataFrame, key: str, vector: str, group: str | None = None, tag: str | None = None, rows: int = BLOCK) -> DataFrame:
@@ -54,7 +62,7 @@ def kind(packed: DataFrame, column: str) -> str:
 
 def striped(packed: DataFrame) -> DataFrame:
     """packed with `strip`, the number of a block's strip within its group, and how many strips the group has."""
-    long = F.least(F.ceil(F.col("n_blk") / STRIPS), F.lit(LONGEST))
+    long = F.when(F.col("n_blk") <= WHOLE, F.col("n_blk")).otherwise(F.least(F.ceil(F.col("n_blk") / STRIPS), F.lit(LONGEST)))
     return packed.select("*", F.floor(F.col("blk") / long).alias("strip"), F.ceil(F.col("n_blk") / long).alias("n_strips"))
 
 
@@ -246,8 +254,22 @@ def summed(hits: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarra
     return hits
 
 
-def with_upper_median(packed: DataFrame, least: float) -> DataFrame:
-    """c1, c2, n: pairs of tags (c1 < c2) whose upper median cosine is `least` or more, from counts of the cosines above it.
+def few(near: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """forest(near, whole) by the rows and columns that have any."""
+    r, c = near.any(axis=1), near.any(axis=0)
+    if whole:
+        r = c = r | c
+    r, c = np.flatnonzero(r), np.flatnonzero(c)
+    if not len(r):
+        return r, c
+    i, j = forest(near[np.ix_(r, c)], whole)
+    return r[i], c[j]
+
+
+def counted(moved: DataFrame, least: float, connect: bool = False, apart: bool = False) -> DataFrame:
+    """c1, c2, n: pairs of tags of two strips (c1 < c2) whose upper median cosine is `least` or more, from counts of the cosines
+    above it. apart: the second strip's tags are others than the first's, in an order of their own; connect: pairs that connect
+    tags as all such pairs do, fewer than there are tags of each two strips but for those that are added up.
 
     Tags lie together, so all but the first and the last of a strip are in no other strip: two such tags are decided within
     their task, and leave it only as a result. The counts of others are added up, a few for each tag of a strip.
@@ -263,7 +285,8 @@ def with_upper_median(packed: DataFrame, least: float) -> DataFrame:
             both.append((tags[first], np.append(first, len(tags)), valid, inner))
         (tag1, ends1, valid1, inner1), (tag2, ends2, valid2, inner2) = both
         # numbers of tags over both strips, which a tag that goes on in the second has once
-        after = 0 if s.alone else len(tag1) - (tag1[-1] == tag2[0])
+        after = 0 if s.alone else len(tag1) - (not apart and tag1[-1] == tag2[0])
+        label = np.arange(len(tag2) + after)
         for p, q in units(ends1, s.rows):
             for u, v in units(ends2, s.rows):
                 if p >= v - 1 + after:  # no tag of the unit comes before one of the other
@@ -275,16 +298,157 @@ def with_upper_median(packed: DataFrame, least: float) -> DataFrame:
                         hits = s.m1[rows] @ s.m2[columns].T >= least
                         high += summed(hits, *(e - e[0] for e in (ends1[p:q], ends2[u:v])))
                 n = valid1[p:q, None] * valid2[None, u:v]
-                told = ~(inner1[p:q, None] & inner2[None, u:v]) | has_upper_median(n, high)
-                a, b = np.nonzero((np.arange(p, q)[:, None] < np.arange(u, v)[None] + after) & (n > 0) & told)
-                yield {"c1": tag1[p:q][a], "c2": tag2[u:v][b], "n": n[a, b], "above": high[a, b]}
-
-    k = kind(packed, "tags")
-    each = by_strips(strips(packed), f, f"c1 {k}, c2 {k}, n long, above long")
+                asked = (np.arange(p, q)[:, None] < np.arange(u, v)[None] + after) & (n > 0)
+                inner = inner1[p:q, None] & inner2[None, u:v]
+                a, b = np.nonzero(asked & ~inner)
+                decided = asked & inner & has_upper_median(n, high)
+                if connect:
+                    x, y = few(decided, s.alone and p == u)
+                    x, y = np.minimum(x, y) if s.alone and p == u else x, np.maximum(x, y) if s.alone and p == u else y
+                    label, new = joined(label, x + p, y + u + after)
+                    x, y = x[new], y[new]
+                else:
+                    x, y = np.nonzero(decided)
+                a, b = np.append(a, x), np.append(b, y)
+                c1, c2 = tag1[p:q][a], tag2[u:v][b]
+                yield {"c1": np.minimum(c1, c2), "c2": np.maximum(c1, c2), "n": n[a, b], "above": high[a, b]}
+
+    k = kind(moved, "tags")
+    each = by_strips(moved, f, f"c1 {k}, c2 {k}, n long, above long")
     sums = each.groupBy("c1", "c2").agg(F.sum("n").alias("n"), F.sum("above").alias("above"))
     return sums.where(has_upper_median(F.col("n"), F.col("above"))).select("c1", "c2", "n")
 
 
+def with_upper_median(packed: DataFrame, least: float, connect: bool = False) -> DataFrame:
+    """c1, c2, n: pairs of tags (c1 < c2) whose upper median cosine is `least` or more, by counts of all cosines."""
+    return counted(strips(packed), least, connect)
+
+
+def moments(packed: DataFrame) -> DataFrame:
+    """tag, n, v: how many unit vectors a tag has (but those that hold NaN), their sum, and that of their products with
+    themselves as a triangle, such that v of two tags give the sums of their cosines and of the squares of these."""
+    k = kind(packed, "tags")
+    kinds = to_arrow_schema(StructType.fromDDL(f"tag {k}, n long, v array<double>"))
+
+    def out(held: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((list(held), [n for n, _ in held.values()], [v for _, v in held.values()]), kinds.types)], kinds.names)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            take = lambda c, i: batch.column(c)[i].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            for i in range(batch.num_rows):
+                tags, m = take("tags", i), unit(take("m", i), take("norms", i))
+                at = np.triu_indices(m.shape[1])
+                weight, first, valid = np.where(at[0] == at[1], 1.0, np.sqrt(2.0)), segments(tags), ~np.isnan(m).any(axis=1)
+                for a, b in zip(first, np.append(first[1:], len(tags))):
+                    x = m[a:b][valid[a:b]]
+                    n, v = held.get(tags[a], (0, 0.0))
+                    held[tags[a]] = n + len(x), v + np.append(x.sum(axis=0), (x.T @ x)[at] * weight)
+                    if len(held) * len(held[tags[a]][1]) > HELD:
+                        yield out(held)
+                        held = {}
+        if held:
+            yield out(held)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tag, n, v = None, 0, 0.0
+        for batch in batches:
+            tag, n = batch.column("tag")[0].as_py(), n + sum(batch.column("n").to_pylist())
+            v = v + batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1).sum(axis=0)
+        yield out({tag: (n, v)})
+
+    schema = f"tag {k}, n long, v array<double>"
+    return packed.select("tags", "m", "norms").mapInArrow(parts, schema).groupBy("tag").applyInArrow(added, schema)
+
+
+def by_moments(found: DataFrame, least: float, connect: bool = False) -> DataFrame:
+    """c1, c2, n, sure: pairs of tags (c1 < c2) whose upper median cosine may be `least` or more by the tags' moments; sure: it is.
+
+    A median lies within a standard deviation of the mean, so pairs whose mean is farther than that from `least` are decided.
+    connect: sure pairs are those of a forest, as for `counted`.
+    """
+    width, n = found.agg(F.coalesce(F.max(F.size("v")), F.lit(1)), F.count(F.lit(1))).first()
+    dims, n_blk = int(np.sqrt(9 + 8 * width) - 3) // 2, -(-n // max(1, MOMENTS // width))
+    packed = found.groupBy(F.pmod(F.xxhash64("tag"), F.lit(max(n_blk, 1))).alias("blk")).agg(F.array_sort(F.collect_list(F.struct("tag", "n", "v"))).alias("r"))
+    packed = packed.select(
+        F.lit(0).alias("grp"), "blk", F.lit(n_blk).alias("n_blk"), F.col("r.tag").alias("keys"), F.col("r.n").alias("tags"), F.flatten("r.v").alias("m"), F.transform("r", lambda _: F.lit(1.0)).alias("norms")
+    )
+
+    def f(s: Strips) -> Iterator[dict]:
+        label, second = np.arange(len(s.keys1) + (0 if s.alone else len(s.keys2))), 0 if s.alone else len(s.keys1)
+        for i, j in s.places():
+            x, y = s.m1[i : i + s.rows], s.m2[j : j + s.rows]
+            n = s.tags1[i : i + s.rows, None] * s.tags2[None, j : j + s.rows]
+            mean, square = (x[:, c] @ y[:, c].T / np.maximum(n, 1) for c in (slice(dims), slice(dims, None)))
+            spread = np.sqrt(np.maximum(square - mean**2, 0) + SLACK)
+            may, whole = (mean + spread >= least) & (n > 0), s.alone and i == j
+            if whole:
+                may = np.triu(may, 1)
+            sure = may & (mean - spread >= least)
+            a, b = np.nonzero(may & ~sure)
+            if connect:
+                p, q = few(sure, whole)
+                label, new = joined(label, p + i, q + j + second)
+                p, q = p[new], q[new]
+            else:
+                p, q = np.nonzero(sure)
+            told = np.repeat([False, True], [len(a), len(p)])
+            a, b = np.append(a, p), np.append(b, q)
+            c1, c2 = s.keys1[i + a], s.keys2[j + b]
+            yield {"c1": np.minimum(c1, c2), "c2": np.maximum(c1, c2), "n": n[a, b], "sure": told}
+
+    k = kind(packed, "keys")
+    return by_strips(strips(packed), f, f"c1 {k}, c2 {k}, n long, sure boolean").drop("grp")
+
+
+def across(left: DataFrame, right: DataFrame, n_left: int, n_right: int) -> DataFrame:
+    """The blocks of each strip of left and (as `second`) each of right, which have so many blocks. The side with more is cut
+    into STRIPS, and the other, which is sent to each of these, is cut as little as its length allows."""
+    more = n_left >= n_right
+    length = lambda n, cut: min(-(-n // STRIPS), LONGEST) if cut else LONGEST
+    sides = [(left, length(n_left, more), n_left), (right, length(n_right, not more), n_right)]
+    counts = [-(-n // long) for _, long, n in sides]
+    moved = []
+    for i, (packed, long, _) in enumerate(sides):
+        own = F.floor(F.col("blk") / long)
+        each = packed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(counts[1 - i] - 1).cast("long"))))
+        s1, s2 = (own, F.col("other")) if i == 0 else (F.col("other"), own)
+        moved.append(each.select(F.lit(0).alias("grp"), s1.alias("s1"), s2.alias("s2"), F.lit(i == 1).alias("second"), "blk", "keys", "tags", "m", "norms"))
+    return moved[0].unionByName(moved[1])
+
+
+def merges(packed: DataFrame, least: float, connect: bool = False) -> DataFrame:
+    """c1, c2, n as with_upper_median has them, from written blocks whose group says whether their tags are large.
+
+    Two large tags are decided by their moments, and by their rows only where these don't tell; all others by their rows.
+    """
+    n_blk = {r.grp: r.n for r in packed.groupBy("grp").agg(F.max("n_blk").alias("n")).collect()}
+    small, large = packed.where("not grp"), packed.where("grp")
+    found = with_upper_median(small, least, connect)
+    if True not in n_blk:
+        return found
+    told = written(by_moments(written(moments(large)), least, connect))
+    found = found.unionByName(told.where("sure").select("c1", "c2", "n"))
+    unsure = told.where("not sure").select("c1", "c2")
+    if unsure.limit(1).count():
+        moved = strips(large).join(F.broadcast(meeting(large, unsure)[1]), ["s1", "s2", "blk"])
+        found = found.unionByName(counted(moved, least).join(unsure, ["c1", "c2"], "left_semi"))
+    if False in n_blk:
+        found = found.unionByName(counted(across(small, large, n_blk[False], n_blk[True]), least, connect, apart=True))
+    return found
+
+
+def meeting(packed: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """c1, c2, s1, s2: in which strips pairs(c1, c2) meet, and s1, s2, blk: the blocks of these that hold their rows."""
+    held = striped(packed).select("strip", "blk", F.explode(F.array_distinct("tags")).alias("tag"))
+    sides = [held.select(F.col("strip").alias(f"s{i}"), "blk", F.col("tag").alias(f"c{i}")) for i in (1, 2)]
+    met = pairs.select("c1", "c2").join(sides[0].drop("blk").distinct(), "c1").join(sides[1].drop("blk").distinct(), "c2")
+    met = written(met.select("c1", "c2", "s1", "s2"))
+    needed = [met.select(f"c{i}", "s1", "s2").distinct().join(sides[i - 1], [f"c{i}", f"s{i}"]).select("s1", "s2", "blk") for i in (1, 2)]
+    return met, written(needed[0].unionByName(needed[1]).distinct())  # a row for a block and a strip at most
+
+
 #: Bits of a cosine (as a whole number of 2^-47 from -1) and of them those that a round tells apart.
 BITS, DIGIT = 48, 16
 
@@ -295,13 +459,8 @@ def upper_medians(packed: DataFrame, pairs: DataFrame) -> DataFrame:
     A round goes through the blocks that hold a pair's rows, two strips at a time, and counts the next digit of the cosines
     that begin with what is known of the median; at most 2^DIGIT counts of a pair and two strips are added up.
     """
-    held = striped(packed).select("strip", "blk", F.explode(F.array_distinct("tags")).alias("tag"))
     state = written(pairs.select("c1", "c2", F.floor(F.col("n") / 2).alias("rest"), F.lit(0).cast("long").alias("known")))
-    sides = [held.select(F.col("strip").alias(f"s{i}"), "blk", F.col("tag").alias(f"c{i}")) for i in (1, 2)]
-    met = state.select("c1", "c2").join(sides[0].drop("blk").distinct(), "c1").join(sides[1].drop("blk").distinct(), "c2")
-    met = written(met.select("c1", "c2", "s1", "s2"))
-    needed = [met.select(f"c{i}", "s1", "s2").distinct().join(sides[i - 1], [f"c{i}", f"s{i}"]).select("s1", "s2", "blk") for i in (1, 2)]
-    needed = written(needed[0].unionByName(needed[1]).distinct())  # a row for a block and a strip at most
+    met, needed = meeting(packed, state)
     moved, k = strips(packed).join(F.broadcast(needed), ["s1", "s2", "blk"]), kind(packed, "tags")
     for left in range(BITS - DIGIT, -1, -DIGIT):
 

@@ -105,6 +105,13 @@ def test_a_row_is_sent_once_for_each_strip(spark):
     assert len(sent) == 30 and {r["count"] for r in sent} == {products.STRIPS}
 
 
+def test_a_small_group_is_one_strip(spark):
+    """12 blocks were six strips and five blocks were five, so up to 1 GB what was moved grew faster than the rows."""
+    df, *_ = vectors(spark)
+    for rows in (5, 12, 60):
+        assert {r["count"] for r in products.strips(products.blocks(df, "k", "v", tag="cluster", rows=rows)).groupBy("blk").count().collect()} == {1}
+
+
 def test_links_of_near_rows_follow_the_rows(spark):
     """Each two blocks sent edges of their own: some 1,300 for 60 near rows in blocks of two. Rows of no group have none."""
     df = spark.createDataFrame([(i, None if i > 59 else 0, [1.0, i / 1000]) for i in range(64)], "k int, g int, v array<double>")
@@ -134,3 +141,78 @@ def test_joined_labels():
 
 def test_units_are_whole_segments():
     assert products.units(np.array([0, 1, 2, 3, 9, 10, 12]), 3) == [(0, 3), (3, 4), (4, 6)]
+
+
+def clustered(spark, sizes, seed, wide=5):
+    """Rows in clusters of such sizes, a row of length 0, one that holds NaN and one without a vector, and all cosines."""
+    r = np.random.default_rng(seed)
+    tag = np.repeat(np.arange(len(sizes)), sizes)
+    v = r.normal(size=(len(tag), wide)) + r.choice([0, 1, 4], len(sizes))[tag][:, None] * r.normal(size=(len(sizes), wide))[r.integers(0, len(sizes), len(sizes))][tag]
+    v[3], v[-1] = 0, np.nan
+    norms = np.linalg.norm(v, axis=1)
+    unit = v / np.where(norms == 0, 1, norms)[:, None]
+    rows = [(i, int(tag[i]), x.tolist()) for i, x in enumerate(v)] + [(len(v), 0, None)]
+    return spark.createDataFrame(rows, "k int, cluster int, v array<double>"), tag, unit @ unit.T
+
+
+def medians(tag, s, least):
+    want = {}
+    for a in range(tag.max() + 1):
+        for b in range(a + 1, tag.max() + 1):
+            x = s[np.ix_(tag == a, tag == b)].ravel()
+            x = np.sort(x[~np.isnan(x)])
+            if len(x) and x[len(x) // 2] >= least:
+                want[a, b] = (len(x), x[len(x) // 2])
+    return want
+
+
+SIZES = [40, 1, 3, 90, 25, 1, 60, 2, 33, 19, 21, 1, 70, 28]
+
+
+@pytest.mark.parametrize("rows", [7, 1024])
+@pytest.mark.parametrize("least", [-0.3, 0.1, 0.5])
+def test_large_and_small_clusters(spark, rows, least, monkeypatch):
+    df, tag, s = clustered(spark, SIZES, 5)
+    monkeypatch.setattr(products.blocks, "__defaults__", (*products.blocks.__defaults__[:-1], rows))
+    want = medians(tag, s, least)
+    assert {(r.c1, r.c2): r.n for r in graph.merging(df, "k", "v", least).collect()} == {k: n for k, (n, _) in want.items()}
+    nodes = spark.createDataFrame([(i,) for i in range(len(SIZES))], "node int")
+    parts = lambda pairs: sorted(graph.components(nodes, pairs.selectExpr("c1 a", "c2 b")).collect())
+    assert parts(graph.merging(df, "k", "v", least, connect=True)) == parts(spark.createDataFrame(list(want), "c1 int, c2 int"))
+    if least == 0.1:
+        got = {(r.c1, r.c2): r.median for r in graph.merge_medians(df, "k", "v", least).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k][1]) < 1e-12 for k in got)
+
+
+def test_moments_leave_close_pairs_to_rows(spark):
+    df, tag, s = clustered(spark, SIZES, 6)
+    packed = products.blocks(df.where("cluster in (0, 3, 4, 6, 8, 10, 12, 13)"), "k", "v", tag="cluster", rows=16)
+    want, kinds = medians(tag, s, -2), set()
+    for least in (-0.2, 0.0, 0.2, 0.6):
+        told = {(r.c1, r.c2): r for r in products.by_moments(products.moments(packed), least).collect()}
+        for pair in want:
+            if not {*pair} - {0, 3, 4, 6, 8, 10, 12, 13}:
+                n, median = want[pair]
+                kinds.add(told[pair].sure if pair in told else None)
+                assert told[pair].n == n and (median >= least or not told[pair].sure) if pair in told else median < least
+    assert kinds == {None, True, False}
+
+
+def test_rows_of_large_clusters_far_apart_stay(spark, monkeypatch):
+    """All rows went to each strip, eight times, to count cosines of clusters that their moments tell apart."""
+    r = np.random.default_rng(1)
+    rows = [(i, i % 6, (r.normal(size=6) * 0.1 + np.eye(6)[i % 6]).tolist()) for i in range(600)]
+    strips, moved = products.strips, []
+    monkeypatch.setattr(products, "strips", lambda packed: moved.append(strips(packed)) or moved[-1])
+    monkeypatch.setattr(products.blocks, "__defaults__", (*products.blocks.__defaults__[:-1], 50))
+    assert graph.merging(spark.createDataFrame(rows, "k int, cluster int, v array<double>"), "k", "v", 0.5).count() == 0
+    assert moved and sum(len(x.keys) for m in moved for x in m.select("keys").collect()) < 60
+
+
+def test_merges_of_many_clusters_follow_the_clusters(spark, monkeypatch):
+    """Clusters that all merge were joined by all of their pairs: 44,850 for 300 of them."""
+    components, edges = graph.components, []
+    monkeypatch.setattr(graph, "components", lambda nodes, pairs, node="node": edges.append(pairs) or components(nodes, pairs, node))
+    df = spark.createDataFrame([(i, str(i), [1.0, i / 1000, 0.0, 0.0]) for i in range(300)], "k int, name string, v array<double>")
+    assert {r.final for r in graph.refined(df, "k", "name", "v", 0.9, 0.9).collect()} == {0}
+    assert edges[-1].count() < 10 * 300
